@@ -258,3 +258,101 @@ def q_score_double(spark, sf_dir):
     cfg = {"features": ["l_quantity", "l_discount"], "result_type": "double"}
     scored = score(li, cfg, model=LinearScore(THRESHOLD_WEIGHTS, THRESHOLD_BIAS))
     return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+
+
+# --------------------------------------------------------------------------
+# Class counts and class filters
+# --------------------------------------------------------------------------
+
+from ..operators.classes import (  # noqa: E402
+    class_counts,
+    filter_class,
+    rebalance,
+    split_features_label,
+    stratified_split,
+)
+from ..operators.report import classification_report  # noqa: E402
+
+
+@register("q_class_counts")
+def q_class_counts(spark, sf_dir):
+    return class_counts(table(spark, sf_dir, "lineitem"), "l_returnflag")
+
+
+@register("q_label_counts")
+def q_label_counts(spark, sf_dir):
+    return class_counts(table(spark, sf_dir, "labels"), "toxic")
+
+
+@register("q_class_filter")
+def q_class_filter(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+    features, _ = split_features_label(filter_class(li, "l_returnflag", "R"), "l_returnflag")
+    return features
+
+
+# --------------------------------------------------------------------------
+# A1: stratified split
+# --------------------------------------------------------------------------
+
+SPLIT_SEED = 42
+
+
+@register("q_split")
+def q_split(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return stratified_split(labels, "toxic", ["doc_id"], train_percent=80, seed=SPLIT_SEED)
+
+
+@register("q_split_events")
+def q_split_events(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    split = stratified_split(events, "event_type", ["event_id"], train_percent=80, seed=SPLIT_SEED)
+    return split.groupBy("event_type", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 4).alias("sum_value")
+    )
+
+
+# --------------------------------------------------------------------------
+# A5: rebalancing
+# --------------------------------------------------------------------------
+
+TOXIC_SHARES = {0: 0.8, 1: 0.2}
+
+
+@register("q_rebalance")
+def q_rebalance(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return rebalance(labels, "toxic", TOXIC_SHARES, ["doc_id"], seed=SPLIT_SEED).select(
+        "doc_id", "toxic", "copy"
+    )
+
+
+@register("q_rebalance_counts")
+def q_rebalance_counts(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    out = rebalance(labels, "toxic", TOXIC_SHARES, ["doc_id"], seed=SPLIT_SEED)
+    return class_counts(out, "toxic")
+
+
+# --------------------------------------------------------------------------
+# A3: evaluation report (labels joined with a rule over documents)
+# --------------------------------------------------------------------------
+
+REPORT_MIN_CHARS = 5000
+
+
+def labelled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    joined = labels.join(docs, "doc_id", "inner")
+    return joined.withColumn(
+        "prediction", F.when(F.col("n_chars") > REPORT_MIN_CHARS, 1).otherwise(0)
+    )
+
+
+@register("q_report")
+def q_report(spark, sf_dir):
+    return classification_report(labelled_predictions(spark, sf_dir), "toxic", "prediction")

@@ -132,3 +132,89 @@ SQL: dict[str, str] = {
 }
 
 _ = hash32_sql  # used by the split/resample twins below
+
+_H_DOC = hash32_sql("doc_id", catalog.SPLIT_SEED)
+_H_EVENT = hash32_sql("event_id", catalog.SPLIT_SEED)
+
+
+def _split_sql(source: str, label: str, key: str, h: str, cols: str) -> str:
+    return f"""
+        SELECT {cols},
+               CASE WHEN row_number() OVER (PARTITION BY {label} ORDER BY {h}, {key})
+                         <= (count(*) OVER (PARTITION BY {label}) * 80) // 100
+                    THEN 'train' ELSE 'test' END AS split
+        FROM {source}"""
+
+
+def _rebalance_sql() -> str:
+    shares = catalog.TOXIC_SHARES
+    share = " ".join(f"WHEN toxic = {k} THEN CAST({v} AS DOUBLE)" for k, v in shares.items())
+    return f"""
+        WITH c AS (SELECT toxic AS t, count(*) AS n_c FROM labels GROUP BY toxic),
+             n AS (SELECT count(*) AS n FROM labels),
+             w AS (SELECT l.doc_id, l.toxic,
+                          CAST(floor((CASE {share} END) * n.n / c.n_c
+                                     + {_H_DOC} / 4294967296.0) AS BIGINT) AS copies
+                   FROM labels l JOIN c ON l.toxic = c.t CROSS JOIN n)
+        SELECT doc_id, toxic, CAST(r.copy AS BIGINT) AS copy
+        FROM w, unnest(range(1, copies + 1)) AS r(copy)
+        WHERE copies > 0"""
+
+
+SQL.update({
+    "q_class_counts": """
+        SELECT l_returnflag, count(*) AS n_rows,
+               round(count(*) / sum(count(*)) OVER (), 6) AS share
+        FROM lineitem GROUP BY l_returnflag""",
+    "q_label_counts": """
+        SELECT toxic, count(*) AS n_rows,
+               round(count(*) / sum(count(*)) OVER (), 6) AS share
+        FROM labels GROUP BY toxic""",
+    "q_class_filter": """
+        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice
+        FROM lineitem WHERE l_returnflag = 'R'""",
+    "q_split": _split_sql("labels", "toxic", "doc_id", _H_DOC, "doc_id, quality, toxic"),
+    "q_split_events": f"""
+        SELECT event_type, split, count(*) AS n_rows, round(sum(value), 4) AS sum_value
+        FROM ({_split_sql("events", "event_type", "event_id", _H_EVENT, "event_type, value")})
+        GROUP BY 1, 2""",
+    "q_rebalance": _rebalance_sql(),
+    "q_rebalance_counts": f"""
+        SELECT toxic, count(*) AS n_rows,
+               round(count(*) / sum(count(*)) OVER (), 6) AS share
+        FROM ({_rebalance_sql()}) GROUP BY toxic""",
+    "q_report": f"""
+        WITH p AS (
+            SELECT CAST(l.toxic AS VARCHAR) AS label,
+                   CAST(CASE WHEN d.n_chars > {catalog.REPORT_MIN_CHARS} THEN 1 ELSE 0 END AS VARCHAR) AS predicted
+            FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+        cls AS (SELECT label FROM p UNION SELECT predicted FROM p),
+        s AS (
+            SELECT c.label,
+                   (SELECT count(*) FROM p WHERE p.label = c.label) AS support,
+                   (SELECT count(*) FROM p WHERE p.label = c.label AND p.predicted = c.label) AS tp,
+                   (SELECT count(*) FROM p WHERE p.predicted = c.label) AS n_pred
+            FROM cls c),
+        m AS (
+            SELECT label, support,
+                   CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+                   CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+                   tp
+            FROM s),
+        f AS (
+            SELECT *, CASE WHEN precision + recall > 0
+                           THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+            FROM m),
+        tot AS (SELECT sum(support) AS n, sum(tp) AS tp FROM f)
+        SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+               round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM f
+        UNION ALL
+        SELECT 'accuracy', NULL, NULL, round(tp / n, 6), CAST(n AS BIGINT) FROM tot
+        UNION ALL
+        SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+               CAST(sum(support) AS BIGINT) FROM f
+        UNION ALL
+        SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+               round(sum(recall * support) / sum(support), 6),
+               round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""",
+})
