@@ -356,3 +356,95 @@ def labelled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("q_report")
 def q_report(spark, sf_dir):
     return classification_report(labelled_predictions(spark, sf_dir), "toxic", "prediction")
+
+
+# --------------------------------------------------------------------------
+# Script variables in pages, timelines and their means
+# --------------------------------------------------------------------------
+
+from ..operators.timeline import (  # noqa: E402
+    call_argument,
+    operation_means,
+    script_value,
+    timeline_means,
+    unquote_keys,
+)
+
+
+@register("q_page_vars")
+def q_page_vars(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id",
+        script_value(F.col("html"), "t").alias("t_value"),
+        call_argument(F.col("html"), "track").try_cast("int").alias("track_arg"),
+    )
+
+
+@register("q_track_mean")
+def q_track_mean(spark, sf_dir):
+    pages = q_page_vars(spark, sf_dir)
+    return pages.agg(
+        F.count("track_arg").alias("n_pages"),
+        F.round(F.avg("track_arg"), 6).alias("mean_track"),
+    )
+
+
+TIMELINE_CHUNK = 1000
+
+
+def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events drawn as statistics pages: every block of ``TIMELINE_CHUNK``
+    consecutive event ids is one page whose charts v1..v4 plot value, k,
+    user_id and event_id over time, and whose v5 chart has one entry per
+    event keyed by its type.  Groups are bounded by the block size."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int")
+    )
+    x = F.date_format("ts", "HH:mm:ss.SSSSSS")
+
+    def chart(y):
+        return F.collect_list(F.struct(x.alias("x"), y.alias("y")))
+
+    pages = events.groupBy(F.floor(F.col("event_id") / TIMELINE_CHUNK).alias("page")).agg(
+        chart(F.col("value")).alias("v1"),
+        chart(F.col("k")).alias("v2"),
+        chart(F.col("user_id")).alias("v3"),
+        chart(F.col("event_id")).alias("v4"),
+        F.collect_list(F.create_map(F.lit("x"), x, F.col("event_type"), F.col("value").cast("string"))).alias("v5"),
+    )
+    body = [F.lit("<html><head><script>")]
+    for var in ("v1", "v2", "v3", "v4", "v5"):
+        body += [F.lit(f"var {var} = "), unquote_keys(F.to_json(F.col(var))), F.lit(";\n")]
+    body.append(F.lit("</script></head><body></body></html>"))
+    return pages.select("page", F.concat(*body).alias("html"))
+
+
+@register("q_timeline_mean")
+def q_timeline_mean(spark, sf_dir):
+    return timeline_means(event_timeline_pages(spark, sf_dir), decimals=6)
+
+
+@register("q_operation_mean")
+def q_operation_mean(spark, sf_dir):
+    return operation_means(event_timeline_pages(spark, sf_dir), decimals=2)
+
+
+# --------------------------------------------------------------------------
+# A10: telemetry-style summary (mean, min, max, percentiles, totals)
+# --------------------------------------------------------------------------
+
+from ..streaming.progress import summarize  # noqa: E402
+
+
+@register("q_metric_summary")
+def q_metric_summary(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int")
+    )
+    out = summarize(events, ["value", "k"], group_cols=["event_type"])
+    return out.select(
+        "event_type", "metric", "n",
+        F.round("mean", 6).alias("mean"), "min", "max",
+        F.round("total", 4).alias("total"), "p50", "p95",
+    )

@@ -218,3 +218,36 @@ SQL.update({
                round(sum(recall * support) / sum(support), 6),
                round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""",
 })
+
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+
+SQL.update({
+    "q_page_vars": r"""
+        SELECT page_id,
+               nullif(regexp_extract(html, '(?s)var t\s*=\s*(.*?);', 1), '') AS t_value,
+               TRY_CAST(nullif(regexp_extract(html, 'track\(([^)]*)\)', 1), '') AS INTEGER) AS track_arg
+        FROM pages""",
+    "q_track_mean": r"""
+        SELECT count(t) AS n_pages, round(avg(t), 6) AS mean_track
+        FROM (SELECT TRY_CAST(nullif(regexp_extract(html, 'track\(([^)]*)\)', 1), '') AS INTEGER) AS t
+              FROM pages)""",
+    "q_timeline_mean": f"""
+        SELECT 'Input Rate (records/sec)' AS metric, round(avg(value), 6) AS mean, count(value) AS n_points FROM events
+        UNION ALL
+        SELECT 'Process Rate (records/sec)', round(avg({_K}), 6), count({_K}) FROM events
+        UNION ALL
+        SELECT 'Input Rows (records/batch)', round(avg(user_id), 6), count(user_id) FROM events
+        UNION ALL
+        SELECT 'Batch Duration (ms)', round(avg(event_id), 6), count(event_id) FROM events""",
+    "q_operation_mean": """
+        SELECT event_type AS operation, round(avg(value), 2) AS mean_ms
+        FROM events GROUP BY event_type""",
+    "q_metric_summary": f"""
+        WITH t AS (SELECT event_type, 'value' AS metric, value AS v FROM events
+                   UNION ALL
+                   SELECT event_type, 'k', CAST({_K} AS DOUBLE) FROM events)
+        SELECT event_type, metric, count(v) AS n, round(avg(v), 6) AS mean, min(v) AS min, max(v) AS max,
+               round(sum(v), 4) AS total,
+               quantile_disc(v, 0.5) AS p50, quantile_disc(v, 0.95) AS p95
+        FROM t GROUP BY event_type, metric""",
+})
