@@ -13,15 +13,30 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+
+# Upper bound on the confusion table collected to the driver.
+MAX_CELLS = 1_000_000
+
+
+def class_text(df: DataFrame, name: str):
+    """A class value as text; integral numbers print without a fraction, so
+    an integer label and a double prediction name the same class."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, NumericType):
+        whole = col.cast("double") == F.floor(col.cast("double"))
+        return F.when(whole, F.floor(col.cast("double")).cast("string")).otherwise(col.cast("string"))
+    return col.cast("string")
 
 
 def confusion_counts(df: DataFrame, label_col: str, prediction_col: str) -> DataFrame:
     """Rows per (label, prediction), labels and predictions as text."""
     return df.groupBy(
-        F.col(label_col).cast("string").alias("label"),
-        F.col(prediction_col).cast("string").alias("predicted"),
+        class_text(df, label_col).alias("label"),
+        class_text(df, prediction_col).alias("predicted"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -38,7 +53,12 @@ def classification_report(
     digits: int = 6,
 ) -> DataFrame:
     """Precision, recall, f1 and support per class plus summary rows."""
-    cm = confusion_counts(df, label_col, prediction_col)
+    # The confusion table has at most (classes)^2 rows: it is collected once
+    # (checked), so the input is scanned a single time.
+    counts = confusion_counts(df, label_col, prediction_col).limit(MAX_CELLS + 1).collect()
+    if len(counts) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} (label, prediction) pairs")
+    cm = df.sparkSession.createDataFrame(counts, "label string, predicted string, n long")
     per_label = cm.groupBy("label").agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"),
@@ -59,16 +79,9 @@ def classification_report(
             _safe_div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
         )
     )
-    whole = Window.partitionBy()  # over the per-class rows only
-    summary = classes.select(
-        F.sum("tp").over(whole).alias("tp_all"),
-        F.sum("support").over(whole).alias("n_all"),
-        F.count(F.lit(1)).over(whole).alias("k"),
-        "precision", "recall", "f1", "support",
-    ).groupBy().agg(
-        F.first("tp_all").alias("tp_all"),
-        F.first("n_all").alias("n_all"),
-        F.first("k").alias("k"),
+    summary = classes.groupBy().agg(
+        F.sum("tp").alias("tp_all"),
+        F.sum("support").alias("n_all"),
         F.avg("precision").alias("p_macro"),
         F.avg("recall").alias("r_macro"),
         F.avg("f1").alias("f_macro"),

@@ -448,3 +448,108 @@ def q_metric_summary(spark, sf_dir):
         F.round("mean", 6).alias("mean"), "min", "max",
         F.round("total", 4).alias("total"), "p50", "p95",
     )
+
+
+# --------------------------------------------------------------------------
+# The scoring job as a stream over the events files
+# --------------------------------------------------------------------------
+
+from ..session import shared_dir  # noqa: E402
+from ..streaming.progress import progress_frame  # noqa: E402
+from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream  # noqa: E402
+from . import job  # noqa: E402
+
+STREAM_TIMEOUT_S = 1800
+
+
+def stream_job_config(sf_dir: str, out_dir: str, *, sink: dict | None = None) -> dict:
+    return {
+        "source": {
+            "format": "parquet",
+            "path": f"{sf_dir.rstrip('/')}/events*.parquet",
+            "max_files_per_trigger": 1,
+            "encode": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+        },
+        "schema": configs.EVENT_SCHEMA,
+        "model": configs.EVENT_MODEL,
+        "sink": sink or {
+            "format": "parquet",
+            "mode": "append",
+            "checkpointLocation": f"{out_dir}/_checkpoint",
+            "options": {"path": f"{out_dir}/data"},
+            "trigger": {"availableNow": True},
+        },
+    }
+
+
+def _run_stream(spark, cfg, name):
+    query = job.start(spark, cfg, model=ThresholdRule("value", 50.0), query_name=name)
+    run_until_done(query, STREAM_TIMEOUT_S)
+    return query
+
+
+@register("q_stream_parquet")
+def q_stream_parquet(spark, sf_dir):
+    out = shared_dir(spark, "q_stream_parquet")
+    _run_stream(spark, stream_job_config(sf_dir, out), None)
+    return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
+
+
+@register("q_stream_restart")
+def q_stream_restart(spark, sf_dir):
+    """The same query run twice on one checkpoint: the restart finds no new
+    input and the sink holds every row exactly once."""
+    out = shared_dir(spark, "q_stream_restart")
+    cfg = stream_job_config(sf_dir, out)
+    _run_stream(spark, cfg, None)
+    _run_stream(spark, cfg, None)
+    return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
+
+
+@register("q_stream_batches")
+def q_stream_batches(spark, sf_dir):
+    """foreachBatch with the batch writer; each micro-batch replaces its own
+    batch_id partition, so a replayed batch is not duplicated."""
+    out = shared_dir(spark, "q_stream_batches")
+    cfg = stream_job_config(sf_dir, out)
+    scored = job.build(spark, cfg, model=ThresholdRule("value", 50.0))
+    writer = foreach_batch_writer("parquet", {"path": f"{out}/data"}, idempotent=True)
+    sink = {"checkpointLocation": f"{out}/_checkpoint", "trigger": {"availableNow": True}}
+    run_until_done(write_stream(scored, sink, foreach=writer), STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
+
+
+@register("q_telemetry")
+def q_telemetry(spark, sf_dir):
+    """Progress reports of a scoring stream as a telemetry table."""
+    out = shared_dir(spark, "q_telemetry")
+    query = _run_stream(spark, stream_job_config(sf_dir, out), None)
+    return progress_frame(spark, query.recentProgress).select(
+        "batch_id", "Timestamp", "Batch_Duration_ms", "Input_Rows",
+        "input_rows_per_second", "processed_rows_per_second",
+    )
+
+
+# --------------------------------------------------------------------------
+# A1 + A2 + K9 + U3 + A3: train, persist, reload, score, report
+# --------------------------------------------------------------------------
+
+from ..operators.score import score_mllib  # noqa: E402
+from ..operators.train import load_model, save_model, train_random_forest  # noqa: E402
+
+ML_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("q_mllib")
+def q_mllib(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", *ML_FEATURES,
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"),
+    )
+    split = stratified_split(li, "returned", ["l_orderkey", "l_linenumber"], seed=SPLIT_SEED)
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test")
+    model = train_random_forest(train, ML_FEATURES, "returned", num_trees=20, max_depth=5, seed=42)
+    path = save_model(model, shared_dir(spark, "q_mllib", "model"))
+    scored = score_mllib(test, {"features": ML_FEATURES}, pipeline_model=load_model(path))
+    return classification_report(scored, "returned", "prediction")

@@ -251,3 +251,9 @@ SQL.update({
                quantile_disc(v, 0.5) AS p50, quantile_disc(v, 0.95) AS p95
         FROM t GROUP BY event_type, metric""",
 })
+
+SQL.update({
+    "q_stream_parquet": SQL["q_score_rows"],
+    "q_stream_restart": SQL["q_score_rows"],
+    "q_stream_batches": SQL["q_score_rows"],
+})

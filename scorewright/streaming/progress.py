@@ -30,7 +30,7 @@ PROGRESS_SCHEMA = StructType([
     StructField("query_id", StringType()),
     StructField("name", StringType()),
     StructField("batch_id", LongType()),
-    StructField("timestamp", StringType()),
+    StructField("reported_at", StringType()),
     StructField("num_input_rows", LongType()),
     StructField("input_rows_per_second", DoubleType()),
     StructField("processed_rows_per_second", DoubleType()),
@@ -70,10 +70,10 @@ def progress_frame(spark: SparkSession, progress: Iterable) -> DataFrame:
     df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
     return df.select(
         "*",
-        F.to_timestamp("timestamp").alias("Timestamp"),
+        F.to_timestamp("reported_at").alias("Timestamp"),
         F.col("duration_ms")["triggerExecution"].cast("double").alias("Batch_Duration_ms"),
         F.col("num_input_rows").cast("double").alias("Input_Rows"),
-    ).drop("timestamp")
+    ).drop("reported_at")
 
 
 class ProgressCollector(StreamingQueryListener):
