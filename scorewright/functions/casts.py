@@ -42,12 +42,20 @@ def parse_type(type_name: str | DataType) -> DataType:
         raise ValueError(f"unknown type name {type_name!r}") from exc
 
 
-def lenient_cast(col: Column, type_name: str | DataType) -> Column:
-    """Cast ``col`` to ``type_name``; text that does not parse becomes null."""
+def lenient_cast(col: Column, type_name: str | DataType, source: DataType | None = None) -> Column:
+    """Cast ``col`` to ``type_name``; text that does not parse becomes null.
+
+    ``source`` is the type of ``col`` when known: the decimal-fraction rule
+    only applies to text, so other sources get a plain ``try_cast``.
+    ``col`` appears up to three times in the result, so pass a column
+    reference, not an expensive expression.
+    """
     target = parse_type(type_name)
     if isinstance(target, StringType):
         return col.cast(StringType())
     direct = col.try_cast(target)
+    if source is not None and not isinstance(source, StringType):
+        return direct
     if isinstance(target, _INTEGRAL):
         text = F.trim(col.cast(StringType()))
         whole = F.regexp_extract(text, _DECIMAL_LITERAL, 1)

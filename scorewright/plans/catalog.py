@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.messages import encode_messages, message_text
 from ..operators.parse import derive, parse_messages, parse_struct
 from ..operators.score import LinearScore, ThresholdRule, feature_array, score
+from ..session import spread
 from . import configs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,13 +32,14 @@ def register(name: str):
     return wrap
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events rows as JSON messages in a binary ``value`` column."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events", spread_rows=True)
     return encode_messages(events, ["event_id", "ts", "user_id", "event_type", "value", "props"])
 
 
@@ -98,7 +100,7 @@ def q_derive(spark, sf_dir):
 
 @register("q_prune")
 def q_prune(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem", spread_rows=True)
     msgs = encode_messages(lineitem, configs.LINEITEM_COLUMNS)
     return parse_messages(msgs, configs.LINEITEM_SCHEMA)
 

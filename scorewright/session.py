@@ -93,3 +93,23 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(target)
     _SHIPPED.add(key)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give a CPU-heavy map stage enough tasks.
+
+    When a batch input has fewer partitions than the cluster's default
+    parallelism (one small file, one Kafka partition), its rows are
+    redistributed round-robin over that many partitions; an input that is
+    already split finely (the normal case for large tables) is returned
+    unchanged, so no shuffle is added at scale.  Streams are returned
+    unchanged (use the source's own options, e.g. Kafka ``minPartitions``).
+    """
+    if df.isStreaming:
+        return df
+    try:
+        target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (Spark Connect)
+        return df
+    return df.repartition(target) if current < target else df
