@@ -40,8 +40,33 @@ def confusion_counts(df: DataFrame, label_col: str, prediction_col: str) -> Data
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _safe_div(num, den):
-    return F.when(den > 0, num / den).otherwise(F.lit(0.0))
+def _ratio(num: float, den: float) -> float:
+    return num / den if den > 0 else 0.0
+
+
+def report_rows(counts: list[tuple[str, str, int]]) -> list[tuple]:
+    """Report rows from ``(label, predicted, n)`` confusion cells."""
+    support: dict[str, int] = {}
+    tp: dict[str, int] = {}
+    n_pred: dict[str, int] = {}
+    for label, predicted, n in counts:
+        support[label] = support.get(label, 0) + n
+        n_pred[predicted] = n_pred.get(predicted, 0) + n
+        if label == predicted:
+            tp[label] = tp.get(label, 0) + n
+    classes = sorted(set(support) | set(n_pred), key=lambda c: (c is None, c))
+    rows = []
+    for c in classes:
+        p = _ratio(tp.get(c, 0), n_pred.get(c, 0))
+        r = _ratio(tp.get(c, 0), support.get(c, 0))
+        rows.append((c, p, r, _ratio(2 * p * r, p + r), support.get(c, 0)))
+    total = sum(support.values())
+    k = len(rows)
+    rows.append(("accuracy", None, None, _ratio(sum(tp.values()), total), total))
+    rows.append(("macro avg", *(_ratio(sum(row[i] for row in rows[:k]), k) for i in (1, 2, 3)), total))
+    rows.append(("weighted avg", *(_ratio(sum(row[i] * row[4] for row in rows[:k]), total) for i in (1, 2, 3)),
+                 total))
+    return rows
 
 
 def classification_report(
@@ -52,72 +77,22 @@ def classification_report(
     target_names: Mapping[str, str] | None = None,
     digits: int = 6,
 ) -> DataFrame:
-    """Precision, recall, f1 and support per class plus summary rows."""
-    # The confusion table has at most (classes)^2 rows: it is collected once
-    # (checked), so the input is scanned a single time.
-    counts = confusion_counts(df, label_col, prediction_col).limit(MAX_CELLS + 1).collect()
-    if len(counts) > MAX_CELLS:
+    """Precision, recall, f1 and support per class plus summary rows.
+
+    The input is scanned once: a distributed aggregation reduces it to the
+    confusion cells (at most classes squared rows, checked), which are
+    collected; the few report rows are computed from them.
+    """
+    cells = confusion_counts(df, label_col, prediction_col).limit(MAX_CELLS + 1).collect()
+    if len(cells) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} (label, prediction) pairs")
-    cm = df.sparkSession.createDataFrame(counts, "label string, predicted string, n long")
-    per_label = cm.groupBy("label").agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"),
-    )
-    per_pred = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("n_pred"))
-    classes = (
-        per_label.join(per_pred, "label", "full_outer")
-        .select(
-            "label",
-            F.coalesce("support", F.lit(0)).cast("long").alias("support"),
-            F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-            F.coalesce("n_pred", F.lit(0)).cast("long").alias("n_pred"),
-        )
-        .withColumn("precision", _safe_div(F.col("tp"), F.col("n_pred")))
-        .withColumn("recall", _safe_div(F.col("tp"), F.col("support")))
-        .withColumn(
-            "f1",
-            _safe_div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
-        )
-    )
-    summary = classes.groupBy().agg(
-        F.sum("tp").alias("tp_all"),
-        F.sum("support").alias("n_all"),
-        F.avg("precision").alias("p_macro"),
-        F.avg("recall").alias("r_macro"),
-        F.avg("f1").alias("f_macro"),
-        F.sum(F.col("precision") * F.col("support")).alias("p_w"),
-        F.sum(F.col("recall") * F.col("support")).alias("r_w"),
-        F.sum(F.col("f1") * F.col("support")).alias("f_w"),
-    )
-    acc = summary.select(
-        F.lit("accuracy").alias("label"),
-        F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"),
-        _safe_div(F.col("tp_all"), F.col("n_all")).alias("f1"),
-        F.col("n_all").cast("long").alias("support"),
-    )
-    macro = summary.select(
-        F.lit("macro avg").alias("label"),
-        F.col("p_macro").alias("precision"),
-        F.col("r_macro").alias("recall"),
-        F.col("f_macro").alias("f1"),
-        F.col("n_all").cast("long").alias("support"),
-    )
-    weighted = summary.select(
-        F.lit("weighted avg").alias("label"),
-        _safe_div(F.col("p_w"), F.col("n_all")).alias("precision"),
-        _safe_div(F.col("r_w"), F.col("n_all")).alias("recall"),
-        _safe_div(F.col("f_w"), F.col("n_all")).alias("f1"),
-        F.col("n_all").cast("long").alias("support"),
-    )
-    label = F.col("label")
-    if target_names:
-        mapping = F.create_map(*[F.lit(x) for kv in target_names.items() for x in (str(kv[0]), kv[1])])
-        label = F.coalesce(mapping[F.col("label")], F.col("label"))
-    rows = classes.select(label.alias("label"), "precision", "recall", "f1", "support")
-    out = rows.unionByName(acc).unionByName(macro).unionByName(weighted)
-    return out.select(
-        "label",
-        *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")],
-        "support",
+    rows = report_rows([(r["label"], r["predicted"], int(r["n"])) for r in cells])
+    names = {str(k): v for k, v in (target_names or {}).items()}
+
+    def rnd(x):
+        return None if x is None else round(x, digits)
+
+    out = [(names.get(c, c), rnd(p), rnd(r), rnd(f), int(n)) for c, p, r, f, n in rows]
+    return df.sparkSession.createDataFrame(
+        out, "label string, precision double, recall double, f1 double, support long"
     )

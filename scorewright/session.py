@@ -45,9 +45,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The base is ``spark.checkpoint.dir`` as the session names it (on a
-    cluster this is shared storage every executor can reach).  Only when it
-    is unset, as in a bare local test session, a folder under ``/tmp`` is
-    used.
+    cluster this is shared storage every executor can reach).  Only a local
+    session without that setting (tests) falls back to ``/tmp``; a cluster
+    session without it is an error, never a machine-local folder.
     """
     base = _conf(spark, "spark.checkpoint.dir")
     if not base:
@@ -56,6 +56,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         except Exception:
             base = None
     if not base:
+        master = _conf(spark, "spark.master") or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = os.path.join("/tmp", "scorewright-checkpoints")
     return "/".join([base.rstrip("/"), "scorewright", *parts, uuid.uuid4().hex])
 
