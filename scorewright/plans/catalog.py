@@ -555,3 +555,17 @@ def q_mllib(spark, sf_dir):
     path = save_model(model, shared_dir(spark, "q_mllib", "model"))
     scored = score_mllib(test, {"features": ML_FEATURES}, pipeline_model=load_model(path))
     return classification_report(scored, "returned", "prediction")
+
+
+@register("q_stream_text")
+def q_stream_text(spark, sf_dir):
+    """Messages as JSON-lines files (the stand-in for a topic): the events
+    are written once as message text, then streamed, parsed and scored."""
+    out = shared_dir(spark, "q_stream_text")
+    msgs = encode_messages(table(spark, sf_dir, "events"),
+                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
+    msgs.write.mode("overwrite").text(f"{out}/topic")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 4}
+    _run_stream(spark, cfg, None)
+    return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")

@@ -41,13 +41,21 @@ log = logging.getLogger(__name__)
 _ENV = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
 
-def load_config(path: str) -> dict:
+def load_config(path: str, spark: SparkSession | None = None) -> dict:
     """Read a YAML job file; ``${NAME}`` in a value is replaced by the
-    environment variable NAME (keeps secrets out of the file)."""
+    environment variable NAME (keeps secrets out of the file).
+
+    A local file is read directly; with a session, any path Spark can read
+    (``hdfs://``, ``s3a://``, ``dbfs:/`` ...) is read as one whole-text row.
+    """
     import yaml
 
-    with open(path, encoding="utf-8") as fh:
-        raw = yaml.safe_load(fh)
+    if os.path.exists(path) or spark is None:
+        with open(path, encoding="utf-8") as fh:
+            text = fh.read()
+    else:
+        text = spark.read.text(path, wholetext=True).first()[0]
+    raw = yaml.safe_load(text)
     if not isinstance(raw, dict):
         raise ValueError(f"{path}: configuration must be a mapping")
     return _expand(raw)
@@ -104,8 +112,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", required=True, help="YAML job file")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    config = load_config(args.config)
-    spark = SparkSession.builder.appName(config.get("app_name", "scorewright-job")).getOrCreate()
+    spark = SparkSession.builder.appName("scorewright-job").getOrCreate()
+    config = load_config(args.config, spark)
     query = start(spark, config)
     log.info("query %s started", query.id)
     try:

@@ -257,3 +257,5 @@ SQL.update({
     "q_stream_restart": SQL["q_score_rows"],
     "q_stream_batches": SQL["q_score_rows"],
 })
+
+SQL["q_stream_text"] = SQL["q_score_rows"]
