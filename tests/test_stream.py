@@ -55,3 +55,56 @@ def test_message_round_trip_is_exact(spark):
     assert events.select("event_id", "ts", "value").exceptAll(parsed.select("event_id", "ts", "value")).count() == 0
     # summation order differs between the plans; the rows themselves are equal
     assert round(parsed.agg(F.sum("value")).collect()[0][0], 6) == round(events.agg(F.sum("value")).collect()[0][0], 6)
+
+
+def test_example_job_file_builds(spark, monkeypatch):
+    """The example configuration (30 features, F3) parses a batch message."""
+    import os
+
+    monkeypatch.setenv("DB_USER", "u")
+    monkeypatch.setenv("DB_PASSWORD", "p")
+    cfg = job.load_config(os.path.join(os.path.dirname(__file__), "..", "examples", "fraud_job.yaml"))
+    assert len(cfg["model"]["features"]) == 30 and cfg["sink"]["options"]["password"] == "p"
+    msg = '{"Time": 0.0, "V1": -1.359, "V2": 0.5, "Amount": 149.62}'
+    raw = spark.createDataFrame([(bytearray(msg, "utf-8"),)], "value binary")
+    cfg["model"] = dict(cfg["model"], path=None)
+    out = job.build(spark, cfg, raw=raw, model=ThresholdRule("Amount", 100.0))
+    row = out.collect()[0]
+    assert row["V1_V2_sum"] == -1.359 + 0.5 and row["V3"] is None and row["prediction"] == 1
+    assert out.columns[:2] == ["Time", "V1"] and out.columns[-1] == "prediction"
+
+
+def test_cli_runs_a_job_to_completion(spark, scratch):
+    import yaml
+
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["model"] = {"type": "pickle", "path": f"{scratch}/rule.pkl", "features": ["value"]}
+    import pickle
+
+    with open(f"{scratch}/rule.pkl", "wb") as fh:
+        pickle.dump(ThresholdRule("value", 50.0), fh)
+    path = f"{scratch}/job.yaml"
+    with open(path, "w") as fh:
+        yaml.safe_dump(cfg, fh)
+    assert job.main(["--config", path]) == 0
+    assert spark.read.parquet(f"{scratch}/data").count() == 1000
+
+
+def test_progress_listener(spark, scratch):
+    from scorewright.streaming.progress import ProgressCollector, progress_frame
+
+    collector = ProgressCollector(max_reports=10)
+    spark.streams.addListener(collector)
+    try:
+        cfg = catalog.stream_job_config(SF, scratch)
+        run_until_done(job.start(spark, cfg, model=ThresholdRule("value", 50.0)), 600)
+        import time
+
+        for _ in range(50):
+            if collector.reports:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(collector)
+    assert len(collector.reports) >= 1
+    assert progress_frame(spark, collector.reports).count() == len(collector.reports)
