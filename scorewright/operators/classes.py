@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import HASH_RANGE, hash32
 
@@ -68,9 +69,51 @@ def _lookup(label: Column, values: Mapping, default) -> Column:
 # A1: stratified split
 # --------------------------------------------------------------------------
 
-# The 32-bit hash is cut into 2**20 bins; only the bin where a class's
-# train quota ends is ranked row by row.
+# Rows are ordered by (hash of key, key, hash of the whole row).  The first
+# level cuts the 32-bit key hash into 2**20 bins; the second level splits
+# the edge bin by exact key and the top 20 bits of the row hash.
 _BIN_SHIFT = 12
+_ROW_SHIFT = 44
+
+
+def _edges(hist: DataFrame, label_col: str, order_cols: Sequence[str], take: Column) -> dict:
+    """Per class, the first bucket (in ``order_cols`` order) that the class's
+    train quota does not cover, and how many of its rows still go to train.
+
+    ``hist`` has one row per (class, bucket) with the bucket's row count
+    ``_n``; its size is bounded by the bucketing, never by a hot key.
+    Returns ``{class: (bucket values, rows to take from it)}``.
+    """
+    upto = Window.partitionBy(label_col).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = hist.withColumn("_cum", F.sum("_n").over(upto)).withColumn("_take", take)
+    rows = (
+        ranked.filter(F.col("_cum") > F.col("_take"))
+        .groupBy(label_col)
+        .agg(F.min(F.struct(*order_cols, "_cum", "_n", "_take")).alias("e"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} classes")
+    out = {}
+    for r in rows:
+        e = r["e"]
+        out[r[label_col]] = (tuple(e[c] for c in order_cols), e["_take"] - (e["_cum"] - e["_n"]))
+    return out
+
+
+def _tuple_lit(values: Sequence, cols: Sequence[str], schema) -> Column:
+    return F.struct(*[F.lit(v).cast(schema[c].dataType).alias(c) for v, c in zip(values, cols)])
+
+
+def _per_class(label: Column, values: Mapping, default: Column) -> Column:
+    """``values[label]`` for Column values (CASE over the few classes)."""
+    expr = None
+    for k, v in values.items():
+        cond = label.isNull() if k is None else label == F.lit(k)
+        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
+    return default if expr is None else expr.otherwise(default)
 
 
 def stratified_split(
@@ -85,56 +128,112 @@ def stratified_split(
     """Add ``split`` = ``train``/``test`` with an exact per-class quota.
 
     Each class keeps ``floor(n_c * train_percent / 100)`` train rows: the
-    rows with the smallest ``(md5 hash of seed and key, key)``.  Rows are
-    ordered by hash without sorting the table: a histogram of hash bins per
-    class (at most 2**20 rows per class) locates the one bin where each
-    class's quota ends; only rows of that bin are ranked.  Everything else
-    is decided by a literal comparison, map-side.
+    first ones in the order (md5 hash of seed and key, key, hash of the
+    row).  Nothing is sorted and no class is gathered in one task: a
+    histogram of 2**20 hash bins per class locates the one bin where each
+    quota ends; inside it a second histogram over (key, top bits of the row
+    hash) narrows to one bucket, whose rows are grouped by row hash.  Only
+    when identical rows straddle a quota are they allocated by counts per
+    input partition.  Every other row is decided by comparing with
+    per-class literals, map-side.  For unique keys the input is read three
+    times (two histograms, one output pass).
     """
     if not 0 <= train_percent <= 100:
         raise ValueError("train_percent must be within 0..100")
-    h = hash32(key_cols, seed)
-    hashed = df.withColumn("_h", h).withColumn("_bin", F.shiftright(F.col("_h"), _BIN_SHIFT))
-
-    hist = hashed.groupBy(label_col, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    by_class = Window.partitionBy(label_col)
-    upto = by_class.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (
-        hist.withColumn("_cum", F.sum("_n").over(upto))
-        .withColumn("_nc", F.sum("_n").over(by_class))
-        .withColumn("_quota", F.expr(f"(_nc * {int(train_percent)}) div 100"))
-    )
-    # The bin that holds the first test row of each class, and how many of
-    # its rows still go to train.
-    edges = (
-        hist.filter(F.col("_cum") > F.col("_quota"))
-        .groupBy(label_col)
-        .agg(F.min(F.struct("_bin", (F.col("_quota") - F.col("_cum") + F.col("_n")).alias("_take"))).alias("e"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(edges) > MAX_CLASSES:
-        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} classes")
-    edge_bin = {r[label_col]: r["e"]["_bin"] for r in edges}
-    take = {r[label_col]: r["e"]["_take"] for r in edges}
-
+    keys = list(key_cols)
     label = F.col(label_col)
-    # Classes without an edge bin put every row in train.
-    cut = _lookup(label, edge_bin, 1 << 40)
-    decided = hashed.filter(F.col("_bin") != cut).withColumn(
-        split_col, F.when(F.col("_bin") < cut, F.lit("train")).otherwise(F.lit("test"))
+    hashed = (
+        df.withColumn("_h", hash32(keys, seed))
+        .withColumn("_bin", F.shiftright(F.col("_h"), _BIN_SHIFT))
+        .withColumn("_rh", F.xxhash64(*[F.col(c) for c in df.columns]))
+        .withColumn("_rtop", F.shiftrightunsigned(F.col("_rh"), _ROW_SHIFT))
     )
-    order = [F.col("_h")] + [F.col(k) for k in key_cols] + [F.xxhash64(*df.columns)]
-    ranked = (
-        hashed.filter(F.col("_bin") == cut)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(label_col).orderBy(*order)))
-        .withColumn(
-            split_col,
-            F.when(F.col("_rank") <= _lookup(label, take, 0), F.lit("train")).otherwise(F.lit("test")),
-        )
-        .drop("_rank")
-    )
-    return decided.unionByName(ranked).drop("_h", "_bin")
+    schema = hashed.schema
+
+    # level 1: hash bins
+    hist1 = hashed.groupBy(label_col, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    quota = F.expr(f"(sum(_n) OVER (PARTITION BY `{label_col}`) * {int(train_percent)}) div 100")
+    e1 = _edges(hist1, label_col, ["_bin"], quota)
+    no_edge = F.lit(None).cast("long")
+    cut1 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e1.items()}, no_edge)
+    # classes without an edge bin put every row in train
+    at1 = F.col("_bin") == cut1
+    train = F.when(cut1.isNull(), True).when(F.col("_bin") != cut1, F.col("_bin") < cut1)
+
+    # level 2: inside the edge bin, exact (hash, key) and the row hash's top bits
+    go2 = {c: v[1] for c, v in e1.items() if v[1] > 0}
+    order2 = ["_h", *keys, "_rtop"]
+    if go2:
+        rows2 = hashed.filter(at1 & _lookup(label, {c: True for c in go2}, False))
+        hist2 = rows2.groupBy(label_col, *order2).agg(F.count(F.lit(1)).alias("_n"))
+        e2 = _edges(hist2, label_col, order2, _lookup(label, go2, 0))
+        cut2 = _per_class(label, {c: _tuple_lit(v[0], order2, schema) for c, v in e2.items()},
+                          F.lit(None).cast(StructType([schema[c] for c in order2])))
+        tup2 = F.struct(*order2)
+        at2 = at1 & (tup2 == cut2)
+        train = train.when(at1 & cut2.isNull(), False).when(at1 & (tup2 != cut2), tup2 < cut2)
+
+        # level 3: inside that bucket, by full row hash; identical rows tie
+        go3 = {c: v[1] for c, v in e2.items() if v[1] > 0}
+        if go3:
+            rows3 = hashed.filter(at2 & _lookup(label, {c: True for c in go3}, False))
+            hist3 = rows3.groupBy(label_col, "_rh").agg(F.count(F.lit(1)).alias("_n"))
+            e3 = _edges(hist3, label_col, ["_rh"], _lookup(label, go3, 0))
+            cut3 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e3.items()}, no_edge)
+            at3 = at2 & (F.col("_rh") == cut3)
+            train = train.when(at2 & cut3.isNull(), False).when(at2 & (F.col("_rh") != cut3),
+                                                                F.col("_rh") < cut3)
+            go4 = {c: v[1] for c, v in e3.items() if v[1] > 0}
+            if go4:
+                return _split_straddle(hashed, label_col, at3, go4, train, split_col)
+            train = train.when(at3, False)
+        else:
+            train = train.when(at2, False)
+    else:
+        train = train.when(at1, False)
+
+    out = hashed.withColumn(split_col, F.when(train, F.lit("train")).otherwise(F.lit("test")))
+    return out.drop("_h", "_bin", "_rh", "_rtop")
+
+
+def _split_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes: Mapping,
+                    train: Column, split_col: str) -> DataFrame:
+    """Identical rows that straddle a class's quota: ``takes[c]`` of them go
+    to train, allocated in input-partition order from per-partition counts
+    (one row per class and partition), so the group is never gathered.
+
+    The partition id and the row position are taken in one projection right
+    above the input; Catalyst cannot push a filter below a non-deterministic
+    projection, so every pass below sees the same partitions.  Only the rows
+    of one input partition (the one where the quota ends) are ranked.
+    """
+    label = F.col(label_col)
+    placed = hashed.select("*", F.spark_partition_id().alias("_pid"),
+                           F.monotonically_increasing_id().alias("_pos"))
+    pid = F.col("_pid")
+    wanted = straddle & _lookup(label, {c: True for c in takes}, False)
+    counts = (placed.filter(wanted).groupBy(label_col, "_pid")
+              .agg(F.count(F.lit(1)).alias("_n")).collect())
+    cut_pid, cut_take = {}, {}
+    for c, need in takes.items():
+        parts = sorted((r["_pid"], r["_n"]) for r in counts if r[label_col] == c)
+        done = 0
+        for p, n in parts:
+            if done + n > need:
+                cut_pid[c], cut_take[c] = p, need - done
+                break
+            done += n
+    pcut = _per_class(label, {c: F.lit(v) for c, v in cut_pid.items()}, F.lit(None).cast("int"))
+    # partitions before the cut are train, after it test
+    decided = train.when(straddle & pcut.isNull(), True).when(straddle & (pid != pcut), pid < pcut)
+    in_cut = wanted & (pid == pcut)
+    main = placed.filter(~in_cut.eqNullSafe(True)).withColumn(
+        split_col, F.when(decided, F.lit("train")).otherwise(F.lit("test")))
+    # in the cut partition, the first rows by position are train
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_pos"))
+    edge = placed.filter(in_cut).withColumn(
+        split_col, F.when(rank <= _lookup(label, cut_take, 0), F.lit("train")).otherwise(F.lit("test")))
+    return main.unionByName(edge).drop("_h", "_bin", "_rh", "_rtop", "_pid", "_pos")
 
 
 # --------------------------------------------------------------------------

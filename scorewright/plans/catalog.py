@@ -392,14 +392,15 @@ def q_track_mean(spark, sf_dir):
     )
 
 
-TIMELINE_CHUNK = 1000
+TIMELINE_CHUNK = 1024
 
 
 def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events drawn as statistics pages: every block of ``TIMELINE_CHUNK``
-    consecutive event ids is one page whose charts v1..v4 plot value, k,
-    user_id and event_id over time, and whose v5 chart has one entry per
-    event keyed by its type.  Groups are bounded by the block size."""
+    consecutive rows of a scan partition is one page whose charts v1..v4
+    plot value, k, user_id and event_id over time, and whose v5 chart has
+    one entry per event keyed by its type.  A page never holds more than
+    ``TIMELINE_CHUNK`` rows, whatever the key distribution."""
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
@@ -408,7 +409,10 @@ def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def chart(y):
         return F.collect_list(F.struct(x.alias("x"), y.alias("y")))
 
-    pages = events.groupBy(F.floor(F.col("event_id") / TIMELINE_CHUNK).alias("page")).agg(
+    # The row position id keeps the partition in its high bits, so a block
+    # never spans partitions and holds at most TIMELINE_CHUNK rows.
+    block = F.floor(F.monotonically_increasing_id() / TIMELINE_CHUNK).alias("page")
+    pages = events.groupBy(block).agg(
         chart(F.col("value")).alias("v1"),
         chart(F.col("k")).alias("v2"),
         chart(F.col("user_id")).alias("v3"),

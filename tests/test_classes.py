@@ -101,3 +101,40 @@ def test_report_against_hand_counts(spark):
     assert rep["accuracy"]["f1"] == round(5 / 8, 6) and rep["accuracy"]["support"] == 8
     f1s = [rep[c]["f1"] for c in ("0", "1", "2")]
     assert abs(rep["macro avg"]["f1"] - sum(f1s) / 3) < 1e-6
+
+
+def _brute_force_split(spark, df, key, percent, seed):
+    """Expected (key, payload, split) multiset from a full sort."""
+    from pyspark.sql import functions as F
+
+    pdf = df.withColumn("rh", F.xxhash64(*[F.col(c) for c in df.columns])).toPandas()
+    pdf["h"] = [_h32(seed, k) for k in pdf[key]]
+    pdf["rhu"] = pdf.rh.astype("int64").astype("uint64")
+    pdf = pdf.sort_values(["h", key, "rhu"], kind="stable").reset_index(drop=True)
+    quota = (len(pdf) * percent) // 100
+    pdf["split"] = ["train" if i < quota else "test" for i in range(len(pdf))]
+    return sorted(zip(pdf[key], pdf.payload, pdf.split)), pdf
+
+
+@pytest.mark.parametrize("target", ["hot_distinct", "identical"])
+def test_split_boundary_inside_hot_key(spark, target):
+    """A hot key (half of all rows) whose rows are partly identical: the
+    quota is made to end inside it, so every level of the split runs."""
+    rows = [(k, k * 10) for k in range(1000, 1500)]                 # unique keys
+    rows += [(7, i) for i in range(300)]                              # hot key, distinct rows
+    rows += [(7, -1)] * 200                                           # hot key, identical rows
+    df = spark.createDataFrame(rows, "key long, payload long").withColumn("label", __import__(
+        "pyspark.sql.functions", fromlist=["lit"]).lit(0)).repartition(4)
+    df = spark.createDataFrame(df.collect(), df.schema).repartition(4)
+    seed = 5
+    _, order = _brute_force_split(spark, df, "key", 80, seed)
+    hot = order.index[order.key == 7]
+    same = order.index[(order.key == 7) & (order.payload == -1)]
+    block = same if target == "identical" else hot.difference(same)
+    # a percent whose quota falls strictly inside the chosen block
+    percent = next(p for p in range(1, 100)
+                   if block.min() < (len(order) * p) // 100 < block.max() and
+                   ((len(order) * p) // 100) - 1 in block)
+    expected, _ = _brute_force_split(spark, df, "key", percent, seed)
+    got = C.stratified_split(df, "label", ["key"], train_percent=percent, seed=seed)
+    assert sorted(tuple(r) for r in got.select("key", "payload", "split").collect()) == expected
