@@ -573,3 +573,28 @@ def q_stream_text(spark, sf_dir):
     cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 4}
     _run_stream(spark, cfg, None)
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
+
+
+@register("q_parse_errors")
+def q_parse_errors(spark, sf_dir):
+    """Dead-letter view: error events carry an unparsable value, signup
+    events a truncated message; bad fields are listed, nothing fails."""
+    events = table(spark, sf_dir, "events", spread_rows=True)
+    value = F.when(F.col("event_type") == "error", F.concat(F.col("value").cast("string"), F.lit("x"))) \
+        .otherwise(F.col("value").cast("string"))
+    msgs = events.select(message_text([F.col("event_id"), F.col("event_type"), value.alias("value"),
+                                       F.col("props")]).alias("_m"), "event_type") \
+        .select(F.when(F.col("event_type") == "signup", F.expr("substring(_m, 1, length(_m) - 5)"))
+                .otherwise(F.col("_m")).alias("value"))
+    cfg = {
+        "event_id": {"path": "event_id", "type": "long"},
+        "event_type": {"path": "event_type", "type": "string"},
+        "value": {"path": "value", "type": "double"},
+    }
+    parsed = parse_messages(msgs, cfg, error_col="errors")
+    return parsed.groupBy(F.coalesce("event_type", F.lit("(unparsed)")).alias("event_type")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.array_contains("errors", "value").cast("int")).alias("n_bad_value"),
+        F.sum(F.array_contains("errors", "_message").cast("int")).alias("n_bad_message"),
+        F.round(F.sum("value"), 4).alias("sum_value"),
+    )

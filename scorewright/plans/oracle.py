@@ -151,11 +151,10 @@ def _rebalance_sql() -> str:
     share = " ".join(f"WHEN toxic = {k} THEN CAST({v} AS DOUBLE)" for k, v in shares.items())
     return f"""
         WITH c AS (SELECT toxic AS t, count(*) AS n_c FROM labels GROUP BY toxic),
-             n AS (SELECT count(*) AS n FROM labels),
              w AS (SELECT l.doc_id, l.toxic,
-                          CAST(floor((CASE {share} END) * n.n / c.n_c
+                          CAST(floor((CASE {share} END) * (SELECT count(*) FROM labels) / c.n_c
                                      + {_H_DOC} / 4294967296.0) AS BIGINT) AS copies
-                   FROM labels l JOIN c ON l.toxic = c.t CROSS JOIN n)
+                   FROM labels l JOIN c ON l.toxic = c.t)
         SELECT doc_id, toxic, CAST(r.copy AS BIGINT) AS copy
         FROM w, unnest(range(1, copies + 1)) AS r(copy)
         WHERE copies > 0"""
@@ -259,3 +258,11 @@ SQL.update({
 })
 
 SQL["q_stream_text"] = SQL["q_score_rows"]
+
+SQL["q_parse_errors"] = """
+    SELECT CASE WHEN event_type = 'signup' THEN '(unparsed)' ELSE event_type END AS event_type,
+           count(*) AS n_rows,
+           CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_value,
+           CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_message,
+           round(sum(CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END), 4) AS sum_value
+    FROM events GROUP BY 1"""
