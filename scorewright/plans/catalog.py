@@ -310,7 +310,7 @@ def q_split(spark, sf_dir):
 
 @register("q_split_events")
 def q_split_events(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events = table(spark, sf_dir, "events", spread_rows=True).select("event_id", "event_type", "value")
     split = stratified_split(events, "event_type", ["event_id"], train_percent=80, seed=SPLIT_SEED)
     return split.groupBy("event_type", "split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 4).alias("sum_value")
@@ -401,7 +401,7 @@ def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     plot value, k, user_id and event_id over time, and whose v5 chart has
     one entry per event keyed by its type.  A page never holds more than
     ``TIMELINE_CHUNK`` rows, whatever the key distribution."""
-    events = table(spark, sf_dir, "events").withColumn(
+    events = table(spark, sf_dir, "events", spread_rows=True).withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
     x = F.date_format("ts", "HH:mm:ss.SSSSSS")
