@@ -98,20 +98,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+# spread() never asks for more partitions than this: it exists for inputs
+# that arrive as one or a few splits, not to re-shuffle split tables.
+SPREAD_CAP = 64
+
+
 def spread(df, min_partitions: int | None = None):
     """Give a CPU-heavy map stage enough tasks.
 
-    When a batch input has fewer partitions than the cluster's default
-    parallelism (one small file, one Kafka partition), its rows are
-    redistributed round-robin over that many partitions; an input that is
-    already split finely (the normal case for large tables) is returned
-    unchanged, so no shuffle is added at scale.  Streams are returned
-    unchanged (use the source's own options, e.g. Kafka ``minPartitions``).
+    When a batch input has fewer partitions than ``min_partitions``
+    (default: the default parallelism, capped at ``SPREAD_CAP``), as one
+    small file or one Kafka partition does, its rows are redistributed
+    round-robin (deterministic on retry) over that many partitions.  An
+    input that is already split (the normal case for large tables) is
+    returned unchanged, so no shuffle is added at scale.  Streams are
+    returned unchanged (use the source's own options, e.g. Kafka
+    ``minPartitions``).
     """
     if df.isStreaming:
         return df
     try:
-        target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+        target = int(min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP))
         current = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (Spark Connect)
         return df
