@@ -50,6 +50,8 @@ def load_config(path: str, spark: SparkSession | None = None) -> dict:
     """
     import yaml
 
+    if path.startswith("dbfs:/") and os.path.exists("/dbfs/" + path[len("dbfs:/"):]):
+        path = "/dbfs/" + path[len("dbfs:/"):]  # the workspace's local mount
     if os.path.exists(path) or spark is None:
         with open(path, encoding="utf-8") as fh:
             text = fh.read()
@@ -113,7 +115,11 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName("scorewright-job").getOrCreate()
-    config = load_config(args.config, spark)
+    try:
+        config = load_config(args.config, spark)
+    except Exception as exc:  # unreadable or malformed job file
+        log.error("cannot load configuration %s: %s", args.config, exc)
+        return 1
     query = start(spark, config)
     log.info("query %s started", query.id)
     try:

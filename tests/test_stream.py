@@ -108,3 +108,10 @@ def test_progress_listener(spark, scratch):
         spark.streams.removeListener(collector)
     assert len(collector.reports) >= 1
     assert progress_frame(spark, collector.reports).count() == len(collector.reports)
+
+
+def test_cli_bad_config_exits_nonzero(tmp_path):
+    bad = tmp_path / "bad.yaml"
+    bad.write_text("kafka:\n  topic: [unclosed\n")
+    assert job.main(["--config", str(bad)]) == 1
+    assert job.main(["--config", str(tmp_path / "missing.yaml")]) == 1
