@@ -30,12 +30,23 @@ READ_OPTIONS = {"allowUnquotedFieldNames": "true", "allowUnquotedControlChars":
 POINTS = "array<struct<x:string,y:string>>"
 
 
+def script_array_text(html: Column, var_name: str) -> Column:
+    """Text of the array assigned by ``var NAME = [...];`` ('' if absent)."""
+    return F.regexp_extract(html, rf"(?s)var {re.escape(var_name)} = (\[.*?\]);", 1)
+
+
 def script_array(html: Column, var_name: str) -> Column:
     """Text of the array assigned by ``var NAME = [...];`` (null if absent)."""
-    text = F.regexp_extract(html, rf"(?s)var {re.escape(var_name)} = (\[.*?\]);", 1)
+    text = script_array_text(html, var_name)
     return F.when(text != "", text)
 
 
+def _charts(pages: DataFrame, html_col: str, var_names) -> DataFrame:
+    """One projection that cuts every chart's text out of the page, so each
+    regular expression runs once per page (the consumers refer to it)."""
+    return pages.select(*[script_array_text(F.col(html_col), v).alias(f"__chart_{v}") for v in var_names])
+
+
 def script_value(html: Column, var_name: str) -> Column:
     """Raw text assigned to ``var NAME`` up to the next ``;`` (null if absent)."""
     text = F.regexp_extract(html, rf"(?s)var {re.escape(var_name)}\s*=\s*(.*?);", 1)
@@ -52,11 +63,16 @@ def timeline_points(pages: DataFrame, *, html_col: str = "html",
                     metrics: Mapping[str, str] = TIMELINE_METRICS) -> DataFrame:
     """One row per chart point: ``metric``, ``x``, ``y`` (double).  A page
     without a chart gives one row with null ``x``/``y`` for it."""
+    charts = _charts(pages, html_col, list(dict.fromkeys(metrics.values())))
+
+    def txt(var):
+        c = F.col(f"__chart_{var}")
+        return F.when(c != "", c)
+
     entries = F.array(*[
-        F.struct(F.lit(name).alias("metric"), script_array(F.col(html_col), var).alias("txt"))
-        for name, var in metrics.items()
+        F.struct(F.lit(name).alias("metric"), txt(var).alias("txt")) for name, var in metrics.items()
     ])
-    per_chart = pages.select(F.explode(entries).alias("e"))
+    per_chart = charts.select(F.explode(entries).alias("e"))
     points = per_chart.select(
         F.col("e.metric").alias("metric"),
         F.explode_outer(F.from_json(F.col("e.txt"), POINTS, READ_OPTIONS)).alias("p"),
@@ -78,8 +94,9 @@ def timeline_means(pages: DataFrame, *, html_col: str = "html",
 def operation_means(pages: DataFrame, *, html_col: str = "html", var_name: str = OPERATION_VAR,
                     decimals: int = 2) -> DataFrame:
     """Mean duration per operation from the ``{x, op1, op2, ...}`` chart."""
-    arr = F.from_json(script_array(F.col(html_col), var_name), "array<map<string,string>>", READ_OPTIONS)
-    entries = pages.select(F.explode(arr).alias("m"))
+    chart = F.col(f"__chart_{var_name}")
+    arr = F.from_json(F.when(chart != "", chart), "array<map<string,string>>", READ_OPTIONS)
+    entries = _charts(pages, html_col, [var_name]).select(F.explode(arr).alias("m"))
     ops = entries.select(F.explode("m").alias("operation", "v")).filter(F.col("operation") != "x")
     return ops.groupBy("operation").agg(
         F.round(F.avg(F.col("v").try_cast("double")), decimals).alias("mean_ms")
