@@ -131,7 +131,6 @@ SQL: dict[str, str] = {
         FROM lineitem""",
 }
 
-_ = hash32_sql  # used by the split/resample twins below
 
 _H_DOC = hash32_sql("doc_id", catalog.SPLIT_SEED)
 _H_EVENT = hash32_sql("event_id", catalog.SPLIT_SEED)
