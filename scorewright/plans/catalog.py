@@ -159,7 +159,7 @@ def q_fn_string(spark, sf_dir):
     return _family(table(spark, sf_dir, "customer"), ["c_custkey"], {
         "seg_upper": ("upper(c_mktsegment)", "string"),
         "seg_lower": ("lower(c_mktsegment)", "string"),
-        "name_head": ("substring(c_name, 1, 8)", "string"),
+        "name_digits": ("substring(c_name, 10)", "string"),
         "name_len": ("length(c_name)", "int"),
         "tag": ("concat_ws('-', c_mktsegment, CAST(c_nationkey AS STRING))", "string"),
         "short_name": ("replace(c_name, 'Customer#', 'C')", "string"),
@@ -578,13 +578,14 @@ def q_stream_text(spark, sf_dir):
 @register("q_parse_errors")
 def q_parse_errors(spark, sf_dir):
     """Dead-letter view: error events carry an unparsable value, signup
-    events a truncated message; bad fields are listed, nothing fails."""
+    events a whole message behind a stray leading character (not JSON);
+    bad fields are listed, nothing fails."""
     events = table(spark, sf_dir, "events", spread_rows=True)
     value = F.when(F.col("event_type") == "error", F.concat(F.col("value").cast("string"), F.lit("x"))) \
         .otherwise(F.col("value").cast("string"))
     msgs = events.select(message_text([F.col("event_id"), F.col("event_type"), value.alias("value"),
                                        F.col("props")]).alias("_m"), "event_type") \
-        .select(F.when(F.col("event_type") == "signup", F.expr("substring(_m, 1, length(_m) - 5)"))
+        .select(F.when(F.col("event_type") == "signup", F.concat(F.lit("#"), F.col("_m")))
                 .otherwise(F.col("_m")).alias("value"))
     cfg = {
         "event_id": {"path": "event_id", "type": "long"},

@@ -72,7 +72,7 @@ SQL: dict[str, str] = {
         SELECT c_custkey,
                upper(c_mktsegment) AS seg_upper,
                lower(c_mktsegment) AS seg_lower,
-               substring(c_name, 1, 8) AS name_head,
+               substring(c_name, 10) AS name_digits,
                CAST(length(c_name) AS INTEGER) AS name_len,
                concat_ws('-', c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS tag,
                replace(c_name, 'Customer#', 'C') AS short_name
