@@ -160,6 +160,29 @@ def _as_result(pred: Any, n: int, result_type: DataType, threshold: float | None
 # --------------------------------------------------------------------------
 
 
+# Models read from a path, kept per Python worker process: with worker
+# reuse (Spark's default) a model is read once per process, not per task.
+_LOADED: dict[tuple, Any] = {}
+
+
+def cached_load(type_name: str, path: str) -> Any:
+    """Load ``path`` with the loader of ``type_name``, once per process
+    (keyed by path, size and modification time, so a replaced file is
+    read again)."""
+    import os
+
+    try:
+        st = os.stat(path)
+        stamp = (st.st_size, st.st_mtime_ns)
+    except OSError:
+        stamp = None
+    key = (type_name, path, stamp)
+    if key not in _LOADED:
+        load, _ = loader_for(type_name)
+        _LOADED[key] = load(path)
+    return _LOADED[key]
+
+
 def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
     """A zero-argument callable, run on the worker, that returns the model."""
     if model is not None:
@@ -169,9 +192,13 @@ def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
         except Exception:  # no SparkContext (e.g. Connect): ship in the closure
             return lambda: model
     path = model_config["path"]
-    load, _ = loader_for(model_config.get("type", "sklearn"))
+    type_name = model_config.get("type", "sklearn")
     if model_config.get("ship", False):
-        spark.sparkContext.addFile(path)
+        try:
+            spark.sparkContext.addFile(path)
+        except Exception as exc:  # the same file shipped by an earlier call
+            if "already" not in str(exc).lower():
+                raise
         import os
 
         name = os.path.basename(path)
@@ -179,10 +206,10 @@ def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
         def from_spark_files():
             from pyspark import SparkFiles
 
-            return load(SparkFiles.get(name))
+            return cached_load(type_name, SparkFiles.get(name))
 
         return from_spark_files
-    return lambda: load(path)
+    return lambda: cached_load(type_name, path)
 
 
 def score(
@@ -234,7 +261,7 @@ def _score_python(df, model_config, model, features, output_col):
 
     @F.pandas_udf(result_type)
     def predict_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        mdl = get_model()  # once per task
+        mdl = get_model()  # once per task; path models once per worker process
         for frame in batches:
             frame.columns = names
             if on_null == "skip":

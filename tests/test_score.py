@@ -107,3 +107,23 @@ def test_native_spark_ml_route(spark, scratch):
     assert acc > 0.9
     again = score_mllib(df, {"features": ["a", "b"]}, pipeline_model=load_model(path))
     assert again.count() == 200
+
+
+def test_shipped_model_file(spark, f4, scratch):
+    path = f"{scratch}/shipped.pkl"
+    with open(path, "wb") as fh:
+        pickle.dump(ThresholdRule("V1", 0.0), fh)
+    cfg = {"path": path, "features": ["V1"], "ship": True}
+    for _ in range(2):  # shipping the same file twice is fine
+        out = score(f4, cfg)
+        assert sorted(r["prediction"] for r in out.collect()) == [0, 1]
+
+
+def test_cached_load_reads_once(scratch):
+    from scorewright.operators import score as S
+
+    path = f"{scratch}/m.pkl"
+    with open(path, "wb") as fh:
+        pickle.dump(ThresholdRule("a", 1.0), fh)
+    first = S.cached_load("pickle", path)
+    assert S.cached_load("pickle", path) is first
