@@ -599,3 +599,18 @@ def q_parse_errors(spark, sf_dir):
         F.sum(F.array_contains("errors", "_message").cast("int")).alias("n_bad_message"),
         F.round(F.sum("value"), 4).alias("sum_value"),
     )
+
+
+@register("q_telemetry_summary")
+def q_telemetry_summary(spark, sf_dir):
+    """A10 over A9: summary of the batch telemetry of a scoring stream that
+    reads the events as message files, one file per micro-batch."""
+    out = shared_dir(spark, "q_telemetry_summary")
+    msgs = encode_messages(table(spark, sf_dir, "events", spread_rows=True),
+                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
+    msgs.write.text(f"{out}/topic")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
+    query = _run_stream(spark, cfg, None)
+    tele = progress_frame(spark, query.recentProgress).filter(F.col("Input_Rows") > 0)
+    return summarize(tele, ["Batch_Duration_ms", "Input_Rows"])
