@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.messages import encode_messages, message_text
 from ..operators.parse import derive, parse_messages, parse_struct
 from ..operators.score import LinearScore, ThresholdRule, feature_array, score
-from ..session import spread
+from ..session import SPREAD_CAP, spread
 from . import configs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -497,7 +497,10 @@ def _run_stream(spark, cfg, name):
 @register("q_stream_parquet")
 def q_stream_parquet(spark, sf_dir):
     out = shared_dir(spark, "q_stream_parquet")
-    _run_stream(spark, stream_job_config(sf_dir, out), None)
+    cfg = stream_job_config(sf_dir, out)
+    # each micro-batch is one file split: spread it over the cores
+    cfg["source"]["partitions"] = min(spark.sparkContext.defaultParallelism, SPREAD_CAP)
+    _run_stream(spark, cfg, None)
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
 

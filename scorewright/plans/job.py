@@ -79,7 +79,18 @@ def _expand(node: Any) -> Any:
 
 
 def read_source(spark: SparkSession, config: Mapping) -> DataFrame:
-    """The raw message stream named by the configuration."""
+    """The raw message stream named by the configuration.
+
+    ``partitions`` in the source section spreads each micro-batch over that
+    many tasks (a round-robin shuffle), for sources that arrive as few large
+    splits; a Kafka source should rather set ``min_partitions``.
+    """
+    raw = _read_source(spark, config)
+    n = config.get("source", {}).get("partitions") if "source" in config else None
+    return raw.repartition(int(n)) if n else raw
+
+
+def _read_source(spark: SparkSession, config: Mapping) -> DataFrame:
     if "source" in config:
         src = config["source"]
         fmt = src.get("format", "text")
