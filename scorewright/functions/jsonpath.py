@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import re
 
-# A top-level key that needs no JSONPath syntax: no dot, bracket, wildcard,
-# quote or dollar.  Such keys are read from one shared ``from_json`` struct.
-_PLAIN_KEY = re.compile(r"^[^.\[\]*$'\"\\]+$")
+# A top-level key that needs no JSONPath syntax: no dot, bracket or
+# wildcard.  Such keys are read from one shared ``from_json`` struct.
+_PLAIN_KEY = re.compile(r"^[^.\[\]*]+$")
 
 
 def full_path(path: str) -> str:
