@@ -32,12 +32,15 @@ def class_text(df: DataFrame, name: str):
     return col.cast("string")
 
 
-def confusion_counts(df: DataFrame, label_col: str, prediction_col: str) -> DataFrame:
-    """Rows per (label, prediction), labels and predictions as text."""
+def confusion_counts(df: DataFrame, label_col: str, prediction_col: str,
+                     weight_col: str | None = None) -> DataFrame:
+    """Rows per (label, prediction), labels and predictions as text.  With
+    ``weight_col`` each row counts that many times (pre-aggregated input)."""
+    n = F.count(F.lit(1)) if weight_col is None else F.sum(F.col(weight_col)).cast("long")
     return df.groupBy(
         class_text(df, label_col).alias("label"),
         class_text(df, prediction_col).alias("predicted"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    ).agg(n.alias("n"))
 
 
 def _ratio(num: float, den: float) -> float:
@@ -76,6 +79,7 @@ def classification_report(
     *,
     target_names: Mapping[str, str] | None = None,
     digits: int = 6,
+    weight_col: str | None = None,
 ) -> DataFrame:
     """Precision, recall, f1 and support per class plus summary rows.
 
@@ -83,7 +87,7 @@ def classification_report(
     confusion cells (at most classes squared rows, checked), which are
     collected; the few report rows are computed from them.
     """
-    cells = confusion_counts(df, label_col, prediction_col).limit(MAX_CELLS + 1).collect()
+    cells = confusion_counts(df, label_col, prediction_col, weight_col).limit(MAX_CELLS + 1).collect()
     if len(cells) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} (label, prediction) pairs")
     rows = report_rows([(r["label"], r["predicted"], int(r["n"])) for r in cells])

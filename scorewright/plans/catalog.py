@@ -347,7 +347,13 @@ REPORT_MIN_CHARS = 5000
 
 
 def labelled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    """Labels with the rule's prediction from the joined document.
+
+    Labels are first reduced to one row per (doc_id, toxic) with a count
+    (partial aggregation map-side), so a document labelled many times is a
+    single row on the join's shuffle and can never make a hot key."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id", "toxic").agg(
+        F.count(F.lit(1)).alias("n_labels"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     joined = labels.join(docs, "doc_id", "inner")
     return joined.withColumn(
@@ -357,7 +363,8 @@ def labelled_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q_report")
 def q_report(spark, sf_dir):
-    return classification_report(labelled_predictions(spark, sf_dir), "toxic", "prediction")
+    return classification_report(labelled_predictions(spark, sf_dir), "toxic", "prediction",
+                                 weight_col="n_labels")
 
 
 # --------------------------------------------------------------------------

@@ -138,3 +138,11 @@ def test_split_boundary_inside_hot_key(spark, target):
     expected, _ = _brute_force_split(spark, df, "key", percent, seed)
     got = C.stratified_split(df, "label", ["key"], train_percent=percent, seed=seed)
     assert sorted(tuple(r) for r in got.select("key", "payload", "split").collect()) == expected
+
+
+def test_report_weights_equal_repeated_rows(spark):
+    rows = [(1, 1.0), (1, 0.0), (0, 0.0), (0, 0.0), (0, 1.0)]
+    plain = classification_report(spark.createDataFrame(rows, "y int, p double"), "y", "p").collect()
+    agg = spark.createDataFrame([(1, 1.0, 1), (1, 0.0, 1), (0, 0.0, 2), (0, 1.0, 1)], "y int, p double, w long")
+    weighted = classification_report(agg, "y", "p", weight_col="w").collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, weighted))
