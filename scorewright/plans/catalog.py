@@ -408,17 +408,18 @@ def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     plot value, k, user_id and event_id over time, and whose v5 chart has
     one entry per event keyed by its type.  A page never holds more than
     ``TIMELINE_CHUNK`` rows, whatever the key distribution."""
-    events = table(spark, sf_dir, "events", spread_rows=True).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
+    # Positions are taken on the file scan itself, whose row order is fixed,
+    # so a recomputed task rebuilds the same pages; the id keeps the scan
+    # partition in its high bits, so a block never spans partitions and
+    # holds at most TIMELINE_CHUNK rows.
+    scan = table(spark, sf_dir, "events").withColumn("_pos", F.monotonically_increasing_id())
+    events = spread(scan).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     x = F.date_format("ts", "HH:mm:ss.SSSSSS")
 
     def chart(y):
         return F.collect_list(F.struct(x.alias("x"), y.alias("y")))
 
-    # The row position id keeps the partition in its high bits, so a block
-    # never spans partitions and holds at most TIMELINE_CHUNK rows.
-    block = F.floor(F.monotonically_increasing_id() / TIMELINE_CHUNK).alias("page")
+    block = F.floor(F.col("_pos") / TIMELINE_CHUNK).alias("page")
     pages = events.groupBy(block).agg(
         chart(F.col("value")).alias("v1"),
         chart(F.col("k")).alias("v2"),
