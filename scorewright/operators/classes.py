@@ -69,6 +69,18 @@ def _lookup(label: Column, values: Mapping, default) -> Column:
 # A1: stratified split
 # --------------------------------------------------------------------------
 
+
+def hash_split(df: DataFrame, key_cols: Sequence[str], *, train_percent: int = 80, seed: int = 42,
+               split_col: str = "split") -> DataFrame:
+    """Map-only split: a row is ``train`` when ``md5(seed:key) mod 100`` is
+    below ``train_percent``.  No shuffle and no pass over the data first;
+    every class gets its share in expectation (the exact per-class quota is
+    :func:`stratified_split`)."""
+    if not 0 <= train_percent <= 100:
+        raise ValueError("train_percent must be within 0..100")
+    bucket = F.pmod(hash32(list(key_cols), seed), F.lit(100))
+    return df.withColumn(split_col, F.when(bucket < train_percent, F.lit("train")).otherwise(F.lit("test")))
+
 # Rows are ordered by (hash of key, key, hash of the whole row).  The first
 # level cuts the 32-bit key hash into 2**20 bins; the second level splits
 # the edge bin by exact key and the top 20 bits of the row hash.

@@ -269,6 +269,7 @@ def q_score_double(spark, sf_dir):
 from ..operators.classes import (  # noqa: E402
     class_counts,
     filter_class,
+    hash_split,
     rebalance,
     split_features_label,
     stratified_split,
@@ -308,6 +309,13 @@ def q_split(spark, sf_dir):
     return stratified_split(labels, "toxic", ["doc_id"], train_percent=80, seed=SPLIT_SEED)
 
 
+@register("q_hash_split")
+def q_hash_split(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    out = hash_split(events, ["event_id"], train_percent=80, seed=SPLIT_SEED)
+    return out.groupBy("event_type", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("q_split_events")
 def q_split_events(spark, sf_dir):
     events = table(spark, sf_dir, "events", spread_rows=True).select("event_id", "event_type", "value")

@@ -265,3 +265,8 @@ SQL["q_parse_errors"] = """
            CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_message,
            round(sum(CASE WHEN event_type IN ('error', 'signup') THEN NULL ELSE value END), 4) AS sum_value
     FROM events GROUP BY 1"""
+
+SQL["q_hash_split"] = f"""
+    SELECT event_type, CASE WHEN {_H_EVENT} % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+           count(*) AS n_rows
+    FROM events GROUP BY 1, 2"""
