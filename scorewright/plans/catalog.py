@@ -14,10 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import encode_messages, message_text
+from ..operators.classes import (
+    class_counts,
+    filter_class,
+    hash_split,
+    rebalance,
+    split_features_label,
+    stratified_split,
+)
 from ..operators.parse import derive, parse_messages, parse_struct
-from ..operators.score import LinearScore, ThresholdRule, feature_array, score
-from ..session import SPREAD_CAP, spread
-from . import configs
+from ..operators.report import classification_report
+from ..operators.score import LinearScore, ThresholdRule, feature_array, score, score_mllib
+from ..operators.timeline import (
+    call_argument,
+    operation_means,
+    script_value,
+    timeline_means,
+    unquote_keys,
+)
+from ..operators.train import load_model, save_model, train_random_forest
+from ..session import SPREAD_CAP, shared_dir, spread
+from ..streaming.progress import progress_frame, summarize
+from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream
+from . import configs, job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -266,15 +285,6 @@ def q_score_double(spark, sf_dir):
 # Class counts and class filters
 # --------------------------------------------------------------------------
 
-from ..operators.classes import (  # noqa: E402
-    class_counts,
-    filter_class,
-    hash_split,
-    rebalance,
-    split_features_label,
-    stratified_split,
-)
-from ..operators.report import classification_report  # noqa: E402
 
 
 @register("q_class_counts")
@@ -379,13 +389,6 @@ def q_report(spark, sf_dir):
 # Script variables in pages, timelines and their means
 # --------------------------------------------------------------------------
 
-from ..operators.timeline import (  # noqa: E402
-    call_argument,
-    operation_means,
-    script_value,
-    timeline_means,
-    unquote_keys,
-)
 
 
 @register("q_page_vars")
@@ -456,7 +459,6 @@ def q_operation_mean(spark, sf_dir):
 # A10: telemetry-style summary (mean, min, max, percentiles, totals)
 # --------------------------------------------------------------------------
 
-from ..streaming.progress import summarize  # noqa: E402
 
 
 @register("q_metric_summary")
@@ -476,10 +478,6 @@ def q_metric_summary(spark, sf_dir):
 # The scoring job as a stream over the events files
 # --------------------------------------------------------------------------
 
-from ..session import shared_dir  # noqa: E402
-from ..streaming.progress import progress_frame  # noqa: E402
-from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream  # noqa: E402
-from . import job  # noqa: E402
 
 STREAM_TIMEOUT_S = 1800
 
@@ -559,8 +557,6 @@ def q_telemetry(spark, sf_dir):
 # A1 + A2 + K9 + U3 + A3: train, persist, reload, score, report
 # --------------------------------------------------------------------------
 
-from ..operators.score import score_mllib  # noqa: E402
-from ..operators.train import load_model, save_model, train_random_forest  # noqa: E402
 
 ML_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
