@@ -205,6 +205,17 @@ def q_fn_array(spark, sf_dir):
         "sq_norm": ("round(aggregate(transform(embedding, x -> CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), "
                     "0D, (acc, y) -> acc + y), 6)", "double"),
         "n_pos": ("size(filter(embedding, x -> x > 0))", "int"),
+        "has_big": ("array_contains(transform(embedding, x -> x > 0.25), true)", "boolean"),
+    })
+
+
+@register("q_fn_time")
+def q_fn_time(spark, sf_dir):
+    return _family(table(spark, sf_dir, "events"), ["event_id"], {
+        "day": ("CAST(date_trunc('DAY', ts) AS DATE)", "date"),
+        "hour_of_day": ("hour(ts)", "int"),
+        "minute": ("minute(ts)", "int"),
+        "weekday": ("dayofweek(ts)", "int"),
     })
 
 

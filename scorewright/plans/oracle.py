@@ -93,8 +93,16 @@ SQL: dict[str, str] = {
                round(list_reduce(list_prepend(0.0::DOUBLE,
                      list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))),
                      lambda acc, y: acc + y), 6) AS sq_norm,
-               CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n_pos
+               CAST(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS n_pos,
+               list_contains(list_transform(embedding, lambda x: x > 0.25), true) AS has_big
         FROM embeddings""",
+    "q_fn_time": """
+        SELECT event_id,
+               CAST(date_trunc('day', ts) AS DATE) AS day,
+               CAST(hour(ts) AS INTEGER) AS hour_of_day,
+               CAST(minute(ts) AS INTEGER) AS minute,
+               CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday
+        FROM events""",
     "q_fn_map": """
         SELECT event_id,
                event_type AS type_from_map,
