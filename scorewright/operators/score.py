@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, IntegerType
+from pyspark.sql.types import BooleanType, DataType, DoubleType, IntegerType, NumericType
 
 from ..functions.casts import parse_type
 from ..session import ship_package
@@ -115,6 +115,17 @@ class ThresholdRule:
         return hit.astype("int32")
 
 
+class CategoryRule:
+    """``predict`` gives 1 where ``feature`` is one of ``values``, else 0."""
+
+    def __init__(self, feature: str, values):
+        self.feature = feature
+        self.values = set(values)
+
+    def predict(self, features: pd.DataFrame) -> np.ndarray:
+        return features[self.feature].isin(self.values).to_numpy().astype("int32")
+
+
 class LinearScore:
     """``predict`` gives ``sum(w_i * x_i) + bias`` as a float score."""
 
@@ -275,7 +286,14 @@ def _score_python(df, model_config, model, features, output_col):
             else:
                 yield _as_result(predict(mdl, frame), len(frame), result_type, threshold)
 
-    packed = F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(names)])
+    # Numbers reach the model as float64 (whatever their Spark type); other
+    # features (categories as text, flags) keep their own type.
+    def packed_field(i, c):
+        dtype = df.schema[c].dataType
+        col = F.col(c).cast("double") if isinstance(dtype, (NumericType, BooleanType)) else F.col(c)
+        return col.alias(f"f{i}")
+
+    packed = F.struct(*[packed_field(i, c) for i, c in enumerate(names)])
     return df.withColumn(output_col, predict_udf(packed))
 
 

@@ -24,7 +24,7 @@ from ..operators.classes import (
 )
 from ..operators.parse import derive, parse_messages, parse_struct
 from ..operators.report import classification_report
-from ..operators.score import LinearScore, ThresholdRule, feature_array, score, score_mllib
+from ..operators.score import CategoryRule, LinearScore, ThresholdRule, feature_array, score, score_mllib
 from ..operators.timeline import (
     call_argument,
     operation_means,
@@ -271,6 +271,16 @@ def q_score_rows(spark, sf_dir):
     return scored_events(spark, sf_dir).select("event_id", "value", "k", "prediction")
 
 
+@register("q_score_category")
+def q_score_category(spark, sf_dir):
+    """A model over a text feature and a number: both reach the model in
+    their own types (one pandas frame per Arrow batch)."""
+    parsed = parse_messages(event_messages(spark, sf_dir), configs.EVENT_SCHEMA)
+    cfg = {"features": ["event_type", "value"]}
+    scored = score(parsed, cfg, model=CategoryRule("event_type", ["error", "purchase"]))
+    return scored.groupBy("event_type", "prediction").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 THRESHOLD_WEIGHTS = {"l_quantity": 0.02, "l_discount": 5.0}
 THRESHOLD_BIAS = -0.75
 

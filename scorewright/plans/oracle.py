@@ -278,3 +278,8 @@ SQL["q_hash_split"] = f"""
     SELECT event_type, CASE WHEN {_H_EVENT} % 100 < 80 THEN 'train' ELSE 'test' END AS split,
            count(*) AS n_rows
     FROM events GROUP BY 1, 2"""
+
+SQL["q_score_category"] = """
+    SELECT event_type, CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END AS prediction,
+           count(*) AS n_events
+    FROM events GROUP BY 1, 2"""

@@ -127,3 +127,11 @@ def test_cached_load_reads_once(scratch):
         pickle.dump(ThresholdRule("a", 1.0), fh)
     first = S.cached_load("pickle", path)
     assert S.cached_load("pickle", path) is first
+
+
+def test_text_features_keep_their_type(spark):
+    from scorewright.operators.score import CategoryRule
+
+    df = spark.createDataFrame([("click", 1), ("error", 2), (None, 3)], "event_type string, n int")
+    out = score(df, {"features": ["event_type", "n"]}, model=CategoryRule("event_type", {"error"}))
+    assert {r["event_type"]: r["prediction"] for r in out.collect()} == {"click": 0, "error": 1, None: 0}
