@@ -146,3 +146,21 @@ def test_report_weights_equal_repeated_rows(spark):
     agg = spark.createDataFrame([(1, 1.0, 1), (1, 0.0, 1), (0, 0.0, 2), (0, 1.0, 1)], "y int, p double, w long")
     weighted = classification_report(agg, "y", "p", weight_col="w").collect()
     assert sorted(map(tuple, plain)) == sorted(map(tuple, weighted))
+
+
+def test_rebalance_total_rows(spark, skewed):
+    out = C.rebalance(skewed, "label", {0: 0.5, 1: 0.25, 2: 0.25, None: 0.0}, ["key"], total_rows=4000)
+    counts = {r["label"]: r["n_rows"] for r in C.class_counts(out, "label", with_share=False).collect()}
+    # floor(w + u) hits the target in expectation: allow four standard deviations
+    for label, target in ((0, 2000), (1, 1000), (2, 1000)):
+        n = {0: 1800, 1: 100, 2: 100}[label]
+        frac = (target / n) % 1
+        assert abs(counts[label] - target) <= 4 * (n * frac * (1 - frac)) ** 0.5 + 1
+    assert None not in counts
+
+
+def test_report_target_names(spark):
+    df = spark.createDataFrame([(0, 0), (1, 1), (1, 0)], "y int, p int")
+    labels = {r["label"] for r in classification_report(df, "y", "p",
+                                                         target_names={0: "Normal (0)", 1: "Fraud (1)"}).collect()}
+    assert labels == {"Normal (0)", "Fraud (1)", "accuracy", "macro avg", "weighted avg"}
