@@ -164,3 +164,15 @@ def test_report_target_names(spark):
     labels = {r["label"] for r in classification_report(df, "y", "p",
                                                          target_names={0: "Normal (0)", 1: "Fraud (1)"}).collect()}
     assert labels == {"Normal (0)", "Fraud (1)", "accuracy", "macro avg", "weighted avg"}
+
+
+@pytest.mark.parametrize("percent", [10, 37, 50, 81, 99])
+def test_split_with_null_keys(spark, percent):
+    rows = [(None, i) for i in range(300)] + [(k, -1) for k in range(300)] + [(None, 5)] * 100
+    df = spark.createDataFrame(rows, "key long, payload long").withColumn("label", __import__(
+        "pyspark.sql.functions", fromlist=["lit"]).lit(1)).repartition(3)
+    out = C.stratified_split(df, "label", ["key"], train_percent=percent, seed=11)
+    assert out.count() == 700
+    assert out.filter("split = 'train'").count() == (700 * percent) // 100
+    back = sorted((r["key"] if r["key"] is not None else -9, r["payload"]) for r in out.collect())
+    assert back == sorted((k if k is not None else -9, p) for k, p in rows)
