@@ -9,6 +9,7 @@ join and no shuffle of the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,30 +129,29 @@ def _per_class(label: Column, values: Mapping, default: Column) -> Column:
     return default if expr is None else expr.otherwise(default)
 
 
-def stratified_split(
+def select_first(
     df: DataFrame,
     label_col: str,
     key_cols: Sequence[str],
+    take: Mapping | Column,
     *,
-    train_percent: int = 80,
     seed: int = 42,
-    split_col: str = "split",
+    flag_col: str = "_selected",
 ) -> DataFrame:
-    """Add ``split`` = ``train``/``test`` with an exact per-class quota.
-
-    Each class keeps ``floor(n_c * train_percent / 100)`` train rows: the
-    first ones in the order (md5 hash of seed and key, key, hash of the
-    row).  Nothing is sorted and no class is gathered in one task: a
-    histogram of 2**20 hash bins per class locates the one bin where each
-    quota ends; inside it a second histogram over (key, top bits of the row
-    hash) narrows to one bucket, whose rows are grouped by row hash.  Only
-    when identical rows straddle a quota are they allocated by counts per
-    input partition.  Every other row is decided by comparing with
-    per-class literals, map-side.  For unique keys the input is read three
-    times (two histograms, one output pass).
+    """Flag, per class, exactly ``take`` rows: the first ones in the order
+    (md5 hash of seed and key, key, hash of the row).
+
+    ``take`` is ``{class: rows}`` or a column over the per-class bin
+    histogram (``_n`` rows per bin; e.g. a share of the class total).
+    Nothing is sorted and no class is gathered in one task: a histogram of
+    2**20 hash bins per class locates the one bin where each quota ends;
+    inside it a second histogram over (key, top bits of the row hash)
+    narrows to one bucket, whose rows are grouped by row hash.  Only when
+    identical rows straddle a quota are they allocated by counts per input
+    partition.  Every other row is decided by comparing with per-class
+    literals, map-side.  For unique keys the input is read three times
+    (two histograms, one output pass).
     """
-    if not 0 <= train_percent <= 100:
-        raise ValueError("train_percent must be within 0..100")
     keys = list(key_cols)
     label = F.col(label_col)
     hashed = (
@@ -161,16 +161,16 @@ def stratified_split(
         .withColumn("_rtop", F.shiftrightunsigned(F.col("_rh"), _ROW_SHIFT))
     )
     schema = hashed.schema
+    take1 = take if isinstance(take, Column) else _lookup(label, dict(take), 0)
 
     # level 1: hash bins
     hist1 = hashed.groupBy(label_col, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    quota = F.expr(f"(sum(_n) OVER (PARTITION BY `{label_col}`) * {int(train_percent)}) div 100")
-    e1 = _edges(hist1, label_col, ["_bin"], quota)
+    e1 = _edges(hist1, label_col, ["_bin"], take1)
     no_edge = F.lit(None).cast("long")
     cut1 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e1.items()}, no_edge)
-    # classes without an edge bin put every row in train
+    # classes without an edge bin take every row
     at1 = F.col("_bin") == cut1
-    train = F.when(cut1.isNull(), True).when(F.col("_bin") != cut1, F.col("_bin") < cut1)
+    chosen = F.when(cut1.isNull(), True).when(F.col("_bin") != cut1, F.col("_bin") < cut1)
 
     # level 2: inside the edge bin, exact (hash, key) and the row hash's top bits
     go2 = {c: v[1] for c, v in e1.items() if v[1] > 0}
@@ -183,7 +183,7 @@ def stratified_split(
                           F.lit(None).cast(StructType([schema[c] for c in order2])))
         tup2 = F.struct(*order2)
         at2 = at1 & (tup2 == cut2)
-        train = train.when(at1 & cut2.isNull(), False).when(at1 & (tup2 != cut2), tup2 < cut2)
+        chosen = chosen.when(at1 & cut2.isNull(), False).when(at1 & (tup2 != cut2), tup2 < cut2)
 
         # level 3: inside that bucket, by full row hash; identical rows tie
         go3 = {c: v[1] for c, v in e2.items() if v[1] > 0}
@@ -193,25 +193,45 @@ def stratified_split(
             e3 = _edges(hist3, label_col, ["_rh"], _lookup(label, go3, 0))
             cut3 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e3.items()}, no_edge)
             at3 = at2 & (F.col("_rh") == cut3)
-            train = train.when(at2 & cut3.isNull(), False).when(at2 & (F.col("_rh") != cut3),
-                                                                F.col("_rh") < cut3)
+            chosen = chosen.when(at2 & cut3.isNull(), False).when(at2 & (F.col("_rh") != cut3),
+                                                                  F.col("_rh") < cut3)
             go4 = {c: v[1] for c, v in e3.items() if v[1] > 0}
             if go4:
-                return _split_straddle(hashed, label_col, at3, go4, train, split_col)
-            train = train.when(at3, False)
+                return _select_straddle(hashed, label_col, at3, go4, chosen, flag_col)
+            chosen = chosen.when(at3, False)
         else:
-            train = train.when(at2, False)
+            chosen = chosen.when(at2, False)
     else:
-        train = train.when(at1, False)
+        chosen = chosen.when(at1, False)
 
-    out = hashed.withColumn(split_col, F.when(train, F.lit("train")).otherwise(F.lit("test")))
+    out = hashed.withColumn(flag_col, F.coalesce(chosen, F.lit(False)))
     return out.drop("_h", "_bin", "_rh", "_rtop")
 
 
-def _split_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes: Mapping,
-                    train: Column, split_col: str) -> DataFrame:
-    """Identical rows that straddle a class's quota: ``takes[c]`` of them go
-    to train, allocated in input-partition order from per-partition counts
+def stratified_split(
+    df: DataFrame,
+    label_col: str,
+    key_cols: Sequence[str],
+    *,
+    train_percent: int = 80,
+    seed: int = 42,
+    split_col: str = "split",
+) -> DataFrame:
+    """Add ``split`` = ``train``/``test`` with an exact per-class quota:
+    ``floor(n_c * train_percent / 100)`` train rows per class, the first
+    ones in hash order (see :func:`select_first`)."""
+    if not 0 <= train_percent <= 100:
+        raise ValueError("train_percent must be within 0..100")
+    quota = F.expr(f"(sum(_n) OVER (PARTITION BY `{label_col}`) * {int(train_percent)}) div 100")
+    flagged = select_first(df, label_col, key_cols, quota, seed=seed, flag_col="_train")
+    return flagged.withColumn(split_col, F.when(F.col("_train"), F.lit("train")).otherwise(F.lit("test"))) \
+        .drop("_train")
+
+
+def _select_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes: Mapping,
+                     chosen: Column, flag_col: str) -> DataFrame:
+    """Identical rows that straddle a class's quota: ``takes[c]`` of them are
+    selected, allocated in input-partition order from per-partition counts
     (one row per class and partition), so the group is never gathered.
 
     The partition id and the row position are taken in one projection right
@@ -236,15 +256,13 @@ def _split_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes:
                 break
             done += n
     pcut = _per_class(label, {c: F.lit(v) for c, v in cut_pid.items()}, F.lit(None).cast("int"))
-    # partitions before the cut are train, after it test
-    decided = train.when(straddle & pcut.isNull(), True).when(straddle & (pid != pcut), pid < pcut)
+    # partitions before the cut are selected, after it not
+    decided = chosen.when(straddle & pcut.isNull(), True).when(straddle & (pid != pcut), pid < pcut)
     in_cut = wanted & (pid == pcut)
-    main = placed.filter(~in_cut.eqNullSafe(True)).withColumn(
-        split_col, F.when(decided, F.lit("train")).otherwise(F.lit("test")))
-    # in the cut partition, the first rows by position are train
+    main = placed.filter(~in_cut.eqNullSafe(True)).withColumn(flag_col, F.coalesce(decided, F.lit(False)))
+    # in the cut partition, the first rows by position are selected
     rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_pos"))
-    edge = placed.filter(in_cut).withColumn(
-        split_col, F.when(rank <= _lookup(label, cut_take, 0), F.lit("train")).otherwise(F.lit("test")))
+    edge = placed.filter(in_cut).withColumn(flag_col, rank <= _lookup(label, cut_take, 0))
     return main.unionByName(edge).drop("_h", "_bin", "_rh", "_rtop", "_pid", "_pos")
 
 
@@ -265,6 +283,7 @@ def rebalance(
     total_rows: int | None = None,
     seed: int = 42,
     copy_col: str = "copy",
+    exact: bool = False,
 ) -> DataFrame:
     """Resample classes to target shares, repeating rows where needed.
 
@@ -276,6 +295,10 @@ def rebalance(
     Rows with more than ``COPY_CHUNK`` copies are first split into chunks
     that a shuffle spreads over tasks, so one heavily repeated row never
     lands in a single task.
+
+    With ``exact``, class ``c`` gets exactly ``round(share * total)`` rows:
+    every row ``target // n_c`` copies, and the first ``target mod n_c``
+    rows in hash order (:func:`select_first`) one more.
     """
     counts = collect_class_counts(df, label_col)
     missing = [c for c in counts if c not in target_shares]
@@ -285,8 +308,18 @@ def rebalance(
     total = n if total_rows is None else int(total_rows)
     weights = {c: float(target_shares[c]) * total / nc for c, nc in counts.items()}
 
-    u = hash32(key_cols, seed) / F.lit(HASH_RANGE)
-    with_copies = df.withColumn("_copies", F.floor(_lookup(F.col(label_col), weights, 0.0) + u))
+    if exact:
+        targets = {c: int(math.floor(float(target_shares[c]) * total + 0.5)) for c in counts}
+        base = {c: targets[c] // counts[c] for c in counts}
+        extra = {c: targets[c] - base[c] * counts[c] for c in counts}
+        flagged = select_first(df, label_col, key_cols, extra, seed=seed, flag_col="_extra")
+        with_copies = flagged.withColumn(
+            "_copies", (_lookup(F.col(label_col), base, 0).cast("long") + F.col("_extra").cast("long"))
+        ).drop("_extra")
+        weights = {c: float(base[c] + (1 if extra[c] else 0)) for c in counts}
+    else:
+        u = hash32(key_cols, seed) / F.lit(HASH_RANGE)
+        with_copies = df.withColumn("_copies", F.floor(_lookup(F.col(label_col), weights, 0.0) + u))
     small = with_copies.filter((F.col("_copies") > 0) & (F.col("_copies") <= COPY_CHUNK)).withColumn(
         copy_col, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     )

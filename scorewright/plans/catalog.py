@@ -371,6 +371,14 @@ def q_rebalance(spark, sf_dir):
     )
 
 
+@register("q_rebalance_exact")
+def q_rebalance_exact(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return rebalance(labels, "toxic", TOXIC_SHARES, ["doc_id"], seed=SPLIT_SEED, exact=True).select(
+        "doc_id", "toxic", "copy"
+    )
+
+
 @register("q_rebalance_counts")
 def q_rebalance_counts(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")

@@ -283,3 +283,25 @@ SQL["q_score_category"] = """
     SELECT event_type, CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END AS prediction,
            count(*) AS n_events
     FROM events GROUP BY 1, 2"""
+
+
+def _rebalance_exact_sql() -> str:
+    shares = catalog.TOXIC_SHARES
+    share = " ".join(f"WHEN toxic = {k} THEN CAST({v} AS DOUBLE)" for k, v in shares.items())
+    return f"""
+        WITH c AS (SELECT toxic AS t, count(*) AS n_c FROM labels GROUP BY toxic),
+             r AS (SELECT l.doc_id, l.toxic, c.n_c,
+                          CAST(floor((CASE {share} END) * (SELECT count(*) FROM labels) + 0.5) AS BIGINT)
+                              AS target,
+                          row_number() OVER (PARTITION BY l.toxic ORDER BY {_H_DOC}, l.doc_id) AS rn
+                   FROM labels l JOIN c ON l.toxic = c.t),
+             w AS (SELECT doc_id, toxic,
+                          target // n_c + CASE WHEN rn <= target - (target // n_c) * n_c THEN 1 ELSE 0 END
+                              AS copies
+                   FROM r)
+        SELECT doc_id, toxic, CAST(x.copy AS BIGINT) AS copy
+        FROM w, unnest(range(1, copies + 1)) AS x(copy)
+        WHERE copies > 0"""
+
+
+SQL["q_rebalance_exact"] = _rebalance_exact_sql()

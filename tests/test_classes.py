@@ -176,3 +176,12 @@ def test_split_with_null_keys(spark, percent):
     assert out.filter("split = 'train'").count() == (700 * percent) // 100
     back = sorted((r["key"] if r["key"] is not None else -9, r["payload"]) for r in out.collect())
     assert back == sorted((k if k is not None else -9, p) for k, p in rows)
+
+
+def test_rebalance_exact_counts(spark, skewed):
+    shares = {0: 0.6, 1: 0.25, 2: 0.15, None: 0.0}
+    out = C.rebalance(skewed, "label", shares, ["key"], total_rows=3001, exact=True)
+    counts = {r["label"]: r["n_rows"] for r in C.class_counts(out, "label", with_share=False).collect()}
+    assert counts == {0: int(0.6 * 3001 + 0.5), 1: int(0.25 * 3001 + 0.5), 2: int(0.15 * 3001 + 0.5)}
+    per = out.toPandas().groupby("key")["copy"].agg(["min", "max", "count"])
+    assert (per["min"] == 1).all() and (per["max"] == per["count"]).all()
