@@ -70,4 +70,4 @@ def read_documents(spark: SparkSession, path: str, *, name_col: str = "path") ->
     from pyspark.sql import functions as F
 
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.input_file_name().alias(name_col), F.col("value").alias("html"))
+    return df.select(F.col("_metadata.file_path").alias(name_col), F.col("value").alias("html"))
