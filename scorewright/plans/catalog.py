@@ -605,6 +605,19 @@ def q_mllib(spark, sf_dir):
     return classification_report(scored, "returned", "prediction")
 
 
+@register("q_csv_table")
+def q_csv_table(spark, sf_dir):
+    """S6 + K8: a table written as CSV with a header by the batch sink and
+    read back with a declared schema (no inference pass)."""
+    from ..sources.files import read_csv_table
+    from ..streaming.sinks import write_batch
+
+    out = shared_dir(spark, "q_csv_table")
+    labels = table(spark, sf_dir, "labels")
+    write_batch(labels, {"format": "csv", "options": {"path": out, "header": "true"}})
+    return read_csv_table(spark, out, schema=labels.schema)
+
+
 @register("q_stream_text")
 def q_stream_text(spark, sf_dir):
     """Messages as JSON-lines files (the stand-in for a topic): the events
