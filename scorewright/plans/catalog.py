@@ -495,7 +495,7 @@ def q_metric_summary(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
-    out = summarize(events, ["value", "k"], group_cols=["event_type"])
+    out = summarize(events, ["value", "k"], group_cols=["event_type"], exact=True)
     return out.select(
         "event_type", "metric", "n",
         F.round("mean", 6).alias("mean"), "min", "max",

@@ -97,14 +97,17 @@ class ProgressCollector(StreamingQueryListener):
 
 
 def summarize(df: DataFrame, value_cols: Sequence[str], *, group_cols: Sequence[str] = (),
-              percentiles: Sequence[float] = (0.5, 0.95), accuracy: int = 10000) -> DataFrame:
+              percentiles: Sequence[float] = (0.5, 0.95), accuracy: int = 10000,
+              exact: bool = False) -> DataFrame:
     """Per metric (and group): n, mean, min, max, percentiles, total.
 
     Columns are unpivoted into ``metric``/``v`` rows, so one aggregation
     covers all of them; every aggregate here merges partial results, so a
     group of any size is reduced map-side first.  Percentiles are
     ``percentile_approx`` (exact while a group has fewer rows than
-    ``accuracy``).
+    ``accuracy``), or with ``exact`` the exact inverse-distribution values
+    from :func:`..operators.quantiles.exact_percentiles` (a few bounded
+    passes over the data, joined on the one-row-per-group summary).
     """
     cast = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols])
     long = cast.unpivot(list(group_cols), list(value_cols), "metric", "v") if group_cols else \
@@ -119,6 +122,16 @@ def summarize(df: DataFrame, value_cols: Sequence[str], *, group_cols: Sequence[
         F.max("v").alias("max"),
         F.sum("v").alias("total"),
     ]
-    for p in percentiles:
-        aggs.append(F.percentile_approx("v", float(p), accuracy).alias(f"p{int(round(p * 100))}"))
-    return long.groupBy(*group_cols, "metric").agg(*aggs)
+    names = {float(p): f"p{int(round(p * 100))}" for p in percentiles}
+    if not exact:
+        for p, name in names.items():
+            aggs.append(F.percentile_approx("v", p, accuracy).alias(name))
+        return long.groupBy(*group_cols, "metric").agg(*aggs)
+    from ..operators.quantiles import exact_percentiles
+
+    keys = [*group_cols, "metric"]
+    base = long.groupBy(*keys).agg(*aggs)
+    q = exact_percentiles(long, "v", list(names), group_cols=keys)
+    wide = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                                  for p, n in names.items()])
+    return base.join(wide, on=keys, how="left")

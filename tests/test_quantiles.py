@@ -1,0 +1,36 @@
+"""Exact percentiles against a brute-force inverse distribution."""
+
+import math
+
+import numpy as np
+import pytest
+
+from scorewright.operators.quantiles import exact_percentiles
+
+
+def _brute(values, p):
+    v = sorted(x for x in values if x is not None and not math.isnan(x))
+    return v[max(math.ceil(p * len(v)), 1) - 1]
+
+
+@pytest.mark.parametrize("dist", ["uniform", "hot", "exp", "ties"])
+def test_exact_percentiles(spark, dist):
+    rng = np.random.default_rng(7)
+    if dist == "uniform":
+        vals = rng.uniform(-5, 5, 3000)
+    elif dist == "hot":  # one value holds a third of the rows
+        vals = np.concatenate([np.full(1500, 2.5), rng.normal(0, 1, 3000)])
+    elif dist == "exp":  # values spread over many orders of magnitude
+        vals = np.exp(rng.uniform(-200, 200, 3000))
+    else:
+        vals = rng.integers(0, 5, 3000).astype(float)
+    rows = [(int(i % 3), float(x)) for i, x in enumerate(vals)] + [(0, None), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    ps = [0.01, 0.5, 0.95, 1.0]
+    got = {(r["g"], r["p"]): r["value"] for r in exact_percentiles(df, "v", ps, group_cols=["g"]).collect()}
+    for g in range(3):
+        grp = [x for gg, x in rows if gg == g]
+        for p in ps:
+            assert got[(g, p)] == _brute(grp, p)
+    overall = {r["p"]: r["value"] for r in exact_percentiles(df, "v", ps).collect()}
+    assert overall == {p: _brute([x for _, x in rows], p) for p in ps}
