@@ -33,7 +33,7 @@ from ..operators.timeline import (
     unquote_keys,
 )
 from ..operators.train import load_model, save_model, train_random_forest
-from ..session import SPREAD_CAP, shared_dir, spread
+from ..session import SPREAD_CAP, shared_dir, spread, spread_scan
 from ..streaming.progress import progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream
 from . import configs, job
@@ -53,7 +53,7 @@ def register(name: str):
 
 def table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    return spread_scan(df) if spread_rows else df
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,7 +453,7 @@ def event_timeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # partition in its high bits, so a block never spans partitions and
     # holds at most TIMELINE_CHUNK rows.
     scan = table(spark, sf_dir, "events").withColumn("_pos", F.monotonically_increasing_id())
-    events = spread(scan).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    events = spread_scan(scan).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     x = F.date_format("ts", "HH:mm:ss.SSSSSS")
 
     def chart(y):

@@ -123,3 +123,27 @@ def spread(df, min_partitions: int | None = None):
     except Exception:  # no RDD access (Spark Connect)
         return df
     return df.repartition(target) if current < target else df
+
+
+def spread_scan(df, min_partitions: int | None = None):
+    """:func:`spread` for a DataFrame read straight from files.
+
+    A file split always yields its rows in the same order, so the row
+    position id is the same on every retry; hashing on it spreads rows
+    evenly (every value is unique, so there is no hot key) without the
+    pre-sort that round-robin needs to be retry-safe.  Only for fresh scans:
+    after a shuffle, row order is not fixed and :func:`spread` must be used.
+    """
+    if df.isStreaming:
+        return df
+    try:
+        target = int(min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP))
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (Spark Connect)
+        return df
+    if current >= target:
+        return df
+    from pyspark.sql import functions as F
+
+    return (df.withColumn("_scan_pos", F.monotonically_increasing_id())
+            .repartition(target, "_scan_pos").drop("_scan_pos"))
