@@ -430,6 +430,25 @@ def q_page_vars(spark, sf_dir):
     )
 
 
+@register("q_page_files")
+def q_page_files(spark, sf_dir):
+    """S7 + A8: pages stored one HTML file each (as a crawl or a saved
+    statistics page is), read back whole-text, one row per file; the page
+    id comes from the file's folder."""
+    from ..sources.files import read_documents
+    from ..streaming.sinks import write_batch
+
+    out = shared_dir(spark, "q_page_files")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    write_batch(pages, {"format": "text", "partitionBy": ["page_id"], "options": {"path": out}})
+    docs = read_documents(spark, f"{out}/page_id=*/*.txt")
+    return docs.select(
+        F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
+        script_value(F.col("html"), "t").alias("t_value"),
+        call_argument(F.col("html"), "track").try_cast("int").alias("track_arg"),
+    )
+
+
 @register("q_track_mean")
 def q_track_mean(spark, sf_dir):
     pages = q_page_vars(spark, sf_dir)

@@ -307,3 +307,5 @@ def _rebalance_exact_sql() -> str:
 SQL["q_rebalance_exact"] = _rebalance_exact_sql()
 
 SQL["q_csv_table"] = "SELECT doc_id, quality, toxic FROM labels"
+
+SQL["q_page_files"] = SQL["q_page_vars"]
