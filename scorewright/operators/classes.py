@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.hashing import HASH_RANGE, hash32
 
@@ -55,15 +55,51 @@ def split_features_label(df: DataFrame, label_col: str) -> tuple[DataFrame, Data
     return df.drop(label_col), df.select(label_col)
 
 
-def _lookup(label: Column, values: Mapping, default) -> Column:
-    """``values[label]`` as a CASE expression over the (few) classes."""
-    expr = None
-    for k, v in values.items():
-        cond = label.isNull() if k is None else label == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    if expr is None:
-        return F.lit(default)
-    return expr.otherwise(F.lit(default))
+# Up to this many classes the class index is a CASE expression; beyond it a
+# broadcast join with the (bounded, collected) class table.
+LITERAL_CLASSES = 64
+
+
+class ClassIndex:
+    """A dense index over a bounded set of classes.
+
+    ``attach`` gives every row its class's position (``_ci``); ``lookup``
+    then reads a per-class parameter from a literal array at that position,
+    one array access per row however many classes there are.  Rows of a
+    class outside the set get the default.
+    """
+
+    def __init__(self, classes):
+        self.classes = list(dict.fromkeys(classes))
+        if len(self.classes) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes")
+
+    def attach(self, df: DataFrame, label_col: str) -> DataFrame:
+        label = F.col(label_col)
+        if len(self.classes) <= LITERAL_CLASSES:
+            ci = None
+            for i, c in enumerate(self.classes):
+                cond = label.isNull() if c is None else label == F.lit(c)
+                ci = F.when(cond, F.lit(i)) if ci is None else ci.when(cond, F.lit(i))
+            return df.withColumn("_ci", ci if ci is not None else F.lit(None).cast("int"))
+        dtype = df.schema[label_col].dataType
+        table = df.sparkSession.createDataFrame(
+            [(c, i) for i, c in enumerate(self.classes)],
+            StructType([StructField("_lbl", dtype, True), StructField("_ci", IntegerType(), False)]))
+        # the class table is bounded by MAX_CLASSES rows: safe to broadcast
+        joined = df.join(F.broadcast(table), label.eqNullSafe(F.col("_lbl")), "left")
+        return joined.drop("_lbl")
+
+    def lookup(self, values: Mapping, default, dtype=None) -> Column:
+        def lit(v):
+            c = v if isinstance(v, Column) else F.lit(v)
+            return c.cast(dtype) if dtype is not None else c
+
+        arr = F.array(*[lit(values.get(c, default)) for c in self.classes]) if self.classes else None
+        fallback = lit(default)
+        if arr is None:
+            return fallback
+        return F.coalesce(F.element_at(arr, F.col("_ci") + 1), fallback)
 
 
 # --------------------------------------------------------------------------
@@ -120,15 +156,6 @@ def _tuple_lit(values: Sequence, cols: Sequence[str], schema) -> Column:
     return F.struct(*[F.lit(v).cast(schema[c].dataType).alias(c) for v, c in zip(values, cols)])
 
 
-def _per_class(label: Column, values: Mapping, default: Column) -> Column:
-    """``values[label]`` for Column values (CASE over the few classes)."""
-    expr = None
-    for k, v in values.items():
-        cond = label.isNull() if k is None else label == F.lit(k)
-        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-    return default if expr is None else expr.otherwise(default)
-
-
 def select_first(
     df: DataFrame,
     label_col: str,
@@ -149,11 +176,10 @@ def select_first(
     narrows to one bucket, whose rows are grouped by row hash.  Only when
     identical rows straddle a quota are they allocated by counts per input
     partition.  Every other row is decided by comparing with per-class
-    literals, map-side.  For unique keys the input is read three times
-    (two histograms, one output pass).
+    parameters (a :class:`ClassIndex` lookup), map-side.  For unique keys
+    the input is read three times (two histograms, one output pass).
     """
     keys = list(key_cols)
-    label = F.col(label_col)
     hashed = (
         df.withColumn("_h", hash32(keys, seed))
         .withColumn("_bin", F.shiftright(F.col("_h"), _BIN_SHIFT))
@@ -161,14 +187,22 @@ def select_first(
         .withColumn("_rtop", F.shiftrightunsigned(F.col("_rh"), _ROW_SHIFT))
     )
     schema = hashed.schema
-    take1 = take if isinstance(take, Column) else _lookup(label, dict(take), 0)
 
     # level 1: hash bins
     hist1 = hashed.groupBy(label_col, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    if isinstance(take, Column):
+        take1 = take
+    else:
+        takes = dict(take)
+        index0 = ClassIndex(takes)
+        hist1 = index0.attach(hist1, label_col)
+        take1 = index0.lookup(takes, 0, "long")
     e1 = _edges(hist1, label_col, ["_bin"], take1)
-    no_edge = F.lit(None).cast("long")
-    cut1 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e1.items()}, no_edge)
-    # classes without an edge bin take every row
+
+    # One index over the classes that have an edge; the others take every row.
+    index = ClassIndex(e1)
+    hashed = index.attach(hashed, label_col)
+    cut1 = index.lookup({c: v[0][0] for c, v in e1.items()}, None, "long")
     at1 = F.col("_bin") == cut1
     chosen = F.when(cut1.isNull(), True).when(F.col("_bin") != cut1, F.col("_bin") < cut1)
 
@@ -176,11 +210,12 @@ def select_first(
     go2 = {c: v[1] for c, v in e1.items() if v[1] > 0}
     order2 = ["_h", *keys, "_rtop"]
     if go2:
-        rows2 = hashed.filter(at1 & _lookup(label, {c: True for c in go2}, False))
-        hist2 = rows2.groupBy(label_col, *order2).agg(F.count(F.lit(1)).alias("_n"))
-        e2 = _edges(hist2, label_col, order2, _lookup(label, go2, 0))
-        cut2 = _per_class(label, {c: _tuple_lit(v[0], order2, schema) for c, v in e2.items()},
-                          F.lit(None).cast(StructType([schema[c] for c in order2])))
+        rows2 = hashed.filter(at1 & index.lookup({c: True for c in go2}, False))
+        hist2 = rows2.groupBy(label_col, "_ci", *order2).agg(F.count(F.lit(1)).alias("_n"))
+        e2 = _edges(hist2, label_col, order2, index.lookup(go2, 0, "long"))
+        tuple_type = StructType([schema[c] for c in order2])
+        cut2 = index.lookup({c: _tuple_lit(v[0], order2, schema) for c, v in e2.items()},
+                            F.lit(None).cast(tuple_type))
         tup2 = F.struct(*order2)
         at2 = at1 & (tup2 == cut2)
         chosen = chosen.when(at1 & cut2.isNull(), False).when(at1 & (tup2 != cut2), tup2 < cut2)
@@ -188,16 +223,16 @@ def select_first(
         # level 3: inside that bucket, by full row hash; identical rows tie
         go3 = {c: v[1] for c, v in e2.items() if v[1] > 0}
         if go3:
-            rows3 = hashed.filter(at2 & _lookup(label, {c: True for c in go3}, False))
-            hist3 = rows3.groupBy(label_col, "_rh").agg(F.count(F.lit(1)).alias("_n"))
-            e3 = _edges(hist3, label_col, ["_rh"], _lookup(label, go3, 0))
-            cut3 = _per_class(label, {c: F.lit(v[0][0]).cast("long") for c, v in e3.items()}, no_edge)
+            rows3 = hashed.filter(at2 & index.lookup({c: True for c in go3}, False))
+            hist3 = rows3.groupBy(label_col, "_ci", "_rh").agg(F.count(F.lit(1)).alias("_n"))
+            e3 = _edges(hist3, label_col, ["_rh"], index.lookup(go3, 0, "long"))
+            cut3 = index.lookup({c: v[0][0] for c, v in e3.items()}, None, "long")
             at3 = at2 & (F.col("_rh") == cut3)
             chosen = chosen.when(at2 & cut3.isNull(), False).when(at2 & (F.col("_rh") != cut3),
                                                                   F.col("_rh") < cut3)
             go4 = {c: v[1] for c, v in e3.items() if v[1] > 0}
             if go4:
-                return _select_straddle(hashed, label_col, at3, go4, chosen, flag_col)
+                return _select_straddle(hashed, label_col, index, at3, go4, chosen, flag_col)
             chosen = chosen.when(at3, False)
         else:
             chosen = chosen.when(at2, False)
@@ -205,7 +240,7 @@ def select_first(
         chosen = chosen.when(at1, False)
 
     out = hashed.withColumn(flag_col, F.coalesce(chosen, F.lit(False)))
-    return out.drop("_h", "_bin", "_rh", "_rtop")
+    return out.drop("_h", "_bin", "_rh", "_rtop", "_ci")
 
 
 def stratified_split(
@@ -228,8 +263,8 @@ def stratified_split(
         .drop("_train")
 
 
-def _select_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes: Mapping,
-                     chosen: Column, flag_col: str) -> DataFrame:
+def _select_straddle(hashed: DataFrame, label_col: str, index: ClassIndex, straddle: Column,
+                     takes: Mapping, chosen: Column, flag_col: str) -> DataFrame:
     """Identical rows that straddle a class's quota: ``takes[c]`` of them are
     selected, allocated in input-partition order from per-partition counts
     (one row per class and partition), so the group is never gathered.
@@ -239,11 +274,10 @@ def _select_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes:
     projection, so every pass below sees the same partitions.  Only the rows
     of one input partition (the one where the quota ends) are ranked.
     """
-    label = F.col(label_col)
     placed = hashed.select("*", F.spark_partition_id().alias("_pid"),
                            F.monotonically_increasing_id().alias("_pos"))
     pid = F.col("_pid")
-    wanted = straddle & _lookup(label, {c: True for c in takes}, False)
+    wanted = straddle & index.lookup({c: True for c in takes}, False)
     counts = (placed.filter(wanted).groupBy(label_col, "_pid")
               .agg(F.count(F.lit(1)).alias("_n")).collect())
     cut_pid, cut_take = {}, {}
@@ -255,15 +289,15 @@ def _select_straddle(hashed: DataFrame, label_col: str, straddle: Column, takes:
                 cut_pid[c], cut_take[c] = p, need - done
                 break
             done += n
-    pcut = _per_class(label, {c: F.lit(v) for c, v in cut_pid.items()}, F.lit(None).cast("int"))
+    pcut = index.lookup(cut_pid, None, "int")
     # partitions before the cut are selected, after it not
     decided = chosen.when(straddle & pcut.isNull(), True).when(straddle & (pid != pcut), pid < pcut)
     in_cut = wanted & (pid == pcut)
     main = placed.filter(~in_cut.eqNullSafe(True)).withColumn(flag_col, F.coalesce(decided, F.lit(False)))
     # in the cut partition, the first rows by position are selected
     rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_pos"))
-    edge = placed.filter(in_cut).withColumn(flag_col, rank <= _lookup(label, cut_take, 0))
-    return main.unionByName(edge).drop("_h", "_bin", "_rh", "_rtop", "_pid", "_pos")
+    edge = placed.filter(in_cut).withColumn(flag_col, rank <= index.lookup(cut_take, 0, "long"))
+    return main.unionByName(edge).drop("_h", "_bin", "_rh", "_rtop", "_pid", "_pos", "_ci")
 
 
 # --------------------------------------------------------------------------
@@ -308,18 +342,21 @@ def rebalance(
     total = n if total_rows is None else int(total_rows)
     weights = {c: float(target_shares[c]) * total / nc for c, nc in counts.items()}
 
+    index = ClassIndex(counts)
     if exact:
         targets = {c: int(math.floor(float(target_shares[c]) * total + 0.5)) for c in counts}
         base = {c: targets[c] // counts[c] for c in counts}
         extra = {c: targets[c] - base[c] * counts[c] for c in counts}
-        flagged = select_first(df, label_col, key_cols, extra, seed=seed, flag_col="_extra")
+        flagged = index.attach(select_first(df, label_col, key_cols, extra, seed=seed, flag_col="_extra"),
+                               label_col)
         with_copies = flagged.withColumn(
-            "_copies", (_lookup(F.col(label_col), base, 0).cast("long") + F.col("_extra").cast("long"))
-        ).drop("_extra")
+            "_copies", index.lookup(base, 0, "long") + F.col("_extra").cast("long")
+        ).drop("_extra", "_ci")
         weights = {c: float(base[c] + (1 if extra[c] else 0)) for c in counts}
     else:
         u = hash32(key_cols, seed) / F.lit(HASH_RANGE)
-        with_copies = df.withColumn("_copies", F.floor(_lookup(F.col(label_col), weights, 0.0) + u))
+        with_copies = index.attach(df, label_col).withColumn(
+            "_copies", F.floor(index.lookup(weights, 0.0, "double") + u)).drop("_ci")
     small = with_copies.filter((F.col("_copies") > 0) & (F.col("_copies") <= COPY_CHUNK)).withColumn(
         copy_col, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     )

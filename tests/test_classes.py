@@ -185,3 +185,20 @@ def test_rebalance_exact_counts(spark, skewed):
     assert counts == {0: int(0.6 * 3001 + 0.5), 1: int(0.25 * 3001 + 0.5), 2: int(0.15 * 3001 + 0.5)}
     per = out.toPandas().groupby("key")["copy"].agg(["min", "max", "count"])
     assert (per["min"] == 1).all() and (per["max"] == per["count"]).all()
+
+
+def test_many_classes_use_the_joined_index(spark):
+    assert C.LITERAL_CLASSES < 200
+    rows = [(k, k % 200) for k in range(6000)]
+    df = spark.createDataFrame(rows, "key long, label long")
+    out = C.stratified_split(df, "label", ["key"], train_percent=70, seed=3).toPandas()
+    src = pd.DataFrame(rows, columns=["key", "label"])
+    src["h"] = [_h32(3, k) for k in src.key]
+    for label, grp in src.groupby("label"):
+        quota = (len(grp) * 70) // 100
+        expect = set(grp.sort_values(["h", "key"]).key.iloc[:quota])
+        assert set(out[(out.label == label) & (out.split == "train")].key) == expect
+    shares = {c: 1 / 200 for c in range(200)}
+    reb = C.rebalance(df, "label", shares, ["key"], total_rows=8000, exact=True)
+    counts = {r["label"]: r["n_rows"] for r in C.class_counts(reb, "label", with_share=False).collect()}
+    assert set(counts.values()) == {40}
