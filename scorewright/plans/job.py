@@ -16,6 +16,10 @@ A ``source`` section reads files instead of a topic::
              max_files_per_trigger: 8, encode: [event_id, value, props]}
 
 ``encode`` turns table rows into JSON messages first, as a producer would.
+
+The ``schema`` section may also be the older flat form ``{column: type}``
+(double, string, integer, float; other names read as string), which parses
+each message with one struct schema.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.messages import encode_messages
-from ..operators.parse import parse_messages
+from ..operators.parse import parse_messages, parse_struct
 from ..operators.score import score
 from ..sources.files import stream_messages, stream_table
 from ..sources.kafka import read_kafka
@@ -108,7 +112,12 @@ def build(spark: SparkSession, config: Mapping, *, raw: DataFrame | None = None,
     """Source -> parse -> score.  ``raw`` replaces the configured source
     (any DataFrame with a ``value`` column, batch or stream)."""
     messages = raw if raw is not None else read_source(spark, config)
-    parsed = parse_messages(messages, config["schema"], passthrough=config.get("passthrough", ()))
+    schema = config["schema"]
+    if schema and all(isinstance(v, str) for v in schema.values()):
+        # the older flat form {column: type}: one struct schema per message
+        parsed = parse_struct(messages, schema)
+    else:
+        parsed = parse_messages(messages, schema, passthrough=config.get("passthrough", ()))
     if config.get("model"):
         return score(parsed, config["model"], model=model)
     return parsed
