@@ -3,8 +3,8 @@
 All of them need the number of rows per class first.  That is one
 aggregation with map-side partial counts, and its result has one row per
 class, so it is collected (with a checked upper bound) and turned into
-literal expressions: the per-row work that follows stays map-only, with no
-join and no shuffle of the data.
+per-class parameters read through a :class:`ClassIndex`: the per-row work
+that follows stays map-only, with no shuffle of the data.
 """
 
 from __future__ import annotations
