@@ -100,7 +100,7 @@ def test_progress_listener(spark, scratch):
         run_until_done(job.start(spark, cfg, model=ThresholdRule("value", 50.0)), 600)
         import time
 
-        for _ in range(50):
+        for _ in range(300):
             if collector.reports:
                 break
             time.sleep(0.1)
