@@ -125,3 +125,26 @@ def test_older_flat_schema_config(spark):
     out = job.build(spark, cfg, raw=raw, model=ThresholdRule("V1", 0.0))
     row = out.collect()[0]
     assert (row["Time"], row["V1"], row["Amount"], row["Note"], row["prediction"]) == (0.0, -1.359, 149.62, "7", 0)
+
+
+def test_training_job_cli(spark, scratch, capsys):
+    from pyspark.sql import functions as F
+
+    from scorewright.plans import train_job
+    from scorewright.streaming.sinks import write_batch
+
+    li = spark.read.parquet(f"{SF}/../sf0.001/lineitem.parquet").select(
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("Class"))
+    write_batch(li, {"format": "csv", "options": {"path": f"{scratch}/data", "header": "true"}})
+    code = train_job.main(["--input", f"{scratch}/data", "--label", "Class",
+                           "--model-out", f"{scratch}/model", "--report-out", f"{scratch}/report",
+                           "--num-trees", "5", "--max-depth", "3"])
+    assert code == 0
+    out = capsys.readouterr().out
+    assert '"accuracy"' in out and '"weighted avg"' in out
+    cfg = {"type": "spark_mllib", "path": f"{scratch}/model",
+           "features": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]}
+    from scorewright.operators.score import score
+
+    assert score(li, cfg).count() == li.count()
