@@ -577,6 +577,23 @@ def q_stream_restart(spark, sf_dir):
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
 
+@register("q_stream_trigger")
+def q_stream_trigger(spark, sf_dir):
+    """K6 with a periodic trigger: the query runs on a processing-time
+    schedule until everything available is processed, then is stopped."""
+    out = shared_dir(spark, "q_stream_trigger")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["sink"]["trigger"] = {"processingTime": "1 second"}
+    query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(f"streaming query failed: {query.exception()}")
+    return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
+
+
 @register("q_stream_batches")
 def q_stream_batches(spark, sf_dir):
     """foreachBatch with the batch writer; each micro-batch replaces its own

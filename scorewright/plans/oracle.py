@@ -309,3 +309,5 @@ SQL["q_rebalance_exact"] = _rebalance_exact_sql()
 SQL["q_csv_table"] = "SELECT doc_id, quality, toxic FROM labels"
 
 SQL["q_page_files"] = SQL["q_page_vars"]
+
+SQL["q_stream_trigger"] = SQL["q_score_rows"]
