@@ -86,6 +86,9 @@ def ship_package(spark: SparkSession) -> None:
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
+    # The zip is staged on the driver only: addPyFile serves it to every
+    # executor through Spark's own file distribution, so no executor ever
+    # reads this folder (it is not scratch shared with the cluster).
     out_dir = tempfile.mkdtemp(prefix="scorewright-pyfiles-")
     target = os.path.join(out_dir, "scorewright.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
