@@ -440,6 +440,10 @@ def q_page_files(spark, sf_dir):
 
     out = shared_dir(spark, "q_page_files")
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    # Turning the table into one file per page is only how this query gets
+    # file-per-document input from a table; in production the pages already
+    # are files and only read_documents runs.  (A folder per key is not a
+    # layout to use for large tables.)
     write_batch(pages, {"format": "text", "partitionBy": ["page_id"], "options": {"path": out}})
     docs = read_documents(spark, f"{out}/page_id=*/*.txt")
     return docs.select(
