@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 BINS = 65536
 MAX_LEVELS = 64
 # The state (one row per group, metric and percentile) is broadcast to the
@@ -66,6 +68,7 @@ def exact_percentiles(df: DataFrame, value_col: str, percentiles: Sequence[float
 
 def _persist(df: DataFrame) -> DataFrame:
     """Cut lineage: a reliable checkpoint in the session's checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -63,6 +63,27 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), "scorewright", *parts, uuid.uuid4().hex])
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder for ``DataFrame.checkpoint``.
+
+    Read from the session; only a local session without one (tests) gets a
+    folder under ``/tmp``.  A cluster session without it is an error: a
+    machine-local folder would not survive a lost executor.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = _conf(spark, "spark.checkpoint.dir")
+    if not base:
+        master = _conf(spark, "spark.master") or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = os.path.join("/tmp", "scorewright-checkpoints")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
+
+
 _SHIPPED: set[str] = set()
 
 
