@@ -135,3 +135,20 @@ def test_text_features_keep_their_type(spark):
     df = spark.createDataFrame([("click", 1), ("error", 2), (None, 3)], "event_type string, n int")
     out = score(df, {"features": ["event_type", "n"]}, model=CategoryRule("event_type", {"error"}))
     assert {r["event_type"]: r["prediction"] for r in out.collect()} == {"click": 0, "error": 1, None: 0}
+
+
+def test_spark_ml_model_scores_a_stream(spark, scratch):
+    from scorewright.operators.train import save_model, train_random_forest
+    from scorewright.streaming.sinks import run_until_done, write_stream
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    labelled = events.withColumn("big", (events.value > 100).cast("int"))
+    path = save_model(train_random_forest(labelled, ["value"], "big", num_trees=3, max_depth=2), f"{scratch}/m")
+    stream = spark.readStream.schema(events.schema).parquet("/root/testdata/sf0.001/events*.parquet")
+    scored = score(stream, {"type": "spark_mllib", "path": path, "features": ["value"]})
+    sink = {"format": "parquet", "checkpointLocation": f"{scratch}/ck", "options": {"path": f"{scratch}/out"},
+            "trigger": {"availableNow": True}}
+    run_until_done(write_stream(scored.select("event_id", "value", "prediction"), sink), 600)
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.count() == events.count()
+    assert out.filter("(value > 100) = (prediction = 1.0)").count() / out.count() > 0.95
