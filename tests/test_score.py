@@ -154,11 +154,6 @@ def test_spark_ml_model_scores_a_stream(spark, scratch):
     assert out.filter("(value > 100) = (prediction = 1.0)").count() / out.count() > 0.95
 
 
-class _NanFlag:
-    def predict(self, features):
-        return features["V1"].isna().to_numpy().astype("int32")
-
-
 def test_null_features_reach_the_model_as_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "V1 double")
     out = score(df, {"features": ["V1"]}, model=ThresholdRule("V1", 0.0))  # NaN > 0 is False
