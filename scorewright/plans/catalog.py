@@ -34,7 +34,7 @@ from ..operators.timeline import (
 )
 from ..operators.train import load_model, save_model, train_random_forest
 from ..session import SPREAD_CAP, shared_dir, spread, spread_scan
-from ..streaming.progress import progress_frame, summarize
+from ..streaming.progress import operation_means_from_progress, progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream
 from . import configs, job
 
@@ -711,3 +711,17 @@ def q_telemetry_summary(spark, sf_dir):
     query = _run_stream(spark, cfg, None)
     tele = progress_frame(spark, query.recentProgress).filter(F.col("Input_Rows") > 0)
     return summarize(tele, ["Batch_Duration_ms", "Input_Rows"])
+
+
+@register("q_telemetry_operations")
+def q_telemetry_operations(spark, sf_dir):
+    """A7 from A9: mean duration of each streaming operation over the
+    micro-batches of a scoring stream over the events message files."""
+    out = shared_dir(spark, "q_telemetry_operations")
+    msgs = encode_messages(table(spark, sf_dir, "events", spread_rows=True),
+                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
+    msgs.write.text(f"{out}/topic")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
+    query = _run_stream(spark, cfg, None)
+    return operation_means_from_progress(progress_frame(spark, query.recentProgress))

@@ -76,6 +76,15 @@ def progress_frame(spark: SparkSession, progress: Iterable) -> DataFrame:
     ).drop("reported_at")
 
 
+def operation_means_from_progress(progress: DataFrame, *, decimals: int = 2) -> DataFrame:
+    """A7 from live telemetry: mean duration per streaming operation
+    (``addBatch``, ``getBatch``, ``queryPlanning``, ``walCommit``, ...)
+    over the progress rows, rounded like the chart-based
+    :func:`..operators.timeline.operation_means`."""
+    ops = progress.select(F.explode("duration_ms").alias("operation", "ms"))
+    return ops.groupBy("operation").agg(F.round(F.avg(F.col("ms").cast("double")), decimals).alias("mean_ms"))
+
+
 class ProgressCollector(StreamingQueryListener):
     """Keeps the last ``max_reports`` progress reports of every query."""
 

@@ -44,3 +44,12 @@ def test_progress_frame(spark):
                 "durationMs": {"triggerExecution": 1478, "addBatch": 900}}]
     row = progress_frame(spark, reports).collect()[0]
     assert row["Batch_Duration_ms"] == 1478.0 and row["Input_Rows"] == 5.0 and row["batch_id"] == 3
+
+
+def test_operation_means_from_progress(spark):
+    from scorewright.streaming.progress import operation_means_from_progress
+
+    reports = [{"id": "q", "batchId": i, "timestamp": "2026-07-08T15:13:19.079Z", "numInputRows": 5,
+                "durationMs": {"addBatch": 100 * (i + 1), "walCommit": 4}} for i in range(3)]
+    got = {r["operation"]: r["mean_ms"] for r in operation_means_from_progress(progress_frame(spark, reports)).collect()}
+    assert got == {"addBatch": 200.0, "walCommit": 4.0}
