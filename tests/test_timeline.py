@@ -53,3 +53,18 @@ def test_operation_means_from_progress(spark):
                 "durationMs": {"addBatch": 100 * (i + 1), "walCommit": 4}} for i in range(3)]
     got = {r["operation"]: r["mean_ms"] for r in operation_means_from_progress(progress_frame(spark, reports)).collect()}
     assert got == {"addBatch": 200.0, "walCommit": 4.0}
+
+
+def test_metrics_job_cli(spark, scratch, capsys):
+    import json
+
+    from scorewright.plans import metrics_job
+
+    for i, page in enumerate([PAGE_A, PAGE_B]):
+        with open(f"{scratch}/page{i}.html", "w") as fh:
+            fh.write(page)
+    assert metrics_job.main(["--pages", f"{scratch}/*.html"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["means"]["Input Rate (records/sec)"] == 7.0
+    assert out["means"]["Input Rows (records/batch)"] is None
+    assert out["operations"] == {"addBatch": 900.0, "getBatch": 10.0, "walCommit": 3.0}
