@@ -34,6 +34,7 @@ from ..operators.timeline import (
 )
 from ..operators.train import load_model, save_model, train_random_forest
 from ..session import SPREAD_CAP, shared_dir, spread, spread_scan
+from ..sources.files import write_message_files
 from ..streaming.progress import operation_means_from_progress, progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream
 from . import configs, job
@@ -56,10 +57,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *, spread_rows: bool = Fa
     return spread_scan(df) if spread_rows else df
 
 
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events rows as JSON messages in a binary ``value`` column."""
     events = table(spark, sf_dir, "events", spread_rows=True)
-    return encode_messages(events, ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    return encode_messages(events, EVENT_COLUMNS)
 
 
 # --------------------------------------------------------------------------
@@ -663,9 +667,7 @@ def q_stream_text(spark, sf_dir):
     """Messages as JSON-lines files (the stand-in for a topic): the events
     are written once as message text, then streamed, parsed and scored."""
     out = shared_dir(spark, "q_stream_text")
-    msgs = encode_messages(table(spark, sf_dir, "events"),
-                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
-    msgs.write.mode("overwrite").text(f"{out}/topic")
+    write_message_files(table(spark, sf_dir, "events"), EVENT_COLUMNS, f"{out}/topic", mode="overwrite")
     cfg = stream_job_config(sf_dir, out)
     cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 4}
     _run_stream(spark, cfg, None)
@@ -703,9 +705,7 @@ def q_telemetry_summary(spark, sf_dir):
     """A10 over A9: summary of the batch telemetry of a scoring stream that
     reads the events as message files, one file per micro-batch."""
     out = shared_dir(spark, "q_telemetry_summary")
-    msgs = encode_messages(table(spark, sf_dir, "events", spread_rows=True),
-                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
-    msgs.write.text(f"{out}/topic")
+    write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
     cfg = stream_job_config(sf_dir, out)
     cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
     query = _run_stream(spark, cfg, None)
@@ -718,9 +718,7 @@ def q_telemetry_operations(spark, sf_dir):
     """A7 from A9: mean duration of each streaming operation over the
     micro-batches of a scoring stream over the events message files."""
     out = shared_dir(spark, "q_telemetry_operations")
-    msgs = encode_messages(table(spark, sf_dir, "events", spread_rows=True),
-                           ["event_id", "ts", "user_id", "event_type", "value", "props"], as_binary=False)
-    msgs.write.text(f"{out}/topic")
+    write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
     cfg = stream_job_config(sf_dir, out)
     cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
     query = _run_stream(spark, cfg, None)

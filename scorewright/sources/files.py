@@ -71,3 +71,13 @@ def read_documents(spark: SparkSession, path: str, *, name_col: str = "path") ->
 
     df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias(name_col), F.col("value").alias("html"))
+
+
+def write_message_files(df: DataFrame, columns, path: str, *, mode: str = "errorifexists") -> str:
+    """The producer side of a file-based topic: ``df``'s rows as JSON
+    messages, one per line, one file per partition (so a stream with
+    ``maxFilesPerTrigger`` replays them batch by batch)."""
+    from ..functions.messages import encode_messages
+
+    encode_messages(df, list(columns), as_binary=False).write.mode(mode).text(path)
+    return path
