@@ -16,8 +16,15 @@ from pyspark.sql import functions as F
 from .score import assemble
 
 
+# The forest of the original training step (20 trees,
+# depth 5, seed 42).
+FOREST_TREES = 20
+FOREST_DEPTH = 5
+FOREST_SEED = 42
+
+
 def train_random_forest(train: DataFrame, features: Sequence[str], label_col: str, *,
-                        num_trees: int = 20, max_depth: int = 5, seed: int = 42,
+                        num_trees: int = FOREST_TREES, max_depth: int = FOREST_DEPTH, seed: int = FOREST_SEED,
                         handle_invalid: str = "skip"):
     """Fit a random forest (defaults: 20 trees, depth 5, seed 42)."""
     from pyspark.ml import Pipeline

@@ -335,6 +335,8 @@ def q_class_filter(spark, sf_dir):
 # A1: stratified split
 # --------------------------------------------------------------------------
 
+# The original's split (80 % train, seed 42) and the 20 %
+# minority share of its high-volume producer.
 SPLIT_SEED = 42
 
 
@@ -364,7 +366,7 @@ def q_split_events(spark, sf_dir):
 # A5: rebalancing
 # --------------------------------------------------------------------------
 
-TOXIC_SHARES = {0: 0.8, 1: 0.2}
+TOXIC_SHARES = {0: 0.8, 1: 0.2}  # fixed value: 20 % minority share (see above)
 
 
 @register("q_rebalance")
