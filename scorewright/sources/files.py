@@ -27,7 +27,9 @@ def read_messages(spark: SparkSession, path: str, *, fmt: str = "text", value_co
 def stream_messages(spark: SparkSession, path: str, *, fmt: str = "text",
                     max_files_per_trigger: int | None = None, schema: StructType | None = None) -> DataFrame:
     """Stream of messages from files arriving in ``path`` (one file may be
-    many messages); the streaming twin of :func:`read_messages`."""
+    many messages); the streaming twin of :func:`read_messages`.  For
+    parquet/orc message files pass ``schema`` when the folder may start
+    empty (it is otherwise read from the files already there)."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -42,7 +44,7 @@ def stream_table(spark: SparkSession, path: str, *, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, schema: StructType | None = None,
                  options: Mapping[str, str] | None = None) -> DataFrame:
     """A table's rows as a stream (S5).  The schema is taken from the files
-    (metadata only) unless given."""
+    (metadata only) unless given; pass it when the folder may start empty."""
     if schema is None:
         schema = spark.read.format(fmt).load(path).schema
     reader = spark.readStream.schema(schema).format(fmt)
