@@ -148,3 +148,20 @@ def test_training_job_cli(spark, scratch, capsys):
     from scorewright.operators.score import score
 
     assert score(li, cfg).count() == li.count()
+
+
+def test_batch_mode_equals_stream(spark, scratch):
+    import pickle
+
+    import yaml
+
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["sink"] = {"format": "parquet", "options": {"path": f"{scratch}/batch_out"}}
+    cfg["model"] = {"type": "pickle", "path": f"{scratch}/rule.pkl", "features": ["value"]}
+    with open(f"{scratch}/rule.pkl", "wb") as fh:
+        pickle.dump(ThresholdRule("value", 50.0), fh)
+    with open(f"{scratch}/job.yaml", "w") as fh:
+        yaml.safe_dump(cfg, fh)
+    assert job.main(["--config", f"{scratch}/job.yaml", "--batch"]) == 0
+    batch = spark.read.parquet(f"{scratch}/batch_out")
+    assert _rows(batch) == _rows(catalog.scored_events(spark, SF))
