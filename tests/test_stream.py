@@ -165,3 +165,19 @@ def test_batch_mode_equals_stream(spark, scratch):
     assert job.main(["--config", f"{scratch}/job.yaml", "--batch"]) == 0
     batch = spark.read.parquet(f"{scratch}/batch_out")
     assert _rows(batch) == _rows(catalog.scored_events(spark, SF))
+
+
+def test_derived_checkpoint_resumes_by_query_name(spark, scratch):
+    import uuid
+
+    name = f"resume_{uuid.uuid4().hex[:12]}"
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["sink"] = {"format": "parquet", "options": {"path": f"{scratch}/named"},
+                   "trigger": {"availableNow": True}}  # no checkpointLocation
+    for _ in range(2):
+        query = job.start(spark, cfg, model=ThresholdRule("value", 50.0), query_name=name)
+        run_until_done(query, 600)
+    assert spark.read.parquet(f"{scratch}/named").count() == 1000
+    from scorewright.streaming.sinks import checkpoint_for
+
+    assert checkpoint_for(spark.range(1), {}, name).endswith(f"/scorewright/streams/{name}")
