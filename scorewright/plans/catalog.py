@@ -594,16 +594,32 @@ def q_stream_trigger(spark, sf_dir):
     out = shared_dir(spark, "q_stream_trigger")
     cfg = stream_job_config(sf_dir, out)
     cfg["sink"]["trigger"] = {"processingTime": "1 second"}
+    expected = table(spark, sf_dir, "events").count()  # from the file footers
     query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
     try:
-        query.processAllAvailable()
+        _wait_for_rows(query, expected, STREAM_TIMEOUT_S)
     finally:
         query.stop()
-    if query.exception() is not None:
-        raise RuntimeError(f"streaming query failed: {query.exception()}")
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
 
+def _wait_for_rows(query, expected: int, timeout_s: float) -> None:
+    """Bounded wait for a continuously triggered query: until its progress
+    reports ``expected`` input rows (or it fails, or the time is up)."""
+    import time
+
+    deadline = time.monotonic() + timeout_s
+    while time.monotonic() < deadline:
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {query.exception()}")
+        done = sum(int(p["numInputRows"]) if isinstance(p, dict) else int(p.numInputRows)
+                   for p in query.recentProgress)
+        if done >= expected and not query.status["isTriggerActive"]:
+            return
+        time.sleep(0.5)
+    raise TimeoutError(f"streaming query did not process {expected} rows in {timeout_s}s")
+
+
 @register("q_stream_batches")
 def q_stream_batches(spark, sf_dir):
     """foreachBatch with the batch writer; each micro-batch replaces its own
