@@ -1,5 +1,6 @@
 """Batch = stream, restart on one checkpoint, progress rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorewright.operators.score import ThresholdRule
@@ -181,3 +182,16 @@ def test_derived_checkpoint_resumes_by_query_name(spark, scratch):
     from scorewright.streaming.sinks import checkpoint_for
 
     assert checkpoint_for(spark.range(1), {}, name).endswith(f"/scorewright/streams/{name}")
+
+
+@pytest.mark.parametrize("fmt", ["memory", "console"])
+def test_native_sinks_run(spark, scratch, fmt):
+    import uuid
+
+    name = f"sink_{fmt}_{uuid.uuid4().hex[:8]}"
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["sink"] = {"format": fmt, "checkpointLocation": f"{scratch}/ck", "trigger": {"availableNow": True},
+                   "options": {"numRows": "2"} if fmt == "console" else {}}
+    run_until_done(job.start(spark, cfg, model=ThresholdRule("value", 50.0), query_name=name), 600)
+    if fmt == "memory":
+        assert spark.table(name).count() == 1000
