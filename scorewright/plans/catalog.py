@@ -36,7 +36,7 @@ from ..operators.train import load_model, save_model, train_random_forest
 from ..session import SPREAD_CAP, shared_dir, spread, spread_scan
 from ..sources.files import write_message_files
 from ..streaming.progress import operation_means_from_progress, progress_frame, summarize
-from ..streaming.sinks import foreach_batch_writer, run_until_done, write_stream
+from ..streaming.sinks import foreach_batch_writer, run_until_done, to_kafka_records, write_stream
 from . import configs, job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -741,3 +741,13 @@ def q_telemetry_operations(spark, sf_dir):
     cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
     query = _run_stream(spark, cfg, None)
     return operation_means_from_progress(progress_frame(spark, query.recentProgress))
+
+
+@register("q_parse_records")
+def q_parse_records(spark, sf_dir):
+    """Kafka-shaped records (key + JSON value, as the producer side writes
+    them): parse the value and keep the record key next to the columns."""
+    events = table(spark, sf_dir, "events", spread_rows=True)
+    records = to_kafka_records(events, key="event_id", columns=EVENT_COLUMNS)
+    parsed = parse_messages(records, _EVENT_BASE, passthrough=["key"])
+    return parsed.select("event_id", "event_type", "value", F.col("key").cast("string").alias("record_key"))

@@ -311,3 +311,6 @@ SQL["q_csv_table"] = "SELECT doc_id, quality, toxic FROM labels"
 SQL["q_page_files"] = SQL["q_page_vars"]
 
 SQL["q_stream_trigger"] = SQL["q_score_rows"]
+
+SQL["q_parse_records"] = """
+    SELECT event_id, event_type, value, CAST(event_id AS VARCHAR) AS record_key FROM events"""
