@@ -44,7 +44,7 @@ LINEITEM_SCHEMA = {
     "qty_int": {"transform": "l_quantity", "type": "int"},
 }
 
-# The reference's own flat fraud-schema form (older parser) over events.
+# The older flat schema form ({column: type}) over events.
 EVENT_FLAT_SCHEMA = {
     "event_id": "double",
     "k_text": "integer",
