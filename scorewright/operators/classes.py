@@ -99,7 +99,9 @@ class ClassIndex:
         fallback = lit(default)
         if arr is None:
             return fallback
-        return F.coalesce(F.element_at(arr, F.col("_ci") + 1), fallback)
+        # get(): 0-based, and null (never an error) for a null index, so the
+        # coalesce below stays meaningful under ANSI mode
+        return F.coalesce(F.get(arr, F.col("_ci")), fallback)
 
 
 # --------------------------------------------------------------------------

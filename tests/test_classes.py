@@ -202,3 +202,13 @@ def test_many_classes_use_the_joined_index(spark):
     reb = C.rebalance(df, "label", shares, ["key"], total_rows=8000, exact=True)
     counts = {r["label"]: r["n_rows"] for r in C.class_counts(reb, "label", with_share=False).collect()}
     assert set(counts.values()) == {40}
+
+
+@pytest.mark.parametrize("n_classes", [3, 100])
+def test_class_index_defaults_for_unseen_classes(spark, n_classes):
+    index = C.ClassIndex(list(range(n_classes)))
+    df = spark.createDataFrame([(0,), (n_classes - 1,), (n_classes + 5,), (None,)], "label long")
+    out = index.attach(df, "label").select(
+        "label", index.lookup({c: c * 10 for c in range(n_classes)}, -1, "long").alias("v"))
+    got = {r["label"]: r["v"] for r in out.collect()}
+    assert got == {0: 0, n_classes - 1: (n_classes - 1) * 10, n_classes + 5: -1, None: -1}
