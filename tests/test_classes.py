@@ -212,3 +212,13 @@ def test_class_index_defaults_for_unseen_classes(spark, n_classes):
         "label", index.lookup({c: c * 10 for c in range(n_classes)}, -1, "long").alias("v"))
     got = {r["label"]: r["v"] for r in out.collect()}
     assert got == {0: 0, n_classes - 1: (n_classes - 1) * 10, n_classes + 5: -1, None: -1}
+
+
+def test_select_first_with_partial_take_dict(spark):
+    rows = [(k, k % 3) for k in range(300)]
+    df = spark.createDataFrame(rows, "key long, label long")
+    out = C.select_first(df, "label", ["key"], {0: 10, 1: 1000}, seed=9, flag_col="pick")
+    got = {r["label"]: r["n"] for r in out.filter("pick").groupBy("label").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {0: 10, 1: 100}  # class 2 is not in the dict: none; class 1 asks for more than it has
+    assert out.count() == 300
