@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewright.llm import sharding
+from scorewright.llm import rule_quality, sharding
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def query(fn):
 @query
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.pack(table(spark, sf_dir, "documents"), n_shards=24)
+
+
+@query
+def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
