@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewright.llm import rule_quality, sharding
+from scorewright.llm import license_scan, rule_quality, sharding
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,11 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_license_scan"] = license_scan.twin_sql()
