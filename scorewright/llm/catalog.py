@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewright.llm import license_scan, rule_quality, sharding
+from scorewright.llm import license_scan, rule_quality, sharding, simhash
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op8_license_scan"] = license_scan.twin_sql()
+
+
+@query
+def op9_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
