@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorewright.llm import license_scan, rule_quality, sharding, simhash
+from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,11 @@ SQL["op8_license_scan"] = license_scan.twin_sql()
 @query
 def op9_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), max_ratio=2.0)
+
+
+SQL["op6_temperature_mixing"] = mixing.twin_sql(max_ratio=2.0)
