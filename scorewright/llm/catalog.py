@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash
+from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,19 @@ def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op6_temperature_mixing"] = mixing.twin_sql(max_ratio=2.0)
+
+
+@query
+def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+SQL["op10_uniform_threshold"] = """
+WITH e AS (SELECT row_number() OVER () AS r, vec_id,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score,
+        row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id, c.r) AS rank
+      FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM s WHERE rank <= 5"""
