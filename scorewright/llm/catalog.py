@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk, vptree
+from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk, vptree, warc
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,20 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.pack(table(spark, sf_dir, "documents"), n_shards=24)
 
 
+@query
+def op2_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("file")
+
+
+SQL["op2_warc_writer"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)"""
+
+
 @query
 def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
