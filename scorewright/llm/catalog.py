@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk, vptree, warc
+from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk, vptree, warc, wavelet
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,18 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM p LEFT JOIN f USING (digest)"""
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op3_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 @query
 def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
