@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import license_scan, mixing, rule_quality, sharding, simhash, topk, vptree, warc, wavelet
+from scorewright.llm import license_scan, mixing, pieces, rule_quality, sharding, simhash, topk, vptree, warc, wavelet
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,11 @@ def op9_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep_ids=False)
+
+
 @query
 def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_ratio=2.0)
