@@ -10,8 +10,8 @@ What is placed is bounded whatever the input: a group above 1/``fine`` of a
 shard in some measure is an item of its own (at most ``3 * n_shards * fine``
 such groups exist), all smaller groups are bundled by the hash of their text
 into ``cells`` items.  Equal texts share a hash and therefore a bundle.  Only
-a group larger than a whole shard is cut, into pieces of at most half a
-shard, since no shard could hold it.  The driver sees these item vectors and
+a group larger than a whole shard is cut (into parts of about 1/``fine`` of a
+shard, which spread evenly), since no shard could hold it.  The driver sees these item vectors and
 nothing else of the data.
 """
 
@@ -39,7 +39,7 @@ def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
     return shard
 
 
-def _items(cells: list, heavy: dict[int, int], n_shards: int) -> tuple[list[list[int]], np.ndarray]:
+def _items(cells: list, n_shards: int) -> tuple[list[list[int]], np.ndarray]:
     """Cells (cell, size, tokens, rows, group) -> items: the cells of one
     heavy group stay together unless they outgrow a shard."""
     vec = np.array([[c["size"], c["tokens"], c["rows"]] for c in cells], dtype=float)
@@ -54,14 +54,7 @@ def _items(cells: list, heavy: dict[int, int], n_shards: int) -> tuple[list[list
         if (vec[members].sum(axis=0) <= capacity).all():
             items.append(members)
             continue
-        piece, load = [], np.zeros(vec.shape[1])
-        for i in members:
-            if piece and ((load + vec[i]) > capacity / 2).any():
-                items.append(piece)
-                piece, load = [], np.zeros(vec.shape[1])
-            piece.append(i)
-            load = load + vec[i]
-        items.append(piece)
+        items.extend([i] for i in members)
     return items, np.array([vec[m].sum(axis=0) for m in items])
 
 
@@ -112,7 +105,7 @@ def pack(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     cell_rows = (celled.groupBy("cell", "base").agg(*sums).orderBy("cell")).collect()
     plan = []
     if cell_rows:
-        items, vectors = _items(cell_rows, heavy, n_shards)
+        items, vectors = _items(cell_rows, n_shards)
         used = [0] * n_shards
         for item, shard in sorted(zip(items, place(vectors, n_shards).tolist()), key=lambda x: x[0][0]):
             for i in item:
