@@ -62,10 +62,14 @@ def build(points: np.ndarray, leaf: int = LEAF_ROWS) -> tuple[np.ndarray, np.nda
             continue
         ranked, radius, inside = split
         order[start:end] = rows[ranked]
-        nodes.append([start, end, start, radius, -1, -1])
+        nodes.append([start, end, corner, radius, -1, -1])
         todo.append((start + inside, end, me, 1))
         todo.append((start, start + inside, me, 0))
-    return order, np.array(nodes, dtype=np.float64).reshape(len(nodes), 6)
+    out = np.array(nodes, dtype=np.float64).reshape(len(nodes), 6)
+    inner = out[:, 2] >= 0
+    # subtrees have moved the vantage points since: where they are now
+    out[inner, 2] = np.argsort(order)[out[inner, 2].astype(np.int64)]
+    return order, out
 
 
 def search(points: np.ndarray, ids: np.ndarray, rids: np.ndarray, nodes: np.ndarray, queries: np.ndarray,
