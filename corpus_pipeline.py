@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, max_ratio=MAX_REPETITION, carry=docs.columns).select(*docs.columns)
+    return mixing.mix(docs, max_ratio=MAX_REPETITION, carry=docs.columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,10 +103,9 @@ def mix(docs: DataFrame, max_ratio: float | None = 2.0, entropy: float | None =
         source_col: str = "source", carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs`` and epoch in which it is read.
 
-    Returns the columns ``carry`` (default: id and source as ``doc_id`` and
-    ``source``), then ``n_tokens, weight, epoch, block, block_rank``: the
-    epoch from 0, the row's block and the block's place in the permutation of
-    that epoch.  ``budget`` is in tokens; without one every row is read at
+    Returns ``doc_id, source, n_tokens, weight, epoch, block, block_rank``:
+    the epoch from 0, the row's block and the block's place in the permutation
+    of that epoch; or, if given, just the columns ``carry`` of ``docs``.  ``budget`` is in tokens; without one every row is read at
     least once and nothing is dropped.
 
     Null sources form one source of their own; null ids and repeated rows are
@@ -154,6 +153,8 @@ def mix(docs: DataFrame, max_ratio: float | None = 2.0, entropy: float | None =
     copies = F.col("full") + F.when(F.col("whole") | within, 1).otherwise(0)
     read = joined.where(copies > 0).select("own", "source", "tokens", "weight", "block",
                                            F.explode(F.sequence(F.lit(0), copies - 1)).alias("epoch"))
+    if carry is not None:
+        return read.select("own.*")
     rank = _hash(F.lit(str(seed)), F.col("epoch").cast("string"), F.col("source"), F.col("block").cast("string"))
     return read.select("own.*", F.col("tokens").alias("n_tokens"), "weight", "epoch", "block",
                        rank.alias("block_rank"))

@@ -21,11 +21,10 @@ alternating star rounds.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scorewright.llm.common import discard, lower_ascii, ship_package, written
+from scorewright.llm.common import discard, lower_ascii, ship_package, temp_name, written
 
 BITS = 64
 RADIUS = 2
@@ -172,8 +171,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     least = prints.groupBy("print").agg(F.min(rank).alias("least"))
     rooted = least.join(_roots(prints), "print", "left").withColumn("root", F.coalesce("root", "print"))
+    kept_id, kept_hash, row_hash = temp_name("id"), temp_name("hash"), temp_name("row")
     kept = (rooted.groupBy("root").agg(F.min("least").alias("least"))
-            .select(F.col("least.id").alias("__kept_id"), F.col("least.hash").alias("__kept_hash")))
-    same = docs.withColumn("__row_hash", hashed)
-    joined = same.join(kept, same[id_col].eqNullSafe(kept["__kept_id"]) & (same["__row_hash"] == kept["__kept_hash"]))
-    return joined.dropDuplicates(["__kept_id", "__kept_hash"]).drop("__kept_id", "__kept_hash", "__row_hash")
+            .select(F.col("least.id").alias(kept_id), F.col("least.hash").alias(kept_hash)))
+    same = docs.withColumn(row_hash, hashed)
+    joined = same.join(kept, same[id_col].eqNullSafe(kept[kept_id]) & (same[row_hash] == kept[kept_hash]))
+    return joined.dropDuplicates([kept_id, kept_hash]).drop(kept_id, kept_hash, row_hash)
