@@ -24,11 +24,11 @@ from .operators.timeline import operation_means, timeline_means
 from .operators.train import load_model, save_model, train_random_forest
 from .sources.files import read_csv_table, read_documents, read_messages, stream_messages, stream_table
 from .sources.kafka import read_kafka, read_kafka_batch
-from .streaming.progress import ProgressCollector, progress_frame, summarize
+from .streaming.progress import ProgressLog, progress_frame, summarize
 from .streaming.sinks import foreach_batch_writer, run_until_done, write_batch, write_stream
 
 __all__ = [
-    "ProgressCollector",
+    "ProgressLog",
     "assemble",
     "class_counts",
     "classification_report",

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 32-bit hash range; unit_hash divides by it.
+# 32-bit hash range: a hash divided by it is in [0, 1).
 HASH_RANGE = 4294967296.0
 
 
@@ -31,11 +31,6 @@ def hash32(keys: Sequence[str | Column], seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def unit_hash(keys: Sequence[str | Column], seed: int = 42) -> Column:
-    """A value in [0, 1) derived from the key."""
-    return hash32(keys, seed) / F.lit(HASH_RANGE)
-
-
 def hash32_sql(key_sql: str, seed: int = 42) -> str:
     """The same hash as SQL text (used by the oracle queries)."""
     return (

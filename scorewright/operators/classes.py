@@ -1,25 +1,22 @@
 """Per-class operators: counts, filters, stratified split, rebalancing.
 
-All of them need the number of rows per class first.  That is one
-aggregation with map-side partial counts, and its result has one row per
-class, so it is collected (with a checked upper bound) and turned into
-per-class parameters read through a :class:`ClassIndex`: the per-row work
-that follows stays map-only, with no shuffle of the data.
+All of them need a few numbers per class (rows, quota, copies).  These are
+aggregated with map-side partial counts into a table with one row per class,
+and rows find their class's numbers by a join with it: Catalyst broadcasts
+the table while it is small and otherwise shuffles, with AQE splitting the
+partitions of large classes.  Nothing per class is collected.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.hashing import HASH_RANGE, hash32
-
-# Upper bound on the number of classes collected to the driver.
-MAX_CLASSES = 10_000
+from ..session import written_table
 
 
 # --------------------------------------------------------------------------
@@ -31,19 +28,11 @@ def class_counts(df: DataFrame, label_col: str, *, with_share: bool = True) -> D
     """Rows per class and each class's share of all rows (distributed)."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_rows"))
     if with_share:
-        total = F.sum("n_rows").over(Window.partitionBy())  # over the per-class rows only
+        total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
         counts = counts.withColumn("share", F.round(F.col("n_rows") / total, 6))
     return counts
 
 
-def collect_class_counts(df: DataFrame, label_col: str) -> dict:
-    """``{class: rows}`` on the driver; fails beyond ``MAX_CLASSES`` classes."""
-    rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} classes")
-    return {r[label_col]: r["n"] for r in rows}
-
-
 def filter_class(df: DataFrame, label_col: str, value) -> DataFrame:
     """Rows of one class (null selects the null class)."""
     cond = F.col(label_col).isNull() if value is None else F.col(label_col) == F.lit(value)
@@ -55,53 +44,17 @@ def split_features_label(df: DataFrame, label_col: str) -> tuple[DataFrame, Data
     return df.drop(label_col), df.select(label_col)
 
 
-# Up to this many classes the class index is a CASE expression; beyond it a
-# broadcast join with the (bounded, collected) class table.
-LITERAL_CLASSES = 64
-
+def class_table(df: DataFrame, label_col: str, values: Mapping, name: str, dtype: str) -> DataFrame:
+    """``{class: value}`` as a table ``_class, name``."""
+    schema = StructType([StructField("_class", df.schema[label_col].dataType, True)])
+    schema = schema.add(name, dtype)
+    return df.sparkSession.createDataFrame(list(values.items()), schema)
 
-class ClassIndex:
-    """A dense index over a bounded set of classes.
 
-    ``attach`` gives every row its class's position (``_ci``); ``lookup``
-    then reads a per-class parameter from a literal array at that position,
-    one array access per row however many classes there are.  Rows of a
-    class outside the set get the default.
-    """
-
-    def __init__(self, classes):
-        self.classes = list(dict.fromkeys(classes))
-        if len(self.classes) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
-
-    def attach(self, df: DataFrame, label_col: str) -> DataFrame:
-        label = F.col(label_col)
-        if len(self.classes) <= LITERAL_CLASSES:
-            ci = None
-            for i, c in enumerate(self.classes):
-                cond = label.isNull() if c is None else label == F.lit(c)
-                ci = F.when(cond, F.lit(i)) if ci is None else ci.when(cond, F.lit(i))
-            return df.withColumn("_ci", ci if ci is not None else F.lit(None).cast("int"))
-        dtype = df.schema[label_col].dataType
-        table = df.sparkSession.createDataFrame(
-            [(c, i) for i, c in enumerate(self.classes)],
-            StructType([StructField("_lbl", dtype, True), StructField("_ci", IntegerType(), False)]))
-        # the class table is bounded by MAX_CLASSES rows: safe to broadcast
-        joined = df.join(F.broadcast(table), label.eqNullSafe(F.col("_lbl")), "left")
-        return joined.drop("_lbl")
-
-    def lookup(self, values: Mapping, default, dtype=None) -> Column:
-        def lit(v):
-            c = v if isinstance(v, Column) else F.lit(v)
-            return c.cast(dtype) if dtype is not None else c
-
-        arr = F.array(*[lit(values.get(c, default)) for c in self.classes]) if self.classes else None
-        fallback = lit(default)
-        if arr is None:
-            return fallback
-        # get(): 0-based, and null (never an error) for a null index, so the
-        # coalesce below stays meaningful under ANSI mode
-        return F.coalesce(F.get(arr, F.col("_ci")), fallback)
+def with_class(df: DataFrame, label_col: str, per_class: DataFrame, how: str = "left") -> DataFrame:
+    """``df`` with the columns of ``per_class`` (key ``_class``; null is a
+    class of its own)."""
+    return df.join(per_class, F.col(label_col).eqNullSafe(F.col("_class")), how).drop("_class")
 
 
 # --------------------------------------------------------------------------
@@ -120,129 +73,95 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], *, train_percent: int = 8
     bucket = F.pmod(hash32(list(key_cols), seed), F.lit(100))
     return df.withColumn(split_col, F.when(bucket < train_percent, F.lit("train")).otherwise(F.lit("test")))
 
-# Rows are ordered by (hash of key, key, hash of the whole row).  The first
-# level cuts the 32-bit key hash into 2**20 bins; the second level splits
-# the edge bin by exact key and the top 20 bits of the row hash.
+
+# Rows are ordered by (hash of key, key, hash of row, hash of row id, row id);
+# a level cuts a 32-bit or 63-bit hash into 2**20 bins.
 _BIN_SHIFT = 12
-_ROW_SHIFT = 44
+_ROW_SHIFT = 43
 
 
-def _edges(hist: DataFrame, label_col: str, order_cols: Sequence[str], take: Column) -> dict:
-    """Per class, the first bucket (in ``order_cols`` order) that the class's
-    train quota does not cover, and how many of its rows still go to train.
+def _edge(hist: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Per class the bucket (in ``order``) in which its first ``_take`` rows
+    end, with what is still to take there.  ``hist`` has one row per (class,
+    bucket) with the row count ``_n``; its size is bounded by the bucketing,
+    never by a hot key."""
+    upto = Window.partitionBy("_class").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_n").over(upto) - F.col("_n")
+    return (hist.withColumn("_before", before)
+            .filter((F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("_n")))
+            .select("_class", *order, (F.col("_take") - F.col("_before")).alias("_take")))
 
-    ``hist`` has one row per (class, bucket) with the bucket's row count
-    ``_n``; its size is bounded by the bucketing, never by a hot key.
-    Returns ``{class: (bucket values, rows to take from it)}``.
-    """
-    upto = Window.partitionBy(label_col).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = hist.withColumn("_cum", F.sum("_n").over(upto)).withColumn("_take", take)
-    rows = (
-        ranked.filter(F.col("_cum") > F.col("_take"))
-        .groupBy(label_col)
-        .agg(F.min(F.struct(*order_cols, "_cum", "_n", "_take")).alias("e"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} classes")
-    out = {}
-    for r in rows:
-        e = r["e"]
-        out[r[label_col]] = (tuple(e[c] for c in order_cols), e["_take"] - (e["_cum"] - e["_n"]))
-    return out
-
-
-def _tuple_lit(values: Sequence, cols: Sequence[str], schema) -> Column:
-    return F.struct(*[F.lit(v).cast(schema[c].dataType).alias(c) for v, c in zip(values, cols)])
+
+def _in_bucket(rows: DataFrame, edge: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows of the classes' edge buckets, with ``_take``."""
+    names = ["_class", *order]
+    found = edge.select(*[F.col(c).alias(f"_at{c}") for c in names], "_take")
+    cond = F.lit(True)
+    for c in names:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_at{c}"))
+    return rows.drop("_take").join(found, cond).drop(*[f"_at{c}" for c in names])
 
 
 def select_first(
     df: DataFrame,
     label_col: str,
     key_cols: Sequence[str],
-    take: Mapping | Column,
+    take: Mapping | Column | DataFrame,
     *,
     seed: int = 42,
     flag_col: str = "_selected",
 ) -> DataFrame:
-    """Flag, per class, exactly ``take`` rows: the first ones in the order
-    (md5 hash of seed and key, key, hash of the row).
-
-    ``take`` is ``{class: rows}`` or a column over the per-class bin
-    histogram (``_n`` rows per bin; e.g. a share of the class total).
-    Nothing is sorted and no class is gathered in one task: a histogram of
-    2**20 hash bins per class locates the one bin where each quota ends;
-    inside it a second histogram over (key, top bits of the row hash)
-    narrows to one bucket, whose rows are grouped by row hash.  Only when
-    identical rows straddle a quota are they allocated by counts per input
-    partition.  Every other row is decided by comparing with per-class
-    parameters (a :class:`ClassIndex` lookup), map-side.  For unique keys
-    the input is read three times (two histograms, one output pass).
+    """Flag, per class, exactly ``take`` rows (all, if it has fewer): the
+    first ones in the order (md5 hash of seed and key, key, hash of the row,
+    and for identical rows a hash of their row id).
+
+    ``take`` is ``{class: rows}`` (classes not named take none), the same as a
+    table ``_class, _take``, or a column over the class's row count ``_rows``.  The rows are written once with
+    their row id, so every pass sees the same rows.  Nothing is sorted and no
+    class is gathered in one task: a histogram of 2**20 hash bins per class
+    locates the bin where each quota ends, inside it one of the keys, inside
+    a repeated key one bin of the row hash, inside identical rows one bin of
+    the row id's hash, and only that last bin is ranked.  The row found there is the class's cut; every row is then
+    flagged by comparing with its class's cut.
     """
     keys = list(key_cols)
-    hashed = (
-        df.withColumn("_h", hash32(keys, seed))
-        .withColumn("_bin", F.shiftright(F.col("_h"), _BIN_SHIFT))
-        .withColumn("_rh", F.xxhash64(*[F.col(c) for c in df.columns]))
-        .withColumn("_rtop", F.shiftrightunsigned(F.col("_rh"), _ROW_SHIFT))
-    )
-    schema = hashed.schema
-
-    # level 1: hash bins
-    hist1 = hashed.groupBy(label_col, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    placed = written_table(df.withColumn("_rid", F.monotonically_increasing_id()), "select-first")
+    hashed = (placed.withColumn("_h", hash32(keys, seed))
+              .withColumn("_rh", F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in df.columns]), 1))
+              .withColumn("_rz", F.shiftrightunsigned(F.xxhash64("_rid"), 1)))
+    narrow = hashed.select(F.col(label_col).alias("_class"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           "_h", "_rh", "_rz", "_rid")
+    key_order = [f"_k{i}" for i in range(len(keys))]
+
+    # how many rows of each class
+    counts = narrow.groupBy("_class").agg(F.count(F.lit(1)).alias("_rows"))
     if isinstance(take, Column):
-        take1 = take
-    else:
-        takes = dict(take)
-        index0 = ClassIndex(takes)
-        hist1 = index0.attach(hist1, label_col)
-        take1 = index0.lookup(takes, 0, "long")
-    e1 = _edges(hist1, label_col, ["_bin"], take1)
-
-    # One index over the classes that have an edge; the others take every row.
-    index = ClassIndex(e1)
-    hashed = index.attach(hashed, label_col)
-    cut1 = index.lookup({c: v[0][0] for c, v in e1.items()}, None, "long")
-    at1 = F.col("_bin") == cut1
-    chosen = F.when(cut1.isNull(), True).when(F.col("_bin") != cut1, F.col("_bin") < cut1)
-
-    # level 2: inside the edge bin, exact (hash, key) and the row hash's top bits
-    go2 = {c: v[1] for c, v in e1.items() if v[1] > 0}
-    order2 = ["_h", *keys, "_rtop"]
-    if go2:
-        rows2 = hashed.filter(at1 & index.lookup({c: True for c in go2}, False))
-        hist2 = rows2.groupBy(label_col, "_ci", *order2).agg(F.count(F.lit(1)).alias("_n"))
-        e2 = _edges(hist2, label_col, order2, index.lookup(go2, 0, "long"))
-        tuple_type = StructType([schema[c] for c in order2])
-        cut2 = index.lookup({c: _tuple_lit(v[0], order2, schema) for c, v in e2.items()},
-                            F.lit(None).cast(tuple_type))
-        tup2 = F.struct(*order2)
-        at2 = at1 & (tup2 == cut2)
-        chosen = chosen.when(at1 & cut2.isNull(), False).when(at1 & (tup2 != cut2), tup2 < cut2)
-
-        # level 3: inside that bucket, by full row hash; identical rows tie
-        go3 = {c: v[1] for c, v in e2.items() if v[1] > 0}
-        if go3:
-            rows3 = hashed.filter(at2 & index.lookup({c: True for c in go3}, False))
-            hist3 = rows3.groupBy(label_col, "_ci", "_rh").agg(F.count(F.lit(1)).alias("_n"))
-            e3 = _edges(hist3, label_col, ["_rh"], index.lookup(go3, 0, "long"))
-            cut3 = index.lookup({c: v[0][0] for c, v in e3.items()}, None, "long")
-            at3 = at2 & (F.col("_rh") == cut3)
-            chosen = chosen.when(at2 & cut3.isNull(), False).when(at2 & (F.col("_rh") != cut3),
-                                                                  F.col("_rh") < cut3)
-            go4 = {c: v[1] for c, v in e3.items() if v[1] > 0}
-            if go4:
-                return _select_straddle(hashed, label_col, index, at3, go4, chosen, flag_col)
-            chosen = chosen.when(at3, False)
-        else:
-            chosen = chosen.when(at2, False)
+        takes = counts.withColumn("_take", take)
     else:
-        chosen = chosen.when(at1, False)
-
-    out = hashed.withColumn(flag_col, F.coalesce(chosen, F.lit(False)))
-    return out.drop("_h", "_bin", "_rh", "_rtop", "_ci")
+        wanted = take if isinstance(take, DataFrame) else class_table(df, label_col, take, "_take", "long")
+        wanted = wanted.withColumnRenamed("_class", "_named")
+        takes = counts.join(wanted, F.col("_class").eqNullSafe(F.col("_named"))).drop("_named")
+    takes = takes.select("_class", F.least("_take", "_rows").cast("long").alias("_take")).filter("_take > 0")
+
+    def histogram(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+        return rows.groupBy("_class", *order, "_take").agg(F.count(F.lit(1)).alias("_n"))
+
+    by_bin = narrow.withColumn("_bin", F.shiftright(F.col("_h"), _BIN_SHIFT))
+    bins = by_bin.groupBy("_class", "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    bins = _in_bucket(bins, takes, []).select("_class", "_bin", "_n", "_take")
+    rows = _in_bucket(by_bin, _edge(bins, ["_bin"]), ["_bin"])
+    rows = written_table(rows.withColumn("_rbin", F.shiftright(F.col("_rh"), _ROW_SHIFT)).withColumn(
+        "_zbin", F.shiftright(F.col("_rz"), _ROW_SHIFT)), "select-first")
+    for order in (["_h", *key_order], ["_rbin"], ["_rh"], ["_zbin"]):
+        if not rows.groupBy("_class").count().filter("count > 1").limit(1).collect():
+            break  # one row per class is left: the cut
+        rows = written_table(_in_bucket(rows, _edge(histogram(rows, order), order), order), "select-first")
+    rank = F.row_number().over(Window.partitionBy("_class").orderBy("_rz", "_rid"))
+    cut = rows.withColumn("_rank", rank).filter("_rank = _take").select(
+        "_class", F.struct("_h", *key_order, "_rh", "_rz", "_rid").alias("_cut"))
+    mine = F.struct("_h", *[F.col(k).alias(c) for k, c in zip(keys, key_order)], "_rh", "_rz", "_rid")
+    flagged = with_class(hashed, label_col, cut).withColumn(flag_col, F.coalesce(mine <= F.col("_cut"), F.lit(False)))
+    return flagged.drop("_h", "_rh", "_rz", "_rid", "_cut")
 
 
 def stratified_split(
@@ -259,55 +178,18 @@ def stratified_split(
     ones in hash order (see :func:`select_first`)."""
     if not 0 <= train_percent <= 100:
         raise ValueError("train_percent must be within 0..100")
-    quota = F.expr(f"(sum(_n) OVER (PARTITION BY `{label_col}`) * {int(train_percent)}) div 100")
+    quota = F.expr(f"(_rows * {int(train_percent)}) div 100")
     flagged = select_first(df, label_col, key_cols, quota, seed=seed, flag_col="_train")
     return flagged.withColumn(split_col, F.when(F.col("_train"), F.lit("train")).otherwise(F.lit("test"))) \
         .drop("_train")
 
 
-def _select_straddle(hashed: DataFrame, label_col: str, index: ClassIndex, straddle: Column,
-                     takes: Mapping, chosen: Column, flag_col: str) -> DataFrame:
-    """Identical rows that straddle a class's quota: ``takes[c]`` of them are
-    selected, allocated in input-partition order from per-partition counts
-    (one row per class and partition), so the group is never gathered.
-
-    The partition id and the row position are taken in one projection right
-    above the input; Catalyst cannot push a filter below a non-deterministic
-    projection, so every pass below sees the same partitions.  Only the rows
-    of one input partition (the one where the quota ends) are ranked.
-    """
-    placed = hashed.select("*", F.spark_partition_id().alias("_pid"),
-                           F.monotonically_increasing_id().alias("_pos"))
-    pid = F.col("_pid")
-    wanted = straddle & index.lookup({c: True for c in takes}, False)
-    counts = (placed.filter(wanted).groupBy(label_col, "_pid")
-              .agg(F.count(F.lit(1)).alias("_n")).collect())
-    cut_pid, cut_take = {}, {}
-    for c, need in takes.items():
-        parts = sorted((r["_pid"], r["_n"]) for r in counts if r[label_col] == c)
-        done = 0
-        for p, n in parts:
-            if done + n > need:
-                cut_pid[c], cut_take[c] = p, need - done
-                break
-            done += n
-    pcut = index.lookup(cut_pid, None, "int")
-    # partitions before the cut are selected, after it not
-    decided = chosen.when(straddle & pcut.isNull(), True).when(straddle & (pid != pcut), pid < pcut)
-    in_cut = wanted & (pid == pcut)
-    main = placed.filter(~in_cut.eqNullSafe(True)).withColumn(flag_col, F.coalesce(decided, F.lit(False)))
-    # in the cut partition, the first rows by position are selected
-    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_pos"))
-    edge = placed.filter(in_cut).withColumn(flag_col, rank <= index.lookup(cut_take, 0, "long"))
-    return main.unionByName(edge).drop("_h", "_bin", "_rh", "_rtop", "_pid", "_pos", "_ci")
-
-
 # --------------------------------------------------------------------------
 # A5: rebalancing with repetition
 # --------------------------------------------------------------------------
 
-# Rows with more copies than this are spread over several tasks.
-COPY_CHUNK = 10_000
+# A row's copies are made in runs of this length, dealt over the tasks.
+COPY_RUN = 10_000
 
 
 def rebalance(
@@ -328,58 +210,39 @@ def rebalance(
     ``floor(w + u)`` times, ``u`` in [0, 1) being a hash of its key, so the
     expected count per class is ``share * total`` and the result does not
     depend on partitioning.  ``copy`` numbers the copies of a row from 1.
-    Rows with more than ``COPY_CHUNK`` copies are first split into chunks
-    that a shuffle spreads over tasks, so one heavily repeated row never
-    lands in a single task.
+    Copies come in runs that are dealt over the tasks, so one heavily
+    repeated row never lands in a single task.
 
     With ``exact``, class ``c`` gets exactly ``round(share * total)`` rows:
     every row ``target // n_c`` copies, and the first ``target mod n_c``
     rows in hash order (:func:`select_first`) one more.
     """
-    counts = collect_class_counts(df, label_col)
-    missing = [c for c in counts if c not in target_shares]
+    counts = df.groupBy(F.col(label_col).alias("_class")).agg(F.count(F.lit(1)).alias("_rows"))
+    shares = class_table(df, label_col, {c: float(v) for c, v in target_shares.items()}, "_share", "double") \
+        .withColumnRenamed("_class", "_named")
+    known = counts.join(shares, F.col("_class").eqNullSafe(F.col("_named")), "left").drop("_named")
+    missing = known.filter("_share IS NULL").limit(5).collect()
     if missing:
-        raise ValueError(f"no target share for classes {missing!r}")
-    n = sum(counts.values())
-    total = n if total_rows is None else int(total_rows)
-    weights = {c: float(target_shares[c]) * total / nc for c, nc in counts.items()}
-
-    index = ClassIndex(counts)
+        raise ValueError(f"no target share for classes {[r['_class'] for r in missing]!r}")
+    total = F.lit(int(total_rows)) if total_rows is not None else df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    target = F.col("_share") * total
     if exact:
-        targets = {c: int(math.floor(float(target_shares[c]) * total + 0.5)) for c in counts}
-        base = {c: targets[c] // counts[c] for c in counts}
-        extra = {c: targets[c] - base[c] * counts[c] for c in counts}
-        flagged = index.attach(select_first(df, label_col, key_cols, extra, seed=seed, flag_col="_extra"),
-                               label_col)
-        with_copies = flagged.withColumn(
-            "_copies", index.lookup(base, 0, "long") + F.col("_extra").cast("long")
-        ).drop("_extra", "_ci")
-        weights = {c: float(base[c] + (1 if extra[c] else 0)) for c in counts}
+        whole = F.floor(target + 0.5).cast("long")
+        per_class = known.select("_class", whole.alias("_target"), "_rows").select(
+            "_class", F.expr("_target div _rows").alias("_base"), F.expr("_target % _rows").alias("_extra"))
+        per_class = written_table(per_class, "rebalance-classes")
+        extras = per_class.select("_class", F.col("_extra").alias("_take"))
+        flagged = select_first(df, label_col, key_cols, extras, seed=seed, flag_col="_picked")
+        copies = with_class(flagged, label_col, per_class.select("_class", "_base")).withColumn(
+            "_copies", F.col("_base") + F.col("_picked").cast("long")).drop("_base", "_picked")
     else:
+        weights = known.select("_class", (target / F.col("_rows")).alias("_weight"))
         u = hash32(key_cols, seed) / F.lit(HASH_RANGE)
-        with_copies = index.attach(df, label_col).withColumn(
-            "_copies", F.floor(index.lookup(weights, 0.0, "double") + u)).drop("_ci")
-    small = with_copies.filter((F.col("_copies") > 0) & (F.col("_copies") <= COPY_CHUNK)).withColumn(
-        copy_col, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    )
-    out = small
-    if max(weights.values(), default=0.0) + 1 > COPY_CHUNK:
-        n_chunks = F.ceil(F.col("_copies") / COPY_CHUNK)
-        chunks = (
-            with_copies.filter(F.col("_copies") > COPY_CHUNK)
-            .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
-            .repartition(*[F.col(k) for k in key_cols], F.col("_chunk"))
-        )
-        first = F.col("_chunk") * COPY_CHUNK + 1
-        last = F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPY_CHUNK)
-        big = chunks.withColumn(copy_col, F.explode(F.sequence(first, last))).drop("_chunk")
-        out = small.unionByName(big)
-    return out.drop("_copies")
-
-
-def expected_rows(counts: Mapping, target_shares: Mapping, total: int | None = None) -> float:
-    """Expected output size of :func:`rebalance` (for sizing and checks)."""
-    n = sum(counts.values())
-    t = n if total is None else total
-    return float(sum(target_shares[c] * t for c in counts))
+        copies = with_class(df, label_col, weights).withColumn("_copies", F.floor(F.col("_weight") + u)).drop("_weight")
+    runs = copies.filter("_copies > 0").withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {COPY_RUN}"))))
+    dealt = runs.repartition(*[F.col(k) for k in key_cols], F.col("_run"))
+    first = F.col("_run") * COPY_RUN + 1
+    last = F.least(F.col("_copies"), (F.col("_run") + 1) * COPY_RUN)
+    return dealt.withColumn(copy_col, F.explode(F.sequence(first, last))).drop("_run", "_copies")
 

@@ -1,101 +1,117 @@
-"""Exact percentiles by range narrowing, with bounded memory per task.
+"""Exact percentiles by narrowing around data values, with bounded memory.
 
 ``percentile`` keeps every distinct value of a group in one buffer, so a
 group holding a third of all rows holds a third of all values in memory;
-``percentile_approx`` is bounded but approximate.  Here the k-th smallest
-value of each (group, metric) is found exactly by narrowing a value range:
-
-* state: one row per (group, metric, percentile) with an interval
-  ``[lo, hi]`` of actual data values and the rank ``k`` still wanted inside;
-* each level reads the rows inside their interval, cuts the interval into
-  ``BINS`` equal-width bins (monotone in the value, so earlier bins hold
-  strictly smaller values), counts rows per bin with their min and max,
-  keeps the bin where the rank falls and tightens the interval to that
-  bin's own min and max;
-* an interval whose min equals its max is answered: every value in it is
-  equal, so even a value repeated by a third of all rows ends at once.
-
-The per-bin histograms have at most ``BINS`` rows per state row; the state
-is written to the checkpoint folder after each level, so lineage stays
-short.  The rank rule is the inverse distribution: the smallest value with
-at least ``p * n`` values at or below it.
+``percentile_approx`` is bounded but approximate.  Here its sketch only
+proposes two data values around the wanted rank, and exact counts of the
+rows below, at, between and above them say where the rank falls:
+
+* state: one row per (group, percentile) with an interval ``[lo, hi]`` of
+  data values and the rank ``k`` still wanted inside;
+* a level reads the rows inside their interval, takes the sketch's values
+  at the grid points around the rank, and counts; the interval becomes the
+  segment that holds the rank, or one of the two values is the answer.
+
+The two values leave every segment, so each level shrinks the interval
+strictly; a level keeps about one row in a thousand, whatever the values
+are: only comparisons are used, so infinities and denormals are values like
+others.  All aggregates merge partial results; the state is written after
+each level.  The rank rule is the inverse distribution: the smallest value
+with at least ``p * n`` values at or below it, with the rank in decimals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import drop_table, written_table
+
+ACCURACY = 10_000
+GRID = 1000
+
 
-BINS = 65536
-MAX_LEVELS = 64
-# The state (one row per group, metric and percentile) is broadcast to the
-# rows only up to this many rows; beyond it the rows are joined by group key.
-MAX_BROADCAST_STATE = 200_000
+def percentile_name(p: float) -> str:
+    """``p50``, ``p99_9``: the column name of a percentile."""
+    text = format((Decimal(str(p)) * 100).normalize(), "f")
+    return "p" + text.replace(".", "_")
 
 
 def exact_percentiles(df: DataFrame, value_col: str, percentiles: Sequence[float], *,
                       group_cols: Sequence[str] = ()) -> DataFrame:
     """``(group..., p, value)``: the exact ``p``-quantile of ``value_col`` per group
     (nulls and NaN ignored)."""
-    user_groups = list(group_cols)
-    # without groups, one constant key stands in (the state is then a few
-    # rows and always broadcast)
-    groups = user_groups or ["_all"]
-    base = df if user_groups else df.withColumn("_all", F.lit(0))
-    data = base.select(*groups, F.col(value_col).cast("double").alias("_v")).filter(
+    groups = [f"_g{i}" for i in range(len(group_cols))]
+    # a constant where there are no groups: one group of all rows
+    keys = [F.col(c).alias(g) for c, g in zip(group_cols, groups)] or [F.lit(0).alias("_g0")]
+    groups = groups or ["_g0"]
+    data = df.select(*keys, F.col(value_col).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
     stats = data.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    # one state row per group and percentile (a generator, not a join)
-    state = stats.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in percentiles]))).select(
-        *groups, "_p", "_lo", "_hi",
-        F.greatest(F.ceil(F.col("_p") * F.col("_n")), F.lit(1)).cast("long").alias("_k"))
-    state = _persist(state)
-    small = state.count() <= MAX_BROADCAST_STATE
-
-    for _ in range(MAX_LEVELS):
-        if not state.filter(F.col("_lo") < F.col("_hi")).limit(1).collect():
-            break
-        state = _persist(_narrow(data, state, groups, small))
-    else:
-        raise RuntimeError("exact percentiles did not converge")
-    return state.select(*user_groups, F.col("_p").alias("p"), F.col("_lo").alias("value"))
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    """Cut lineage: a reliable checkpoint in the session's checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _narrow(data: DataFrame, state: DataFrame, groups: list[str], small: bool) -> DataFrame:
-    """One level: for open intervals, keep the bin holding the wanted rank."""
-    open_s = state.filter(F.col("_lo") < F.col("_hi"))
-    done = state.filter(F.col("_lo") >= F.col("_hi"))
+
+    def rank(p: float):
+        return F.greatest(F.ceil(F.lit(Decimal(str(p))).cast("decimal(18,15)") * F.col("_n").cast("decimal(20,0)")),
+                          F.lit(1)).cast("long")
+
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("_p"), rank(p).alias("_k")) for p in percentiles])
+    state = stats.select(*groups, F.inline(wanted), "_lo", "_hi")
+    state = written_table(state, "percentiles")
+    while state.filter("_lo < _hi").limit(1).collect():
+        after = written_table(_narrow(data, state, groups), "percentiles")
+        drop_table(state)
+        state = after
+    names = [F.col(g).alias(c) for c, g in zip(group_cols, groups)]
+    return state.select(*names, F.col("_p").alias("p"), F.col("_lo").alias("value"))
+
+
+def _inside(data: DataFrame, state: DataFrame, groups: list[str]) -> DataFrame:
+    """The rows inside the open intervals of their group, once for each."""
+    named = state.select(*[F.col(g).alias(f"_at{g}") for g in groups], *[c for c in state.columns if c not in groups])
+    cond = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+    for g in groups:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_at{g}"))
+    return data.join(named, cond).drop(*[f"_at{g}" for g in groups])
+
+
+def _narrow(data: DataFrame, state: DataFrame, groups: list[str]) -> DataFrame:
+    """One level: open intervals become the segment that holds the rank."""
     keys = [*groups, "_p"]
-    rows = data.join(F.broadcast(open_s) if small else open_s, on=groups, how="inner").filter(
-        (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    # halves first: differences of finite doubles cannot overflow this way
-    width = F.col("_hi") / 2 - F.col("_lo") / 2
-    b = F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / width * BINS).cast("long")
-    rows = rows.withColumn("_b", F.least(b, F.lit(BINS - 1)))
-    hist = rows.groupBy(*keys, "_k", "_b").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
-    upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(upto))
-    edge = (
-        hist.filter(F.col("_cum") >= F.col("_k"))
-        .groupBy(*keys)
-        .agg(F.min(F.struct("_b", "_bmin", "_bmax", "_cum", "_c", "_k")).alias("e"))
-        .select(
-            *keys,
-            F.col("e._bmin").alias("_lo"),
-            F.col("e._bmax").alias("_hi"),
-            (F.col("e._k") - (F.col("e._cum") - F.col("e._c"))).alias("_k"),
-        )
-    )
-    return edge.unionByName(done.select(*keys, "_lo", "_hi", "_k"))
+    opened = state.filter("_lo < _hi")
+    rows = _inside(data, opened, groups)
+    share = F.col("_k") / F.col("_n")
+    # the sketch's shares must be constants: a grid, of which the two points
+    # around the rank are taken
+    grid = [i / GRID for i in range(GRID + 1)]
+    sketch = rows.groupBy(*keys, "_k", "_lo", "_hi").agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", grid, ACCURACY).alias("_grid"))
+
+    def at(step: int):
+        place = F.greatest(F.least(F.floor(share * GRID).cast("int") + step, F.lit(GRID)), F.lit(0))
+        return F.get(F.col("_grid"), place)
+
+    proposed = sketch.select(*keys, "_k", "_lo", "_hi", at(0).alias("_a"), at(1).alias("_c"))
+    proposed = written_table(proposed, "percentiles")
+    counted = _inside(data, proposed, groups).groupBy(*keys, "_k", "_lo", "_hi", "_a", "_c").agg(
+        F.count_if(F.col("_v") < F.col("_a")).alias("_n1"), F.count_if(F.col("_v") <= F.col("_a")).alias("_n2"),
+        F.count_if(F.col("_v") < F.col("_c")).alias("_n3"), F.count_if(F.col("_v") <= F.col("_c")).alias("_n4"),
+        F.max(F.when(F.col("_v") < F.col("_a"), F.col("_v"))).alias("_below"),
+        F.min(F.when(F.col("_v") > F.col("_a"), F.col("_v"))).alias("_after"),
+        F.max(F.when(F.col("_v") < F.col("_c"), F.col("_v"))).alias("_before"),
+        F.min(F.when(F.col("_v") > F.col("_c"), F.col("_v"))).alias("_above"))
+    k = F.col("_k")
+
+    def segment(lo, hi, passed):
+        return F.struct(lo.alias("_lo"), hi.alias("_hi"), (k - passed).alias("_k"))
+
+    zero = F.lit(0).cast("long")
+    found = (F.when(k <= F.col("_n1"), segment(F.col("_lo"), F.col("_below"), zero))
+             .when(k <= F.col("_n2"), segment(F.col("_a"), F.col("_a"), zero))
+             .when(k <= F.col("_n3"), segment(F.col("_after"), F.col("_before"), F.col("_n2")))
+             .when(k <= F.col("_n4"), segment(F.col("_c"), F.col("_c"), zero))
+             .otherwise(segment(F.col("_above"), F.col("_hi"), F.col("_n4"))))
+    moved = counted.select(*keys, found.alias("s")).select(*keys, "s._k", "s._lo", "s._hi")
+    return moved.unionByName(state.filter("_lo >= _hi").select(*keys, "_k", "_lo", "_hi"))

@@ -4,31 +4,31 @@ Rows: one per class (precision, recall, f1, support), then ``accuracy``
 (f1 holds the accuracy, support the row count), ``macro avg`` and
 ``weighted avg``.  A zero denominator gives 0.0, as the usual report does.
 
-The data is reduced once to the confusion counts (one row per (label,
-prediction) pair, map-side partial counts); everything after that works on
-that small table.
+The data is reduced to confusion counts, these to sums per class, these to
+one row of totals: all aggregations with partial results, nothing collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, FloatType
 
+# doubles hold every whole number up to here
+_EXACT = float(1 << 53)
 
-# Upper bound on the confusion table collected to the driver.
-MAX_CELLS = 1_000_000
 
-
-def class_text(df: DataFrame, name: str):
-    """A class value as text; integral numbers print without a fraction, so
-    an integer label and a double prediction name the same class."""
+def class_text(df: DataFrame, name: str) -> Column:
+    """A class value as text; whole fractional numbers print without a
+    fraction, so an integer label and a double prediction name the same
+    class.  Integers and decimals keep every digit."""
     col = F.col(name)
-    if isinstance(df.schema[name].dataType, NumericType):
-        whole = col.cast("double") == F.floor(col.cast("double"))
-        return F.when(whole, F.floor(col.cast("double")).cast("string")).otherwise(col.cast("string"))
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        value = col.cast("double")
+        whole = (F.abs(value) <= _EXACT) & (value == F.floor(value))
+        return F.when(whole, F.floor(value).cast("string")).otherwise(col.cast("string"))
     return col.cast("string")
 
 
@@ -43,33 +43,43 @@ def confusion_counts(df: DataFrame, label_col: str, prediction_col: str,
     ).agg(n.alias("n"))
 
 
-def _ratio(num: float, den: float) -> float:
-    return num / den if den > 0 else 0.0
-
-
-def report_rows(counts: list[tuple[str, str, int]]) -> list[tuple]:
-    """Report rows from ``(label, predicted, n)`` confusion cells."""
-    support: dict[str, int] = {}
-    tp: dict[str, int] = {}
-    n_pred: dict[str, int] = {}
-    for label, predicted, n in counts:
-        support[label] = support.get(label, 0) + n
-        n_pred[predicted] = n_pred.get(predicted, 0) + n
-        if label == predicted:
-            tp[label] = tp.get(label, 0) + n
-    classes = sorted(set(support) | set(n_pred), key=lambda c: (c is None, c))
-    rows = []
-    for c in classes:
-        p = _ratio(tp.get(c, 0), n_pred.get(c, 0))
-        r = _ratio(tp.get(c, 0), support.get(c, 0))
-        rows.append((c, p, r, _ratio(2 * p * r, p + r), support.get(c, 0)))
-    total = sum(support.values())
-    k = len(rows)
-    rows.append(("accuracy", None, None, _ratio(sum(tp.values()), total), total))
-    rows.append(("macro avg", *(_ratio(sum(row[i] for row in rows[:k]), k) for i in (1, 2, 3)), total))
-    rows.append(("weighted avg", *(_ratio(sum(row[i] * row[4] for row in rows[:k]), total) for i in (1, 2, 3)),
-                 total))
-    return rows
+def _ratio(num: Column, den: Column) -> Column:
+    return F.when(den > 0, num / den).otherwise(F.lit(0.0))
+
+
+def per_class(cells: DataFrame) -> DataFrame:
+    """``label, support, hits, precision, recall, f1`` from confusion counts;
+    a class that is only predicted has no support."""
+    none = F.lit(0).cast("long")
+    right = F.when(F.col("label").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(none)
+    sides = F.array(
+        F.struct(F.col("label").alias("label"), F.col("n").alias("support"), none.alias("claimed"), right.alias("hits")),
+        F.struct(F.col("predicted").alias("label"), none.alias("support"), F.col("n").alias("claimed"), none.alias("hits")))
+    sums = cells.select(F.inline(sides)).groupBy("label").agg(
+        F.sum("support").alias("support"), F.sum("claimed").alias("claimed"), F.sum("hits").alias("hits"))
+    rated = sums.withColumn("precision", _ratio(F.col("hits"), F.col("claimed"))).withColumn(
+        "recall", _ratio(F.col("hits"), F.col("support")))
+    p, r = F.col("precision"), F.col("recall")
+    return rated.withColumn("f1", _ratio(2 * p * r, p + r)).drop("claimed")
+
+
+def summary_rows(classes: DataFrame) -> DataFrame:
+    """The three summary rows from the per-class rows."""
+    measures = ["precision", "recall", "f1"]
+    folded = classes.agg(
+        F.coalesce(F.sum("support"), F.lit(0)).alias("total"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("k"),
+        *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        *[F.sum(F.col(m) * F.col("support")).alias(f"weighted_{m}") for m in measures])
+    total, k, empty = F.col("total"), F.col("k"), F.lit(None).cast("double")
+
+    def row(label: str, values: list[Column]) -> Column:
+        return F.struct(F.lit(label).alias("label"), *[v.alias(m) for m, v in zip(measures, values)],
+                        total.alias("support"))
+
+    return folded.select(F.inline(F.array(
+        row("accuracy", [empty, empty, _ratio(F.col("hits"), total)]),
+        row("macro avg", [_ratio(F.col(f"sum_{m}"), k) for m in measures]),
+        row("weighted avg", [_ratio(F.col(f"weighted_{m}"), total) for m in measures]))))
 
 
 def classification_report(
@@ -81,22 +91,14 @@ def classification_report(
     digits: int = 6,
     weight_col: str | None = None,
 ) -> DataFrame:
-    """Precision, recall, f1 and support per class plus summary rows.
-
-    The input is scanned once: a distributed aggregation reduces it to the
-    confusion cells (at most classes squared rows, checked), which are
-    collected; the few report rows are computed from them.
-    """
-    cells = confusion_counts(df, label_col, prediction_col, weight_col).limit(MAX_CELLS + 1).collect()
-    if len(cells) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} (label, prediction) pairs")
-    rows = report_rows([(r["label"], r["predicted"], int(r["n"])) for r in cells])
-    names = {str(k): v for k, v in (target_names or {}).items()}
-
-    def rnd(x):
-        return None if x is None else round(x, digits)
-
-    out = [(names.get(c, c), rnd(p), rnd(r), rnd(f), int(n)) for c, p, r, f, n in rows]
-    return df.sparkSession.createDataFrame(
-        out, "label string, precision double, recall double, f1 double, support long"
-    )
+    """Precision, recall, f1 and support per class plus summary rows
+    (``label, precision, recall, f1, support``), lazily.  ``target_names``
+    replaces class names in the class rows."""
+    classes = per_class(confusion_counts(df, label_col, prediction_col, weight_col))
+    name = F.col("label")
+    if target_names:
+        pairs = [F.lit(x) for k, v in target_names.items() for x in (str(k), v)]
+        name = F.coalesce(F.element_at(F.create_map(*pairs), name), name)
+    rows = classes.select(name.alias("label"), "precision", "recall", "f1", "support").unionByName(summary_rows(classes))
+    return rows.select("label", *[F.round(m, digits).alias(m) for m in ("precision", "recall", "f1")],
+                       F.col("support").cast("long").alias("support"))

@@ -76,6 +76,7 @@ def _predict_default(model: Any, features: pd.DataFrame) -> Any:
     return model.predict(features)
 
 
+# fixed values: the flavour names of job files
 _LOADERS: dict[str, tuple[Loader, Predictor]] = {
     "sklearn": (_load_pickle, _predict_default),
     "joblib": (_load_pickle, _predict_default),
@@ -145,14 +146,24 @@ class LinearScore:
 # --------------------------------------------------------------------------
 
 
-def _as_result(pred: Any, n: int, result_type: DataType, threshold: float | None) -> pd.Series:
+def _as_result(pred: Any, n: int, result_type: DataType, threshold: float | None,
+               output_index: int | None = None) -> pd.Series:
+    """One prediction per row.  Several outputs per row need an index; a
+    missing score (NaN) has no class; what a type cannot hold is an error."""
     arr = np.asarray(pred)
-    if arr.ndim > 1:  # e.g. (n, 1) from a Keras model
-        arr = arr.reshape(len(arr), -1)[:, -1] if arr.shape[-1] > 1 else arr.ravel()
+    if arr.ndim > 1:
+        arr = arr.reshape(len(arr), -1)
+        if output_index is not None:
+            arr = arr[:, output_index]
+        elif arr.shape[1] == 1:  # e.g. (n, 1) from a Keras model
+            arr = arr[:, 0]
+        else:
+            raise ValueError(f"model returned {arr.shape[1]} values per row; set 'output_index'")
     if len(arr) != n:
         raise ValueError(f"model returned {len(arr)} predictions for {n} rows")
     if threshold is not None:
-        return pd.Series((arr.astype("float64") >= threshold).astype("int32"))
+        scores = arr.astype("float64")
+        return pd.Series(scores >= threshold).astype("Int32").mask(np.isnan(scores))
     if isinstance(result_type, IntegerType):
         if arr.dtype.kind == "f":
             finite = arr[~np.isnan(arr)]
@@ -161,8 +172,12 @@ def _as_result(pred: Any, n: int, result_type: DataType, threshold: float | None
                     "model returned fractional scores for an integer prediction; "
                     "set 'threshold' or 'result_type: double'"
                 )
-            return pd.Series(arr).astype("Int32")
-        return pd.Series(arr.astype("int32"))
+            arr, missing = np.where(np.isnan(arr), 0, arr), np.isnan(arr)
+        else:
+            missing = np.zeros(len(arr), dtype=bool)
+        if len(arr) and (arr.min() < -(1 << 31) or arr.max() >= 1 << 31):
+            raise ValueError("a prediction does not fit an integer; set 'result_type: double'")
+        return pd.Series(arr.astype("int32")).astype("Int32").mask(missing)
     return pd.Series(arr.astype("float64"))
 
 
@@ -176,10 +191,9 @@ def _as_result(pred: Any, n: int, result_type: DataType, threshold: float | None
 _LOADED: dict[tuple, Any] = {}
 
 
-def cached_load(type_name: str, path: str) -> Any:
-    """Load ``path`` with the loader of ``type_name``, once per process
-    (keyed by path, size and modification time, so a replaced file is
-    read again)."""
+def cached_load(load: Loader, type_name: str, path: str) -> Any:
+    """Load ``path``, once per process (keyed by path, size and modification
+    time, so a replaced file is read again)."""
     import os
 
     try:
@@ -189,11 +203,54 @@ def cached_load(type_name: str, path: str) -> Any:
         stamp = None
     key = (type_name, path, stamp)
     if key not in _LOADED:
-        load, _ = loader_for(type_name)
         _LOADED[key] = load(path)
     return _LOADED[key]
 
 
+def _by_value(fn: Callable) -> bytes:
+    """A function as bytes that workers can read without the module that
+    defines it (a script, a notebook or a test)."""
+    import inspect
+    import sys
+
+    from pyspark import cloudpickle
+
+    module = inspect.getmodule(fn)
+    own = module is not None and module.__name__.split(".")[0] != __name__.split(".")[0]
+    shippable = own and module.__name__ in sys.modules and not hasattr(module, "__path__") and \
+        "site-packages" not in (getattr(module, "__file__", None) or "site-packages")
+    if shippable:
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        return cloudpickle.dumps(fn)
+    finally:
+        if shippable:
+            cloudpickle.unregister_pickle_by_value(module)
+
+
+def _ship(spark: SparkSession, path: str) -> str:
+    """Copy a model file to every executor under a name that tells its
+    content, so that files of one base name do not meet; returns the name."""
+    import hashlib
+    import os
+    import shutil
+    import tempfile
+
+    with open(path, "rb") as fh:
+        digest = hashlib.sha256(fh.read()).hexdigest()[:24]
+    name = f"{digest}-{os.path.basename(path)}"
+    shipped = _SHIPPED_FILES.setdefault(spark.sparkContext.applicationId, {})
+    if name not in shipped:
+        # staged on the driver only; Spark's file server hands it out
+        shipped[name] = os.path.join(tempfile.mkdtemp(prefix="scorewright-model-"), name)
+        shutil.copyfile(path, shipped[name])
+        spark.sparkContext.addFile(shipped[name])
+    return name
+
+
+_SHIPPED_FILES: dict[str, dict[str, str]] = {}
+
+
 def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
     """A zero-argument callable, run on the worker, that returns the model."""
     if model is not None:
@@ -204,23 +261,19 @@ def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
             return lambda: model
     path = model_config["path"]
     type_name = model_config.get("type", "sklearn")
-    if model_config.get("ship", False):
-        try:
-            spark.sparkContext.addFile(path)
-        except Exception as exc:  # the same file shipped by an earlier call
-            if "already" not in str(exc).lower():
-                raise
-        import os
+    # the loader is looked up here: a worker does not know what was registered
+    loader = _by_value(loader_for(type_name)[0])
+    shipped = _ship(spark, path) if model_config.get("ship", False) else None
 
-        name = os.path.basename(path)
-
-        def from_spark_files():
+    def on_worker():
+        where = path
+        if shipped is not None:
             from pyspark import SparkFiles
 
-            return cached_load(type_name, SparkFiles.get(name))
+            where = SparkFiles.get(shipped)
+        return cached_load(pickle.loads(loader), type_name, where)
 
-        return from_spark_files
-    return lambda: cached_load(type_name, path)
+    return on_worker
 
 
 def score(
@@ -236,8 +289,8 @@ def score(
     ``features`` (order matters), ``result_type`` (``int`` or ``double``),
     ``threshold`` (turns scores into 0/1), ``on_null`` (``keep``: nulls reach
     the model as NaN; ``skip``: rows with a null feature get a null
-    prediction), ``ship`` (copy ``path`` to every executor with
-    ``addFile``), ``with_identity`` (add ``model_name``/``model_version``
+    prediction), ``output_index`` (which value of a model with several per
+    row), ``ship`` (copy ``path`` to every executor with ``addFile``), ``with_identity`` (add ``model_name``/``model_version``
     literal columns from ``name``/``version``).
     """
     model_type = model_config.get("type", "sklearn")
@@ -267,11 +320,13 @@ def _score_python(df, model_config, model, features, output_col):
     if on_null not in ("keep", "skip"):
         raise ValueError("on_null must be 'keep' or 'skip'")
     get_model = _model_source(spark, model_config, model)
-    _, predict = loader_for(model_config.get("type", "sklearn")) if model is None else (None, _predict_default)
+    predictor = _by_value(loader_for(model_config.get("type", "sklearn"))[1] if model is None else _predict_default)
+    output_index = model_config.get("output_index")
     names = list(features)
 
     @F.pandas_udf(result_type)
     def predict_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = pickle.loads(predictor)
         mdl = get_model()  # once per task; path models once per worker process
         for frame in batches:
             frame.columns = names
@@ -281,10 +336,10 @@ def _score_python(df, model_config, model, features, output_col):
                 result = pd.Series(pd.NA, index=range(len(frame)), dtype=dtype)
                 if ok.any():
                     kept = frame[ok].reset_index(drop=True)
-                    result[ok] = _as_result(predict(mdl, kept), len(kept), result_type, threshold).to_numpy()
+                    result[ok] = _as_result(predict(mdl, kept), len(kept), result_type, threshold, output_index).to_numpy()
                 yield result
             else:
-                yield _as_result(predict(mdl, frame), len(frame), result_type, threshold)
+                yield _as_result(predict(mdl, frame), len(frame), result_type, threshold, output_index)
 
     # Numbers reach the model as float64 (whatever their Spark type); other
     # features (categories as text, flags) keep their own type.
@@ -302,7 +357,11 @@ def _score_python(df, model_config, model, features, output_col):
 # --------------------------------------------------------------------------
 
 
-def assemble(df: DataFrame, features: Sequence[str], *, output_col: str = "features_vector",
+# fixed value: the vector column that saved models expect
+VECTOR_COL = "features_vector"
+
+
+def assemble(df: DataFrame, features: Sequence[str], *, output_col: str = VECTOR_COL,
              handle_invalid: str = "error") -> DataFrame:
     """Pack feature columns into an ML vector column."""
     from pyspark.ml.feature import VectorAssembler

@@ -32,7 +32,7 @@ POINTS = "array<struct<x:string,y:string>>"
 
 def script_array_text(html: Column, var_name: str) -> Column:
     """Text of the array assigned by ``var NAME = [...];`` ('' if absent)."""
-    return F.regexp_extract(html, rf"(?s)var {re.escape(var_name)} = (\[.*?\]);", 1)
+    return F.regexp_extract(html, rf"(?s)\bvar\s+{re.escape(var_name)}\s*=\s*(\[.*?\])\s*;", 1)
 
 
 def script_array(html: Column, var_name: str) -> Column:

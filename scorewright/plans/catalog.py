@@ -24,7 +24,16 @@ from ..operators.classes import (
 )
 from ..operators.parse import derive, parse_messages, parse_struct
 from ..operators.report import classification_report
-from ..operators.score import CategoryRule, LinearScore, ThresholdRule, feature_array, score, score_mllib
+from ..operators.score import (
+    CategoryRule,
+    LinearScore,
+    ThresholdRule,
+    assemble,
+    feature_array,
+    register_loader,
+    score,
+    score_mllib,
+)
 from ..operators.timeline import (
     call_argument,
     operation_means,
@@ -33,9 +42,9 @@ from ..operators.timeline import (
     unquote_keys,
 )
 from ..operators.train import load_model, save_model, train_random_forest
-from ..session import SPREAD_CAP, shared_dir, spread, spread_scan
+from ..session import shared_dir, spread_scan
 from ..sources.files import write_message_files
-from ..streaming.progress import operation_means_from_progress, progress_frame, summarize
+from ..streaming.progress import ProgressLog, operation_means_from_progress, progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, to_kafka_records, write_stream
 from . import configs, job
 
@@ -285,6 +294,115 @@ def q_score_category(spark, sf_dir):
     return scored.groupBy("event_type", "prediction").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def _model_files(spark: SparkSession, name: str, models: dict) -> dict[str, str]:
+    """Pickled models as files below the shared folder: ``{key: path}``.
+    Every model of one call has the same base name."""
+    import os
+    import pickle
+
+    folder = "/" + shared_dir(spark, name).removeprefix("file:").lstrip("/")
+    paths = {}
+    for key, model in models.items():
+        os.makedirs(f"{folder}/{key}")
+        paths[key] = f"{folder}/{key}/model.pkl"
+        with open(paths[key], "wb") as fh:
+            pickle.dump(model, fh)
+    return paths
+
+
+@register("q_score_file")
+def q_score_file(spark, sf_dir):
+    """U1 + U2 as a job file has them: a pickled model by its path."""
+    path = _model_files(spark, "q_score_file", {"v1": ThresholdRule("value", 75.0)})["v1"]
+    events = table(spark, sf_dir, "events")
+    return score(events, {"path": path, "features": ["value"]}).select("event_id", "value", "prediction")
+
+
+@register("q_score_shipped")
+def q_score_shipped(spark, sf_dir):
+    """Two versions of a model with one file name, copied to the executors."""
+    paths = _model_files(spark, "q_score_shipped", {"v1": ThresholdRule("value", 25.0), "v2": ThresholdRule("value", 90.0)})
+    out = table(spark, sf_dir, "events")
+    for version, path in paths.items():
+        out = score(out, {"path": path, "features": ["value"], "ship": True}, output_col=version)
+    return out.select("event_id", "v1", "v2")
+
+
+def _load_cutoff(path: str) -> float:
+    with open(path, encoding="utf-8") as fh:
+        return float(fh.read())
+
+
+def _predict_cutoff(cutoff: float, features) -> object:
+    return (features["value"] <= cutoff).astype("int32")
+
+
+@register("q_score_custom")
+def q_score_custom(spark, sf_dir):
+    """A model flavour of one's own (a cutoff in a text file)."""
+    import os
+
+    register_loader("cutoff_text", _load_cutoff, _predict_cutoff)
+    folder = "/" + shared_dir(spark, "q_score_custom").removeprefix("file:").lstrip("/")
+    os.makedirs(folder)
+    with open(f"{folder}/cutoff.txt", "w", encoding="utf-8") as fh:
+        fh.write("60.5")
+    cfg = {"type": "cutoff_text", "path": f"{folder}/cutoff.txt", "features": ["value"]}
+    return score(table(spark, sf_dir, "events"), cfg).select("event_id", "prediction")
+
+
+def _native_model(spark: SparkSession, name: str, rule: str) -> str:
+    """A saved ``PipelineModel`` whose only stage is a SQL rule."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    stage = SQLTransformer(statement=f"SELECT *, CAST({rule} AS DOUBLE) AS prediction FROM __THIS__")
+    return save_model(PipelineModel([stage]), shared_dir(spark, name, "model"))
+
+
+@register("q_score_native")
+def q_score_native(spark, sf_dir):
+    """U3 + K9: a saved pipeline, reloaded by path and run in the JVM."""
+    path = _native_model(spark, "q_score_native", "CASE WHEN l_quantity > 25 AND l_discount > 0.05 THEN 1 ELSE 0 END")
+    cfg = {"type": "spark_mllib", "path": path, "features": ["l_quantity", "l_discount"]}
+    scored = score(table(spark, sf_dir, "lineitem"), cfg)
+    return scored.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "prediction")
+
+
+@register("q_assemble")
+def q_assemble(spark, sf_dir):
+    """Features as an ML vector, shown as an array."""
+    from pyspark.ml.functions import vector_to_array
+
+    li = assemble(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_tax", "l_discount"])
+    return li.select("l_orderkey", "l_linenumber", vector_to_array("features_vector").alias("features"))
+
+
+@register("q_job_columns")
+def q_job_columns(spark, sf_dir):
+    """K8 + U3 by a job file: the native route adds vector columns, the sink
+    section names the columns that a CSV file can hold."""
+    out = shared_dir(spark, "q_job_columns")
+    path = _native_model(spark, "q_job_columns", "CASE WHEN value > 50 AND k > 3 THEN 1 ELSE 0 END")
+    cfg = dict(stream_job_config(sf_dir, out), sink={
+        "format": "csv", "columns": ["event_id", "value", "prediction"], "options": {"path": f"{out}/data", "header": "true"}})
+    cfg["source"]["path"] = f"{sf_dir.rstrip('/')}/events.parquet"
+    cfg["model"] = {"type": "spark_mllib", "path": path, "features": ["value", "k"], "handle_invalid": "keep"}
+    job.run_batch(spark, cfg)
+    return spark.read.schema("event_id long, value double, prediction double").csv(f"{out}/data", header=True)
+
+
+@register("q_parse_case")
+def q_parse_case(spark, sf_dir):
+    """Keys that differ only in case are different keys."""
+    events = table(spark, sf_dir, "events", spread_rows=True)
+    text = F.concat(F.lit('{"v": '), F.col("value"), F.lit(', "V": '), F.col("user_id"), F.lit(', "id": '), F.col("event_id"),
+                    F.lit("}"))
+    cfg = {"event_id": {"path": "id", "type": "long"}, "small": {"path": "v", "type": "double"},
+           "large": {"path": "V", "type": "long"}}
+    return parse_messages(events.select(text.alias("value")), cfg)
+
+
 THRESHOLD_WEIGHTS = {"l_quantity": 0.02, "l_discount": 5.0}
 THRESHOLD_BIAS = -0.75
 
@@ -436,24 +554,26 @@ def q_page_vars(spark, sf_dir):
     )
 
 
+PAGE_MARK = "<!--page:"
+
+
 @register("q_page_files")
 def q_page_files(spark, sf_dir):
-    """S7 + A8: pages stored one HTML file each (as a crawl or a saved
-    statistics page is), read back whole-text, one row per file; the page
-    id comes from the file's folder."""
+    """S7 + A8: pages saved as documents (a bounded number of pages in each,
+    told apart by a mark), read back whole-text and cut into pages."""
     from ..sources.files import read_documents
     from ..streaming.sinks import write_batch
 
     out = shared_dir(spark, "q_page_files")
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    # Turning the table into one file per page is only how this query gets
-    # file-per-document input from a table; in production the pages already
-    # are files and only read_documents runs.  (A folder per key is not a
-    # layout to use for large tables.)
-    write_batch(pages, {"format": "text", "partitionBy": ["page_id"], "options": {"path": out}})
-    docs = read_documents(spark, f"{out}/page_id=*/*.txt")
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit(PAGE_MARK), F.col("page_id"), F.lit("-->"), F.coalesce("html", F.lit(""))).alias("value"))
+    write_batch(pages, {"format": "text", "options": {"path": out, "maxRecordsPerFile": 256}})
+    saved = read_documents(spark, f"{out}/*.txt")
+    parts = saved.select(F.explode(F.split("html", PAGE_MARK)).alias("part")).filter("part <> ''")
+    docs = parts.select(F.substring_index("part", "-->", 1).cast("long").alias("page_id"),
+                        F.regexp_replace("part", r"\A\d+-->", "").alias("html"))
     return docs.select(
-        F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id"),
+        "page_id",
         script_value(F.col("html"), "t").alias("t_value"),
         call_argument(F.col("html"), "track").try_cast("int").alias("track_arg"),
     )
@@ -524,11 +644,11 @@ def q_metric_summary(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
-    out = summarize(events, ["value", "k"], group_cols=["event_type"], exact=True)
+    out = summarize(events, ["value", "k"], group_cols=["event_type"], percentiles=[0.07, 0.5, 0.55, 0.95, 0.999])
     return out.select(
         "event_type", "metric", "n",
         F.round("mean", 6).alias("mean"), "min", "max",
-        F.round("total", 4).alias("total"), "p50", "p95",
+        F.round("total", 4).alias("total"), "p7", "p50", "p55", "p95", "p99_9",
     )
 
 
@@ -537,15 +657,11 @@ def q_metric_summary(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
-STREAM_TIMEOUT_S = 1800
-
-
 def stream_job_config(sf_dir: str, out_dir: str, *, sink: dict | None = None) -> dict:
     return {
         "source": {
             "format": "parquet",
             "path": f"{sf_dir.rstrip('/')}/events*.parquet",
-            "max_files_per_trigger": 1,
             "encode": ["event_id", "ts", "user_id", "event_type", "value", "props"],
         },
         "schema": configs.EVENT_SCHEMA,
@@ -562,16 +678,22 @@ def stream_job_config(sf_dir: str, out_dir: str, *, sink: dict | None = None) ->
 
 def _run_stream(spark, cfg, name):
     query = job.start(spark, cfg, model=ThresholdRule("value", 50.0), query_name=name)
-    run_until_done(query, STREAM_TIMEOUT_S)
+    run_until_done(query)
     return query
 
 
+def _logged_stream(spark, cfg) -> DataFrame:
+    """Run a stream to its end; the table of all its progress reports."""
+    with ProgressLog(spark) as log:
+        query = _run_stream(spark, cfg, None)
+        log.wait_for_end(query)
+        return progress_frame(spark, log.table(query))
+
+
 @register("q_stream_parquet")
 def q_stream_parquet(spark, sf_dir):
     out = shared_dir(spark, "q_stream_parquet")
     cfg = stream_job_config(sf_dir, out)
-    # each micro-batch is one file split: spread it over the cores
-    cfg["source"]["partitions"] = min(spark.sparkContext.defaultParallelism, SPREAD_CAP)
     _run_stream(spark, cfg, None)
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
@@ -595,31 +717,15 @@ def q_stream_trigger(spark, sf_dir):
     cfg = stream_job_config(sf_dir, out)
     cfg["sink"]["trigger"] = {"processingTime": "1 second"}
     expected = table(spark, sf_dir, "events").count()  # from the file footers
-    query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
-    try:
-        _wait_for_rows(query, expected, STREAM_TIMEOUT_S)
-    finally:
-        query.stop()
+    with ProgressLog(spark) as log:
+        query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
+        try:
+            log.wait_for_rows(query, expected)
+        finally:
+            query.stop()
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
 
-def _wait_for_rows(query, expected: int, timeout_s: float) -> None:
-    """Bounded wait for a continuously triggered query: until its progress
-    reports ``expected`` input rows (or it fails, or the time is up)."""
-    import time
-
-    deadline = time.monotonic() + timeout_s
-    while time.monotonic() < deadline:
-        if query.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {query.exception()}")
-        done = sum(int(p["numInputRows"]) if isinstance(p, dict) else int(p.numInputRows)
-                   for p in query.recentProgress)
-        if done >= expected and not query.status["isTriggerActive"]:
-            return
-        time.sleep(0.5)
-    raise TimeoutError(f"streaming query did not process {expected} rows in {timeout_s}s")
-
-
 @register("q_stream_batches")
 def q_stream_batches(spark, sf_dir):
     """foreachBatch with the batch writer; each micro-batch replaces its own
@@ -629,7 +735,7 @@ def q_stream_batches(spark, sf_dir):
     scored = job.build(spark, cfg, model=ThresholdRule("value", 50.0))
     writer = foreach_batch_writer("parquet", {"path": f"{out}/data"}, idempotent=True)
     sink = {"checkpointLocation": f"{out}/_checkpoint", "trigger": {"availableNow": True}}
-    run_until_done(write_stream(scored, sink, foreach=writer), STREAM_TIMEOUT_S)
+    run_until_done(write_stream(scored, sink, foreach=writer))
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
 
@@ -637,13 +743,21 @@ def q_stream_batches(spark, sf_dir):
 def q_telemetry(spark, sf_dir):
     """Progress reports of a scoring stream as a telemetry table."""
     out = shared_dir(spark, "q_telemetry")
-    query = _run_stream(spark, stream_job_config(sf_dir, out), None)
-    return progress_frame(spark, query.recentProgress).select(
+    return _logged_stream(spark, stream_job_config(sf_dir, out)).select(
         "batch_id", "Timestamp", "Batch_Duration_ms", "Input_Rows",
         "input_rows_per_second", "processed_rows_per_second",
     )
 
 
+@register("q_telemetry_rows")
+def q_telemetry_rows(spark, sf_dir):
+    """A9 + A10: what a stream's telemetry adds up to.  Durations vary from
+    run to run, rows and batches do not: all files are one trigger's work."""
+    out = shared_dir(spark, "q_telemetry_rows")
+    telemetry = _logged_stream(spark, stream_job_config(sf_dir, out)).filter(F.col("Input_Rows") > 0)
+    return summarize(telemetry, ["Input_Rows"], percentiles=[0.5]).select("metric", "n", "total", "p50")
+
+
 # --------------------------------------------------------------------------
 # A1 + A2 + K9 + U3 + A3: train, persist, reload, score, report
 # --------------------------------------------------------------------------
@@ -667,6 +781,52 @@ def q_mllib(spark, sf_dir):
     return classification_report(scored, "returned", "prediction")
 
 
+@register("q_mllib_support")
+def q_mllib_support(spark, sf_dir):
+    """The counts of the forest's report: exact by the split's quotas."""
+    report = q_mllib(spark, sf_dir)
+    return report.filter("label IN ('0', '1', 'accuracy')").select("label", "support")
+
+
+@register("q_csv_infer")
+def q_csv_infer(spark, sf_dir):
+    """S6 with inferred types, as an exported table without a schema has."""
+    from ..sources.files import read_csv_table
+    from ..streaming.sinks import write_batch
+
+    out = shared_dir(spark, "q_csv_infer")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    write_batch(li, {"format": "csv", "options": {"path": out, "header": "true"}})
+    return read_csv_table(spark, out, infer_schema=True).select(
+        F.col("l_orderkey").cast("long").alias("l_orderkey"), "l_linenumber", "l_extendedprice", "l_returnflag")
+
+
+def _stream_into(spark, sf_dir, fmt: str, **keys) -> DataFrame:
+    out = shared_dir(spark, f"q_stream_{fmt}")
+    sink = {"format": fmt, "columns": ["event_id", "value", "k", "prediction"], "checkpointLocation": f"{out}/_checkpoint",
+            "options": {"path": f"{out}/data", "header": "true"}, "trigger": {"availableNow": True}, **keys}
+    _run_stream(spark, stream_job_config(sf_dir, out, sink=sink), None)
+    schema = "event_id long, value double, k int, prediction int"
+    return spark.read.schema(schema).format(fmt).option("header", "true").load(f"{out}/data").select(
+        "event_id", "value", "k", "prediction")
+
+
+@register("q_stream_json")
+def q_stream_json(spark, sf_dir):
+    return _stream_into(spark, sf_dir, "json")
+
+
+@register("q_stream_csv")
+def q_stream_csv(spark, sf_dir):
+    return _stream_into(spark, sf_dir, "csv")
+
+
+@register("q_stream_replace")
+def q_stream_replace(spark, sf_dir):
+    """The idempotent file sink by its section."""
+    return _stream_into(spark, sf_dir, "parquet", idempotent=True)
+
+
 @register("q_csv_table")
 def q_csv_table(spark, sf_dir):
     """S6 + K8: a table written as CSV with a header by the batch sink and
@@ -687,7 +847,7 @@ def q_stream_text(spark, sf_dir):
     out = shared_dir(spark, "q_stream_text")
     write_message_files(table(spark, sf_dir, "events"), EVENT_COLUMNS, f"{out}/topic", mode="overwrite")
     cfg = stream_job_config(sf_dir, out)
-    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 4}
+    cfg["source"] = {"format": "text", "path": f"{out}/topic"}
     _run_stream(spark, cfg, None)
     return spark.read.parquet(f"{out}/data").select("event_id", "value", "k", "prediction")
 
@@ -721,13 +881,12 @@ def q_parse_errors(spark, sf_dir):
 @register("q_telemetry_summary")
 def q_telemetry_summary(spark, sf_dir):
     """A10 over A9: summary of the batch telemetry of a scoring stream that
-    reads the events as message files, one file per micro-batch."""
+    reads the events as message files."""
     out = shared_dir(spark, "q_telemetry_summary")
     write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
     cfg = stream_job_config(sf_dir, out)
-    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
-    query = _run_stream(spark, cfg, None)
-    tele = progress_frame(spark, query.recentProgress).filter(F.col("Input_Rows") > 0)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic"}
+    tele = _logged_stream(spark, cfg).filter(F.col("Input_Rows") > 0)
     return summarize(tele, ["Batch_Duration_ms", "Input_Rows"])
 
 
@@ -738,9 +897,8 @@ def q_telemetry_operations(spark, sf_dir):
     out = shared_dir(spark, "q_telemetry_operations")
     write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
     cfg = stream_job_config(sf_dir, out)
-    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
-    query = _run_stream(spark, cfg, None)
-    return operation_means_from_progress(progress_frame(spark, query.recentProgress))
+    cfg["source"] = {"format": "text", "path": f"{out}/topic"}
+    return operation_means_from_progress(_logged_stream(spark, cfg))
 
 
 @register("q_parse_records")

@@ -51,5 +51,5 @@ EVENT_FLAT_SCHEMA = {
     "value": "double",
     "event_type": "string",
     "user_id": "double",
-    "props": "tipo_inventado",
+    "props": "no_such_type",
 }

@@ -116,23 +116,19 @@ def read_source(spark: SparkSession, config: Mapping) -> DataFrame:
     many tasks (a round-robin shuffle), for sources that arrive as few large
     splits; a Kafka source should rather set ``min_partitions``.
     """
-    raw = _read_source(spark, config)
-    n = config.get("source", {}).get("partitions") if "source" in config else None
-    return raw.repartition(int(n)) if n else raw
+    if "source" not in config:
+        return read_kafka(spark, config["kafka"])
+    src = config["source"]
+    fmt, rate, n = src.get("format", "text"), src.get("max_files_per_trigger"), src.get("partitions")
 
+    def spread(rows: DataFrame) -> DataFrame:
+        return rows.repartition(int(n)) if n else rows
 
-def _read_source(spark: SparkSession, config: Mapping) -> DataFrame:
-    if "source" in config:
-        src = config["source"]
-        fmt = src.get("format", "text")
-        if src.get("encode") is not None:
-            rows = stream_table(spark, src["path"], fmt=fmt,
-                                max_files_per_trigger=src.get("max_files_per_trigger"))
-            cols = src["encode"] or rows.columns
-            return encode_messages(rows, cols)
-        return stream_messages(spark, src["path"], fmt=fmt,
-                               max_files_per_trigger=src.get("max_files_per_trigger"))
-    return read_kafka(spark, config["kafka"])
+    if src.get("encode") is None:
+        return spread(stream_messages(spark, src["path"], fmt=fmt, max_files_per_trigger=rate))
+    # rows are dealt out before they are encoded: they are smaller
+    rows = spread(stream_table(spark, src["path"], fmt=fmt, max_files_per_trigger=rate))
+    return encode_messages(rows, src["encode"] or rows.columns)
 
 
 def build(spark: SparkSession, config: Mapping, *, raw: DataFrame | None = None, model: Any = None) -> DataFrame:
@@ -142,9 +138,10 @@ def build(spark: SparkSession, config: Mapping, *, raw: DataFrame | None = None,
     schema = config["schema"]
     if schema and all(isinstance(v, str) for v in schema.values()):
         # the older flat form {column: type}: one struct schema per message
-        parsed = parse_struct(messages, schema)
+        parsed = parse_struct(messages, schema, passthrough=config.get("passthrough", ()))
     else:
-        parsed = parse_messages(messages, schema, passthrough=config.get("passthrough", ()))
+        parsed = parse_messages(messages, schema, passthrough=config.get("passthrough", ()),
+                                mode=config.get("parse_mode", "struct"), error_col=config.get("error_col"))
     if config.get("model"):
         return score(parsed, config["model"], model=model)
     return parsed

@@ -254,7 +254,8 @@ SQL.update({
                    SELECT event_type, 'k', CAST({_K} AS DOUBLE) FROM events)
         SELECT event_type, metric, count(v) AS n, round(avg(v), 6) AS mean, min(v) AS min, max(v) AS max,
                round(sum(v), 4) AS total,
-               quantile_disc(v, 0.5) AS p50, quantile_disc(v, 0.95) AS p95
+               quantile_disc(v, 0.07) AS p7, quantile_disc(v, 0.5) AS p50, quantile_disc(v, 0.55) AS p55,
+               quantile_disc(v, 0.95) AS p95, quantile_disc(v, 0.999) AS p99_9
         FROM t GROUP BY event_type, metric""",
 })
 
@@ -314,3 +315,33 @@ SQL["q_stream_trigger"] = SQL["q_score_rows"]
 
 SQL["q_parse_records"] = """
     SELECT event_id, event_type, value, CAST(event_id AS VARCHAR) AS record_key FROM events"""
+
+SQL.update({
+    "q_stream_json": SQL["q_score_rows"],
+    "q_stream_csv": SQL["q_score_rows"],
+    "q_stream_replace": SQL["q_score_rows"],
+    "q_telemetry_rows": """
+        SELECT 'Input_Rows' AS metric, CAST(1 AS BIGINT) AS n, CAST(count(*) AS DOUBLE) AS total,
+               CAST(count(*) AS DOUBLE) AS p50 FROM events""",
+    "q_score_file": "SELECT event_id, value, CAST(value > 75 AS INT) AS prediction FROM events",
+    "q_score_shipped": "SELECT event_id, CAST(value > 25 AS INT) AS v1, CAST(value > 90 AS INT) AS v2 FROM events",
+    "q_score_custom": "SELECT event_id, CAST(value <= 60.5 AS INT) AS prediction FROM events",
+    "q_score_native": """
+        SELECT l_orderkey, l_linenumber, l_quantity, l_discount,
+               CASE WHEN l_quantity > 25 AND l_discount > 0.05 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+        FROM lineitem""",
+    "q_assemble": """
+        SELECT l_orderkey, l_linenumber, [l_quantity::DOUBLE, l_tax::DOUBLE, l_discount::DOUBLE] AS features
+        FROM lineitem""",
+    "q_job_columns": f"""
+        SELECT event_id, value, CASE WHEN value > 50 AND {_K} > 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+        FROM events""",
+    "q_parse_case": "SELECT event_id, value AS small, user_id AS large FROM events",
+    "q_mllib_support": """
+        WITH c AS (SELECT CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS label, count(*) AS n
+                   FROM lineitem GROUP BY 1),
+        t AS (SELECT label, n - (n * 80) // 100 AS support FROM c)
+        SELECT label, support::BIGINT AS support FROM t
+        UNION ALL SELECT 'accuracy', sum(support)::BIGINT FROM t""",
+    "q_csv_infer": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem",
+})

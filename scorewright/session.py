@@ -29,8 +29,6 @@ def local_session(app: str = "scorewright", cores: str | int = "*", shuffle_part
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not _conf(spark, "spark.checkpoint.dir"):
-        spark.sparkContext.setCheckpointDir(os.path.join("/tmp", "scorewright-checkpoints"))
     return spark
 
 
@@ -41,13 +39,19 @@ def _conf(spark: SparkSession, key: str) -> str | None:
         return None
 
 
+def _local_base(spark: SparkSession) -> str:
+    """Scratch of a local session: where Spark itself spills."""
+    base = _conf(spark, "spark.local.dir") or spark._jvm.System.getProperty("java.io.tmpdir")
+    return os.path.join(base.split(",")[0], "scorewright-scratch")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The base is ``spark.checkpoint.dir`` as the session names it (on a
-    cluster this is shared storage every executor can reach).  Only a local
-    session without that setting (tests) falls back to ``/tmp``; a cluster
-    session without it is an error, never a machine-local folder.
+    cluster this is shared storage every executor can reach).  A local
+    session without it uses Spark's own scratch folder
+    (``spark.local.dir``); a cluster session without it is an error.
     """
     base = _conf(spark, "spark.checkpoint.dir")
     if not base:
@@ -59,31 +63,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         master = _conf(spark, "spark.master") or ""
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = os.path.join("/tmp", "scorewright-checkpoints")
+        base = _local_base(spark)
     return "/".join([base.rstrip("/"), "scorewright", *parts, uuid.uuid4().hex])
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder for ``DataFrame.checkpoint``.
-
-    Read from the session; only a local session without one (tests) gets a
-    folder under ``/tmp``.  A cluster session without it is an error: a
-    machine-local folder would not survive a lost executor.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = _conf(spark, "spark.checkpoint.dir")
-    if not base:
-        master = _conf(spark, "spark.master") or ""
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = os.path.join("/tmp", "scorewright-checkpoints")
-    sc.setCheckpointDir(base)
-    return sc.getCheckpointDir()
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -102,6 +85,8 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
+    import atexit
+    import shutil
     import tempfile
     import zipfile
 
@@ -111,6 +96,7 @@ def ship_package(spark: SparkSession) -> None:
     # executor through Spark's own file distribution, so no executor ever
     # reads this folder (it is not scratch shared with the cluster).
     out_dir = tempfile.mkdtemp(prefix="scorewright-pyfiles-")
+    atexit.register(shutil.rmtree, out_dir, True)
     target = os.path.join(out_dir, "scorewright.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for dirpath, _, files in os.walk(pkg_dir):
@@ -122,49 +108,54 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
-# spread() never asks for more partitions than this: it exists for inputs
-# that arrive as one or a few splits, not to re-shuffle split tables.
-SPREAD_CAP = 64
+def written_table(df, name: str):
+    """Write ``df`` below the shared checkpoint folder and read it back: the
+    rows are fixed from then on, whatever is recomputed later."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Give a CPU-heavy map stage enough tasks.
+def drop_table(df) -> None:
+    """Delete the files behind a table of :func:`written_table`."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    When a batch input has fewer partitions than ``min_partitions``
-    (default: the default parallelism, capped at ``SPREAD_CAP``), as one
-    small file or one Kafka partition does, its rows are redistributed
-    round-robin (deterministic on retry) over that many partitions.  An
-    input that is already split (the normal case for large tables) is
-    returned unchanged, so no shuffle is added at scale.  Streams are
-    returned unchanged (use the source's own options, e.g. Kafka
-    ``minPartitions``).
-    """
-    if df.isStreaming:
-        return df
+
+# What makes a plan more than a file scan with projections and filters.
+_NOT_A_SCAN = ("Join", "Aggregate", "Sort", "Repartition", "Window", "Distinct", "Limit", "Union", "Generate",
+               "LogicalRDD", "Range", "MapIn", "Python")
+
+
+def _scan_partitions(df) -> int | None:
+    """Splits of a plain file scan; None for anything else.  No job runs."""
     try:
-        target = int(min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP))
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (Spark Connect)
-        return df
-    return df.repartition(target) if current < target else df
+        plan = df._jdf.queryExecution().optimizedPlan()
+        names = [line.strip(" +-:").split(" ")[0].split("[")[0] for line in plan.treeString().splitlines()]
+        if any(n.startswith(_NOT_A_SCAN) for n in names) or not any(n.startswith("Relation") for n in names):
+            return None
+        return df.rdd.getNumPartitions()
+    except Exception:  # no plan or RDD access (Spark Connect)
+        return None
 
 
 def spread_scan(df, min_partitions: int | None = None):
-    """:func:`spread` for a DataFrame read straight from files.
+    """Give a CPU-heavy map stage over files enough tasks.
 
-    A file split always yields its rows in the same order, so the row
-    position id is the same on every retry; hashing on it spreads rows
-    evenly (every value is unique, so there is no hot key) without the
-    pre-sort that round-robin needs to be retry-safe.  Only for fresh scans:
-    after a shuffle, row order is not fixed and :func:`spread` must be used.
+    A file scan with fewer splits than ``min_partitions`` (default: the
+    default parallelism), as one small file has, is dealt out by the hash of
+    the row position, which is the same on every retry and unique, so there
+    is no hot key.  Scans that are already split (large tables), streams and
+    anything else than a file scan are returned unchanged.
     """
     if df.isStreaming:
         return df
-    try:
-        target = int(min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP))
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (Spark Connect)
+    current = _scan_partitions(df)
+    if current is None:
         return df
+    target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
     if current >= target:
         return df
     from pyspark.sql import functions as F

@@ -1,17 +1,19 @@
 """Batch telemetry of streaming queries.
 
-``progress_frame`` turns a query's progress reports into a table with the
-columns of the original telemetry file (``Timestamp``,
-``Batch_Duration_ms``, ``Input_Rows``) plus the rates and the per-operation
-durations.  ``ProgressCollector`` keeps the reports of running queries in a
-bounded buffer.  ``summarize`` gives mean, min, max, percentiles and totals
-of any numeric columns, with partial aggregation.
+``ProgressLog`` appends every progress report of a query to a table in the
+shared folder, so telemetry covers the whole run however many batches it has
+(Spark itself keeps only the latest reports).  ``progress_frame`` turns
+reports into a table with the columns of the original telemetry file
+(``Timestamp``, ``Batch_Duration_ms``, ``Input_Rows``) plus the rates and the
+per-operation durations.  ``summarize`` gives mean, min, max, exact
+percentiles and totals of any numeric columns.
 """
 
 from __future__ import annotations
 
 import json
-from collections import deque
+import threading
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ..operators.quantiles import exact_percentiles, percentile_name
+from ..session import shared_dir
+
 PROGRESS_SCHEMA = StructType([
     StructField("query_id", StringType()),
     StructField("name", StringType()),
@@ -63,11 +68,11 @@ def _row(p: dict) -> tuple:
     )
 
 
-def progress_frame(spark: SparkSession, progress: Iterable) -> DataFrame:
-    """Telemetry rows from progress reports (``query.recentProgress`` or a
-    collector's buffer; both are bounded lists)."""
-    rows = [_row(_as_dict(p)) for p in progress]
-    df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
+def progress_frame(spark: SparkSession, progress: DataFrame | Iterable) -> DataFrame:
+    """Telemetry rows from the table of a :class:`ProgressLog`, or from a
+    few reports at hand."""
+    df = progress if isinstance(progress, DataFrame) else spark.createDataFrame(
+        [_row(_as_dict(p)) for p in progress], PROGRESS_SCHEMA)
     return df.select(
         "*",
         F.to_timestamp("reported_at").alias("Timestamp"),
@@ -85,62 +90,115 @@ def operation_means_from_progress(progress: DataFrame, *, decimals: int = 2) ->
     return ops.groupBy("operation").agg(F.round(F.avg(F.col("ms").cast("double")), decimals).alias("mean_ms"))
 
 
-class ProgressCollector(StreamingQueryListener):
-    """Keeps the last ``max_reports`` progress reports of every query."""
+class ProgressLog(StreamingQueryListener):
+    """A listener that writes every report of every query of the session to
+    a table, one JSON line each; a file is closed after ``reports_per_file``
+    reports and when a query ends.  Only the reports of the open file are
+    held in memory, and per query the number of rows seen so far."""
 
-    def __init__(self, max_reports: int = 1000):
+    def __init__(self, spark: SparkSession, path: str | None = None, reports_per_file: int = 500):
         super().__init__()
-        self.reports: deque = deque(maxlen=max_reports)
+        self.spark, self.path, self.reports_per_file = spark, path or shared_dir(spark, "telemetry"), reports_per_file
+        self._changed = threading.Condition()
+        self._pending: list[str] = []
+        self._rows: dict[str, int] = {}
+        self._ended: set[str] = set()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_):
+        self.spark.streams.removeListener(self)
+        self._flush()
 
     def onQueryStarted(self, event):
         pass
 
-    def onQueryProgress(self, event):
-        self.reports.append(_as_dict(event.progress))
-
     def onQueryIdle(self, event):
         pass
 
+    def onQueryProgress(self, event):
+        report = _as_dict(event.progress)
+        row = dict(zip(PROGRESS_SCHEMA.fieldNames(), _row(report)))
+        with self._changed:
+            self._pending.append(json.dumps(row))
+            self._rows[row["query_id"]] = self._rows.get(row["query_id"], 0) + row["num_input_rows"]
+            full = len(self._pending) >= self.reports_per_file
+            self._changed.notify_all()
+        if full:
+            self._flush()
+
     def onQueryTerminated(self, event):
-        pass
+        with self._changed:
+            self._ended.add(str(event.id))
+            self._changed.notify_all()
+        self._flush()
+
+    def _flush(self) -> None:
+        with self._changed:
+            lines, self._pending = self._pending, []
+        if lines:
+            jvm = self.spark._jvm
+            file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{uuid.uuid4().hex}.json")
+            out = file.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(file)
+            out.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
+            out.close()
+
+    def rows(self, query) -> int:
+        """Input rows of a query reported so far."""
+        with self._changed:
+            return self._rows.get(str(query.id), 0)
+
+    def wait_for_rows(self, query, rows: int) -> None:
+        """Until the reports of a running query add up to ``rows`` or it ends
+        (its error is raised)."""
+        with self._changed:
+            while self._rows.get(str(query.id), 0) < rows and str(query.id) not in self._ended:
+                self._changed.wait(1.0)
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {query.exception()}")
+
+    def wait_for_end(self, query) -> None:
+        """Until the last report of an ended query has arrived."""
+        with self._changed:
+            while str(query.id) not in self._ended:
+                self._changed.wait(1.0)
+
+    def table(self, query=None) -> DataFrame:
+        """All reports so far (of one query) as a table."""
+        self._flush()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+        df = self.spark.read.schema(PROGRESS_SCHEMA).json(self.path)
+        return df if query is None else df.filter(F.col("query_id") == str(query.id))
 
 
 def summarize(df: DataFrame, value_cols: Sequence[str], *, group_cols: Sequence[str] = (),
-              percentiles: Sequence[float] = (0.5, 0.95), accuracy: int = 10000,
-              exact: bool = False) -> DataFrame:
-    """Per metric (and group): n, mean, min, max, percentiles, total.
+              percentiles: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """Per metric (and group): n, mean, min, max, percentiles, total; nulls
+    and NaN are left out everywhere.
 
     Columns are unpivoted into ``metric``/``v`` rows, so one aggregation
-    covers all of them; every aggregate here merges partial results, so a
-    group of any size is reduced map-side first.  Percentiles are
-    ``percentile_approx`` (exact while a group has fewer rows than
-    ``accuracy``), or with ``exact`` the exact inverse-distribution values
-    from :func:`..operators.quantiles.exact_percentiles` (a few bounded
-    passes over the data, joined on the one-row-per-group summary).
+    covers all of them; every aggregate merges partial results, so a group of
+    any size is reduced map-side first.  Percentiles are the exact
+    inverse-distribution values of
+    :func:`..operators.quantiles.exact_percentiles`, named ``p50``, ``p99_9``.
     """
-    cast = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols])
-    long = cast.unpivot(list(group_cols), list(value_cols), "metric", "v") if group_cols else \
-        df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in value_cols
-        ])).alias("m")).select("m.metric", "m.v")
-    long = long.withColumn("v", F.col("v").cast("double"))
-    aggs = [
-        F.count("v").alias("n"),
-        F.avg("v").alias("mean"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.sum("v").alias("total"),
-    ]
-    names = {float(p): f"p{int(round(p * 100))}" for p in percentiles}
-    if not exact:
-        for p, name in names.items():
-            aggs.append(F.percentile_approx("v", p, accuracy).alias(name))
-        return long.groupBy(*group_cols, "metric").agg(*aggs)
-    from ..operators.quantiles import exact_percentiles
-
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in value_cols])
+    long = df.select(*group_cols, F.inline(cells)).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     keys = [*group_cols, "metric"]
-    base = long.groupBy(*keys).agg(*aggs)
-    q = exact_percentiles(long, "v", list(names), group_cols=keys)
-    wide = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
-                                  for p, n in names.items()])
-    return base.join(wide, on=keys, how="left")
+    base = long.groupBy(*keys).agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.sum("v").alias("total"))
+    wanted = list(dict.fromkeys(float(p) for p in percentiles))
+    if not wanted:
+        return base
+    found = exact_percentiles(long, "v", wanted, group_cols=keys)
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(percentile_name(p))
+                                      for p in wanted])
+    named = wide.select(*[F.col(c).alias(f"_at_{c}") for c in keys], *[percentile_name(p) for p in wanted])
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    return base.join(named, cond, "left").drop(*[f"_at_{c}" for c in keys])

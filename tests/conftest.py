@@ -16,7 +16,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from scorewright.session import local_session
 
-    session = local_session("scorewright-tests", cores="*", shuffle_partitions=8)
+    folder = tempfile.mkdtemp(prefix="scorewright-checkpoints-")
+    session = local_session("scorewright-tests", cores="*", shuffle_partitions=8, extra={"spark.checkpoint.dir": folder})
     yield session
     session.stop()
 

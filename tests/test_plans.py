@@ -35,11 +35,29 @@ def test_parse_derive_score_is_map_only(spark, split_events):
     assert plan.count("from_json") >= 1
 
 
-def test_hash_split_and_rebalance_are_map_only(spark, split_events):
+def test_hash_split_is_map_only(spark, split_events):
     assert "Exchange" not in _plan(spark, C.hash_split(split_events, ["event_id"]))
+
+
+def test_rebalance_deals_runs_of_copies(spark, split_events):
     shares = {t: 0.2 for t in ["click", "error", "purchase", "signup", "view"]}
-    reb = C.rebalance(split_events, "event_type", shares, ["event_id"])
-    assert "Exchange" not in _plan(spark, reb)
+    plan = _plan(spark, C.rebalance(split_events, "event_type", shares, ["event_id"]))
+    # rows meet their class's numbers without a shuffle, runs are dealt by key
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(event_id" in plan
+
+
+def test_spread_leaves_split_and_shuffled_input_alone(spark, split_events):
+    from scorewright.session import spread_scan
+
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    grouped = split_events.groupBy("event_type").count()
+    assert spread_scan(grouped) is grouped and spread_scan(split_events.repartition(2)) is not None
+    assert len(jobs.getJobIdsForGroup(None)) == before
+    one = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert spread_scan(one, 1) is one and "Exchange" not in _plan(spark, spread_scan(one, 1))
+    assert "Exchange" in _plan(spark, spread_scan(one, 64))
 
 
 def test_class_counts_aggregate_partially(spark, split_events):

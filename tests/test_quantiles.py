@@ -34,3 +34,27 @@ def test_exact_percentiles(spark, dist):
             assert got[(g, p)] == _brute(grp, p)
     overall = {r["p"]: r["value"] for r in exact_percentiles(df, "v", ps).collect()}
     assert overall == {p: _brute([x for _, x in rows], p) for p in ps}
+
+
+def test_odd_values_and_ranks(spark):
+    import sys
+
+    vals = [float("inf"), float("-inf"), sys.float_info.max, -sys.float_info.max, 5e-324, -5e-324, 0.0] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    ps = [0.01, 0.3, 0.5, 0.7, 0.999]
+    assert {r["p"]: r["value"] for r in exact_percentiles(df, "v", ps).collect()} == {p: _brute(vals, p) for p in ps}
+    hundred = spark.range(1, 101).selectExpr("CAST(id AS DOUBLE) AS v")
+    got = {r["p"]: r["value"] for r in exact_percentiles(hundred, "v", [0.07, 0.55, 0.999]).collect()}
+    assert got == {0.07: 7.0, 0.55: 55.0, 0.999: 100.0}
+
+
+def test_more_rows_than_the_sketch_holds(spark):
+    rows = spark.range(60_000).selectExpr("CAST(pmod(xxhash64(id), 40000) AS DOUBLE) AS v", "id % 2 AS g").union(
+        spark.range(30_000).selectExpr("CAST(77 AS DOUBLE)", "CAST(0 AS LONG)"))
+    pdf = rows.toPandas()
+    ps = [0.001, 0.07, 0.5, 0.95, 0.999]
+    got = {(r["g"], r["p"]): r["value"] for r in exact_percentiles(rows, "v", ps, group_cols=["g"]).collect()}
+    for g in (0, 1):
+        for p in ps:
+            v = sorted(pdf[pdf.g == g].v)
+            assert got[(g, p)] == v[max(math.ceil(round(p * len(v), 6)), 1) - 1]

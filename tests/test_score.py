@@ -59,8 +59,54 @@ def test_fractional_scores_into_int_fail_loudly():
 def test_two_dimensional_predictions_are_flattened():
     out = _as_result(np.array([[1], [0], [1]]), 3, IntegerType(), None)
     assert list(out) == [1, 0, 1]
-    probs = _as_result(np.array([[0.2, 0.8], [0.9, 0.1]]), 2, DoubleType(), None)
-    assert list(probs) == [0.8, 0.1]
+    two = np.array([[0.2, 0.8], [0.9, 0.1]])
+    assert list(_as_result(two, 2, DoubleType(), None, 1)) == [0.8, 0.1]
+    assert list(_as_result(two, 2, IntegerType(), 0.5, 0)) == [0, 1]
+    with pytest.raises(ValueError, match="output_index"):
+        _as_result(two, 2, DoubleType(), None)
+
+
+def test_missing_and_large_predictions():
+    out = _as_result(np.array([0.9, np.nan, 0.1]), 3, IntegerType(), 0.5)
+    assert out[0] == 1 and out.isna()[1] and out[2] == 0
+    whole = _as_result(np.array([3.0, np.nan]), 2, IntegerType(), None)
+    assert whole[0] == 3 and whole.isna()[1]
+    for big in (np.array([2**31 + 5]), np.array([float(2**31)]), np.array([-(2**31) - 1])):
+        with pytest.raises(ValueError, match="does not fit"):
+            _as_result(big, 1, IntegerType(), None)
+
+
+def test_null_feature_with_threshold_has_no_class(spark):
+    df = spark.createDataFrame([(2.0,), (None,)], "a double")
+    out = score(df, {"features": ["a"], "threshold": 1.0}, model=LinearScore({"a": 1.0}))
+    assert {r["a"]: r["prediction"] for r in out.collect()} == {2.0: 1, None: None}
+
+
+def test_shipped_files_of_one_name(spark, scratch):
+    import os
+
+    df = spark.createDataFrame([(1.0,), (5.0,)], "a double")
+    for version, cut in (("v1", 0.0), ("v2", 3.0), ("v3", 9.0)):
+        os.makedirs(f"{scratch}/{version}")
+        with open(f"{scratch}/{version}/model.pkl", "wb") as fh:
+            pickle.dump(ThresholdRule("a", cut), fh)
+        df = score(df, {"path": f"{scratch}/{version}/model.pkl", "features": ["a"], "ship": True}, output_col=version)
+    assert sorted(map(tuple, df.collect())) == [(1.0, 1, 0, 0), (5.0, 1, 1, 0)]
+    assert spark.range(10).count() == 10
+
+
+def _read_cut(path):
+    with open(path) as fh:
+        return float(fh.read())
+
+
+def test_own_flavour_runs_on_workers(spark, scratch):
+    with open(f"{scratch}/cut.txt", "w") as fh:
+        fh.write("2.5")
+    register_loader("cut_file", _read_cut, lambda cut, x: (x["a"] > cut).astype("int32"))
+    df = spark.createDataFrame([(1.0,), (5.0,)], "a double")
+    out = score(df, {"type": "cut_file", "path": f"{scratch}/cut.txt", "features": ["a"]})
+    assert {r["a"]: r["prediction"] for r in out.collect()} == {1.0: 0, 5.0: 1}
 
 
 def test_null_features_skip(spark):
@@ -125,8 +171,9 @@ def test_cached_load_reads_once(scratch):
     path = f"{scratch}/m.pkl"
     with open(path, "wb") as fh:
         pickle.dump(ThresholdRule("a", 1.0), fh)
-    first = S.cached_load("pickle", path)
-    assert S.cached_load("pickle", path) is first
+    load, _ = S.loader_for("pickle")
+    first = S.cached_load(load, "pickle", path)
+    assert S.cached_load(load, "pickle", path) is first
 
 
 def test_text_features_keep_their_type(spark):

@@ -59,20 +59,31 @@ def test_message_round_trip_is_exact(spark):
 
 
 def test_example_job_file_builds(spark, monkeypatch):
-    """The example configuration (30 features, F3) parses a batch message."""
+    """The example configuration parses and scores a batch message."""
     import os
 
-    monkeypatch.setenv("DB_USER", "u")
-    monkeypatch.setenv("DB_PASSWORD", "p")
-    cfg = job.load_config(os.path.join(os.path.dirname(__file__), "..", "examples", "fraud_job.yaml"))
-    assert len(cfg["model"]["features"]) == 30 and cfg["sink"]["options"]["password"] == "p"
-    msg = '{"Time": 0.0, "V1": -1.359, "V2": 0.5, "Amount": 149.62}'
-    raw = spark.createDataFrame([(bytearray(msg, "utf-8"),)], "value binary")
-    cfg["model"] = dict(cfg["model"], path=None)
-    out = job.build(spark, cfg, raw=raw, model=ThresholdRule("Amount", 100.0))
-    row = out.collect()[0]
-    assert row["V1_V2_sum"] == -1.359 + 0.5 and row["V3"] is None and row["prediction"] == 1
-    assert out.columns[:2] == ["Time", "V1"] and out.columns[-1] == "prediction"
+    monkeypatch.setenv("SCORES_DB_USER", "u")
+    monkeypatch.setenv("SCORES_DB_PASSWORD", "p")
+    cfg = job.load_config(os.path.join(os.path.dirname(__file__), "..", "examples", "sensor_job.yaml"))
+    assert cfg["sink"]["options"]["password"] == "p"
+    messages = ['{"event_id": 7, "event_type": "view", "value": 12.0, "props": "{\\"k\\": 4}"}', "not json"]
+    raw = spark.createDataFrame([(bytearray(m, "utf-8"), i) for i, m in enumerate(messages)], "value binary, offset long")
+    out = job.build(spark, cfg, raw=raw, model=ThresholdRule("value", 10.0))
+    good, bad = out.orderBy("offset").collect()
+    assert (good["event_id"], good["k"], good["value_per_k"], good["prediction"], good["unread"]) == (7, 4, 3.0, 1, [])
+    assert bad["unread"] == ["_message"] and bad["offset"] == 1 and "props_text" not in out.columns
+    assert set(cfg["sink"]["columns"]) <= set(out.columns)
+
+
+def test_wide_messages(spark):
+    """Thirty numeric fields (F3), one derived column."""
+    import json
+
+    schema = {f"c{i}": {"path": f"c{i}", "type": "double"} for i in range(30)}
+    schema["both"] = {"transform": "c0 + c29", "type": "double"}
+    raw = spark.createDataFrame([(json.dumps({f"c{i}": i / 4 for i in range(30)}),)], "value string")
+    row = job.build(spark, {"schema": schema}, raw=raw).first()
+    assert row["c7"] == 1.75 and row["both"] == 7.25 and len(row) == 31
 
 
 def test_cli_runs_a_job_to_completion(spark, scratch):
@@ -91,24 +102,29 @@ def test_cli_runs_a_job_to_completion(spark, scratch):
     assert spark.read.parquet(f"{scratch}/data").count() == 1000
 
 
-def test_progress_listener(spark, scratch):
-    from scorewright.streaming.progress import ProgressCollector, progress_frame
+def test_progress_log_keeps_every_report(spark, scratch):
+    """More batches than Spark's own report window holds."""
+    from scorewright.sources.files import write_message_files
+    from scorewright.streaming.progress import ProgressLog, progress_frame, summarize
 
-    collector = ProgressCollector(max_reports=10)
-    spark.streams.addListener(collector)
+    events = spark.read.parquet(f"{SF}/events.parquet").repartition(9)
+    write_message_files(events, catalog.EVENT_COLUMNS, f"{scratch}/topic")
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["source"] = {"format": "text", "path": f"{scratch}/topic", "max_files_per_trigger": 1}
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
-        cfg = catalog.stream_job_config(SF, scratch)
-        run_until_done(job.start(spark, cfg, model=ThresholdRule("value", 50.0)), 600)
-        import time
-
-        for _ in range(300):
-            if collector.reports:
-                break
-            time.sleep(0.1)
+        with ProgressLog(spark, reports_per_file=4) as log:
+            query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
+            run_until_done(query)
+            log.wait_for_end(query)
+            assert len(query.recentProgress) <= 2
+            tele = progress_frame(spark, log.table(query)).filter("Input_Rows > 0")
+            assert tele.count() == 9 and log.rows(query) == 1000
+            row = summarize(tele, ["Input_Rows"], percentiles=[0.5, 0.995, 0.999]).first()
+            assert row["total"] == 1000 and {"p50", "p99_5", "p99_9"} <= set(row.asDict())
     finally:
-        spark.streams.removeListener(collector)
-    assert len(collector.reports) >= 1
-    assert progress_frame(spark, collector.reports).count() == len(collector.reports)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
 def test_cli_bad_config_exits_nonzero(tmp_path):
@@ -119,7 +135,7 @@ def test_cli_bad_config_exits_nonzero(tmp_path):
 
 
 def test_older_flat_schema_config(spark):
-    cfg = {"schema": {"Time": "double", "V1": "double", "Amount": "double", "Note": "tipo_inventado"},
+    cfg = {"schema": {"Time": "double", "V1": "double", "Amount": "double", "Note": "no_such_type"},
            "model": {"features": ["V1"]}}
     msg = '{"Time": 0.0, "V1": -1.359, "Amount": 149.62, "Note": 7}'
     raw = spark.createDataFrame([(bytearray(msg, "utf-8"),)], "value binary")

@@ -33,10 +33,10 @@ def main() -> None:
     from scorewright.functions.messages import encode_messages
     from scorewright.operators.parse import parse_messages, parse_struct
     from scorewright.operators.score import ThresholdRule, score
-    from scorewright.session import local_session, ship_package, spread
+    from scorewright.session import local_session, ship_package, spread_scan
 
     spark = local_session("parse-compare", cores=8, shuffle_partitions=16)
-    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    li = spread_scan(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     cols = li.columns
     types = dict(li.dtypes)
     msgs = encode_messages(li, cols).cache()
