@@ -99,7 +99,7 @@ class ProgressLog(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str | None = None, reports_per_file: int = 500):
         super().__init__()
         self.spark, self.path, self.reports_per_file = spark, path or shared_dir(spark, "telemetry"), reports_per_file
-        self._changed = threading.Condition()
+        self._changed, self._writing = threading.Condition(), threading.Lock()
         self._pending: list[str] = []
         self._rows: dict[str, int] = {}
         self._ended: set[str] = set()
@@ -130,20 +130,21 @@ class ProgressLog(StreamingQueryListener):
             self._flush()
 
     def onQueryTerminated(self, event):
+        self._flush()  # who waits for the end finds all reports written
         with self._changed:
             self._ended.add(str(event.id))
             self._changed.notify_all()
-        self._flush()
 
     def _flush(self) -> None:
-        with self._changed:
-            lines, self._pending = self._pending, []
-        if lines:
-            jvm = self.spark._jvm
-            file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{uuid.uuid4().hex}.json")
-            out = file.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(file)
-            out.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
-            out.close()
+        with self._writing:
+            with self._changed:
+                lines, self._pending = self._pending, []
+            if lines:
+                jvm = self.spark._jvm
+                file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{uuid.uuid4().hex}.json")
+                out = file.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(file)
+                out.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
+                out.close()
 
     def rows(self, query) -> int:
         """Input rows of a query reported so far."""
