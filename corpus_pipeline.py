@@ -16,11 +16,11 @@ are treated as the operators' docstrings say.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from scorewright.llm import mixing, pieces, rule_quality, simhash
 from scorewright.llm.catalog import tokenizer_path
-from scorewright.llm.common import table, temp_name, written
+from scorewright.llm.common import table, written
 
 QUALITY_THRESHOLD = 0.7
 MAX_REPETITION = 2.0
@@ -28,9 +28,7 @@ MAX_REPETITION = 2.0
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = rule_quality.train(docs, table(spark, sf_dir, "labels"))
-    score = temp_name("score")
-    scored = rule_quality.with_score(docs, model, "text", score)
-    return scored.where(F.col(score) >= QUALITY_THRESHOLD).drop(score)
+    return rule_quality.accepted(docs, model, "text", QUALITY_THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scorewright.llm.common import UPPER, written
+from scorewright.llm.common import UPPER, row_id, temp_name, written
 
 SAMPLE_ROWS = 20_000
 SYMBOLS = "#$%&*"
@@ -165,6 +165,19 @@ def with_score(docs: DataFrame, model: RuleModel, text_col: str, score_col: str)
     return wide.withColumn(score_col, model.score({k: F.col(v) for k, v in named.items()})).drop(*named.values())
 
 
+def accepted(docs: DataFrame, model: RuleModel, text_col: str, threshold: float) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``."""
+    stats = statistics(F.col(text_col))
+    named = {k: temp_name(k) for k in stats}
+    row = temp_name("row")
+    # A filter moves below a projection of plain expressions and then computes
+    # every statistic again for each rule that tests it; the row id, which it
+    # mentions too, keeps it above.
+    wide = docs.withColumns({**{named[k]: c for k, c in stats.items()}, row: row_id()})
+    score = model.score({k: F.col(v) for k, v in named.items()})
+    return wide.where((score >= threshold) & (F.col(row) >= 0)).drop(row, *named.values())
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row.
