@@ -28,8 +28,10 @@ MAGIC = b"WMTOK01\n"
 END_ID = 1
 SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 512
-# a worker keeps the ids of at most this many distinct chunks between texts
-CACHE_CHUNKS = 600_000
+# a worker keeps the ids of at most this many distinct chunks and words
+# between texts (about 200 bytes each)
+CACHE_CHUNKS = 1_200_000
+CACHE_WORDS = 800_000
 MANIFEST = "part int, seq int, file string, docs bigint, tokens bigint, bytes bigint, sha256 string"
 
 
@@ -118,12 +120,13 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """The whole sequence, by undoing the orderings from the last plane."""
-        out = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        out = np.zeros(self.n, dtype=kind)
         for p in range(self.bits - 1, -1, -1):
             bit = np.unpackbits(self.planes[p], count=self.n, bitorder="little").astype(bool)
             level = np.empty_like(out)
             level[~bit] = out[:self.zeros[p]]
-            level[bit] = out[self.zeros[p]:] | np.uint32(1 << (self.bits - 1 - p))
+            level[bit] = out[self.zeros[p]:] | kind(1 << (self.bits - 1 - p))
             out = level
         return out
 
@@ -164,27 +167,78 @@ class ChunkEncoder:
 
     No token of the tokenizer crosses an ASCII white space (its pre-tokenizer
     drops white space), so a text's ids are those of its chunks between
-    them; every distinct chunk is encoded once and remembered."""
+    them; every distinct chunk is encoded once and remembered.  A chunk of
+    letters and closing punctuation is cut between the two, as the
+    pre-tokenizer does.  Its letters are one word of the pre-tokenizer, with
+    one end-of-word token, so new words are encoded many at a time and told
+    apart by these tokens; where their number does not fit, one by one."""
 
-    def __init__(self, path: str, dtype=np.uint16):
+    TAIL = ".,!|#$%&*;:?"
+    JOINED = 500
+
+    def __init__(self, path: str, dtype=np.uint16, word_end: str | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
+        self.tokenizer, self.dtype, self.known, self.words = Tokenizer.from_file(path), dtype, {}, {}
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.ends = None
+        if word_end:
+            self.ends = np.zeros(self.vocabulary, dtype=bool)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.ends[i] = token.endswith(word_end)
+
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        found = self.batch(texts, add_special_tokens=False)
+        return [np.array(f.ids, dtype=self.dtype).tobytes() for f in found]
+
+    def _learn_words(self, words: list[str]) -> None:
+        groups = [words[a:a + self.JOINED] for a in range(0, len(words), self.JOINED)]
+        width = np.dtype(self.dtype).itemsize
+        for group, found in zip(groups, self.batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype=self.dtype)
+            cuts = (np.nonzero(self.ends[ids])[0] + 1) * width
+            if len(cuts) == len(group) and (not group or cuts[-1] == ids.nbytes):
+                raw, start = ids.tobytes(), 0
+                for word, end in zip(group, cuts.tolist()):
+                    self.words[word] = raw[start:end]
+                    start = end
+            else:
+                self.words.update(zip(group, self._one_by_one(group)))
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        if self.ends is None:
+            whole = [(c, c.decode("utf-8")) for c in chunks]
+            parted = []
+        else:
+            whole, parted = [], []
+            for chunk in chunks:
+                text = chunk.decode("utf-8")
+                if text.isascii():
+                    text = text.lower()
+                core = text.rstrip(self.TAIL)
+                # in lower case too: a mark split off would join the punctuation
+                if core.isalpha() and (core.isascii() or core.lower().isalpha()):
+                    parted.append((chunk, core, text[len(core):]))
+                else:
+                    whole.append((chunk, chunk.decode("utf-8")))
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
+        words, known = self.words, self.known
+        self._learn_words(list({core for _, core, _ in parted if core not in words}))
+        tails = list({tail for _, _, tail in parted if tail and tail not in words})
+        words.update(zip(tails, self._one_by_one(tails)))
+        for chunk, core, tail in parted:
+            known[chunk] = words[core] + words[tail] if tail else words[core]
+        known.update(zip((c for c, _ in whole), self._one_by_one([t for _, t in whole])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of every text."""
         split = [(t or "").encode("utf-8").split() for t in texts]
         if len(self.known) > CACHE_CHUNKS:
             self.known = {}
-        known = self.known
-        new = list({c for chunks in split for c in chunks if c not in known})
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for a in range(0, len(new), 1 << 14):
-            part = new[a:a + (1 << 14)]
-            for chunk, found in zip(part, encode([c.decode("utf-8") for c in part], add_special_tokens=False)):
-                known[chunk] = np.array(found.ids, dtype=self.dtype).tobytes()
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        self._learn(list(set().union(*split) - self.known.keys()))
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -199,8 +253,9 @@ def encoder(path: str) -> ChunkEncoder:
         import json
 
         with open(path, encoding="utf-8") as f:
-            top = max(json.load(f)["model"]["vocab"].values(), default=0)
-        _ENCODERS[path] = ChunkEncoder(path, np.uint16 if top < 1 << 16 else np.uint32)
+            model = json.load(f)["model"]
+        top = max(model["vocab"].values(), default=0)
+        _ENCODERS[path] = ChunkEncoder(path, np.uint16 if top < 65_000 else np.uint32, model.get("end_of_word_suffix"))
     return _ENCODERS[path]
 
 
@@ -226,8 +281,8 @@ def _write_shards(folder: str, tokenizer: str, shard_tokens: int):
 
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a in range(0, len(texts), 256):
-                for doc_id, found in zip(doc_ids[a:a + 256], coder.encode(texts[a:a + 256])):
+            for a in range(0, len(texts), 1024):
+                for doc_id, found in zip(doc_ids[a:a + 1024], coder.encode(texts[a:a + 1024])):
                     ids.append(doc_id)
                     coded.append(found + end)
                     size += len(found) // width + 1
@@ -271,7 +326,7 @@ def _read_files(folder: str):
             for name, first in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist()):
                 with open_stored(folder, name) as stream:
                     matrix, doc_ids, lengths = load(stream.read())
-                raw = memoryview(matrix.tokens().astype("<u4", copy=False)).cast("B")
+                raw = memoryview(matrix.tokens().astype("<u4")).cast("B")
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
                 crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]

@@ -60,3 +60,15 @@ def test_hostile_rows(hostile):
 
 def test_empty(empty):
     assert wavelet.round_trip(empty, tokenizer_path(TOKENIZER)).collect() == []
+
+
+def test_chunk_encoder_equals_the_library():
+    import random
+
+    coder = wavelet.encoder(tokenizer_path(TOKENIZER))
+    random.seed(1)
+    parts = ["a", "B", "é", "É", "İ", "ß", "ﬁ", "é", "H̱", "Σ", "ς", "1", "½", "漢", "ᄒ", "ᅡ", "'", "'s", ".", "!", "|", "<|",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "\x1c", "\x85", "\xa0", " ", "\n", "-", "̀", "ǅ", "🙂", "Ⅷ", "ª"]
+    texts = ["".join(random.choices(parts, k=random.randint(1, 12))) for _ in range(20_000)]
+    found = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert coder.encode(texts) == [np.array(f.ids, dtype=coder.dtype).tobytes() for f in found]
