@@ -6,7 +6,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from scorewright.session import shared_dir, ship_package  # noqa: F401  (re-exported)
+# written: a table in the cluster's shared folder, read back; later passes
+# neither recompute it nor depend on the executors that made it
+from scorewright.session import drop_table as discard  # noqa: F401
+from scorewright.session import shared_dir, ship_package  # noqa: F401
+from scorewright.session import written_table as written  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -26,26 +30,6 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the cluster's shared folder and read it
-    back: later passes neither recompute it nor depend on the executors that
-    made it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files behind a table of :func:`written` that nothing will
-    read any more (a superseded round of an iteration)."""
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = hadoop(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def temp_name(stem: str) -> str:
     """An internal column name that no input column can have by chance."""
     return f"__{stem}_{uuid.uuid4().hex[:12]}"

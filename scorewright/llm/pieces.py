@@ -32,9 +32,10 @@ from scorewright.llm.common import ship_package
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 # a worker keeps the ids of at most this many distinct words between texts
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_500_000
 CACHE_PAIRS = 2_000_000
 _NO_TAIL = object()
+_ALONE = -1e10  # score of a character outside the vocabulary
 
 
 class Pieces:
@@ -109,28 +110,40 @@ class Pieces:
             known = self._pairs[key] = self.merge(left + right) == [left, right]
         return known
 
-    def extend(self, word: str, end: int, scores: list[float], last: list[str | None]) -> tuple[float, str]:
-        """Forward state of ``word[:end]`` from those of its shorter prefixes."""
-        tails, steps = self.tails, []
+    def ending_at(self, word: str, end: int) -> list[str]:
+        """The pieces that end ``word[:end]``, shortest first; a character
+        outside the vocabulary can stand alone."""
+        tails, found = self.tails, []
         for start in range(end - 1, -1, -1):
             text = word[start:end]
             step = tails.get(text, _NO_TAIL)
             if step is _NO_TAIL:
                 break  # nothing longer can be a piece
             if step is not None:
-                steps.append((start, text, step))
-        if not steps or steps[0][0] != end - 1:
-            # a character outside the vocabulary can stand alone
-            steps.insert(0, (end - 1, word[end - 1], -1e10))
+                found.append(text)
+        if not found or len(found[0]) > 1:
+            found.insert(0, word[end - 1])
+        return found
+
+    def extend(self, word: str, end: int, scores: list[float], last: list[str | None]) -> tuple[float, str]:
+        """Forward state of ``word[:end]`` from those of its shorter prefixes."""
+        found = self.ending_at(word, end)
         if self.merges:
             pairs = self._pairs
-            for start, text, step in reversed(steps):  # exactly one is open
-                if not start:
-                    return step, text
-                fits = pairs.get((last[start], text))
-                if fits or (fits is None and self.compatible(last[start], text)):
-                    return scores[start] + step, text
-        return max(((scores[start] + step, text) for start, text, step in reversed(steps)), key=lambda x: x[0])
+            for text in reversed(found):  # exactly one is open
+                before = last[end - len(text)]
+                if before is None:
+                    return 0.0, text
+                fits = pairs.get((before, text))
+                if fits or (fits is None and self.compatible(before, text)):
+                    return 0.0, text
+        best, piece = -np.inf, found[0]
+        for text in reversed(found):
+            step = self.tails.get(text)
+            score = scores[end - len(text)] + (_ALONE if step is None else step)
+            if score > best:
+                best, piece = score, text
+        return best, piece
 
     def ids_of(self, parts: list[str]) -> list[int]:
         out: list[int] = []
@@ -213,11 +226,17 @@ class TextEncoder:
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
+def text_encoder(path: str) -> TextEncoder:
+    """One per worker process and model: what it has learnt serves the next
+    task too (a function of the module, so that tasks share its globals)."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = TextEncoder(Pieces.load(path))
+    return _ENCODERS[path]
+
+
 def _code(path: str, keep_ids: bool):
     def run(batches) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = TextEncoder(Pieces.load(path))
-        coder = _ENCODERS[path]
+        coder = text_encoder(path)
         for batch in batches:
             texts, keep = batch.column("text"), [c for c in batch.schema.names if c != "text"]
             for a in range(0, batch.num_rows, 256):
