@@ -7,7 +7,7 @@ file's words are looked up in this index; the positions found for the rare
 words of one template, each shifted by the word's place in the template, are
 intersected, which leaves the places where the rare words stand at their
 relative positions.  A place counts when all mandatory phrases stand there
-word for word and enough of the whole template does.
+word for word; how much of the whole template does is its score.
 
 As the rare words are words of mandatory phrases, no verified place can lack
 them: the index only spares work.  Everything is column expressions.
@@ -144,7 +144,7 @@ def _share(words: Column, starts: Column, template: Template) -> Column:
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tuple[Template, ...] = BASE,
-         rare: int = 2, min_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         rare: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score`` for every row.
 
@@ -178,8 +178,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tup
         s = F.coalesce(F.col(f"s{k}"), none)
         share = F.when(F.size(s) > 0, F.array_max(_share(w, s, t)))
         shares.append(share.alias(f"h{k}"))
-        found.append(F.when(F.coalesce(F.col(f"h{k}"), F.lit(0.0)) >= (0.0 if k < n_base else min_share),
-                            F.when(F.col(f"h{k}").isNotNull(), F.lit(t.label))))
+        found.append(F.when(F.col(f"h{k}").isNotNull(), F.lit(t.label)))
     wide = starts.select("doc_id", F.size(w).cast("long").alias("n_words"), all_base.alias("places"), *shares)
 
     def joined(labels: list[Column]) -> Column:
@@ -187,8 +186,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tup
 
     best = F.lit(0.0)
     for k in range(len(index)):
-        h = F.coalesce(F.col(f"h{k}"), F.lit(0.0))
-        best = F.greatest(best, h if k < n_base else F.when(h >= min_share, h).otherwise(F.lit(0.0)))
+        best = F.greatest(best, F.coalesce(F.col(f"h{k}"), F.lit(0.0)))
     return wide.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"),

@@ -66,3 +66,31 @@ def test_empty_and_native(hostile, empty):
     assert license_scan.scan(empty).collect() == []
     plan = license_scan.scan(hostile)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+NOTICES = {"MIT License": "mit", "Distributed under the Eclipse Public License 2.0": "epl",
+           "Mozilla Public License Version 2.0": "mpl-2.0", "licensed under the Mozilla Public License": "mpl-2.0",
+           "public domain, CC0": "", "public domain under CC0": "cc0", "mit or license": "",
+           "Permission is hereby granted, free of charge.": "mit"}
+
+
+def test_bare_notices(spark):
+    docs = spark.createDataFrame(list(enumerate(NOTICES)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    assert [got[i].labels for i in range(len(NOTICES))] == list(NOTICES.values())
+    everything = license_scan.BASE + license_scan.TEMPLATES
+    for i, text in enumerate(NOTICES):
+        words, labels, score = words_of(text), set(), 0.0
+        for t in everything:
+            for start in range(-len(t.words), len(words)):
+                def at(k):
+                    return words[start + k] if 0 <= start + k < len(words) else None
+                if all(at(k) == w for k, w in t.mandatory()):
+                    labels.add(t.label)
+                    score = max(score, sum(at(k) == w for k, w in enumerate(t.words)) / len(t.words))
+        assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), round(score, 6))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(NOTICES)])
+    twin = con.sql(license_scan.twin_sql(min_share=0.0))
+    assert sorted(map(str, twin.fetchall())) == sorted(str(tuple(r[c] for c in twin.columns)) for r in got.values())
