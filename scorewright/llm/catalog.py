@@ -74,7 +74,7 @@ def op9_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), keep_ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 @query

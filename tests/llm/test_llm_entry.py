@@ -1,8 +1,10 @@
 """Registered training-data queries and the pipeline."""
 
+import array
 import collections
 import os
 import sys
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,9 @@ def test_pipeline_on_hostile_documents(hostile, empty, scratch, spark):
 def test_pipeline_on_no_documents(hostile, empty, scratch, spark):
     sf = hostile_folder(hostile, empty, scratch, empty)
     assert corpus_pipeline.run(spark, sf).collect() == []
+
+
+def test_op5_returns_the_ids(spark):
+    rows = catalog.QUERIES["op5_sentencepiece"](spark, SF).collect()
+    assert len(rows) == catalog.table(spark, SF, "documents").count()
+    assert all(len(r.ids) == r.n_pieces and zlib.crc32(array.array("i", r.ids).tobytes()) == r.ids_crc32 for r in rows)
