@@ -4,7 +4,8 @@ Each stage is a function ``(spark, docs, sf_dir) -> DataFrame``; its rows are
 written as Parquet and read again as the next stage's documents.  All stages
 but the last return the columns of ``documents``.
 
-1. quality: documents that the rule ensemble rejects go.
+1. quality: documents that the rule ensemble rejects go; all stay where the
+   labels teach it nothing (none usable, or of one class only).
 2. near-duplicates: one document of each SimHash component stays.
 3. mixing: documents are repeated so that sources meet their weights; every
    document is read at least once, none more than twice as often as others.

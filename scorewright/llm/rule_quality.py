@@ -59,6 +59,11 @@ class RuleModel:
     rules: list = field(default_factory=list)
     fixed: float | None = None
 
+    @property
+    def constant(self) -> bool:
+        """Whether every text has the same score: nothing was learnt."""
+        return self.fixed is not None or not self.rules
+
     def score(self, stats: dict[str, Column]) -> Column:
         if self.fixed is not None:
             return F.lit(float(self.fixed))
@@ -166,7 +171,10 @@ def with_score(docs: DataFrame, model: RuleModel, text_col: str, score_col: str)
 
 
 def accepted(docs: DataFrame, model: RuleModel, text_col: str, threshold: float) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``."""
+    """The rows of ``docs`` that score at least ``threshold``; all rows if
+    the model is a constant, which tells no document from another."""
+    if model.constant:
+        return docs
     stats = statistics(F.col(text_col))
     named = {k: temp_name(k) for k in stats}
     row = temp_name("row")

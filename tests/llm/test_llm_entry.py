@@ -79,3 +79,12 @@ def test_op5_returns_the_ids(spark):
     rows = catalog.QUERIES["op5_sentencepiece"](spark, SF).collect()
     assert len(rows) == catalog.table(spark, SF, "documents").count()
     assert all(len(r.ids) == r.n_pieces and zlib.crc32(array.array("i", r.ids).tobytes()) == r.ids_crc32 for r in rows)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, None), (None, 1)], [(1, 1), (1, 0)], [(1, 0), (4, 0), (5, 0), (9, 0)],
+                                    [(1, 1), (4, 1), (5, 1), (9, 1)], [(-7, 0), (-8, 1)]])
+def test_quality_stage_keeps_all_where_nothing_is_learnt(hostile, scratch, spark, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{scratch}/labels.parquet")
+    kept = corpus_pipeline.quality(spark, hostile, scratch)
+    assert kept.schema == hostile.schema
+    assert sorted(map(str, kept.collect())) == sorted(map(str, hostile.collect()))
