@@ -682,6 +682,17 @@ def _run_stream(spark, cfg, name):
     return query
 
 
+def _message_files_config(spark, sf_dir, out) -> dict:
+    """A job over the events as message files, with as many files in a
+    micro-batch as there are cores.  There are at least twice as many files,
+    so the stream takes several batches, and many for a large table."""
+    cores = spark.sparkContext.defaultParallelism
+    write_message_files(spread_scan(table(spark, sf_dir, "events"), 2 * cores), EVENT_COLUMNS, f"{out}/topic")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": cores}
+    return cfg
+
+
 def _logged_stream(spark, cfg) -> DataFrame:
     """Run a stream to its end; the table of all its progress reports."""
     with ProgressLog(spark) as log:
@@ -883,9 +894,7 @@ def q_telemetry_summary(spark, sf_dir):
     """A10 over A9: summary of the batch telemetry of a scoring stream that
     reads the events as message files."""
     out = shared_dir(spark, "q_telemetry_summary")
-    write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
-    cfg = stream_job_config(sf_dir, out)
-    cfg["source"] = {"format": "text", "path": f"{out}/topic"}
+    cfg = _message_files_config(spark, sf_dir, out)
     tele = _logged_stream(spark, cfg).filter(F.col("Input_Rows") > 0)
     return summarize(tele, ["Batch_Duration_ms", "Input_Rows"])
 
@@ -895,9 +904,7 @@ def q_telemetry_operations(spark, sf_dir):
     """A7 from A9: mean duration of each streaming operation over the
     micro-batches of a scoring stream over the events message files."""
     out = shared_dir(spark, "q_telemetry_operations")
-    write_message_files(table(spark, sf_dir, "events", spread_rows=True), EVENT_COLUMNS, f"{out}/topic")
-    cfg = stream_job_config(sf_dir, out)
-    cfg["source"] = {"format": "text", "path": f"{out}/topic"}
+    cfg = _message_files_config(spark, sf_dir, out)
     return operation_means_from_progress(_logged_stream(spark, cfg))
 
 

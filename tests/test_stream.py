@@ -41,6 +41,12 @@ def test_progress_rows(spark):
     assert sum(r["Input_Rows"] for r in tele) == 1000.0
 
 
+def test_telemetry_covers_many_batches(spark):
+    summary = {r["metric"]: r for r in catalog.q_telemetry_summary(spark, SF).collect()}
+    assert summary["Input_Rows"]["n"] > 1 and summary["Input_Rows"]["total"] == 1000.0
+    assert summary["Input_Rows"]["max"] < 1000.0
+
+
 def test_yaml_config_with_env(tmp_path, monkeypatch):
     monkeypatch.setenv("DB_PASSWORD", "s3cret")
     p = tmp_path / "job.yaml"
