@@ -560,18 +560,22 @@ PAGE_MARK = "<!--page:"
 @register("q_page_files")
 def q_page_files(spark, sf_dir):
     """S7 + A8: pages saved as documents (a bounded number of pages in each,
-    told apart by a mark), read back whole-text and cut into pages."""
+    told apart by a mark), read back whole-text and cut into pages.  A page
+    without an id has a mark without one; a mark in a page's own text is
+    written with a ``;`` more before its colon, which reading takes off."""
     from ..sources.files import read_documents
     from ..streaming.sinks import write_batch
 
     out = shared_dir(spark, "q_page_files")
     pages = table(spark, sf_dir, "pages").select(
-        F.concat(F.lit(PAGE_MARK), F.col("page_id"), F.lit("-->"), F.coalesce("html", F.lit(""))).alias("value"))
+        F.concat(F.lit(PAGE_MARK), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("-->"),
+                 F.regexp_replace(F.coalesce("html", F.lit("")), "<!--page(;*):", "<!--page;$1:")).alias("value"))
     write_batch(pages, {"format": "text", "options": {"path": out, "maxRecordsPerFile": 256}})
     saved = read_documents(spark, f"{out}/*.txt")
     parts = saved.select(F.explode(F.split("html", PAGE_MARK)).alias("part")).filter("part <> ''")
-    docs = parts.select(F.substring_index("part", "-->", 1).cast("long").alias("page_id"),
-                        F.regexp_replace("part", r"\A\d+-->", "").alias("html"))
+    docs = parts.select(F.nullif(F.substring_index("part", "-->", 1), F.lit("")).cast("long").alias("page_id"),
+                        F.regexp_replace(F.regexp_replace("part", r"\A-?\d*-->", ""),
+                                         "<!--page;(;*):", "<!--page$1:").alias("html"))
     return docs.select(
         "page_id",
         script_value(F.col("html"), "t").alias("t_value"),

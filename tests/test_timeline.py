@@ -1,6 +1,7 @@
 """Timelines in pages (A6-A8) and telemetry summaries (A10)."""
 
 from scorewright.operators.timeline import TIMELINE_METRICS, operation_means, timeline_means
+from scorewright.plans import catalog
 from scorewright.streaming.progress import progress_frame, summarize
 
 PAGE_A = """<html><script>
@@ -68,3 +69,12 @@ def test_metrics_job_cli(spark, scratch, capsys):
     assert out["means"]["Input Rate (records/sec)"] == 7.0
     assert out["means"]["Input Rows (records/batch)"] is None
     assert out["operations"] == {"addBatch": 900.0, "getBatch": 10.0, "walCommit": 3.0}
+
+
+def test_page_files_keep_every_page(spark, scratch):
+    call = "<script>var t = 1; track(2)</script>"
+    rows = [(1, call), (None, call), (None, None), (2, None), (-3, "track(4)"), (5, "a<!--page:9-->track(6)"),
+            (7, "track(<!--page:--><!--page;;:x)"), (8, "var t = <!--page:8-->\n<!--page;:;; track(<!--page:)")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{scratch}/pages.parquet")
+    got = sorted(map(str, catalog.q_page_files(spark, scratch).collect()))
+    assert len(got) == len(rows) and got == sorted(map(str, catalog.q_page_vars(spark, scratch).collect()))
