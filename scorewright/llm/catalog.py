@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import license_scan, mixing, pieces, rule_quality, sharding, simhash, topk, vptree, warc, wavelet
+from scorewright.llm import (license_scan, merkle, mixing, pieces, rule_quality, sharding, simhash, topk, vptree, warc,
+                             wavelet)
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,11 @@ s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BI
         row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id, c.r) AS rank
       FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM s WHERE rank <= 5"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_merkle_manifest"] = merkle.twin_sql()
