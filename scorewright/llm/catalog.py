@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import (license_scan, merkle, mixing, pieces, rule_quality, sharding, simhash, topk, vptree, warc,
-                             wavelet)
+from scorewright.llm import (dualtree, license_scan, merkle, mixing, pieces, rule_quality, sharding, simhash, topk,
+                             vptree, warc, wavelet)
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op13_merkle_manifest"] = merkle.twin_sql()
+
+
+@query
+def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op11_dual_tree_search"] = dualtree.twin_sql()
