@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scorewright.llm import (dualtree, license_scan, merkle, mixing, pieces, rule_quality, sharding, simhash, topk,
-                             vptree, warc, wavelet)
+from scorewright.llm import (dualtree, hostpaths, license_scan, merkle, mixing, pieces, rule_quality, sharding,
+                             simhash, topk, vptree, warc, wavelet)
 from scorewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_dual_tree_search"] = dualtree.twin_sql()
+
+
+@query
+def op12_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostpaths.extract(table(spark, sf_dir, "pages"))

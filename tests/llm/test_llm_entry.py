@@ -19,9 +19,9 @@ from scorewright.llm import catalog, simhash  # noqa: E402
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(catalog.QUERIES) <= set(names) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "mixing", "pieces"]
 
@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = catalog.QUERIES[name](spark, SF)
     rel = con.sql(catalog.SQL[name])
