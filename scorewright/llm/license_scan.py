@@ -199,8 +199,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def twin_sql(templates: tuple[Template, ...] = TEMPLATES, base: tuple[Template, ...] = BASE,
-             min_share: float = 0.5) -> str:
+def twin_sql(templates: tuple[Template, ...] = TEMPLATES, base: tuple[Template, ...] = BASE) -> str:
     """The scan in SQL, by plain comparison of every word with every
     template word of that spelling (no index)."""
     rows = []
@@ -217,8 +216,7 @@ w AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS pos FROM d),
 hit AS (SELECT r, t, label, is_base, pos - place AS start, n, n_must, count(*) AS same,
                count(*) FILTER (WHERE must) AS must_same
         FROM w JOIN tpl USING (word) GROUP BY ALL),
-ok AS (SELECT *, same::DOUBLE / n AS share FROM hit
-       WHERE must_same = n_must AND (is_base OR same::DOUBLE / n >= {min_share})),
+ok AS (SELECT *, same::DOUBLE / n AS share FROM hit WHERE must_same = n_must),
 per AS (SELECT r, count(*) FILTER (WHERE is_base) AS n_base, min(start) FILTER (WHERE is_base) AS first_word,
           max(start) FILTER (WHERE is_base) AS last_word,
           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base) AS base_labels,
