@@ -30,11 +30,12 @@ def op2_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op2_warc_writer"] = """
-WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest,
+  row_number() OVER (PARTITION BY sha256(coalesce(html, '')) ORDER BY page_id NULLS LAST) AS nth FROM pages),
 f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
-  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id > first THEN first END AS refers_to
+  CASE WHEN first IS NOT NULL AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN nth > 1 THEN first END AS refers_to
 FROM p LEFT JOIN f USING (digest)"""
 
 
@@ -94,10 +95,10 @@ def op10_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op10_uniform_threshold"] = """
 WITH e AS (SELECT row_number() OVER () AS r, vec_id,
              list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+           WHERE embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score,
-        row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id, c.r) AS rank
+        row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id NULLS LAST, c.r) AS rank
       FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM s WHERE rank <= 5"""
 

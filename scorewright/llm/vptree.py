@@ -7,18 +7,18 @@ side it lies in first.  The other side is skipped when the distance from the
 query to the ball's surface exceeds ``factor`` times the distance of the
 worst neighbour kept so far: by the triangle inequality a factor of one
 skips nothing that could matter and the search is exact; smaller factors
-skip more.  The trees are written once and searched by blocks of queries.
+skip more.  The trees are written once; one job pairs all blocks of queries
+with all trees.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorewright.llm.common import row_id, ship_package, written
-from scorewright.llm.topk import first_copies, usable
+from scorewright.llm.topk import each, first_copies, id_array, matrix_of, packed, packed_schema, unpacked, usable
 
 SHARD_ROWS = 8192
 LEAF_ROWS = 128
@@ -72,14 +72,15 @@ def build(points: np.ndarray, leaf: int = LEAF_ROWS) -> tuple[np.ndarray, np.nda
     return order, out
 
 
-def search(points: np.ndarray, ids: np.ndarray, rids: np.ndarray, nodes: np.ndarray, queries: np.ndarray,
+def search(points: np.ndarray, ids: np.ndarray, has: np.ndarray, rids: np.ndarray, nodes: np.ndarray, queries: np.ndarray,
            query_rids: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
     """Distances and rows (-1: none) of the k nearest of each query, ties to
-    the smaller id.  ``points`` are in tree order.  All queries descend
+    the smaller id (``has``: which rows have one; the others come last).
+    ``points`` are in tree order.  All queries descend
     together: a node is handled once for all that go the same way."""
     best = np.full((len(queries), k), np.inf)
     rows = np.full((len(queries), k), -1, dtype=np.int64)
-    tie = np.append(np.lexsort((rids, ids)).argsort(), len(ids))  # the place of a row by id; last: no row
+    tie = np.append(np.lexsort((rids, ids, ~has)).argsort(), len(ids))  # the place of a row by id; last: no row
 
     def scan(node, q):
         start, end = int(node[0]), int(node[1])
@@ -127,51 +128,51 @@ def search(points: np.ndarray, ids: np.ndarray, rids: np.ndarray, nodes: np.ndar
 
 def _plant(leaf: int):
     """One packed tree per shard."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rid")
-        points = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vector"]])
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("rid")
+        points = matrix_of(table["vector"])
         order, nodes = build(points, leaf)
-        return pd.DataFrame({"dim": [points.shape[1]], "rids": [pdf["rid"].to_numpy()[order]],
-                             "vec_ids": [pdf["vec_id"].to_numpy()[order]],
-                             "points": [points[order].tobytes()], "nodes": [nodes.tobytes()]})
+        table = table.take(pa.array(order))
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
+                         "rids": [table["rid"].to_pylist()], "vec_ids": pa.array([table["vec_id"].to_pylist()], pa.list_(pa.int64())),
+                         "matrix": pa.array([points[order].tobytes()], pa.binary()), "nodes": pa.array([nodes.tobytes()], pa.binary())})
     return run
 
 
-def _search_shards(queries, k: int, factor: float):
-    def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["dim"] not in queries.value:
-                    continue
-                rids, ids = np.array(r["rids"]), np.array(r["vec_ids"])
-                points = np.frombuffer(r["points"]).reshape(len(ids), r["dim"])
-                nodes = np.frombuffer(r["nodes"]).reshape(-1, 6)
-                q_rids, q = queries.value[r["dim"]]
-                d, rows = search(points, ids, rids, nodes, q, q_rids, k, factor)
-                i, j = np.nonzero(rows >= 0)
-                hit = rows[i, j]
-                yield pa.RecordBatch.from_pydict({
-                    "query": pa.array(q_rids[i], pa.int64()), "rid": pa.array(rids[hit], pa.int64()),
-                    "vec_id": pa.array(ids[hit], pa.int64()), "score": pa.array(d[i, j], pa.float64())})
+def _search_tree(k: int, factor: float):
+    """One tree and one block of queries."""
+    schema = pa.schema([("query", pa.int64()), ("rid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def run(_, trees: pa.Table, queries: pa.Table) -> pa.Table:
+        if not trees.num_rows or not queries.num_rows:
+            return schema.empty_table()
+        (tree,), (asked,) = trees.to_pylist(), queries.to_pylist()
+        rids, (ids, has) = np.array(tree["rids"]), id_array(tree["vec_ids"])
+        q_rids = np.array(asked["rids"])
+        d, rows = search(unpacked(tree), ids, has, rids, np.frombuffer(tree["nodes"]).reshape(-1, 6), unpacked(asked), q_rids, k, factor)
+        i, j = np.nonzero(rows >= 0)
+        hit = rows[i, j]
+        return pa.table([pa.array(q_rids[i]), pa.array(rids[hit]), pa.array(ids[hit], mask=~has[hit]), pa.array(d[i, j])], schema=schema)
     return run
 
 
 def index(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding",
-          shard_size: int = SHARD_ROWS, leaf: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The usable rows, and the written trees over them, for searches of up
-    to ``k`` neighbours (of equal vectors the ``k + 1`` first by id are kept
-    in the trees: the others cannot be among anyone's nearest)."""
+          shard_size: int = SHARD_ROWS, leaf: int = LEAF_ROWS) -> tuple[DataFrame, DataFrame, int]:
+    """The usable rows, the written trees over them, for searches of up to
+    ``k`` neighbours (of equal vectors the ``k + 1`` first by id are kept in
+    the trees: the others cannot be among anyone's nearest), and the number
+    of shards."""
     vec = F.col(vector_col)
     nonzero = F.exists(vec, lambda x: x != 0)
-    rows = written(vectors.where(usable(vec) & nonzero & F.col(id_col).isNotNull()).select(
+    rows = written(vectors.where(usable(vec) & nonzero).select(
         F.col(id_col).cast("long").alias("vec_id"), F.size(vec).alias("dim"),
         F.transform(vec, lambda x: x.cast("double")).alias("vector"), row_id().alias("rid")), "vp-rows")
     candidates = written(first_copies(rows, k), "vp-candidates")
     n_shards = max(1, -(-candidates.count() // shard_size))
-    placed = candidates.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(n_shards)))
-    trees = placed.groupBy("dim", "shard").applyInPandas(
-        _plant(leaf), "dim int, rids array<bigint>, vec_ids array<bigint>, points binary, nodes binary")
-    return rows, written(trees, "vp-trees")
+    placed = candidates.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(n_shards)).cast("int"))
+    trees = placed.groupBy("dim", "shard").applyInArrow(
+        _plant(leaf), "dim int, shard int, rids array<bigint>, vec_ids array<bigint>, matrix binary, nodes binary")
+    return rows, written(trees, "vp-trees"), n_shards
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = FACTOR, id_col: str = "vec_id",
@@ -182,32 +183,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = F
     to the smaller id; ``score`` is the Euclidean distance in doubles.
 
     Null, empty and zero vectors and those with a null, NaN or infinite
-    component take no part, nor do rows without an id; vectors are compared
-    with vectors of their length only.  Repeated rows are rows of their own.
-    Fewer than k candidates: all.  Empty input: no rows.
+    component take no part; vectors are compared with vectors of their length
+    only.  Rows without an id are candidates (``vec_id`` null, last of equal
+    distances).  Repeated rows are rows of their own.  Fewer than k
+    candidates: all.  Empty input: no rows.
     """
-    spark = vectors.sparkSession
-    ship_package(spark)
-    rows, trees = index(vectors, k, id_col, vector_col, shard_size, leaf)
+    ship_package(vectors.sparkSession)
+    rows, trees, n_shards = index(vectors, k, id_col, vector_col, shard_size, leaf)
     asked = written(rows.where(is_query), "vp-queries")
     n_blocks = max(1, -(-asked.count() // block))
-    in_block = F.pmod(F.xxhash64("rid"), F.lit(n_blocks))
-    by_query = Window.partitionBy("query").orderBy("score", "vec_id", "rid")
-    files = []
-    for b in range(n_blocks):
-        mine = asked.where(in_block == b)
-        got = mine.toPandas()  # proven bound: about `block` vectors
-        if not len(got):
-            continue
-        queries = spark.sparkContext.broadcast({
-            int(d): (g["rid"].to_numpy(), np.array([list(v) for v in g["vector"]], dtype=np.float64))
-            for d, g in got.groupby("dim")})
-        found = trees.mapInArrow(_search_shards(queries, k, factor),
-                                 "query bigint, rid bigint, vec_id bigint, score double")
-        names = F.broadcast(mine.select(F.col("rid").alias("query"), F.col("vec_id").alias("query_id")))
-        done = written(found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-                       .join(names, "query").select("query_id", "rank", "vec_id", "score"), "vp-block")
-        files += done.inputFiles()
-        queries.unpersist()
-    schema = "query_id long, rank int, vec_id long, score double"
-    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    turn = F.pmod(F.xxhash64("rid"), F.lit(n_blocks)).cast("int")
+    blocks = asked.withColumn("block", turn).groupBy("dim", "block").applyInArrow(
+        packed(["dim", "block"], ["rid"]), packed_schema(["dim", "block"], ["rid"]))
+    # every block meets every tree of its length: a task holds one of each
+    by = ["dim", "shard", "block"]
+    found = trees.withColumn("block", each(n_blocks)).groupBy(*by).cogroup(
+        blocks.withColumn("shard", each(n_shards)).groupBy(*by)).applyInArrow(
+        _search_tree(k, factor), "query bigint, rid bigint, vec_id bigint, score double")
+    nearest_first = Window.partitionBy("query").orderBy("score", F.col("vec_id").asc_nulls_last(), "rid")
+    names = asked.select(F.col("rid").alias("query"), F.col("vec_id").alias("query_id"))
+    return found.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= k).join(
+        names, "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

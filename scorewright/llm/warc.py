@@ -86,7 +86,7 @@ def _head_record(name: str) -> bytes:
 def _write_shards(folder: str, roll_bytes: int):
     """Stream the sorted records of a task's shards into rolled files."""
     def run(batches) -> Iterator[pa.RecordBatch]:
-        out, done, at, note = None, [], None, None
+        out, done, at, note, told = None, [], None, None, False
 
         def finish():
             nonlocal out
@@ -99,9 +99,13 @@ def _write_shards(folder: str, roll_bytes: int):
             cols = [batch.column(c) for c in ("shard", "page_id", "digest", "first", "url", "html")]
             for shard, page_id, digest, first, url, html in zip(*(c.to_pylist() for c in cols)):
                 if first is not None:  # the note before the records it is about
-                    note = (page_id, digest, first)
+                    note, told = (page_id, digest, first), False
                     continue
-                refers_to = note[2] if note is not None and note[:2] == (page_id, digest) else None
+                refers_to = None
+                if note is not None and note[:2] == (page_id, digest):
+                    # of the records with the smallest id the first is the response
+                    refers_to = note[2] if told or page_id != note[2] else None
+                    told = True
                 if out is None or out[0] != shard or out[2].size >= roll_bytes:
                     seq = out[1] + 1 if out is not None and out[0] == shard else 0
                     finish()
@@ -137,24 +141,25 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     (``shard, seq, file, records, bytes, sha256``), itself committed there.
 
     Null texts have an empty payload; payloads under 100 bytes are always
-    responses, and so are rows without an id (they sort first).  Rows that
-    share the smallest id of a payload are all responses.
+    responses.  A longer payload has one response, a row with its smallest
+    id; all its other rows, those without an id too, are revisits of it.
+    Where no row of a payload has an id, all are responses.  Rows without an
+    id sort first.  Archives do not depend on the layout of the table.
     """
     spark = pages.sparkSession
     ship_package(spark)
     payload = F.coalesce(F.col(html_col), F.lit(""))
     page_id = F.col(id_col).cast("long")
     digest = F.sha2(payload, 256)
-    # rows without an id are told apart by their place in the scan
-    tie = F.when(page_id.isNull(), F.lower(F.hex(F.xxhash64(F.monotonically_increasing_id())))).otherwise(digest)
+    tie = digest
     keyed = pages.select(page_id.alias("page_id"), digest.alias("digest"), tie.alias("tie"),
                          F.octet_length(payload).cast("long").alias("size"))
     narrow = written(keyed, "warc-digests")
-    firsts = (narrow.where((F.col("size") >= MIN_REVISIT_BYTES) & F.col("page_id").isNotNull())
-              .groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"))
-              .where("last > first").select("digest", "first"))
-    notes = written(narrow.join(firsts, "digest").where("page_id > first")
-                    .select("page_id", "digest", "tie", "first").distinct(), "warc-notes")
+    firsts = (narrow.where(F.col("size") >= MIN_REVISIT_BYTES)
+              .groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("rows"))
+              .where("rows > 1 AND first IS NOT NULL").select("digest", "first"))
+    notes = written(narrow.select("page_id", "digest", "tie").distinct().join(firsts, "digest")
+                    .select("page_id", "digest", "tie", "first"), "warc-notes")
     n, total = narrow.agg(F.count(F.lit(1)), F.sum("size")).first()
     n_shards = max(min_shards, -(-(total or 0) // shard_bytes))
     # proven bound: a hash chooses about max(SAMPLE_KEYS, 64 per shard) keys
