@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,9 +32,12 @@ from scorewright.llm.common import ship_package
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-# a worker keeps the ids of at most this many distinct words between texts
-CACHE_WORDS = 1_500_000
-CACHE_PAIRS = 2_000_000
+# what a worker keeps between texts: ids of words, and which pieces may be
+# neighbours (a pair and its place in the table take about 100 bytes)
+WORD_BYTES = 48 << 20
+PAIR_BYTES = 24 << 20
+ENTRY = 120  # a word's place in the tables
+TEXTS = 512  # encoded at a time
 _NO_TAIL = object()
 _ALONE = -1e10  # score of a character outside the vocabulary
 
@@ -46,7 +50,8 @@ class Pieces:
                  merges: bool = True):
         self.pieces, self.byte_ids, self.unknown, self.merges = pieces, byte_ids, unknown, merges
         self.text = {i: p for p, (i, _) in pieces.items()}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._pairs: dict[str, dict[str, bool]] = {}
+        self._kept = 0
         # every tail of a piece; with its score if it is a piece that a path
         # can use (for merges: one that merging its own text yields)
         self.tails: dict[str, float | None] = {p[k:]: None for p in pieces for k in range(1, len(p))}
@@ -102,14 +107,23 @@ class Pieces:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether merging the joint text yields these two pieces."""
-        key = (left, right)
-        known = self._pairs.get(key)
+        after = self._pairs.get(left)
+        known = None if after is None else after.get(right)
         if known is None:
-            if len(self._pairs) >= CACHE_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self.merge(left + right) == [left, right]
+            if self._kept * 100 >= PAIR_BYTES:
+                self._forget_pairs()
+            after = self._pairs.setdefault(sys.intern(left), {})
+            known = after[sys.intern(right)] = self.merge(left + right) == [left, right]
+            self._kept += 1
         return known
 
+    def _forget_pairs(self) -> None:
+        """Drop the older half."""
+        for left in list(self._pairs):
+            if self._kept * 200 <= PAIR_BYTES:
+                break
+            self._kept -= len(self._pairs.pop(left))
+
     def ending_at(self, word: str, end: int) -> list[str]:
         """The pieces that end ``word[:end]``, shortest first; a character
         outside the vocabulary can stand alone."""
@@ -134,7 +148,8 @@ class Pieces:
                 before = last[end - len(text)]
                 if before is None:
                     return 0.0, text
-                fits = pairs.get((before, text))
+                after = pairs.get(before)
+                fits = None if after is None else after.get(text)
                 if fits or (fits is None and self.compatible(before, text)):
                     return 0.0, text
         best, piece = -np.inf, found[0]
@@ -198,19 +213,35 @@ class Pieces:
 
 
 class TextEncoder:
-    """Encodes and decodes texts; distinct words are encoded once."""
+    """Encodes and decodes texts; the distinct words of a call are encoded
+    once, and remembered within ``WORD_BYTES``.  Words that only one call had
+    are forgotten first, the oldest of them before the others."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.known = pieces, {}
+        self.pieces, self.known, self.once, self.size = pieces, {}, {}, 0
         self.raw = None
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [WORDS.findall((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = {w for words in split for w in words if w not in self.known}
-        self.known.update(self.pieces.encode_words(list(new)))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.int32) for words in split]
+        words = set().union(*split)
+        for again in words & self.once.keys():
+            del self.once[again]
+        new = self.pieces.encode_words(list(words - self.known.keys()))
+        self.known.update(new)
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.int32) for words in split]
+        self.once.update(dict.fromkeys(new))
+        self.size += sum(map(sys.getsizeof, new)) + sum(map(sys.getsizeof, new.values())) + ENTRY * len(new)
+        if self.size > WORD_BYTES:
+            self._forget()
+        return out
+
+    def _forget(self) -> None:
+        for candidates in (self.once, self.known):
+            for word in list(candidates):
+                if self.size <= WORD_BYTES * 3 // 4:
+                    return
+                self.once.pop(word, None)
+                self.size -= sys.getsizeof(word) + sys.getsizeof(self.known.pop(word)) + ENTRY
 
     def decode(self, ids: np.ndarray) -> str:
         """As :meth:`Pieces.decode`, by table."""
@@ -239,10 +270,10 @@ def _code(path: str, keep_ids: bool):
         coder = text_encoder(path)
         for batch in batches:
             texts, keep = batch.column("text"), [c for c in batch.schema.names if c != "text"]
-            for a in range(0, batch.num_rows, 256):
-                part = texts.slice(a, 256).to_pylist()
+            for a in range(0, batch.num_rows, TEXTS):
+                part = texts.slice(a, TEXTS).to_pylist()
                 ids = coder.encode(part)
-                cols = [batch.column(c).slice(a, 256) for c in keep] + [
+                cols = [batch.column(c).slice(a, TEXTS) for c in keep] + [
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
                     pa.array([coder.decode(x) == (t or "") for x, t in zip(ids, part)], pa.bool_())]

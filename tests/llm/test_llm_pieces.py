@@ -60,3 +60,15 @@ def test_hostile_rows(hostile, empty):
     assert [r.doc_id for r in out if not r.round_trip] == [8]
     assert all(r.n_pieces == 0 and r.ids == [] for r in out if r.doc_id in (3, 4))
     assert pieces.encode(empty, tokenizer_path(MODEL)).collect() == []
+
+
+def test_forgotten_words_and_pairs_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(pieces, "WORD_BYTES", 4000)
+    monkeypatch.setattr(pieces, "PAIR_BYTES", 4000)
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(MODEL))
+    coder = pieces.TextEncoder(pieces.Pieces.load(tokenizer_path(MODEL)))
+    for i in range(60):
+        text = " ".join(f"Some{(i * 31 + j) % 97}thing else-{j % 7}" for j in range(40))
+        assert coder.encode([text])[0].tolist() == model.encode(text)
+        assert coder.size <= 4000 and coder.pieces._kept <= 41
+        assert coder.pieces._kept == sum(map(len, coder.pieces._pairs.values())) and coder.once.keys() <= coder.known.keys()
