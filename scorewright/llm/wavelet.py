@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -28,10 +29,9 @@ MAGIC = b"WMTOK01\n"
 END_ID = 1
 SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 512
-# a worker keeps the ids of at most this many distinct chunks and words
-# between texts (about 200 bytes each)
-CACHE_CHUNKS = 1_200_000
-CACHE_WORDS = 800_000
+BLOCK_BYTES = 12 << 20  # texts of about this size are encoded at a time
+# a worker keeps the ids of twice so many words between texts (about 200 bytes each)
+CACHE_WORDS = 400_000
 MANIFEST = "part int, seq int, file string, docs bigint, tokens bigint, bytes bigint, sha256 string"
 
 
@@ -162,16 +162,39 @@ def load(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
     return WaveletMatrix(planes, zeros, n), doc_ids, np.frombuffer(parts[2], "<i8")
 
 
+# what the chunk cuts below rely on; fixed values of the tokenizer files
+CUT_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def cuts_at_spaces(file: dict) -> bool:
+    """Whether a tokenizer file normalises and cuts texts as
+    :class:`ChunkEncoder` takes for granted."""
+    before = file.get("pre_tokenizer") or {}
+    first = (before.get("pretokenizers") or [{}])[0]
+    return bool(file.get("normalizer") == CUT_NORMALIZER and first.get("type") == "Split"
+                and first.get("pattern") == {"Regex": CUT_PATTERN} and first.get("behavior") == "Removed"
+                and first.get("invert") and file["model"].get("end_of_word_suffix"))
+
+
+def _strings(array: pa.StringArray) -> list[str]:
+    """As ``to_pylist``, by one conversion of all."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class ChunkEncoder:
     """Ids of whole texts by the tokenizers library.
 
-    No token of the tokenizer crosses an ASCII white space (its pre-tokenizer
-    drops white space), so a text's ids are those of its chunks between
-    them; every distinct chunk is encoded once and remembered.  A chunk of
-    letters and closing punctuation is cut between the two, as the
+    For the tokenizer that :func:`cuts_at_spaces` tells, no token crosses an
+    ASCII white space, so a text's ids are those of its chunks between them:
+    the chunks of a block of texts are told apart by Arrow, each distinct one
+    is resolved once, and the ids are gathered by the chunks' numbers.  A
+    chunk of letters and closing punctuation is cut between the two, as the
     pre-tokenizer does.  Its letters are one word of the pre-tokenizer, with
     one end-of-word token, so new words are encoded many at a time and told
-    apart by these tokens; where their number does not fit, one by one."""
+    apart by these tokens; where their number does not fit, one by one.  Any
+    other tokenizer gets whole texts."""
 
     TAIL = ".,!|#$%&*;:?"
     JOINED = 500
@@ -179,7 +202,8 @@ class ChunkEncoder:
     def __init__(self, path: str, dtype=np.uint16, word_end: str | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.known, self.words = Tokenizer.from_file(path), dtype, {}, {}
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.words, self.before = {"": b""}, {}  # this generation's and the last one's
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.ends = None
@@ -199,46 +223,65 @@ class ChunkEncoder:
             ids = np.array(found.ids, dtype=self.dtype)
             cuts = (np.nonzero(self.ends[ids])[0] + 1) * width
             if len(cuts) == len(group) and (not group or cuts[-1] == ids.nbytes):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(group, cuts.tolist()):
-                    self.words[word] = raw[start:end]
-                    start = end
+                raw, bounds = ids.tobytes(), [0, *cuts.tolist()]
+                self.words.update(zip(group, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
             else:
                 self.words.update(zip(group, self._one_by_one(group)))
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        if self.ends is None:
-            whole = [(c, c.decode("utf-8")) for c in chunks]
-            parted = []
-        else:
-            whole, parted = [], []
-            for chunk in chunks:
-                text = chunk.decode("utf-8")
-                if text.isascii():
-                    text = text.lower()
-                core = text.rstrip(self.TAIL)
-                # in lower case too: a mark split off would join the punctuation
-                if core.isalpha() and (core.isascii() or core.lower().isalpha()):
-                    parted.append((chunk, core, text[len(core):]))
-                else:
-                    whole.append((chunk, chunk.decode("utf-8")))
+    def _recall(self, wanted: set[str]) -> set[str]:
+        """Bring what the last generation knows into this one; the others."""
+        wanted -= self.words.keys()
+        for word in wanted & self.before.keys():
+            self.words[word] = self.before[word]
+        return wanted - self.before.keys()
+
+    def _resolve(self, chunks: pa.StringArray) -> list[bytes]:
+        """Ids of distinct chunks."""
+        lower = pc.ascii_lower(chunks)
+        core = pc.ascii_rtrim(lower, characters=self.TAIL)
+        plain = pc.and_(pc.string_is_ascii(lower), pc.ascii_is_alpha(core)).to_numpy(zero_copy_only=False)
+        texts, heads, whole = _strings(lower), _strings(core), []
+        for i in np.nonzero(~plain)[0].tolist():
+            # in lower case too: a mark split off would join the punctuation
+            if not (heads[i].isalpha() and heads[i].lower().isalpha()):
+                # as it is: in lower case it might name a special token
+                heads[i] = texts[i] = chunks[i].as_py()
+                whole.append(i)
+        tails = [text[len(head):] for text, head in zip(texts, heads)]
         if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        words, known = self.words, self.known
-        self._learn_words(list({core for _, core, _ in parted if core not in words}))
-        tails = list({tail for _, _, tail in parted if tail and tail not in words})
-        words.update(zip(tails, self._one_by_one(tails)))
-        for chunk, core, tail in parted:
-            known[chunk] = words[core] + words[tail] if tail else words[core]
-        known.update(zip((c for c, _ in whole), self._one_by_one([t for _, t in whole])))
+            self.words, self.before = {"": b""}, self.words
+        odd = {texts[i] for i in whole}
+        self._learn_words(list(self._recall(set(heads) - odd)))
+        words, new = self.words, list(self._recall(odd.union(tails)))
+        words.update(zip(new, self._one_by_one(new)))
+        return [words[head] + words[tail] if tail else words[head] for head, tail in zip(heads, tails)]
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each text's with the end
+        id, and how many each text has.  Null texts are empty."""
+        texts, width = pc.fill_null(texts, ""), np.dtype(self.dtype).itemsize
+        end = np.array([END_ID], dtype=self.dtype).tobytes()
+        if self.ends is None:
+            coded = [ids + end for ids in self._one_by_one(texts.to_pylist())]
+            return np.frombuffer(b"".join(coded), dtype=self.dtype), np.array([len(c) // width for c in coded], dtype=np.int64)
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        ids = [*self._resolve(chunks.dictionary), end]
+        stops = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        codes = np.insert(chunks.indices.to_numpy(zero_copy_only=False), stops, len(ids) - 1)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // width
+        starts = np.cumsum(sizes) - sizes
+        flat, counts = np.frombuffer(b"".join(ids), dtype=self.dtype), sizes[codes]
+        ends = np.cumsum(counts)
+        at = np.repeat((starts[codes] - ends + counts).astype(np.int32), counts)
+        at += np.arange(len(at), dtype=np.int32)
+        return flat[at], np.diff(ends[stops + np.arange(len(stops))], prepend=0)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of every text."""
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        self._learn(list(set().union(*split) - self.known.keys()))
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+        """Little-endian ids of every text, without the end id."""
+        ids, counts = self.encode_block(pa.array(texts, pa.string()))
+        stops = np.cumsum(counts)
+        return [ids[a:b - 1].tobytes() for a, b in zip((stops - counts).tolist(), stops.tolist())]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -253,39 +296,54 @@ def encoder(path: str) -> ChunkEncoder:
         import json
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        top = max(model["vocab"].values(), default=0)
-        _ENCODERS[path] = ChunkEncoder(path, np.uint16 if top < 65_000 else np.uint32, model.get("end_of_word_suffix"))
+            file = json.load(f)
+        top = max([*file["model"]["vocab"].values(), *(t["id"] for t in file.get("added_tokens", []))], default=0)
+        _ENCODERS[path] = ChunkEncoder(path, np.uint16 if top < 65_000 else np.uint32,
+                                       file["model"]["end_of_word_suffix"] if cuts_at_spaces(file) else None)
     return _ENCODERS[path]
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most BLOCK_BYTES of text, or of one row."""
+    stops = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(stops):
+        before = int(stops[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(stops, before + BLOCK_BYTES, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _write_shards(folder: str, tokenizer: str, shard_tokens: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, coder = TaskContext.get().partitionId(), encoder(tokenizer)
-        end = np.array([END_ID], coder.dtype).tobytes()
-        width, bits = np.dtype(coder.dtype).itemsize, int(max(coder.vocabulary, END_ID + 1) - 1).bit_length()
-        done, ids, coded, size = [], [], [], 0
+        bits = int(max(coder.vocabulary, END_ID + 1) - 1).bit_length()
+        done, ids, coded, lengths, size = [], [], [], [], 0
 
         def flush():
-            nonlocal ids, coded, size
+            nonlocal ids, coded, lengths, size
             if not ids:
                 return
-            tokens = np.frombuffer(b"".join(coded), dtype=coder.dtype)
-            lengths = np.array([len(c) // width for c in coded])
+            tokens = np.concatenate(coded)
             file = StoredFile(folder, f"part-{part:06d}-{len(done):06d}.wmt")
-            file.write(dump(WaveletMatrix.build(tokens, bits), ids, lengths))
+            file.write(dump(WaveletMatrix.build(tokens, bits), ids, np.concatenate(lengths)))
             done.append((part, len(done), file.name, len(ids), len(tokens), file.size, file.close()))
-            ids, coded, size = [], [], 0
+            ids, coded, lengths, size = [], [], [], 0
 
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a in range(0, len(texts), 1024):
-                for doc_id, found in zip(doc_ids[a:a + 1024], coder.encode(texts[a:a + 1024])):
-                    ids.append(doc_id)
-                    coded.append(found + end)
-                    size += len(found) // width + 1
+            for block in _blocks(batch):
+                tokens, counts = coder.encode_block(block.column("text"))
+                doc_ids, stops, first = block.column("doc_id").to_pylist(), np.cumsum(counts), 0
+                while first < len(doc_ids):
+                    # up to the text with which the shard is full
+                    before = int(stops[first] - counts[first])
+                    last = min(int(np.searchsorted(stops, shard_tokens - size + before)), len(doc_ids) - 1)
+                    ids += doc_ids[first:last + 1]
+                    coded.append(tokens[before:int(stops[last])])
+                    lengths.append(counts[first:last + 1])
+                    size, first = size + len(coded[-1]), last + 1
                     if size >= shard_tokens:
                         flush()
         flush()

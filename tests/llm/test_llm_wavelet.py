@@ -48,7 +48,8 @@ def test_round_trip_with_the_library(spark):
     assert [tuple(r) for r in got] == expected(rows)
 
 
-def test_hostile_rows(hostile):
+def test_hostile_rows(hostile, monkeypatch):
+    monkeypatch.setattr(wavelet, "BLOCK_BYTES", 30)
     got = wavelet.round_trip(hostile, tokenizer_path(TOKENIZER), shard_tokens=20, parts=2).orderBy("start").collect()
     src = [(r.doc_id, r.text) for r in hostile.collect()]
     assert [r.doc_id for r in got] == sorted((d for d, _ in src), key=lambda d: (d is not None, d or 0))
@@ -72,3 +73,22 @@ def test_chunk_encoder_equals_the_library():
     texts = ["".join(random.choices(parts, k=random.randint(1, 12))) for _ in range(20_000)]
     found = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
     assert coder.encode(texts) == [np.array(f.ids, dtype=coder.dtype).tobytes() for f in found]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_file_gives_the_librarys_ids(name):
+    coder = wavelet.encoder(tokenizer_path(name))
+    assert (coder.ends is None) == name.startswith("byte")
+    texts = ["Plain Words, don't  stop", "", None, " İstanbul\n\nΑΣ ς é", "x" * 3000, "tail... tail,", "A a A"]
+    found = coder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert coder.encode(texts) == [np.array(f.ids, dtype=coder.dtype).tobytes() for f in found]
+
+
+def test_forgotten_words_are_learnt_again(monkeypatch):
+    monkeypatch.setattr(wavelet, "CACHE_WORDS", 20)
+    coder = wavelet.ChunkEncoder(tokenizer_path(TOKENIZER), word_end="</w>")
+    texts = [" ".join(f"word{chr(97 + (i * 7 + j) % 26)}{'x' * (j % 5)}, end!" for j in range(60)) for i in range(30)]
+    for text in texts:
+        found = coder.tokenizer.encode(text, add_special_tokens=False)
+        assert coder.encode([text]) == [np.array(found.ids, dtype=coder.dtype).tobytes()]
+    assert len(coder.words) <= 20 + 61 and len(coder.before) <= 20 + 61
