@@ -125,6 +125,40 @@ def q_parse_nested(spark, sf_dir):
     return parse_messages(nested, cfg)
 
 
+def trie_messages(spark, sf_dir):
+    """Line items as nested messages with arrays of objects."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.to_json(F.struct(
+        F.struct(
+            F.struct("l_orderkey", "l_linenumber").alias("order"),
+            F.array(F.struct(F.col("l_partkey").alias("key"), F.lit("part").alias("kind")),
+                    F.struct(F.col("l_suppkey").alias("key"), F.concat(F.lit("supp "), F.col("l_returnflag")).alias("kind"))).alias("refs"),
+            F.array("l_quantity", "l_extendedprice", "l_tax").alias("amounts"),
+        ).alias("item"),
+        F.struct(F.array(F.struct(F.col("l_linestatus").alias("s"))).alias("one"), F.col("l_returnflag").alias("flag x")).alias("state"),
+    )).alias("value"))
+
+
+TRIE_SCHEMA = {
+    "orderkey": {"path": "item.order.l_orderkey", "type": "long"},
+    "line": {"path": "$['item']['order']['l_linenumber']", "type": "int"},
+    "quantity": {"path": "item.amounts[0]", "type": "double"},
+    "tax": {"path": "item.amounts[2]", "type": "double"},
+    "beyond": {"path": "item.amounts[3]", "type": "double"},
+    "partkey": {"path": "item.refs[0].key", "type": "long"},
+    "supplier": {"path": "item.refs[1].kind", "type": "string"},
+    "all_keys": {"path": "item.refs[*].key", "type": "string"},
+    "status": {"path": "state.one[*].s", "type": "string"},
+    "flag": {"path": "state.flag x", "type": "string"},
+    "absent": {"path": "state.none.such", "type": "string"},
+}
+
+
+@register("q_parse_trie")
+def q_parse_trie(spark, sf_dir):
+    return parse_messages(spread_scan(trie_messages(spark, sf_dir)), TRIE_SCHEMA)
+
+
 @register("q_derive")
 def q_derive(spark, sf_dir):
     return parse_messages(event_messages(spark, sf_dir), configs.EVENT_SCHEMA)

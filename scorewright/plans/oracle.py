@@ -26,6 +26,12 @@ SQL: dict[str, str] = {
                value AS first_value,
                event_type AS body_key
         FROM events""",
+    "q_parse_trie": """
+        SELECT l_orderkey AS orderkey, l_linenumber AS line, l_quantity AS quantity, l_tax AS tax,
+               CAST(NULL AS DOUBLE) AS beyond, l_partkey AS partkey, 'supp ' || l_returnflag AS supplier,
+               '[' || l_partkey || ',' || l_suppkey || ']' AS all_keys, '"' || l_linestatus || '"' AS status,
+               l_returnflag AS flag, CAST(NULL AS VARCHAR) AS absent
+        FROM lineitem""",
     "q_derive": """
         SELECT event_id, ts, user_id, event_type, value,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,

@@ -1,0 +1,82 @@
+"""Nested paths by one read of the message: equal to one JSONPath each."""
+
+import json
+import random
+
+import pytest
+
+from scorewright.functions.pathtrie import PathTrie, steps
+from scorewright.operators.parse import parse_messages
+from scorewright.plans import catalog
+
+MESSAGES = [
+    '{"a":{"b":1,"c":[10,{"d":"x"}]},"k":"v"}', '{"a":5,"k":"v2"}', '{"a":{"b":{"z":1},"c":7},"k":"v3"}',
+    '{"a":{"b":"s","c":[{"d":1},{"d":[1,"q"]}]},"k":1e3}', '{"a":null,"k":null}', 'not json', '{"a":{"b":1', '[1]', '', None,
+    '{"a":[1,2],"k":3}', '{"a":{"b":1.50,"c":[]},"k":{"x" : 1 , "y":[1, 2]}}', '{"a":{"c":[[1,2],[3,[4]]]}}',
+    '{"a":{"c":[{"d":{"e":[true,false]}}, {"d":{"e":["t"]}}]}}', '{"A":{"b":"upper","B":"both"},"a":{"B":"lower"}}',
+    '{"a":{"c":["{\\"d\\": 1}", "plain"]},"k":"{\\"x\\": 2}"}', '{"a":{"c":[{"d":"one"}]}}', '{"a":{"c":[{"x":1}]}}', '{"a":{"c":{"d":1}}}',
+]
+PATHS = ["a.b", "a.c[0]", "a.c[1].d", "a.c[*].d", "a.c[*]", "a.c[1][0]", "k", "k.x", "a.c[0].d.e[1]", "A.b", "A.B", "a.B", "a.c[7].d",
+         "$['a']['b']", "a.b.z", "a.c", "a.c[0].d.e[*]", "[0]", "a.*", "a.c[*].d[*]"]
+
+
+def messages(spark, values=MESSAGES):
+    return spark.createDataFrame([(v, 1, 2) for v in values], "value string, `__sw_raw0` int, `__sw_record` int")
+
+
+def config(paths, kind="string"):
+    return {f"c{i}": {"path": p, "type": kind} for i, p in enumerate(paths)}
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(20,4)"])
+@pytest.mark.parametrize("chosen", [PATHS, PATHS[:2], PATHS[2:4], PATHS[6:8], PATHS[9:12], ["a.c[0]", "a.c[1]"], ["a.b.z", "a.c[*]"]])
+def test_equals_one_jsonpath_each(spark, kind, chosen):
+    df = messages(spark)
+    one = parse_messages(df, config(chosen, kind), passthrough=["__sw_raw0", "__sw_record"]).collect()
+    many = parse_messages(df, config(chosen, kind), mode="path", passthrough=["__sw_raw0", "__sw_record"]).collect()
+    assert one == many
+
+
+def test_random_messages(spark):
+    rng = random.Random(7)
+
+    def value(depth):
+        pick = rng.randrange(8 if depth else 5)
+        if pick < 5:
+            return [rng.randrange(100), "t%d" % rng.randrange(9), True, 0.5 * rng.randrange(9), {}][pick]
+        if pick < 7:
+            return {rng.choice("abcd"): value(depth - 1) for _ in range(rng.randrange(1, 4))}
+        return [value(depth - 1) for _ in range(rng.randrange(4))]
+
+    texts = [json.dumps({k: value(4) for k in "abcd"}) for _ in range(400)]
+    paths = ["a.b", "a.b.c", "b[0]", "b[1].a", "c.a[*]", "c.a[*].b", "d.a.b.c", "d.b[0][1]", "a.c[2]"]
+    df = messages(spark, texts)
+    # by value: text in a variant has sorted keys and no trailing zeros
+    for kind in ("double", "long", "decimal(20,4)"):
+        assert parse_messages(df, config(paths, kind)).collect() == parse_messages(df, config(paths, kind), mode="path").collect()
+
+
+def test_one_read_of_the_message(spark):
+    parsed = parse_messages(catalog.trie_messages(spark, "/root/testdata/sf0.001"), catalog.TRIE_SCHEMA)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and "get_json_object" not in plan
+
+
+def test_documented_differences(spark):
+    df = messages(spark, ['{"a":{"b":1,"b":2},"n":[null,{"y":1,"x":12345678901234567.891}]}'])
+    got = parse_messages(df, config(["a.b", "n[0]", "n[1].x", "n[1]"]))
+    assert tuple(got.first())[:3] == ("2", None, "12345678901234567.891")
+
+
+def test_errors_name_the_field_not_the_nesting(spark):
+    df = messages(spark, ['{"a":{"b":"x"},"k":1}', '{"a":5,"k":"y"}', "broken", '{"a":{"b":7},"k":2}', None])
+    got = parse_messages(df, {"b": {"path": "a.b", "type": "int"}, "k": {"path": "k", "type": "int"}}, error_col="errors")
+    assert [r.errors for r in got.collect()] == [["b"], ["k"], ["_message"], [], []]
+
+
+def test_steps():
+    assert steps("$.a.b[0]['c d'][*]") == [("key", "a"), ("key", "b"), ("at", 0), ("key", "c d"), ("star", "*")]
+    assert [steps(p) for p in ("$", "$[0]", "$.*", "$..a", "a.b", "$.a[", "$.a[-1]")] == [None] * 7
+    trie = PathTrie()
+    trie.add(steps("$.a.b"), None)
+    assert trie.nested() and not trie.decimal(steps("$.a.b"))
