@@ -243,3 +243,26 @@ def test_select_first_with_partial_take_dict(spark):
            .withColumnRenamed("count", "n").collect()}
     assert got == {0: 10, 1: 100}  # class 2 is not in the dict: none; class 1 asks for more than it has
     assert out.count() == 300
+
+
+CLASHING = ["_h", "_rh", "_rz", "_rid", "_cut", "_class", "_copies", "_run", "_take", "_n", "_rows", "__sw_h", "__sw_copies", "_train"]
+
+
+def test_columns_named_like_internal_ones_survive(spark):
+    rows = [(k, k % 3, *range(k, k + len(CLASHING))) for k in range(90)] + [(7, 1, *range(len(CLASHING)))] * 20
+    df = spark.createDataFrame(rows, ["key", "label", *CLASHING])
+    split = C.stratified_split(df, "label", ["key"], train_percent=45)
+    assert split.columns == [*df.columns, "split"]
+    assert sorted(tuple(r)[:-1] for r in split.collect()) == sorted(rows)
+    for exact in (False, True):
+        out = C.rebalance(df, "label", {0: 0.2, 1: 0.5, 2: 0.3}, ["key"], exact=exact)
+        assert out.columns == [*df.columns, "copy"] and {tuple(r)[:-1] for r in out.collect()} <= set(rows)
+    by_class = C.stratified_split(df, "_class", ["_h", "_rid"], train_percent=50)
+    assert by_class.count() == len(rows)
+
+
+def test_split_does_not_depend_on_the_layout(spark):
+    rows = [(k % 40, "x" if k % 4 else None, k % 6) for k in range(2000)] + [(1, "x", 1)] * 700
+    df = spark.createDataFrame(rows, "key long, label string, payload long")
+    made = [sorted(map(str, C.stratified_split(df.repartition(n), "label", ["key"], train_percent=61).collect())) for n in (1, 9)]
+    assert made[0] == made[1] and len(made[0]) == len(rows)

@@ -39,12 +39,48 @@ def test_hash_split_is_map_only(spark, split_events):
     assert "Exchange" not in _plan(spark, C.hash_split(split_events, ["event_id"]))
 
 
-def test_rebalance_deals_runs_of_copies(spark, split_events):
+def test_rebalance_moves_no_row_of_few_copies(spark, split_events):
     shares = {t: 0.2 for t in ["click", "error", "purchase", "signup", "view"]}
     plan = _plan(spark, C.rebalance(split_events, "event_type", shares, ["event_id"]))
-    # rows meet their class's numbers without a shuffle, runs are dealt by key
+    # rows meet their class's numbers without a shuffle, copies are made in place
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "hashpartitioning(event_id" in plan
+    assert "hashpartitioning" not in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_rebalance_deals_only_long_runs(spark, split_events):
+    shares = {"click": 1.0, "error": 0.0, "purchase": 0.0, "signup": 0.0, "view": 0.0}
+    out = C.rebalance(split_events, "event_type", shares, ["event_id"], total_rows=5_000_000)
+    plan = _plan(spark, out)
+    assert "REBALANCE" in plan and out.count() > 4_990_000
+
+
+def test_rebalance_with_a_key_in_a_third_of_the_rows(spark, scratch):
+    """No task gets more than its share of the input."""
+    spark.range(90_000, numPartitions=6).selectExpr(
+        "if(id % 3 = 0, 0, id) AS key", "id % 2 AS label").write.parquet(f"{scratch}/hot")
+    hot = spark.read.parquet(f"{scratch}/hot")
+    out = C.rebalance(hot, "label", {0: 0.5, 1: 0.5}, ["key"], total_rows=180_000)
+    tasks = [r["n"] for r in out.selectExpr("spark_partition_id() AS p").groupBy("p").count().withColumnRenamed("count", "n").collect()]
+    assert sum(tasks) == 180_000 and max(tasks) < 1.1 * 180_000 / 6
+
+
+def test_split_writes_the_same_for_any_width(spark, scratch, monkeypatch):
+    import os
+
+    from scorewright import session
+
+    def written_bytes(df):
+        made = []
+        monkeypatch.setattr(C, "written_table", lambda d, name: made.append(session.written_table(d, name)) or made[-1])
+        C.stratified_split(df, "label", ["key"], train_percent=50).count()
+        paths = [f.removeprefix("file://").removeprefix("file:") for d in made for f in d.inputFiles()]
+        return sum(os.path.getsize(p) for p in paths)
+
+    base = spark.range(20_000).selectExpr("id AS key", "id % 3 AS label")
+    base.write.parquet(f"{scratch}/narrow")
+    base.selectExpr("*", *[f"md5(cast(id as string)) AS w{i}".replace("id", "key") for i in range(20)]).write.parquet(f"{scratch}/wide")
+    narrow, wide = (written_bytes(spark.read.parquet(f"{scratch}/{n}")) for n in ("narrow", "wide"))
+    assert wide < 1.05 * narrow
 
 
 def test_spread_leaves_split_and_shuffled_input_alone(spark, split_events):
