@@ -21,6 +21,10 @@ _PASSTHROUGH = {
 }
 
 
+# Options that only a stream understands.
+_STREAM_ONLY = ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay")
+
+
 def kafka_options(kafka_config: Mapping) -> dict[str, str]:
     """Reader options from the ``kafka`` section.
 
@@ -52,11 +56,17 @@ def read_kafka(spark: SparkSession, kafka_config: Mapping) -> DataFrame:
 
 
 def read_kafka_batch(spark: SparkSession, kafka_config: Mapping) -> DataFrame:
-    """The same records as a bounded batch (``earliest`` to ``latest``)."""
+    """The same records as a bounded batch (``earliest`` to ``latest``).
+
+    A batch has no rate, so the stream's limits are left out; it cannot start
+    at ``latest``, where nothing follows (``ValueError``)."""
     opts = kafka_options(kafka_config)
     opts.setdefault("endingOffsets", "latest")
     if "starting_offsets" not in kafka_config:
         opts["startingOffsets"] = "earliest"
+    if opts["startingOffsets"].lower() == "latest":
+        raise ValueError("a batch read cannot start at 'latest': set starting_offsets to 'earliest' or to offsets per partition")
+    opts = {k: v for k, v in opts.items() if k not in _STREAM_ONLY}
     reader = spark.read.format("kafka")
     for k, v in opts.items():
         reader = reader.option(k, v)
