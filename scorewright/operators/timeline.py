@@ -2,9 +2,10 @@
 
 A streaming statistics page holds its charts as JavaScript arrays, e.g.
 ``var v1 = [{x: "15:13:19", y: 5.0}, ...];`` with unquoted keys.  The
-array text is cut out with a regular expression and read by the JSON
-reader with ``allowUnquotedFieldNames``; points are exploded and averaged
-per metric.  Pages are ordinary rows, so any number of them is processed in
+page is cut where the array begins, and the JSON reader, with
+``allowUnquotedFieldNames``, reads it up to its own end - so strings with any
+brackets and marks in them survive; points are exploded and averaged per
+metric.  Pages are ordinary rows, so any number of them is processed in
 parallel and the means use partial aggregation.
 """
 
@@ -35,6 +36,12 @@ def script_array_text(html: Column, var_name: str) -> Column:
     return F.regexp_extract(html, rf"(?s)\bvar\s+{re.escape(var_name)}\s*=\s*(\[.*?\])\s*;", 1)
 
 
+def script_array_start(html: Column, var_name: str) -> Column:
+    """The page from the array assigned by ``var NAME = [`` on ('' if absent):
+    a JSON reader stops where the array ends."""
+    return F.regexp_extract(html, rf"(?s)\bvar\s+{re.escape(var_name)}\s*=\s*(\[.*)", 1)
+
+
 def script_array(html: Column, var_name: str) -> Column:
     """Text of the array assigned by ``var NAME = [...];`` (null if absent)."""
     text = script_array_text(html, var_name)
@@ -44,7 +51,7 @@ def script_array(html: Column, var_name: str) -> Column:
 def _charts(pages: DataFrame, html_col: str, var_names) -> DataFrame:
     """One projection that cuts every chart's text out of the page, so each
     regular expression runs once per page (the consumers refer to it)."""
-    return pages.select(*[script_array_text(F.col(html_col), v).alias(f"__chart_{v}") for v in var_names])
+    return pages.select(*[script_array_start(F.col(html_col), v).alias(f"__chart_{v}") for v in var_names])
 
 
 def script_value(html: Column, var_name: str) -> Column:

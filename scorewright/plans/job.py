@@ -119,15 +119,16 @@ def read_source(spark: SparkSession, config: Mapping) -> DataFrame:
     if "source" not in config:
         return read_kafka(spark, config["kafka"])
     src = config["source"]
-    fmt, rate, n = src.get("format", "text"), src.get("max_files_per_trigger"), src.get("partitions")
+    fmt, n = src.get("format", "text"), src.get("partitions")
+    rate = {k: src[k] for k in ("max_files_per_trigger", "max_bytes_per_trigger") if src.get(k)}
 
     def spread(rows: DataFrame) -> DataFrame:
         return rows.repartition(int(n)) if n else rows
 
     if src.get("encode") is None:
-        return spread(stream_messages(spark, src["path"], fmt=fmt, max_files_per_trigger=rate))
+        return spread(stream_messages(spark, src["path"], fmt=fmt, **rate))
     # rows are dealt out before they are encoded: they are smaller
-    rows = spread(stream_table(spark, src["path"], fmt=fmt, max_files_per_trigger=rate))
+    rows = spread(stream_table(spark, src["path"], fmt=fmt, **rate))
     return encode_messages(rows, src["encode"] or rows.columns)
 
 

@@ -318,6 +318,7 @@ SQL["q_csv_table"] = "SELECT doc_id, quality, toxic FROM labels"
 SQL["q_page_files"] = SQL["q_page_vars"]
 
 SQL["q_stream_trigger"] = SQL["q_score_rows"]
+SQL["q_stream_bytes"] = SQL["q_score_rows"]
 
 SQL["q_parse_records"] = """
     SELECT event_id, event_type, value, CAST(event_id AS VARCHAR) AS record_key FROM events"""
@@ -327,8 +328,7 @@ SQL.update({
     "q_stream_csv": SQL["q_score_rows"],
     "q_stream_replace": SQL["q_score_rows"],
     "q_telemetry_rows": """
-        SELECT 'Input_Rows' AS metric, CAST(1 AS BIGINT) AS n, CAST(count(*) AS DOUBLE) AS total,
-               CAST(count(*) AS DOUBLE) AS p50 FROM events""",
+        SELECT 'Input_Rows' AS metric, CAST(count(*) AS DOUBLE) AS total, true AS several FROM events""",
     "q_score_file": "SELECT event_id, value, CAST(value > 75 AS INT) AS prediction FROM events",
     "q_score_shipped": "SELECT event_id, CAST(value > 25 AS INT) AS v1, CAST(value > 90 AS INT) AS v2 FROM events",
     "q_score_custom": "SELECT event_id, CAST(value <= 60.5 AS INT) AS prediction FROM events",

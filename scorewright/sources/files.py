@@ -2,14 +2,15 @@
 
 * message files (JSON lines, text, parquet with a ``value`` column) as a
   batch or as a replayable stream that stands in for a topic;
-* any table read as a stream of rows (``maxFilesPerTrigger`` bounds each
-  micro-batch);
+* any table read as a stream of rows; ``maxFilesPerTrigger`` bounds each
+  micro-batch by files, ``maxBytesPerTrigger`` by their size;
 * CSV tables with a header;
 * HTML or other text documents, one row per file.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,15 +25,26 @@ def read_messages(spark: SparkSession, path: str, *, fmt: str = "text", value_co
     return spark.read.format(fmt).load(path).select(value_col)
 
 
-def stream_messages(spark: SparkSession, path: str, *, fmt: str = "text",
-                    max_files_per_trigger: int | None = None, schema: StructType | None = None) -> DataFrame:
+def admission(max_files: int | str | None, max_bytes: int | str | None) -> dict[str, str]:
+    """The file source's limit for a micro-batch, by files or by bytes (``"512m"``
+    works too).  One file is always admitted, however large."""
+    if max_files and max_bytes:
+        raise ValueError("set either max_files_per_trigger or max_bytes_per_trigger")
+    if max_bytes:
+        m = re.fullmatch(r"\s*(\d+)\s*([kmgt]?)b?\s*", str(max_bytes).lower())
+        if not m or not int(m.group(1)):
+            raise ValueError(f"max_bytes_per_trigger: {max_bytes!r} is not a size")
+        return {"maxBytesPerTrigger": str(int(m.group(1)) << (10 * " kmgt".index(m.group(2) or " ")))}
+    return {"maxFilesPerTrigger": str(int(max_files))} if max_files else {}
+
+
+def stream_messages(spark: SparkSession, path: str, *, fmt: str = "text", max_files_per_trigger: int | None = None,
+                    schema: StructType | None = None, max_bytes_per_trigger: int | str | None = None) -> DataFrame:
     """Stream of messages from files arriving in ``path`` (one file may be
     many messages); the streaming twin of :func:`read_messages`.  For
     parquet/orc message files pass ``schema`` when the folder may start
     empty (it is otherwise read from the files already there)."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = spark.readStream.options(**admission(max_files_per_trigger, max_bytes_per_trigger))
     if fmt in ("text", "json"):
         return reader.text(path)
     if schema is None:
@@ -42,17 +54,14 @@ def stream_messages(spark: SparkSession, path: str, *, fmt: str = "text",
 
 def stream_table(spark: SparkSession, path: str, *, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, schema: StructType | None = None,
-                 options: Mapping[str, str] | None = None) -> DataFrame:
+                 options: Mapping[str, str] | None = None, max_bytes_per_trigger: int | str | None = None) -> DataFrame:
     """A table's rows as a stream (S5).  The schema is taken from the files
     (metadata only) unless given; pass it when the folder may start empty."""
     if schema is None:
         schema = spark.read.format(fmt).load(path).schema
     reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    for k, v in dict(options or {}).items():
-        reader = reader.option(k, v)
-    return reader.load(path)
+    limits = admission(max_files_per_trigger, max_bytes_per_trigger)
+    return reader.options(**limits, **dict(options or {})).load(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, *, schema: StructType | str | None = None,

@@ -11,9 +11,9 @@ percentiles and totals of any numeric columns.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import threading
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +28,13 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ..functions.naming import free_prefix
 from ..operators.quantiles import exact_percentiles, percentile_name
 from ..session import shared_dir
 
 PROGRESS_SCHEMA = StructType([
     StructField("query_id", StringType()),
+    StructField("run_id", StringType()),
     StructField("name", StringType()),
     StructField("batch_id", LongType()),
     StructField("reported_at", StringType()),
@@ -58,6 +60,7 @@ def _row(p: dict) -> tuple:
 
     return (
         str(p.get("id")),
+        str(p.get("runId")),
         p.get("name"),
         int(p.get("batchId", -1)),
         p.get("timestamp"),
@@ -90,17 +93,24 @@ def operation_means_from_progress(progress: DataFrame, *, decimals: int = 2) ->
     return ops.groupBy("operation").agg(F.round(F.avg(F.col("ms").cast("double")), decimals).alias("mean_ms"))
 
 
+REPORT_KEY = ["query_id", "run_id", "batch_id"]
+
+
 class ProgressLog(StreamingQueryListener):
     """A listener that writes every report of every query of the session to
-    a table, one JSON line each; a file is closed after ``reports_per_file``
-    reports and when a query ends.  Only the reports of the open file are
-    held in memory, and per query the number of rows seen so far."""
+    a table, one JSON line each, after ``reports_per_file`` reports and when a
+    query ends.  Reports are keyed by query, run and batch (a later report of
+    a batch replaces an earlier one) and are held until their write has
+    succeeded; a file is named by its content, so writing it again adds
+    nothing.  Memory holds the reports not yet written and per query the
+    number of rows seen so far."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, reports_per_file: int = 500):
         super().__init__()
         self.spark, self.path, self.reports_per_file = spark, path or shared_dir(spark, "telemetry"), reports_per_file
         self._changed, self._writing = threading.Condition(), threading.Lock()
-        self._pending: list[str] = []
+        self._pending: dict[tuple, str] = {}
+        self.failure: Exception | None = None  # of the last write, if it failed
         self._rows: dict[str, int] = {}
         self._ended: set[str] = set()
 
@@ -122,29 +132,55 @@ class ProgressLog(StreamingQueryListener):
         report = _as_dict(event.progress)
         row = dict(zip(PROGRESS_SCHEMA.fieldNames(), _row(report)))
         with self._changed:
-            self._pending.append(json.dumps(row))
+            self._pending[tuple(row[k] for k in REPORT_KEY)] = json.dumps(row)
             self._rows[row["query_id"]] = self._rows.get(row["query_id"], 0) + row["num_input_rows"]
             full = len(self._pending) >= self.reports_per_file
             self._changed.notify_all()
         if full:
-            self._flush()
+            self._try_flush()
 
     def onQueryTerminated(self, event):
-        self._flush()  # who waits for the end finds all reports written
-        with self._changed:
-            self._ended.add(str(event.id))
-            self._changed.notify_all()
+        try:
+            self._try_flush()  # who waits for the end finds all reports written
+        finally:
+            with self._changed:
+                self._ended.add(str(event.id))
+                self._changed.notify_all()
+
+    def _try_flush(self) -> None:
+        """From a callback: a failed write is tried again with the next one
+        and, at the latest, raised by :meth:`table` or at the end."""
+        try:
+            self._flush()
+        except Exception as exc:
+            self.failure = exc
 
     def _flush(self) -> None:
         with self._writing:
             with self._changed:
-                lines, self._pending = self._pending, []
-            if lines:
-                jvm = self.spark._jvm
-                file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{uuid.uuid4().hex}.json")
-                out = file.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(file)
-                out.write(bytearray(("\n".join(lines) + "\n").encode("utf-8")))
-                out.close()
+                lines = dict(self._pending)
+            if not lines:
+                return
+            text = "\n".join(lines.values()) + "\n"
+            self._write(f"{hashlib.sha256(text.encode('utf-8')).hexdigest()}.json", text)
+            self.failure = None
+            with self._changed:
+                for key, line in lines.items():
+                    if self._pending.get(key) == line:  # not replaced meanwhile
+                        del self._pending[key]
+
+    def _write(self, name: str, text: str) -> None:
+        """A file below ``path``, complete under its name or not there."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        final, temporary = path(f"{self.path}/{name}"), path(f"{self.path}/_{name}")
+        fs = final.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = fs.create(temporary, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        if not fs.rename(temporary, final) and not fs.exists(final):
+            raise OSError(f"cannot write {final}")
 
     def rows(self, query) -> int:
         """Input rows of a query reported so far."""
@@ -171,7 +207,10 @@ class ProgressLog(StreamingQueryListener):
         self._flush()
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
-        df = self.spark.read.schema(PROGRESS_SCHEMA).json(self.path)
+        rows = self.spark.read.schema(PROGRESS_SCHEMA).json(self.path)
+        # one report per query, run and batch: the last one
+        latest = rows.groupBy(*REPORT_KEY).agg(F.max_by(F.struct(*PROGRESS_SCHEMA.fieldNames()), "reported_at").alias("r"))
+        df = latest.select("r.*")
         return df if query is None else df.filter(F.col("query_id") == str(query.id))
 
 
@@ -198,8 +237,9 @@ def summarize(df: DataFrame, value_cols: Sequence[str], *, group_cols: Sequence[
     found = exact_percentiles(long, "v", wanted, group_cols=keys)
     wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(percentile_name(p))
                                       for p in wanted])
-    named = wide.select(*[F.col(c).alias(f"_at_{c}") for c in keys], *[percentile_name(p) for p in wanted])
+    own = free_prefix([*keys, *base.columns])
+    named = wide.select(*[F.col(c).alias(f"{own}{c}") for c in keys], *[percentile_name(p) for p in wanted])
     cond = F.lit(True)
     for c in keys:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    return base.join(named, cond, "left").drop(*[f"_at_{c}" for c in keys])
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{own}{c}"))
+    return base.join(named, cond, "left").drop(*[f"{own}{c}" for c in keys])

@@ -217,3 +217,83 @@ def test_native_sinks_run(spark, scratch, fmt):
     run_until_done(job.start(spark, cfg, model=ThresholdRule("value", 50.0), query_name=name), 600)
     if fmt == "memory":
         assert spark.table(name).count() == 1000
+
+
+def _logged(spark, scratch, files, log, source=None):
+    from scorewright.sources.files import write_message_files
+
+    events = spark.read.parquet(f"{SF}/events.parquet").repartition(files)
+    write_message_files(events, catalog.EVENT_COLUMNS, f"{scratch}/topic")
+    cfg = catalog.stream_job_config(SF, scratch)
+    cfg["source"] = {"format": "text", "path": f"{scratch}/topic", **(source or {"max_files_per_trigger": 1})}
+    with log:
+        query = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
+        run_until_done(query)
+        log.wait_for_end(query)
+    return query, cfg
+
+
+def test_a_failed_telemetry_write_loses_nothing(spark, scratch):
+    from scorewright.streaming.progress import ProgressLog
+
+    class Failing(ProgressLog):
+        calls = 0
+
+        def _write(self, name, text):
+            self.calls += 1
+            if self.calls <= 3:
+                raise OSError("store is away")
+            super()._write(name, text)
+
+    log = Failing(spark, reports_per_file=2)
+    query, cfg = _logged(spark, scratch, 5, log)
+    assert log.calls > 3 and not log._pending
+    reports = log.table(query)
+    assert reports.filter("num_input_rows > 0").count() == 5
+    # a restart on the same checkpoint is another run: nothing is counted twice
+    with log:
+        again = job.start(spark, cfg, model=ThresholdRule("value", 50.0))
+        run_until_done(again)
+        log.wait_for_end(again)
+    rows = log.table(again).filter("num_input_rows > 0")
+    assert rows.count() == 5 and rows.agg({"num_input_rows": "sum"}).first()[0] == 1000
+
+
+def test_a_telemetry_write_that_never_succeeds_is_raised(spark, scratch):
+    from scorewright.streaming.progress import ProgressLog
+
+    class Broken(ProgressLog):
+        def _write(self, name, text):
+            raise OSError("store is away")
+
+    log = Broken(spark, reports_per_file=1)
+    with pytest.raises(OSError, match="away"):
+        _logged(spark, scratch, 2, log)  # the end is reached all the same
+    assert len(log._pending) >= 2 and isinstance(log.failure, OSError)
+
+
+def test_written_reports_are_named_by_content(spark, scratch):
+    from scorewright.streaming.progress import ProgressLog
+
+    log = ProgressLog(spark, path=f"{scratch}/log")
+    for _ in range(2):
+        log._pending = {("q", "r", 1): '{"query_id":"q","run_id":"r","batch_id":1,"num_input_rows":5,"reported_at":"t1"}'}
+        log._flush()
+    log._pending = {("q", "r", 1): '{"query_id":"q","run_id":"r","batch_id":1,"num_input_rows":7,"reported_at":"t2"}'}
+    assert [(r.batch_id, r.num_input_rows) for r in log.table().collect()] == [(1, 7)]
+
+
+def test_micro_batches_by_size(spark, scratch):
+    import os
+
+    from scorewright.streaming.progress import ProgressLog
+
+    log = ProgressLog(spark)
+    query, _ = _logged(spark, scratch, 8, log, {"max_bytes_per_trigger": 25_000})
+    sizes = [os.path.getsize(f"{scratch}/topic/{f}") for f in os.listdir(f"{scratch}/topic") if f.endswith((".txt", ".json"))]
+    reports = log.table(query).filter("num_input_rows > 0").collect()
+    assert sum(r.num_input_rows for r in reports) == 1000
+    assert 2 <= len(reports) <= -(-sum(sizes) // 25_000) * 2
+    if sizes:
+        most = max(sizes)
+        assert max(r.num_input_rows for r in reports) <= 1000 * (25_000 + most) / sum(sizes) * 1.3

@@ -78,3 +78,14 @@ def test_page_files_keep_every_page(spark, scratch):
     spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{scratch}/pages.parquet")
     got = sorted(map(str, catalog.q_page_files(spark, scratch).collect()))
     assert len(got) == len(rows) and got == sorted(map(str, catalog.q_page_vars(spark, scratch).collect()))
+
+
+def test_charts_with_any_text_in_their_strings(spark):
+    page = """<script>var v1 = [{x: "a];b", y: 2.0}, {x: "c \\"]; d", y: 4}, {x: "[[", y: 6}];
+    var v2 = [{x: ";", y: 1}]; var v3 = [broken; var v4 = [];
+    var v5 = [{x: "];", addBatch: 8}, {x: "q", addBatch: 4}];</script>"""
+    pages = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    got = {r["metric"]: (r["mean"], r["n_points"]) for r in timeline_means(pages).collect()}
+    assert got == {"Input Rate (records/sec)": (4.0, 3), "Process Rate (records/sec)": (1.0, 1),
+                   "Input Rows (records/batch)": (None, 0), "Batch Duration (ms)": (None, 0)}
+    assert [tuple(r) for r in operation_means(pages).collect()] == [("addBatch", 6.0)]
