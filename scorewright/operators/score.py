@@ -10,14 +10,18 @@ Two routes, chosen by ``model_config["type"]``:
   struct column, i.e. one pandas DataFrame per batch (no per-row objects).
 
 Python loaders live in a registry (``register_loader``) keyed by type name;
-``sklearn``/``joblib``/``pickle`` read a pickled object, ``xgboost_native``
-and ``tensorflow`` need their packages on the workers.  A model object can
-also be given directly; it is shipped once per executor as a broadcast.
+``sklearn``/``joblib``/``pickle`` read a pickled object, ``tensorflow`` needs its
+package on the workers.  ``xgboost_native`` with a JSON model file is compiled
+into column expressions and needs no package; its binary files do.  A model
+object can also be given directly; it is shipped once per executor as a
+broadcast.  Paths with a scheme (``hdfs://``, ``s3a://``, ``dbfs:/``, ...) are
+read once, on the driver, by the session's own file systems and shipped.
 """
 
 from __future__ import annotations
 
 import pickle
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
@@ -29,6 +33,7 @@ from pyspark.sql.types import BooleanType, DataType, DoubleType, IntegerType, Nu
 
 from ..functions.casts import parse_type
 from ..session import ship_package
+from .trees import booster_from_json, forest_from_saved, score_booster, score_forest
 
 # --------------------------------------------------------------------------
 # loader registry
@@ -229,27 +234,68 @@ def _by_value(fn: Callable) -> bytes:
 
 
 def _ship(spark: SparkSession, path: str) -> str:
-    """Copy a model file to every executor under a name that tells its
-    content, so that files of one base name do not meet; returns the name."""
+    """Copy a model file or folder to every executor under a name that tells
+    its content, so that files of one base name do not meet; returns the
+    name."""
+    import atexit
     import hashlib
     import os
     import shutil
     import tempfile
 
-    with open(path, "rb") as fh:
-        digest = hashlib.sha256(fh.read()).hexdigest()[:24]
-    name = f"{digest}-{os.path.basename(path)}"
+    # staged on the driver only, until it ends; Spark's file server hands it out
+    folder = tempfile.mkdtemp(prefix="scorewright-model-")
+    atexit.register(shutil.rmtree, folder, True)
+    if _SCHEME.match(path):
+        path = _local_copy(spark, path, os.path.realpath(folder))
+    digest = hashlib.sha256()
+    files = [path] if os.path.isfile(path) else sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names)
+    for file in files:
+        digest.update(os.path.relpath(file, path).encode("utf-8"))
+        with open(file, "rb") as fh:
+            digest.update(fh.read())
+    name = f"{digest.hexdigest()[:24]}-{os.path.basename(path.rstrip('/'))}"
     shipped = _SHIPPED_FILES.setdefault(spark.sparkContext.applicationId, {})
     if name not in shipped:
-        # staged on the driver only; Spark's file server hands it out
-        shipped[name] = os.path.join(tempfile.mkdtemp(prefix="scorewright-model-"), name)
-        shutil.copyfile(path, shipped[name])
-        spark.sparkContext.addFile(shipped[name])
+        shipped[name] = os.path.join(folder, name)
+        if os.path.isdir(path):
+            shutil.copytree(path, shipped[name])
+        else:
+            shutil.copyfile(path, shipped[name])
+        spark.sparkContext.addFile(shipped[name], recursive=os.path.isdir(path))
     return name
 
 
 _SHIPPED_FILES: dict[str, dict[str, str]] = {}
 
+_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]+:/")
+
+
+def _local_copy(spark: SparkSession, path: str, folder: str) -> str:
+    """A model on any file system that the session knows, as a file or
+    folder below ``folder`` on the driver."""
+    import os
+
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = hadoop(path), os.path.join(folder, path.rstrip("/").rsplit("/", 1)[-1])
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(source):
+        raise FileNotFoundError(path)
+    fs.copyToLocalFile(False, source, hadoop(f"file://{target}"), True)
+    return target
+
+
+def read_model_text(spark: SparkSession, path: str) -> str:
+    """A model file's text, from a plain path or any file system."""
+    if not _SCHEME.match(path):
+        with open(path, encoding="utf-8") as fh:
+            return fh.read()
+    import tempfile
+
+    with tempfile.TemporaryDirectory(prefix="scorewright-model-") as folder:
+        with open(_local_copy(spark, path, folder), encoding="utf-8") as fh:
+            return fh.read()
+
 
 def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
     """A zero-argument callable, run on the worker, that returns the model."""
@@ -263,7 +309,7 @@ def _model_source(spark: SparkSession, model_config: Mapping, model: Any):
     type_name = model_config.get("type", "sklearn")
     # the loader is looked up here: a worker does not know what was registered
     loader = _by_value(loader_for(type_name)[0])
-    shipped = _ship(spark, path) if model_config.get("ship", False) else None
+    shipped = _ship(spark, path) if model_config.get("ship", False) or _SCHEME.match(path) else None
 
     def on_worker():
         where = path
@@ -290,15 +336,20 @@ def score(
     ``threshold`` (turns scores into 0/1), ``on_null`` (``keep``: nulls reach
     the model as NaN; ``skip``: rows with a null feature get a null
     prediction), ``output_index`` (which value of a model with several per
-    row), ``ship`` (copy ``path`` to every executor with ``addFile``), ``with_identity`` (add ``model_name``/``model_version``
-    literal columns from ``name``/``version``).
+    row), ``ship`` (copy ``path`` to every executor with ``addFile``), ``compile`` (``spark_mllib``: a saved forest as
+    column expressions), ``with_identity`` (add ``model_name``/``model_version`` literal columns from ``name``/``version``).
     """
     model_type = model_config.get("type", "sklearn")
     features = list(model_config["features"])
     if not features:
         raise ValueError("model configuration needs at least one feature")
-    if model_type == "spark_mllib":
+    if model_type == "spark_mllib" and model_config.get("compile", False):
+        out = score_forest(df, forest_from_saved(df.sparkSession, model_config["path"]), features, output_col=output_col)
+    elif model_type == "spark_mllib":
         out = score_mllib(df, model_config, output_col=output_col)
+    elif model is None and model_type == "xgboost_native" and str(model_config["path"]).lower().endswith(".json"):
+        booster = booster_from_json(read_model_text(df.sparkSession, str(model_config["path"])))
+        out = score_booster(df, model_config, booster, output_col=output_col)
     else:
         out = _score_python(df, model_config, model, features, output_col)
     if model_config.get("with_identity", False):

@@ -8,6 +8,7 @@ rows independently.  Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,8 @@ from ..operators.timeline import (
     unquote_keys,
 )
 from ..operators.train import load_model, save_model, train_random_forest
-from ..session import shared_dir, spread_scan
+from ..operators.trees import forest_from_saved, score_forest
+from ..session import shared_dir, spread_scan, write_file
 from ..sources.files import write_message_files
 from ..streaming.progress import ProgressLog, operation_means_from_progress, progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, to_kafka_records, write_stream
@@ -331,17 +333,10 @@ def q_score_category(spark, sf_dir):
 def _model_files(spark: SparkSession, name: str, models: dict) -> dict[str, str]:
     """Pickled models as files below the shared folder: ``{key: path}``.
     Every model of one call has the same base name."""
-    import os
     import pickle
 
-    folder = "/" + shared_dir(spark, name).removeprefix("file:").lstrip("/")
-    paths = {}
-    for key, model in models.items():
-        os.makedirs(f"{folder}/{key}")
-        paths[key] = f"{folder}/{key}/model.pkl"
-        with open(paths[key], "wb") as fh:
-            pickle.dump(model, fh)
-    return paths
+    folder = shared_dir(spark, name)
+    return {key: write_file(spark, f"{folder}/{key}/model.pkl", pickle.dumps(model)) for key, model in models.items()}
 
 
 @register("q_score_file")
@@ -374,14 +369,9 @@ def _predict_cutoff(cutoff: float, features) -> object:
 @register("q_score_custom")
 def q_score_custom(spark, sf_dir):
     """A model flavour of one's own (a cutoff in a text file)."""
-    import os
-
     register_loader("cutoff_text", _load_cutoff, _predict_cutoff)
-    folder = "/" + shared_dir(spark, "q_score_custom").removeprefix("file:").lstrip("/")
-    os.makedirs(folder)
-    with open(f"{folder}/cutoff.txt", "w", encoding="utf-8") as fh:
-        fh.write("60.5")
-    cfg = {"type": "cutoff_text", "path": f"{folder}/cutoff.txt", "features": ["value"]}
+    path = write_file(spark, f"{shared_dir(spark, 'q_score_custom')}/cutoff.txt", b"60.5")
+    cfg = {"type": "cutoff_text", "path": path, "features": ["value"]}
     return score(table(spark, sf_dir, "events"), cfg).select("event_id", "prediction")
 
 
@@ -855,6 +845,46 @@ def q_mllib_support(spark, sf_dir):
     return report.filter("label IN ('0', '1', 'accuracy')").select("label", "support")
 
 
+@register("q_forest_rules")
+def q_forest_rules(spark, sf_dir):
+    """Rows in which the compiled forest and the model's own
+    ``transform`` disagree, by class or by any vote."""
+    from pyspark.ml.functions import vector_to_array
+
+    li = table(spark, sf_dir, "lineitem").select(*ML_FEATURES, F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"))
+    path = save_model(train_random_forest(li, ML_FEATURES, "returned"), shared_dir(spark, "q_forest_rules"))
+    own = score_mllib(li, {"features": ML_FEATURES, "path": path}, output_col="own_class")
+    both = score_forest(own, forest_from_saved(spark, path), ML_FEATURES, votes_col="votes")
+    differs = (F.col("prediction") != F.col("own_class")) | (F.col("votes") != vector_to_array("rawPrediction"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("disagree"))
+
+
+# A booster of three trees in the JSON form of its library: missing values,
+# a shared threshold, leaves of either sign.
+def _booster_file(objective: str) -> str:
+    def tree(left, right, feature, number, default):
+        return {"left_children": left, "right_children": right, "split_indices": feature, "split_conditions": number,
+                "default_left": default, "split_type": [0] * len(left)}
+
+    trees = [tree([1, 3, -1, -1, -1], [2, 4, -1, -1, -1], [0, 1, 0, 0, 0], [25.0, 0.0625, -0.5, 0.25, 0.75], [1, 0, 0, 0, 0]),
+             tree([1, -1, -1], [2, -1, -1], [2, 0, 0], [0.03125, -0.125, 0.5], [0, 0, 0]), tree([-1], [-1], [0], [0.0625], [0])]
+    return json.dumps({"learner": {
+        "learner_model_param": {"base_score": "5E-1", "num_class": "0", "num_feature": "3"}, "objective": {"name": objective},
+        "gradient_booster": {"name": "gbtree", "model": {"trees": trees, "tree_info": [0, 0, 0]}}}, "version": [2, 0, 0]})
+
+
+@register("q_score_booster")
+def q_score_booster(spark, sf_dir):
+    """A booster's JSON file as column expressions; every seventh
+    quantity is missing."""
+    path = write_file(spark, f"{shared_dir(spark, 'q_score_booster')}/model.json", _booster_file("binary:logistic").encode("utf-8"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 7 > 0, F.col("l_quantity")).alias("quantity"), "l_discount", "l_tax")
+    cfg = {"type": "xgboost_native", "path": path, "features": ["quantity", "l_discount", "l_tax"], "result_type": "double"}
+    scored = score(rows, cfg)
+    return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 9).alias("score"))
+
+
 @register("q_csv_infer")
 def q_csv_infer(spark, sf_dir):
     """S6 with inferred types, as an exported table without a schema has."""

@@ -330,6 +330,11 @@ SQL.update({
     "q_telemetry_rows": """
         SELECT 'Input_Rows' AS metric, CAST(count(*) AS DOUBLE) AS total, true AS several FROM events""",
     "q_score_file": "SELECT event_id, value, CAST(value > 75 AS INT) AS prediction FROM events",
+    "q_forest_rules": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS disagree FROM lineitem",
+    "q_score_booster": """
+        SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-(
+            CASE WHEN l_orderkey % 7 = 0 OR l_quantity < 25 THEN CASE WHEN l_discount < 0.0625 THEN 0.25 ELSE 0.75 END ELSE -0.5 END
+            + CASE WHEN l_tax < 0.03125 THEN -0.125 ELSE 0.5 END + 0.0625)::DOUBLE)), 9) AS score FROM lineitem""",
     "q_score_shipped": "SELECT event_id, CAST(value > 25 AS INT) AS v1, CAST(value > 90 AS INT) AS v2 FROM events",
     "q_score_custom": "SELECT event_id, CAST(value <= 60.5 AS INT) AS prediction FROM events",
     "q_score_native": """

@@ -64,7 +64,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _local_base(spark)
-    return "/".join([base.rstrip("/"), "scorewright", *parts, uuid.uuid4().hex])
+    return "/".join([qualified(spark, base).rstrip("/"), "scorewright", *parts, uuid.uuid4().hex])
 
 
 _SHIPPED: set[str] = set()
@@ -108,6 +108,28 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+def write_file(spark: SparkSession, path: str, data: bytes) -> str:
+    """Write a small file (a model, a listing) on any file system that the
+    session knows; returns its path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return path
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its scheme: a plain path belongs to the cluster's
+    default file system, which need not be the local one."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    except AttributeError:  # no JVM at hand (Spark Connect): as the session has it
+        return folder
+
+
 def written_table(df, name: str):
     """Write ``df`` below the shared checkpoint folder and read it back: the
     rows are fixed from then on, whatever is recomputed later."""

@@ -1,0 +1,170 @@
+"""Compiled tree ensembles: against a walk over the nodes in Python, and a
+saved forest against its own transform."""
+
+import json
+import math
+import pickle
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from scorewright.operators import trees as T
+from scorewright.operators.score import ThresholdRule, read_model_text, score, score_mllib
+from scorewright.operators.train import save_model, train_random_forest
+from scorewright.session import write_file
+
+
+def random_tree(rng, depth, n_features):
+    """A tree in the arrays of a model file."""
+    tree = {k: [] for k in ("left_children", "right_children", "split_indices", "split_conditions", "default_left")}
+
+    def grow(level):
+        me = len(tree["left_children"])
+        for values in tree.values():
+            values.append(0)
+        if level == depth or rng.random() < 0.2:
+            tree["left_children"][me] = tree["right_children"][me] = -1
+            tree["split_conditions"][me] = float(np.float32(rng.normal()))
+        else:
+            tree["split_indices"][me] = int(rng.integers(n_features))
+            tree["split_conditions"][me] = float(np.float32(np.round(rng.normal(), 1)))
+            tree["default_left"][me] = int(rng.integers(2))
+            tree["left_children"][me] = grow(level + 1)
+            tree["right_children"][me] = grow(level + 1)
+        return me
+
+    grow(0)
+    return {**tree, "split_type": [0] * len(tree["left_children"])}
+
+
+def walk(tree, row):
+    at = 0
+    while tree["left_children"][at] >= 0:
+        x = row[tree["split_indices"][at]]
+        missing = x is None or math.isnan(x)
+        left = bool(tree["default_left"][at]) if missing else np.float32(x) < np.float32(tree["split_conditions"][at])
+        at = tree["left_children" if left else "right_children"][at]
+    return tree["split_conditions"][at]
+
+
+def model_file(objective, trees, info, base="5E-1", classes=0, n_features=4):
+    return json.dumps({"learner": {
+        "learner_model_param": {"base_score": base, "num_class": str(classes), "num_feature": str(n_features)},
+        "objective": {"name": objective}, "gradient_booster": {"name": "gbtree", "model": {"trees": trees, "tree_info": info}}}})
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(1)
+    values = np.round(rng.normal(size=(200, 4)), 1).tolist()  # ties with thresholds
+    for i in range(0, 200, 7):
+        values[i][i % 4] = None if i % 2 else float("nan")
+    values.append([0.1 + 0.2, 1e40, -1e-50, float("inf")])  # beyond single precision
+    return values
+
+
+@pytest.fixture(scope="module")
+def table(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, a double, b double, c double, d double").withColumn("__sw_x0", F.lit(7))
+
+
+@pytest.mark.parametrize("objective,link", [("binary:logistic", lambda m: 1 / (1 + math.exp(-m))), ("reg:squarederror", lambda m: m),
+                                            ("count:poisson", math.exp)])
+def test_booster_against_a_walk(spark, rows, table, scratch, objective, link):
+    rng = np.random.default_rng(2)
+    made = [random_tree(rng, 6, 4) for _ in range(25)]
+    path = f"{scratch}/model.json"
+    with open(path, "w") as fh:
+        fh.write(model_file(objective, made, [0] * 25, base="3E-1"))
+    start = {"binary:logistic": math.log(0.3 / 0.7), "reg:squarederror": 0.3, "count:poisson": math.log(0.3)}[objective]
+    cfg = {"type": "xgboost_native", "path": path, "features": ["a", "b", "c", "d"]}
+    got = {r.id: r for r in score(table, {**cfg, "result_type": "double"}).collect()}
+    assert set(got[0].asDict()) == {*table.columns, "prediction"} and got[0]["__sw_x0"] == 7
+    for i, row in enumerate(rows):
+        assert math.isclose(got[i].prediction, link(start + sum(walk(t, row) for t in made)), rel_tol=1e-9)
+    flags = {r.id: r.prediction for r in score(table, {**cfg, "threshold": 0.5, "on_null": "skip"}).collect()}
+    for i, row in enumerate(rows):
+        missing = any(x is None or math.isnan(x) for x in row)
+        assert flags[i] == (None if missing else int(got[i].prediction >= 0.5))
+    with pytest.raises(ValueError, match="threshold"):
+        score(table, cfg)
+    with pytest.raises(ValueError, match="features"):
+        score(table, {**cfg, "features": ["a"]})
+
+
+def test_booster_of_several_classes(spark, rows, table, scratch):
+    rng = np.random.default_rng(3)
+    made = [random_tree(rng, 4, 4) for _ in range(9)]
+    info = [0, 1, 2] * 3
+    for objective in ("multi:softprob", "multi:softmax"):
+        path = f"{scratch}/{objective[6:]}.json"
+        with open(path, "w") as fh:
+            fh.write(model_file(objective, made, info, base="[1E-1,2E-1,3E-1]", classes=3))
+        cfg = {"type": "xgboost_native", "path": path, "features": ["a", "b", "c", "d"]}
+        if objective == "multi:softprob":
+            with pytest.raises(ValueError, match="output_index"):
+                score(table, {**cfg, "result_type": "double"})
+            cfg |= {"result_type": "double", "output_index": 2}
+        got = {r.id: r.prediction for r in score(table, cfg).collect()}
+        for i, row in enumerate(rows):
+            m = [s + sum(walk(t, row) for t, c in zip(made, info) if c == k) for k, s in enumerate((0.1, 0.2, 0.3))]
+            if objective == "multi:softmax":
+                assert got[i] == int(np.argmax(m))
+            else:
+                assert math.isclose(got[i], math.exp(m[2]) / sum(map(math.exp, m)), rel_tol=1e-9)
+
+
+def test_what_is_not_built_is_refused():
+    tree = random_tree(np.random.default_rng(4), 3, 4)
+    for bad in (model_file("survival:aft", [tree], [0]), model_file("reg:squarederror", [{**tree, "split_type": [1]}], [0]),
+                model_file("reg:squarederror", [tree], [0]).replace("gbtree", "gblinear")):
+        with pytest.raises(ValueError):
+            T.booster_from_json(bad)
+
+
+def test_saved_forest_equals_its_transform(spark, scratch):
+    from pyspark.ml.functions import vector_to_array
+
+    rng = np.random.default_rng(5)
+    data = [(*np.round(rng.normal(size=3), 1).tolist(), int(rng.integers(3))) for _ in range(600)]
+    df = spark.createDataFrame([(a, b, c, int((a > 0) + (b > c)) if y else y) for a, b, c, y in data], "a double, b double, c double, y int")
+    path = save_model(train_random_forest(df, ["a", "b", "c"], "y", num_trees=7, max_depth=4), f"{scratch}/forest")
+    own = score_mllib(df, {"features": ["a", "b", "c"], "path": path}, output_col="own")
+    both = T.score_forest(own, T.forest_from_saved(spark, path), ["a", "b", "c"], votes_col="votes")
+    assert both.filter((F.col("own") != F.col("prediction")) | (F.col("votes") != vector_to_array("rawPrediction"))).count() == 0
+    plan = score(df, {"type": "spark_mllib", "compile": True, "path": path, "features": ["a", "b", "c"]})
+    assert "UDF" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.prediction for r in plan.collect()) == sorted(r.own for r in own.collect())
+    with pytest.raises(ValueError, match="no forest"):
+        T.forest_from_saved(spark, scratch)
+
+
+def test_models_on_another_file_system(spark, scratch):
+    """Paths that only the session's file systems can open."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.models.link./m", f"file://{scratch}")
+    events = spark.createDataFrame([(1, 0.5), (2, 1.5)], "id int, v double")
+    path = write_file(spark, f"file://{scratch}/rule/model.pkl", pickle.dumps(ThresholdRule("v", 1.0)))
+    for where in ("viewfs://models/m/rule/model.pkl", path):
+        got = score(events, {"path": where, "features": ["v"]})
+        assert [r.prediction for r in got.orderBy("id").collect()] == [0, 1]
+    write_file(spark, f"file://{scratch}/b.json", b"{}")
+    assert read_model_text(spark, "viewfs://models/m/b.json") == "{}"
+    with pytest.raises(FileNotFoundError):
+        score(events, {"path": "viewfs://models/m/none.pkl", "features": ["v"]})
+
+
+def test_scratch_folders_name_their_file_system(spark, monkeypatch):
+    from scorewright import session
+
+    assert session.shared_dir(spark, "x").startswith("file:/")
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.other.link./shared", "file:///tmp")
+    conf.set("fs.defaultFS", "viewfs://other/")
+    try:
+        # a plain path belongs to the default file system, not to a local disk
+        assert session.qualified(spark, "/shared/scratch") == "viewfs://other/shared/scratch"
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
