@@ -29,8 +29,8 @@ from pyspark.sql.types import (
 )
 
 from ..functions.naming import free_prefix
-from ..operators.quantiles import exact_percentiles, percentile_name
-from ..session import shared_dir
+from ..operators.quantiles import exact_percentiles, percentile_name, sketch_of
+from ..session import shared_dir, written_table
 
 PROGRESS_SCHEMA = StructType([
     StructField("query_id", StringType()),
@@ -228,13 +228,15 @@ def summarize(df: DataFrame, value_cols: Sequence[str], *, group_cols: Sequence[
     cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in value_cols])
     long = df.select(*group_cols, F.inline(cells)).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
     keys = [*group_cols, "metric"]
-    base = long.groupBy(*keys).agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.sum("v").alias("total"))
+    base = [F.count("v").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"),
+            F.sum("v").alias("total")]
     wanted = list(dict.fromkeys(float(p) for p in percentiles))
     if not wanted:
-        return base
-    found = exact_percentiles(long, "v", wanted, group_cols=keys)
+        return long.groupBy(*keys).agg(*base)
+    # one read for the sums and the sketches, one for the percentiles
+    stats = written_table(long.groupBy(*keys).agg(*base, sketch_of(F.col("v")).alias("sketch")), "summary")
+    base = stats.drop("sketch")
+    found = exact_percentiles(long, "v", wanted, group_cols=keys, stats=stats)
     wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(percentile_name(p))
                                       for p in wanted])
     own = free_prefix([*keys, *base.columns])

@@ -1,6 +1,7 @@
 """Exact percentiles against a brute-force inverse distribution."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -58,3 +59,44 @@ def test_more_rows_than_the_sketch_holds(spark):
         for p in ps:
             v = sorted(pdf[pdf.g == g].v)
             assert got[(g, p)] == v[max(math.ceil(round(p * len(v), 6)), 1) - 1]
+
+
+@pytest.mark.parametrize("error,enclosed", [(0.0, 1 << 20), (-0.2, 1 << 20), (0.3, 5), (1.0, 1 << 20)])
+def test_enclosures_that_fail_or_hold_too_much(spark, monkeypatch, error, enclosed):
+    """Whatever the enclosures are, the counts say so and the result is exact."""
+    from scorewright.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "RANK_ERROR", error)
+    monkeypatch.setattr(quantiles, "ENCLOSED", enclosed)
+    rng = np.random.default_rng(9)
+    rows = [(i % 2 if i % 5 else None, float(v)) for i, v in enumerate(np.round(rng.normal(size=900), 1))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    ps = [0.02, 0.5, 0.51, 0.97]
+    got = {(r["g"], r["p"]): r["value"] for r in quantiles.exact_percentiles(df, "v", ps, group_cols=["g"]).collect()}
+    assert got == {(g, p): _brute([v for k, v in rows if k == g], p) for g in (0, 1, None) for p in ps}
+
+
+def test_two_reads(spark, scratch, monkeypatch):
+    """One read for sums and sketches, one between the bounds."""
+    from scorewright.operators import quantiles
+    from scorewright.streaming import progress
+
+    spark.range(40_000).selectExpr("id % 3 AS grp", "cast(pmod(xxhash64(id), 9973) AS double) AS val").write.parquet(f"{scratch}/t")
+    plans = []
+    for module in (quantiles, progress):
+        made = module.written_table
+        monkeypatch.setattr(module, "written_table", lambda d, name, made=made: plans.append(
+            d._jdf.queryExecution().optimizedPlan().toString()) or made(d, name))
+    df = spark.read.parquet(f"{scratch}/t")
+    out = progress.summarize(df, ["val"], group_cols=["grp"], percentiles=[0.07, 0.5, 0.95, 0.999])
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert out.count() == 3
+    assert sum(len(re.findall(r"Relation \[grp#\d+L?,val#\d+\]", plan)) for plan in plans) == 2
+
+
+def test_summary_columns_named_like_internal_ones(spark):
+    from scorewright.streaming.progress import summarize
+
+    df = spark.createDataFrame([(1, 2.0, 3.0), (1, 4.0, 5.0), (2, None, float("nan"))], "_g0 int, _v double, __sw_x double")
+    got = {(r["_g0"], r["metric"]): (r["n"], r["p50"]) for r in summarize(df, ["_v", "__sw_x"], group_cols=["_g0"]).collect()}
+    assert got == {(1, "_v"): (2, 2.0), (1, "__sw_x"): (2, 3.0), (2, "_v"): (0, None), (2, "__sw_x"): (0, None)}
