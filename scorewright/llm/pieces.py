@@ -42,6 +42,46 @@ _NO_TAIL = object()
 _ALONE = -1e10  # score of a character outside the vocabulary
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a protocol-buffer message's fields."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        tag = varint()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, varint()
+            continue
+        size = varint() if kind == 2 else {1: 8, 5: 4}[kind]
+        yield tag >> 3, data[at:at + size]
+        at += size
+
+
+def check_model(data: bytes) -> None:
+    """Raise ``ValueError`` unless the model file says what the encoder does:
+    merges, a space mark before the text and for every space, nothing else
+    changed.  Fixed values: the field numbers of the model file (trainer 2
+    with model type 3; normalizer 3 with rules 2, dummy prefix 3, extra white
+    space 4, escaping 5) and the type number of merge models, 2."""
+    parts = dict((n, dict(_fields(v))) for n, v in _fields(data) if n in (2, 3))
+    trainer, normal = parts.get(2, {}), parts.get(3, {})
+    if trainer.get(3, 1) != 2:
+        raise ValueError(f"model type {trainer.get(3, 1)}: only merge (BPE) models are built")
+    if normal.get(2) or normal.get(3, 1) != 1 or normal.get(4, 1) != 0 or normal.get(5, 1) != 1:
+        raise ValueError("the model's normalisation is not built: only a space mark before the text and for every space")
+
+
 class Pieces:
     """A vocabulary: piece -> (id, score), ids of the byte pieces, and
     whether pieces come from merges."""
@@ -63,8 +103,12 @@ class Pieces:
 
     @classmethod
     def load(cls, path: str) -> Pieces:
+        """Of a merge model without a normalisation of its own; any other
+        kind of model file is refused."""
         import sentencepiece
 
+        with open(path, "rb") as fh:
+            check_model(fh.read())
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces, byte_ids = {}, {}
         for i in range(model.get_piece_size()):

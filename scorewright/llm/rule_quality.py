@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scorewright.llm.common import UPPER, row_id, temp_name, written
 
 SAMPLE_ROWS = 20_000
+FIT_PARTS = 8
 SYMBOLS = "#$%&*"
 
 
@@ -127,9 +128,14 @@ def fit(rows: DataFrame, trees: int = 12, depth: int = 3, penalty: float = 0.002
     """Grow the trees, read their paths as rules, fit the lasso weights.
 
     Without rows the score is 0.5 everywhere; with one class only it is the
-    smoothed share of that class.
+    smoothed share of that class.  The trees draw their rows per partition, so
+    the bounded sample is dealt and ordered by its content first: the model
+    does not depend on the layout of the tables.
     """
     names = [c for c in rows.columns if c != "label"]
+    content = temp_name("content")
+    rows = (rows.withColumn(content, F.xxhash64(*rows.columns)).repartition(FIT_PARTS, content)
+            .sortWithinPartitions(content, *rows.columns).drop(content))
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         ones, n = counts.get(1.0, 0), sum(counts.values())

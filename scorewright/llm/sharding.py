@@ -68,18 +68,17 @@ def pack(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     shard (equal texts of a group lie next to each other, by id).  The law is
     ``bytes``: shard sizes are near equal; ``grown_shard`` is null.
 
-    Null texts have size 8, 0 tokens and the checksum of the empty text; they
+    Null, empty and blank texts have no tokens.  Null texts have size 8 and the checksum of the empty text; they
     form one group, empty texts another.  Null ids sort first in their group;
     repeated rows get a slot each.  An empty input gives an empty result.
     Other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
-    blanks = F.length(text) - F.length(F.regexp_replace(text, "[ \\t\\r\\n]", ""))
     digest = written(docs.select(
         F.col(id_col).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
-        F.coalesce(blanks + 1, F.lit(0)).cast("long").alias("tokens"),
+        F.coalesce(F.regexp_count(text, F.lit("[^ \\t\\r\\n]+")), F.lit(0)).cast("long").alias("tokens"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.coalesce(text, F.lit("")), text.isNull()).alias("group"),
         row_id().alias("rid"),

@@ -164,16 +164,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              words: int = SHINGLE_WORDS) -> DataFrame:
     """One row of each component with all its columns: the smallest id (null
-    ids last), among equal ids the smallest text hash."""
+    ids last), among equal ids the smallest text hash, among equal texts the
+    smallest hash of the whole row.  Rows without words form one component.
+    An empty input gives an empty result."""
     mine, text = F.col(id_col), F.col(text_col)
     hashed = F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
-    prints = written(fingerprints(docs, {"id": mine, "hash": hashed}, text_col, words), "fingerprints")
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    row = F.xxhash64(*[f.name for f in docs.schema.fields if "map" not in f.dataType.simpleString()])
+    prints = written(fingerprints(docs, {"id": mine, "hash": hashed, "row": row}, text_col, words), "fingerprints")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "row")
     least = prints.groupBy("print").agg(F.min(rank).alias("least"))
     rooted = least.join(_roots(prints), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    kept_id, kept_hash, row_hash = temp_name("id"), temp_name("hash"), temp_name("row")
-    kept = (rooted.groupBy("root").agg(F.min("least").alias("least"))
-            .select(F.col("least.id").alias(kept_id), F.col("least.hash").alias(kept_hash)))
-    same = docs.withColumn(row_hash, hashed)
-    joined = same.join(kept, same[id_col].eqNullSafe(kept[kept_id]) & (same[row_hash] == kept[kept_hash]))
-    return joined.dropDuplicates([kept_id, kept_hash]).drop(kept_id, kept_hash, row_hash)
+    own = {c: (temp_name(c), temp_name(f"kept_{c}")) for c in ("id", "hash", "row")}
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(
+        *(F.col(f"least.{c}").alias(k) for c, (_, k) in own.items()))
+    same = docs.withColumns({own["hash"][0]: hashed, own["row"][0]: row})
+    met = same[id_col].eqNullSafe(kept[own["id"][1]])
+    for c in ("hash", "row"):
+        met = met & (same[own[c][0]] == kept[own[c][1]])
+    # what is left of a component now are equal rows
+    one = same.join(kept, met).dropDuplicates([own["hash"][1], own["row"][1]])
+    return one.drop(*(n for pair in own.values() for n in pair))

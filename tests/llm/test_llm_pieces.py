@@ -11,6 +11,25 @@ TEXTS = ["", "a", " leading", "trailing ", "  two  spaces ", "     ", "tab\tnew\
          "日本語テキスト です", "aaaaaaaaaaaaaaaa bbbb", "x" * 5000, "word " * 3000, "ReturnValue=self.__init__(x)"]
 
 
+def test_other_kinds_of_models_are_refused():
+    with open(tokenizer_path(MODEL), "rb") as fh:
+        data = fh.read()
+    pieces.check_model(data)
+
+    def message(number, body):
+        return bytes([number << 3 | 2, len(body)]) + body
+
+    merge, plain = message(2, b"\x18\x02"), message(3, b"\x20\x00")
+    pieces.check_model(merge + plain)
+    for bad in (plain, message(2, b"\x18\x01") + plain, merge, merge + message(3, b"\x18\x00\x20\x00"),
+                merge + message(3, b"\x12\x02ab\x20\x00"), merge + message(3, b"\x20\x00\x28\x00")):
+        try:
+            pieces.check_model(bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
+
+
 def test_equals_the_library():
     model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(MODEL))
     coder = pieces.TextEncoder(pieces.Pieces.load(tokenizer_path(MODEL)))

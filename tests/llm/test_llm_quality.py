@@ -47,3 +47,76 @@ def test_hostile_rows_and_labels(spark, hostile, empty):
     ones = rule_quality.classify(hostile, labels.where("quality = 1")).collect()
     assert len({r.score for r in ones}) == 1 and ones[0].score > 0.5
     assert rule_quality.classify(empty, labels).collect() == []
+
+
+def sample(spark, n=500):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(n, 3)), 2)
+    y = ((x[:, 0] > 0.2) & (x[:, 1] < 0.5) | (x[:, 2] > 1.0)) ^ (rng.random(n) < 0.05)
+    return spark.createDataFrame([(*map(float, r), float(c)) for r, c in zip(x, y)], "a double, b double, c double, label double")
+
+
+def test_paths_are_what_the_trees_do(spark):
+    """Of a tree's rules those hold for a row that lead to the nodes it
+    passes, and the last of them is where the tree's prediction stands."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rows, names = sample(spark), ["a", "b", "c"]
+    data = rows.withColumn("features", array_to_vector(F.array(*names)))
+    forest = RandomForestClassifier(numTrees=4, maxDepth=3, seed=3).fit(data)
+    for tree in forest.trees:
+        root = tree._call_java("rootNode")
+        paths = list(rule_quality._paths(root, names))
+        for r in data.collect()[:120]:
+            node, passed, above = root, [], ()
+            while node.getClass().getSimpleName() == "InternalNode":
+                i, cut = node.split().featureIndex(), float(node.split().threshold())
+                right = r[names[i]] > cut
+                above += ((names[i], right, cut),)
+                passed.append(above)
+                node = node.rightChild() if right else node.leftChild()
+            assert tree.predict(r.features) == node.prediction()
+            holding = [p for p in paths if all((r[n] > c) == g for n, g, c in p)]
+            assert sorted(holding) == sorted(passed)
+            for p in holding:
+                assert all((r[n] > c) == g for n, g, c in rule_quality._simplify(p))
+
+
+def test_weights_against_a_plain_optimiser(spark):
+    import numpy as np
+
+    rows, penalty = sample(spark), 0.01
+    model = rule_quality.fit(rows, trees=4, depth=2, penalty=penalty)
+    data = rows.toPandas()
+    y = data.label.to_numpy()
+
+    def design(rules):
+        hold = [np.logical_and.reduce([(data[n] > c) == g for n, g, c in p]) for p in rules]
+        return np.array(hold, dtype=float).T.reshape(len(data), len(rules))
+
+    def loss(bias, w, x):
+        m = bias + x @ w
+        return np.mean(np.logaddexp(0, m) - y * m) + penalty * np.abs(w).sum()
+
+    # proximal gradient over all rules that the trees of the same fit give
+    kept = [p for _, p in model.rules]
+    x = design(kept)
+    bias, w, step = 0.0, np.zeros(len(kept)), 4.0 / (1 + len(kept))
+    for _ in range(20_000):
+        gap = 1 / (1 + np.exp(-(bias + x @ w))) - y
+        bias -= step * gap.mean()
+        w = w - step * x.T @ gap / len(y)
+        w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
+    found = loss(model.intercept, np.array([v for v, _ in model.rules]), x)
+    assert kept and found <= loss(bias, w, x) + 1e-3
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    scores = []
+    for n in (1, 13):
+        scores.append({r.doc_id: r.score for r in rule_quality.classify(docs.repartition(n), labels.repartition(n)).collect()})
+    assert all(abs(scores[0][d] - scores[1][d]) < 1e-6 for d in scores[0])

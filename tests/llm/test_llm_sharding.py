@@ -36,6 +36,33 @@ def test_group_below_a_shard_stays_together(spark):
     assert out[out.doc_id < 1000].shard.nunique() == 1
 
 
+def greedy(vectors, n_shards):
+    """Largest first, each where the dot product with what is left is highest."""
+    total = [sum(v[m] for v in vectors) / n_shards for m in range(3)]
+    scaled = [[v[m] / total[m] if total[m] else v[m] for m in range(3)] for v in vectors]
+    left = [[1.0] * 3 for _ in range(n_shards)]
+    where = {}
+    for i in sorted(range(len(vectors)), key=lambda i: (-max(scaled[i]), i)):
+        fits = [sum(a * b for a, b in zip(free, scaled[i])) for free in left]
+        where[i] = fits.index(max(fits))
+        left[where[i]] = [a - b for a, b in zip(left[where[i]], scaled[i])]
+    return [where[i] for i in range(len(vectors))]
+
+
+def test_place_equals_a_plain_greedy():
+    rng = np.random.default_rng(2)
+    for n, shards in ((0, 3), (1, 4), (50, 3), (400, 16)):
+        vectors = rng.integers(0, 40, size=(n, 3)).astype(float) * 2.0 ** rng.integers(0, 6, size=(n, 1))
+        # equal products up to rounding may go either way: none here
+        assert sharding.place(vectors, shards).tolist() == greedy(vectors.tolist(), shards)
+
+
+def test_tokens_are_words(spark):
+    texts = ["a  b", " a ", "", None, "one\ttwo\r\nthree", "   ", "x"]
+    out = sharding.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), n_shards=2).collect()
+    assert {r.doc_id: r.tokens for r in out} == {i: len((t or "").split()) for i, t in enumerate(texts)}
+
+
 def test_place_levels_every_measure():
     rng = np.random.default_rng(1)
     vectors = rng.exponential(size=(4000, 3))
