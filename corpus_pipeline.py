@@ -28,19 +28,29 @@ MAX_REPETITION = 2.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that score at least ``QUALITY_THRESHOLD``; the rule
+    ensemble learns from the labelled documents that are not held out.  All
+    stay where nothing can be learnt.  Null and empty texts are scored like
+    others; no documents give none."""
     model = rule_quality.train(docs, table(spark, sf_dir, "labels"))
     return rule_quality.accepted(docs, model, "text", QUALITY_THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: the smallest id (null ids
+    last), then the smallest hash of the text, then of the row."""
     return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once; those of small sources again, up to
+    ``MAX_REPETITION`` times as often.  A null source is a source."""
     return mixing.mix(docs, max_ratio=MAX_REPETITION, carry=docs.columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, source, n_pieces, ids_crc32, round_trip, ids`` of every row;
+    null and empty texts have no pieces."""
     return pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"), keep={"doc_id": "doc_id", "source": "source"})
 
 
