@@ -1,4 +1,4 @@
-"""Scoring: F4-F6 (pickled model file, features by config), loader
+"""Scoring: pickled model files, features by configuration, loader
 registry (U2), result types, null handling, native Spark ML route (U3)."""
 
 import pickle
@@ -6,7 +6,6 @@ import pickle
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import Row
 
 from scorewright.operators.score import (
     LinearScore,
@@ -19,36 +18,52 @@ from scorewright.operators.score import (
 from pyspark.sql.types import DoubleType, IntegerType
 
 
-@pytest.fixture()
-def f4(spark):
-    return spark.createDataFrame([
-        Row(Time=100.0, V1=1.5, V2=-2.0, Amount=50.0),
-        Row(Time=101.0, V1=-0.5, V2=1.0, Amount=10.0),
-    ])
+SF = "/root/testdata/sf0.001"
 
 
-def test_pickled_model_file(spark, f4, scratch):  # F4, F5, F6
-    path = f"{scratch}/model.pkl"
+@pytest.fixture(scope="module")
+def events(spark):
+    return spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "value")
+
+
+def as_on_the_driver(out, model, features):
+    """Every row's prediction is what the model says of the same rows here."""
+    got = out.toPandas()
+    assert len(got) == 1000
+    np.testing.assert_allclose(got["prediction"].to_numpy(dtype=float), model.predict(got[features]))
+    return got
+
+
+def test_pickled_model_file(spark, events, scratch):
+    model, path = ThresholdRule("value", 100.0), f"{scratch}/model.pkl"
     with open(path, "wb") as fh:
-        pickle.dump(ThresholdRule("V1", 0.0), fh)
-    out = score(f4, {"path": path, "features": ["V1", "V2", "Amount"]})
-    assert "prediction" in out.columns and "Time" in out.columns
-    assert dict(out.schema.fields and [(f.name, f.dataType) for f in out.schema.fields])["prediction"] == IntegerType()
-    got = {r["V1"]: r["prediction"] for r in out.select("V1", "prediction").collect()}
-    assert got == {1.5: 1, -0.5: 0}
+        pickle.dump(model, fh)
+    out = score(events, {"path": path, "features": ["user_id", "value"]})  # no type: a pickled object
+    assert out.columns == [*events.columns, "prediction"] and out.schema["prediction"].dataType == IntegerType()
+    assert set(as_on_the_driver(out, model, ["user_id", "value"])["prediction"]) == {0, 1}
+
+
+def test_features_reach_the_model_in_the_configured_order(spark, events):
+    class First:
+        def predict(self, features):
+            return (features.iloc[:, 0] > features.iloc[:, 1]).to_numpy().astype("int32")
+
+    ones = [score(events, {"features": names}, model=First()).filter("prediction = 1").count()
+            for names in (["user_id", "value"], ["value", "user_id"])]
+    assert ones == [events.filter("user_id > value").count(), events.filter("value > user_id").count()] and ones[0] != ones[1]
 
 
-def test_model_object_broadcast(spark, f4):
-    out = score(f4, {"features": ["V1"]}, model=ThresholdRule("V1", 0.0))
-    assert sorted(r["prediction"] for r in out.collect()) == [0, 1]
+def test_model_object_broadcast(spark, events):
+    model = ThresholdRule("value", 50.0, inclusive=True)
+    as_on_the_driver(score(events, {"features": ["value"]}, model=model), model, ["value"])
 
 
-def test_threshold_and_double_results(spark, f4):
-    model = LinearScore({"V1": 1.0, "V2": 0.5})
-    thr = score(f4, {"features": ["V1", "V2"], "threshold": 0.1}, model=model)
-    assert sorted((r["V1"], r["prediction"]) for r in thr.collect()) == [(-0.5, 0), (1.5, 1)]
-    dbl = score(f4, {"features": ["V1", "V2"], "result_type": "double"}, model=model)
-    assert sorted(r["prediction"] for r in dbl.collect()) == [0.0, 0.5]
+def test_threshold_and_double_results(spark, events):
+    model = LinearScore({"value": 0.01, "user_id": -0.002}, bias=0.3)
+    cfg = {"features": ["value", "user_id"]}
+    got = as_on_the_driver(score(events, {**cfg, "result_type": "double"}, model=model), model, cfg["features"])
+    flags = score(events, {**cfg, "threshold": 0.5}, model=model).toPandas()
+    assert flags["prediction"].sum() == (got["prediction"] >= 0.5).sum()
 
 
 def test_fractional_scores_into_int_fail_loudly():
@@ -110,9 +125,9 @@ def test_own_flavour_runs_on_workers(spark, scratch):
 
 
 def test_null_features_skip(spark):
-    df = spark.createDataFrame([(1.0,), (None,), (-1.0,)], "V1 double")
-    out = score(df, {"features": ["V1"], "on_null": "skip"}, model=ThresholdRule("V1", 0.0))
-    got = [(r["V1"], r["prediction"]) for r in out.orderBy("V1").collect()]
+    df = spark.createDataFrame([(1.0,), (None,), (-1.0,)], "depth double")
+    out = score(df, {"features": ["depth"], "on_null": "skip"}, model=ThresholdRule("depth", 0.0))
+    got = [(r["depth"], r["prediction"]) for r in out.orderBy("depth").collect()]
     assert (None, None) in got and (1.0, 1) in got and (-1.0, 0) in got
 
 
@@ -133,9 +148,9 @@ def test_missing_optional_package_message():
             load("/nonexistent")
 
 
-def test_identity_columns(spark, f4):
-    out = score(f4, {"features": ["V1"], "with_identity": True, "name": "m", "version": "v9"},
-                model=ThresholdRule("V1", 0.0))
+def test_identity_columns(spark, events):
+    out = score(events, {"features": ["value"], "with_identity": True, "name": "m", "version": "v9"},
+                model=ThresholdRule("value", 0.0))
     assert {(r["model_name"], r["model_version"]) for r in out.collect()} == {("m", "v9")}
 
 
@@ -155,14 +170,12 @@ def test_native_spark_ml_route(spark, scratch):
     assert again.count() == 200
 
 
-def test_shipped_model_file(spark, f4, scratch):
-    path = f"{scratch}/shipped.pkl"
+def test_shipped_model_file(spark, events, scratch):
+    model, path = ThresholdRule("value", 200.0), f"{scratch}/shipped.pkl"
     with open(path, "wb") as fh:
-        pickle.dump(ThresholdRule("V1", 0.0), fh)
-    cfg = {"path": path, "features": ["V1"], "ship": True}
+        pickle.dump(model, fh)
     for _ in range(2):  # shipping the same file twice is fine
-        out = score(f4, cfg)
-        assert sorted(r["prediction"] for r in out.collect()) == [0, 1]
+        as_on_the_driver(score(events, {"path": path, "features": ["value"], "ship": True}), model, ["value"])
 
 
 def test_cached_load_reads_once(scratch):
@@ -202,6 +215,6 @@ def test_spark_ml_model_scores_a_stream(spark, scratch):
 
 
 def test_null_features_reach_the_model_as_nan(spark):
-    df = spark.createDataFrame([(1.0,), (None,)], "V1 double")
-    out = score(df, {"features": ["V1"]}, model=ThresholdRule("V1", 0.0))  # NaN > 0 is False
-    assert sorted((r["V1"] is None, r["prediction"]) for r in out.collect()) == [(False, 1), (True, 0)]
+    df = spark.createDataFrame([(1.0,), (None,)], "depth double")
+    out = score(df, {"features": ["depth"]}, model=ThresholdRule("depth", 0.0))  # NaN > 0 is False
+    assert sorted((r["depth"] is None, r["prediction"]) for r in out.collect()) == [(False, 1), (True, 0)]
