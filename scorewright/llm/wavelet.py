@@ -3,11 +3,13 @@
 Texts are encoded in id order; the tokens of consecutive documents form
 shards, and each shard is one compressed file: a wavelet matrix of its token
 sequence.  Bit-plane p holds the p-th highest bit of every token, after the
-tokens were stably ordered by the planes before (zeros first).  With a
-directory of ones per block, rank and select take constant and logarithmic
-time on a plane, and so one file answers: the token at a position, how often
-a token occurs in a range, where its i-th occurrence is, and the tokens of a
-range of documents - without any other index.
+tokens were stably ordered by the planes before (zeros first).  Planes are
+compressed in pieces, and a stored directory tells the ones before each, so
+rank takes constant and select logarithmic time on the pieces it meets.  One
+file thus answers, without inflating the rest: the token at a position, how
+often a token occurs in a range, where its i-th occurrence is, and the tokens
+of a document.  ``count_tokens``, ``find_tokens`` and ``document_tokens`` ask
+all files of a manifest.
 """
 
 from __future__ import annotations
@@ -25,105 +27,145 @@ from pyspark.sql import DataFrame, functions as F
 from scorewright.llm.common import row_id, shared_dir, ship_package
 from scorewright.llm.store import StoredFile, clear_temporary, open_stored
 
-MAGIC = b"WMTOK01\n"
+MAGIC = b"WMTOK02\n"
 END_ID = 1
 SHARD_TOKENS = 1 << 22
-BLOCK_BITS = 512
+PIECE_BYTES = 1 << 15
+PIECE_BITS = 8 * PIECE_BYTES
+ANSWER_VALUES = 1 << 16  # tokens or rows of an answer that are sent at a time
 BLOCK_BYTES = 12 << 20  # texts of about this size are encoded at a time
 # a worker keeps the ids of twice so many words between texts (about 200 bytes each)
 CACHE_WORDS = 400_000
 MANIFEST = "part int, seq int, file string, docs bigint, tokens bigint, bytes bigint, sha256 string"
 
 
+class Plane:
+    """One bit-plane in pieces of ``PIECE_BYTES``, each fetched when it is
+    first asked for.  ``ones`` is the stored directory: the ones before every
+    piece; a fetched piece gets the ones before each of its 64-bit words."""
+
+    def __init__(self, ones: np.ndarray, fetch):
+        self.ones, self._fetch, self._held = ones, fetch, {}
+
+    @classmethod
+    def of(cls, bit: np.ndarray) -> Plane:
+        raw = np.packbits(bit, bitorder="little")
+        raw = np.pad(raw, (0, -len(raw) % 8))
+        starts = range(0, len(raw), PIECE_BYTES)
+        counts = [np.bitwise_count(raw[a:a + PIECE_BYTES]).sum(dtype=np.int64) for a in starts]
+        return cls(np.cumsum([0, *counts], dtype=np.int64), lambda k: raw[k * PIECE_BYTES:(k + 1) * PIECE_BYTES])
+
+    @property
+    def pieces(self) -> int:
+        return len(self.ones) - 1
+
+    def raw(self, k: int) -> np.ndarray:
+        return self._fetch(k)
+
+    def _piece(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k not in self._held:
+            words = self._fetch(k).view("<u8")
+            counts = np.bitwise_count(words).astype(np.int64)
+            self._held[k] = words, self.ones[k] + np.cumsum(counts) - counts
+        return self._held[k]
+
+    def look(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bits at places, and the ones before each.  A place after the
+        last bit has the ones of the whole plane."""
+        bits, ranks = np.zeros(len(at), dtype=bool), np.full(len(at), self.ones[-1])
+        piece = at // PIECE_BITS
+        for k in np.unique(piece[piece < self.pieces]).tolist():
+            words, before = self._piece(k)
+            here = np.nonzero(piece == k)[0]
+            inside = at[here] - k * PIECE_BITS
+            here, inside = here[inside < 64 * len(words)], inside[inside < 64 * len(words)]
+            word, low = words[inside >> 6], (inside & 63).astype(np.uint64)
+            one = np.uint64(1)
+            bits[here] = (word >> low) & one != 0
+            ranks[here] = before[inside >> 6] + np.bitwise_count(word & ((one << low) - one))
+        return bits, ranks
+
+    def select(self, bit: int, nth: np.ndarray) -> np.ndarray:
+        """Places of the nth (from 0) bits of that value: binary search over
+        pieces, then over words."""
+        out = np.empty(len(nth), dtype=np.int64)
+        starts = self.ones if bit else np.arange(len(self.ones)) * PIECE_BITS - self.ones
+        piece = np.searchsorted(starts[:-1], nth, side="right") - 1
+        for k in np.unique(piece).tolist():
+            words, before = self._piece(k)
+            here = np.nonzero(piece == k)[0]
+            if not bit:
+                before = k * PIECE_BITS + np.arange(len(before)) * 64 - before
+            at = np.searchsorted(before, nth[here], side="right") - 1
+            spread = np.unpackbits(words[at].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") == bit
+            hit = spread & (np.cumsum(spread, axis=1) == (nth[here] - before[at] + 1)[:, None])
+            out[here] = k * PIECE_BITS + at * 64 + np.argmax(hit, axis=1)
+        return out
+
+
 class WaveletMatrix:
-    """``planes``: per bit (highest first) the packed bits and the number of
-    zeros; the rank directory (ones before every block) follows from them."""
+    """``planes``: per bit, highest first; ``zeros``: how many zeros each has."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int):
+    def __init__(self, planes: list[Plane], zeros: list[int], n: int):
         self.n, self.bits, self.planes, self.zeros = n, len(planes), planes, zeros
-        step = BLOCK_BITS // 8
-        self._before = []
-        for plane in planes:
-            blocks = np.zeros(-(-max(len(plane), 1) // step) * step, dtype=np.uint8)
-            blocks[:len(plane)] = plane
-            ones = np.bitwise_count(blocks).reshape(-1, step).sum(axis=1, dtype=np.int64)
-            self._before.append(np.concatenate([[0], np.cumsum(ones)]))
 
     @classmethod
     def build(cls, tokens: np.ndarray, bits: int) -> WaveletMatrix:
         level, planes, zeros = tokens, [], []
         for p in range(bits - 1, -1, -1):
             bit = (level >> np.array(p, level.dtype)) & np.array(1, level.dtype) != 0
-            planes.append(np.packbits(bit, bitorder="little"))
+            planes.append(Plane.of(bit))
             low = level[~bit]
             zeros.append(len(low))
             level = np.concatenate([low, level[bit]])
         return cls(planes, zeros, len(tokens))
 
-    def _rank1(self, plane: int, i: int) -> int:
-        """Ones among the first i bits."""
-        block, rest = divmod(i, BLOCK_BITS)
-        ones = int(self._before[plane][block])
-        if rest:
-            start = block * (BLOCK_BITS // 8)
-            part = np.unpackbits(self.planes[plane][start:start + -(-rest // 8)], bitorder="little")[:rest]
-            ones += int(part.sum())
-        return ones
-
-    def _bit(self, plane: int, i: int) -> int:
-        return int(self.planes[plane][i >> 3]) >> (i & 7) & 1
-
-    def _select(self, plane: int, bit: int, k: int) -> int:
-        """Place of the k-th (from 0) bit of that value."""
-        before = self._before[plane]
-        if not bit:
-            before = np.arange(len(before)) * BLOCK_BITS - before
-        block = int(np.searchsorted(before, k, side="right")) - 1
-        start = block * (BLOCK_BITS // 8)
-        part = np.unpackbits(self.planes[plane][start:start + BLOCK_BITS // 8], bitorder="little")
-        return block * BLOCK_BITS + int(np.nonzero(part == bit)[0][k - int(before[block])])
-
-    def access(self, i: int) -> int:
-        """The token at position i."""
-        token = 0
-        for p in range(self.bits):
-            bit = self._bit(p, i)
-            ones = self._rank1(p, i)
-            i = self.zeros[p] + ones if bit else i - ones
-            token = token << 1 | bit
-        return token
-
-    def _range(self, token: int, start: int, end: int) -> tuple[int, int]:
-        for p in range(self.bits):
-            a, b = self._rank1(p, start), self._rank1(p, end)
-            if token >> (self.bits - 1 - p) & 1:
-                start, end = self.zeros[p] + a, self.zeros[p] + b
-            else:
-                start, end = start - a, end - b
-        return start, end
-
-    def count(self, token: int, start: int = 0, end: int | None = None) -> int:
-        """Occurrences of a token in [start, end)."""
-        a, b = self._range(token, start, self.n if end is None else end)
-        return b - a
-
-    def locate(self, token: int, k: int) -> int:
-        """Position of the k-th occurrence (from 0)."""
-        a, b = self._range(token, 0, self.n)
-        if not 0 <= k < b - a:
-            raise IndexError(k)
-        i = a + k
+    def _kind(self):
+        return np.uint16 if self.bits <= 16 else np.uint32
+
+    def access(self, at: np.ndarray) -> np.ndarray:
+        """The tokens at positions."""
+        at, out = np.asarray(at, dtype=np.int64), np.zeros(len(at), dtype=self._kind())
+        for plane, zeros in zip(self.planes, self.zeros):
+            bit, ones = plane.look(at)
+            at = np.where(bit, zeros + ones, at - ones)
+            out = (out << 1) | bit
+        return out
+
+    def _ranges(self, tokens: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        known = (tokens >= 0) & (tokens < 1 << self.bits)
+        ends = np.concatenate([np.full(len(tokens), start), np.where(known, end, start)])
+        for p, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
+            bit = np.tile(tokens >> (self.bits - 1 - p) & 1 == 1, 2)
+            ones = plane.look(ends)[1]
+            ends = np.where(bit, zeros + ones, ends - ones)
+        return ends[:len(tokens)], ends[len(tokens):]
+
+    def count(self, tokens: np.ndarray, start: int = 0, end: int | None = None) -> np.ndarray:
+        """Occurrences of each token in [start, end); 0 for what is no id."""
+        first, last = self._ranges(np.asarray(tokens, dtype=np.int64), start, self.n if end is None else end)
+        return last - first
+
+    def locate(self, token: int, nth: np.ndarray) -> np.ndarray:
+        """Positions of the nth occurrences (from 0) of a token."""
+        first, last = self._ranges(np.array([token], dtype=np.int64), 0, self.n)
+        at = np.asarray(nth, dtype=np.int64)
+        if len(at) and not (0 <= at.min() and at.max() < last[0] - first[0]):
+            raise IndexError(token)
+        at = first[0] + at
         for p in range(self.bits - 1, -1, -1):
             bit = token >> (self.bits - 1 - p) & 1
-            i = self._select(p, bit, i - self.zeros[p] if bit else i)
-        return i
+            at = self.planes[p].select(bit, at - self.zeros[p] if bit else at)
+        return at
 
     def tokens(self) -> np.ndarray:
         """The whole sequence, by undoing the orderings from the last plane."""
-        kind = np.uint16 if self.bits <= 16 else np.uint32
+        kind = self._kind()
         out = np.zeros(self.n, dtype=kind)
         for p in range(self.bits - 1, -1, -1):
-            bit = np.unpackbits(self.planes[p], count=self.n, bitorder="little").astype(bool)
+            plane = self.planes[p]
+            raw = np.concatenate([plane.raw(k) for k in range(plane.pieces)]) if plane.pieces else np.zeros(0, np.uint8)
+            bit = np.unpackbits(raw, count=self.n, bitorder="little").astype(bool)
             level = np.empty_like(out)
             level[~bit] = out[:self.zeros[p]]
             level[bit] = out[self.zeros[p]:] | kind(1 << (self.bits - 1 - p))
@@ -132,34 +174,52 @@ class WaveletMatrix:
 
 
 def dump(matrix: WaveletMatrix, doc_ids: list, lengths: np.ndarray) -> bytes:
-    """A shard file: header, document table, planes, each compressed."""
+    """A shard file: header, sizes of all sections, document table, directory
+    of ones, pieces of the planes; each section compressed by itself."""
     pack = zstandard.ZstdCompressor(level=1).compress
     has_id = np.array([d is not None for d in doc_ids], dtype=np.uint8)
     ids = np.array([0 if d is None else d for d in doc_ids], dtype="<i8")
-    parts = [pack(x.tobytes()) for x in (has_id, ids, lengths.astype("<i8"))] + [pack(x.tobytes()) for x in matrix.planes]
-    head = MAGIC + struct.pack("<qqq", matrix.n, len(ids), matrix.bits)
+    ones = np.concatenate([p.ones for p in matrix.planes]).astype("<i8")
+    parts = [pack(x.tobytes()) for x in (has_id, ids, lengths.astype("<i8"), ones)]
+    parts += [pack(p.raw(k).tobytes()) for p in matrix.planes for k in range(p.pieces)]
+    head = MAGIC + struct.pack("<qqqq", matrix.n, len(ids), matrix.bits, len(parts))
     head += struct.pack(f"<{matrix.bits}q", *matrix.zeros) + struct.pack(f"<{len(parts)}q", *map(len, parts))
     return head + b"".join(parts)
 
 
-def load(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
-    """Matrix, document ids and token counts of a shard file."""
-    if data[:len(MAGIC)] != MAGIC:
-        raise ValueError("not a token file")
-    at = len(MAGIC)
-    n, _, bits = struct.unpack_from("<qqq", data, at)
-    zeros = list(struct.unpack_from(f"<{bits}q", data, at + 24))
-    at += 24 + 8 * bits
-    sizes = struct.unpack_from(f"<{bits + 3}q", data, at)
-    at += 8 * (bits + 3)
-    unpack, parts = zstandard.ZstdDecompressor().decompress, []
-    for size in sizes:
-        parts.append(unpack(data[at:at + size]))
-        at += size
-    has_id, ids = np.frombuffer(parts[0], np.uint8), np.frombuffer(parts[1], "<i8")
-    doc_ids = [int(d) if h else None for h, d in zip(has_id, ids)]
-    planes = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-    return WaveletMatrix(planes, zeros, n), doc_ids, np.frombuffer(parts[2], "<i8")
+class TokenFile:
+    """A shard file open for questions: header, document table and directory
+    are read at once, a piece of a plane only when an answer needs it."""
+
+    def __init__(self, stream):
+        self._stream = stream
+        head = stream.read(len(MAGIC) + 32)
+        if head[:len(MAGIC)] != MAGIC:
+            raise ValueError("not a token file")
+        n, _, bits, sections = struct.unpack_from("<qqqq", head, len(MAGIC))
+        numbers = struct.unpack(f"<{bits + sections}q", stream.read(8 * (bits + sections)))
+        zeros, sizes = list(numbers[:bits]), numbers[bits:]
+        self._unpack = zstandard.ZstdDecompressor().decompress
+        self._ends = (np.cumsum(sizes) + len(head) + 8 * len(numbers)).tolist()
+        self._sizes = sizes
+        has_id, ids = self._section(0, np.uint8), self._section(1, "<i8")
+        self.doc_ids = [int(d) if h else None for h, d in zip(has_id.tolist(), ids.tolist())]
+        self.lengths = self._section(2, "<i8")
+        self.ends = np.cumsum(self.lengths)
+        ones = self._section(3, "<i8").reshape(bits, -1)
+        planes = [Plane(row, self._fetch(4 + p * (len(row) - 1))) for p, row in enumerate(ones)]
+        self.matrix = WaveletMatrix(planes, zeros, n)
+
+    def _section(self, i: int, kind) -> np.ndarray:
+        self._stream.seek(self._ends[i] - self._sizes[i])
+        return np.frombuffer(self._unpack(self._stream.read(self._sizes[i])), kind)
+
+    def _fetch(self, first: int):
+        return lambda k: self._section(first + k, np.uint8)
+
+    def document(self, row: int) -> np.ndarray:
+        """The tokens of the file's row-th document, end id included."""
+        return self.matrix.access(np.arange(self.ends[row] - self.lengths[row], self.ends[row]))
 
 
 # what the chunk cuts below rely on; fixed values of the tokenizer files
@@ -383,9 +443,9 @@ def _read_files(folder: str):
         for batch in batches:
             for name, first in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist()):
                 with open_stored(folder, name) as stream:
-                    matrix, doc_ids, lengths = load(stream.read())
-                raw = memoryview(matrix.tokens().astype("<u4")).cast("B")
-                ends = np.cumsum(lengths)
+                    file = TokenFile(stream)
+                    raw = memoryview(file.matrix.tokens().astype("<u4")).cast("B")
+                doc_ids, lengths, ends = file.doc_ids, file.lengths, file.ends
                 starts = ends - lengths
                 crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
@@ -414,6 +474,78 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         _read_files(folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def _ask(manifest: DataFrame, folder: str, answer, schema: str) -> DataFrame:
+    """Rows that ``answer(file)`` gives, as tuples, for every committed file;
+    files are dealt out one by one."""
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "array<int>": pa.list_(pa.int32())}
+    fields = pa.schema([(name, kinds[kind]) for name, kind in (f.split(" ") for f in schema.split(", "))])
+
+    def emit(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), fields)], schema=fields)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("file").to_pylist():
+                with open_stored(folder, name) as stream:
+                    rows, held = [], 0
+                    for row, size in answer(TokenFile(stream)):
+                        rows.append(row)
+                        held += size
+                        if held >= ANSWER_VALUES:
+                            yield emit(rows)
+                            rows, held = [], 0
+                    if rows:
+                        yield emit(rows)
+
+    ship_package(manifest.sparkSession)
+    n = max(1, manifest.count())
+    return manifest.select("file").repartition(min(n, 10_000)).mapInArrow(run, schema)
+
+
+def count_tokens(manifest: DataFrame, folder: str, tokens: list[int]) -> DataFrame:
+    """``token, n``: how often each of the (distinct) tokens occurs in all
+    files, by two ranks per plane and file.  What never occurs, or is no id,
+    has no row."""
+    asked = np.unique(np.array(tokens, dtype=np.int64))
+
+    def answer(file: TokenFile):
+        found = file.matrix.count(asked)
+        return [((t, n), 1) for t, n in zip(asked.tolist(), found.tolist()) if n]
+
+    return _ask(manifest, folder, answer, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def find_tokens(manifest: DataFrame, folder: str, tokens: list[int]) -> DataFrame:
+    """``token, doc_id, place``: every occurrence of the (distinct) tokens by
+    select, as a place (from 0) in its document.  Documents without an id
+    have a null ``doc_id``; what never occurs has no row."""
+    asked = sorted(set(tokens))
+
+    def answer(file: TokenFile):
+        starts = file.ends - file.lengths
+        for token, n in zip(asked, file.matrix.count(np.array(asked, dtype=np.int64)).tolist()):
+            for first in range(0, n, ANSWER_VALUES):
+                at = file.matrix.locate(token, np.arange(first, min(n, first + ANSWER_VALUES)))
+                rows = np.searchsorted(file.ends, at, side="right")
+                for row, place in zip(rows.tolist(), (at - starts[rows]).tolist()):
+                    yield (token, file.doc_ids[row], place), 1
+
+    return _ask(manifest, folder, answer, "token bigint, doc_id bigint, place bigint")
+
+
+def document_tokens(manifest: DataFrame, folder: str, first_id: int, last_id: int) -> DataFrame:
+    """``doc_id, tokens`` (end id included) of every document with
+    ``first_id <= doc_id <= last_id``; only the pieces that hold them are
+    inflated.  Rows of equal ids are rows of their own; documents without an
+    id are in no range."""
+    def answer(file: TokenFile):
+        for row, doc_id in enumerate(file.doc_ids):
+            if doc_id is not None and first_id <= doc_id <= last_id:
+                yield (doc_id, file.document(row).astype(np.int32)), int(file.lengths[row])
+
+    return _ask(manifest, folder, answer, "doc_id bigint, tokens array<int>")
+
+
 def _by_part():
     from pyspark.sql import Window
 

@@ -1,3 +1,5 @@
+import collections
+import io
 import zlib
 
 import numpy as np
@@ -9,22 +11,41 @@ from scorewright.llm.catalog import tokenizer_path
 TOKENIZER = "word_bpe_49k.json"
 
 
-@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
-def test_matrix_answers(n):
+def opened(data):
+    return wavelet.TokenFile(io.BytesIO(data))
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 511, 512, 513, 5000])
+def test_matrix_answers(n, monkeypatch):
+    monkeypatch.setattr(wavelet, "PIECE_BYTES", 64)
+    monkeypatch.setattr(wavelet, "PIECE_BITS", 512)
     tokens = np.random.default_rng(n).zipf(1.4, size=n).clip(max=900).astype(np.uint16)
-    matrix, ids, lengths = wavelet.load(wavelet.dump(wavelet.WaveletMatrix.build(tokens, 10), [3, None], np.array([n, 0])))
-    assert ids == [3, None] and lengths.tolist() == [n, 0]
-    assert (matrix.tokens() == tokens).all()
-    for i in range(0, n, max(1, n // 50)):
-        assert matrix.access(i) == tokens[i]
+    file = opened(wavelet.dump(wavelet.WaveletMatrix.build(tokens, 10), [3, None], np.array([n, 0])))
+    matrix = file.matrix
+    assert file.doc_ids == [3, None] and file.lengths.tolist() == [n, 0]
+    assert (matrix.tokens() == tokens).all() and (file.document(0) == tokens).all() and len(file.document(1)) == 0
+    some = np.random.default_rng(1).integers(0, max(n, 1), 50)[:n]
+    assert (matrix.access(some) == tokens[some]).all()
+    asked = np.array([1, 2, 5, 900, 901, 1023, 1024, -1, 1 << 40])
+    assert matrix.count(asked).tolist() == [(tokens == t).sum() for t in asked]
     for token in (1, 2, 5, 900, 901):
         places = np.nonzero(tokens == token)[0]
-        assert matrix.count(token) == len(places)
-        assert matrix.count(token, n // 3, n // 2) == ((places >= n // 3) & (places < n // 2)).sum()
-        for k in range(0, len(places), max(1, len(places) // 7)):
-            assert matrix.locate(token, k) == places[k]
+        assert matrix.count([token], n // 3, n // 2)[0] == ((places >= n // 3) & (places < n // 2)).sum()
+        assert matrix.locate(token, np.arange(len(places))).tolist() == places.tolist()
         with pytest.raises(IndexError):
-            matrix.locate(token, len(places))
+            matrix.locate(token, [len(places)])
+
+
+def test_an_answer_reads_few_pieces():
+    tokens = np.random.default_rng(0).integers(0, 1 << 16, 3_000_000).astype(np.uint16)
+    data = wavelet.dump(wavelet.WaveletMatrix.build(tokens, 16), [1, 2], np.array([10, len(tokens) - 10]))
+    file, read = opened(data), []
+    section = file._section
+    file._section = lambda i, kind: (read.append(i), section(i, kind))[1]
+    assert (file.document(0) == tokens[:10]).all() and 16 <= len(read) <= 16 * 10
+    read.clear()
+    assert opened(data).matrix.count([7])[0] == (tokens == 7).sum() == file.matrix.count([7])[0]
+    assert len(read) <= 32
 
 
 def expected(rows):
@@ -59,7 +80,29 @@ def test_hostile_rows(hostile, monkeypatch):
     assert [r.start for r in got] == [0, *ends[:-1]]
 
 
-def test_empty(empty):
+def test_questions_to_all_files(spark, hostile, scratch):
+    from tokenizers import Tokenizer
+
+    docs = spark.createDataFrame([(r.doc_id, r.text) for r in hostile.collect()] + [(20 + i, f"common word {i % 3} " * i) for i in range(30)],
+                                 "doc_id long, text string")
+    manifest = wavelet.write(docs.repartition(3), scratch, tokenizer_path(TOKENIZER), shard_tokens=60, parts=3)
+    assert manifest.count() > 5
+    coder = Tokenizer.from_file(tokenizer_path(TOKENIZER))
+    plain = [(r.doc_id, [*coder.encode(r.text or "", add_special_tokens=False).ids, 1]) for r in docs.collect()]
+    times = collections.Counter(t for _, ids in plain for t in ids)
+    asked = [*sorted(times)[::3], 1, 1, 49_000, 10**9, -5]
+    got = {r.token: r.n for r in wavelet.count_tokens(manifest, scratch, asked).collect()}
+    assert got == {t: times[t] for t in asked if times[t]}
+    got = sorted((r.token, str(r.doc_id), r.place) for r in wavelet.find_tokens(manifest, scratch, asked).collect())
+    assert got == sorted((t, str(d), i) for d, ids in plain for i, t in enumerate(ids) if t in set(asked))
+    got = sorted((r.doc_id, r.tokens) for r in wavelet.document_tokens(manifest, scratch, 5, 25).collect())
+    assert got == sorted((d, ids) for d, ids in plain if d is not None and 5 <= d <= 25)
+    assert wavelet.count_tokens(manifest, scratch, []).collect() == [] == wavelet.find_tokens(manifest, scratch, []).collect()
+
+
+def test_empty(empty, scratch):
+    manifest = wavelet.write(empty, scratch, tokenizer_path(TOKENIZER))
+    assert wavelet.count_tokens(manifest, scratch, [1]).collect() == [] == wavelet.document_tokens(manifest, scratch, 0, 9).collect()
     assert wavelet.round_trip(empty, tokenizer_path(TOKENIZER)).collect() == []
 
 
