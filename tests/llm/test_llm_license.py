@@ -94,3 +94,56 @@ def test_bare_notices(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(NOTICES)])
     twin = con.sql(license_scan.twin_sql())
     assert sorted(map(str, twin.fetchall())) == sorted(str(tuple(r[c] for c in twin.columns)) for r in got.values())
+
+
+def brute(text):
+    """Labels and score by trying every start of every template."""
+    words, labels, score = words_of(text), set(), 0.0
+    for t in license_scan.BASE + license_scan.TEMPLATES:
+        for start in range(-len(t.words), len(words)):
+            def at(k):
+                return words[start + k] if 0 <= start + k < len(words) else None
+            if all(at(k) == w for k, w in t.mandatory()):
+                labels.add(t.label)
+                score = max(score, sum(at(k) == w for k, w in enumerate(t.words)) / len(t.words))
+    return ",".join(sorted(labels)), round(score, 6)
+
+
+def test_whole_texts(spark):
+    """Whole licence texts, one word changed, the start or end cut off, two
+    in one file, inside of comment marks."""
+    texts, wanted = [], []
+    for t in license_scan.WHOLE_TEXTS:
+        words = t.words
+        must = {at for at, _ in t.mandatory()}
+        other = next(i for i in range(len(words)) if i not in must)
+        texts += [" ".join(words).upper(), "\n".join(f" * {w}," for w in ["copyright", "2020", "x", *words]),
+                  " ".join([*words[:other], "zzz", *words[other + 1:]]), " ".join(words[min(must):]), " ".join(words[:max(must) + 1]),
+                  " ".join(words[:min(must)] + words[min(must) + 1:])]
+        wanted += [(t.label, 1.0), (t.label, 1.0), (t.label, round(1 - 1 / len(words), 6)), (t.label, None), (t.label, None), (None, None)]
+    a, b = license_scan.WHOLE_TEXTS[:2]
+    texts.append(f"{a.text}. {b.text}.")
+    wanted.append((a.label, 1.0))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [brute(t) for t in texts]
+    for i, (label, score) in enumerate(wanted):
+        if label:
+            assert label in got[i][0].split(",")
+        if score == 1.0:
+            assert got[i][1] == 1.0
+        elif score:
+            assert got[i][1] >= score
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(texts)])
+    twin = con.sql(license_scan.twin_sql())
+    place = twin.columns.index("labels"), twin.columns.index("score"), twin.columns.index("doc_id")
+    assert {r[place[2]]: (r[place[0]], r[place[1]]) for r in twin.fetchall()} == got
+
+
+def test_own_templates(spark):
+    own = license_scan.template("house", 'You may read this; you MAY NOT "sell" it.', "may not sell")
+    docs = spark.createDataFrame([(1, "you may not sell it"), (2, "you may sell it")], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs, templates=(own,)).collect()}
+    assert own.text == "you may read this you may not sell it" and got == {1: ("house", round(5 / 9, 6)), 2: ("", 0.0)}
