@@ -15,7 +15,6 @@ right before their records, so payloads are shuffled once.
 
 from __future__ import annotations
 
-import bisect
 import gzip
 import hashlib
 import io
@@ -23,11 +22,12 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scorewright.llm.common import shared_dir, ship_package, written
+from scorewright.llm.common import shared_dir, ship_package, small_frame, written
 from scorewright.llm.store import StoredFile, clear_temporary, open_stored
 
 MIN_REVISIT_BYTES = 100
@@ -35,6 +35,7 @@ SHARD_BYTES = 256 << 20
 MIN_SHARDS = 48
 ROLL_BYTES = 64 << 20
 SAMPLE_KEYS = 16_384
+TIE_CHARS = 16  # of a digest, to cut between rows of one id
 # records carry no capture time: a fixed one keeps archives reproducible
 DATE = "1970-01-01T00:00:00Z"
 MANIFEST = "shard int, seq int, file string, records bigint, bytes bigint, sha256 string"
@@ -123,16 +124,26 @@ def _write_shards(folder: str, roll_bytes: int):
     return run
 
 
-def cut_points(sample: list[tuple[int, str, int]], n_shards: int) -> list[tuple[int, str]]:
-    """First keys of the shards after the first, at even shares of the
-    sampled bytes.  ``sample``: (id, tie, bytes)."""
-    sample = sorted(sample)
-    total, cuts, seen = sum(s[2] + 1 for s in sample), [], 0
-    for key_id, tie, size in sample:
-        if len(cuts) < n_shards - 1 and seen >= total * (len(cuts) + 1) / n_shards:
-            cuts.append((key_id, tie))
-        seen += size + 1
-    return cuts
+def cut_points(sample: DataFrame, n_shards: int) -> list[tuple[int, int, str]]:
+    """``(shard, id, tie)``: the first key of every shard, at even shares of
+    the sampled bytes.  ``sample``: id, tie, size, one row per key.  Sorted
+    and summed in Spark; the driver gets one key per shard and one sum per
+    partition."""
+    spark = sample.sparkSession
+    keys = written(sample.repartitionByRange("id", "tie").select("id", "tie", "size", F.spark_partition_id().alias("part")),
+                   "warc-sample")
+    sums = {r["part"]: r["n"] for r in keys.groupBy("part").agg(F.sum(F.col("size") + 1).alias("n")).collect()}
+    total, before, at = sum(sums.values()), [], 0
+    for part in sorted(sums):
+        before.append((part, at))
+        at += sums[part]
+    inside = Window.partitionBy("part").orderBy("id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.col("offset") + F.coalesce(F.sum(F.col("size") + 1).over(inside), F.lit(0))
+    shard = F.expr(f"cast(cast(seen AS decimal(20,0)) * {n_shards} div {max(total, 1)} AS int)")
+    first = (keys.join(F.broadcast(small_frame(spark, before, "part int, offset long")), "part")
+             .withColumn("seen", seen).select(shard.alias("shard"), F.struct("id", "tie").alias("key")).where("shard > 0")
+             .groupBy("shard").agg(F.min("key").alias("key")))
+    return sorted((r["shard"], r["key"]["id"], r["key"]["tie"]) for r in first.collect())
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -162,24 +173,33 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                     .select("page_id", "digest", "tie", "first"), "warc-notes")
     n, total = narrow.agg(F.count(F.lit(1)), F.sum("size")).first()
     n_shards = max(min_shards, -(-(total or 0) // shard_bytes))
-    # proven bound: a hash chooses about max(SAMPLE_KEYS, 64 per shard) keys
+    # a hash chooses about max(SAMPLE_KEYS, 64 per shard) keys
     keys = max(SAMPLE_KEYS, 64 * n_shards)
     slots = 1 << 30
     keep = slots if n <= keys else int(slots * keys / n)
     least = F.lit(-(1 << 63))
+    prefix = F.substring("tie", 1, TIE_CHARS)
     sample = (narrow.where(F.pmod(F.xxhash64("page_id", "tie"), F.lit(slots)) < keep)
-              .groupBy(F.coalesce("page_id", least).alias("id"), "tie").agg(F.sum("size")).collect())
-    cuts = spark.sparkContext.broadcast(cut_points([tuple(r) for r in sample], n_shards))
+              .groupBy(F.coalesce("page_id", least).alias("id"), prefix.alias("tie")).agg(F.sum("size").alias("size")))
+    found = cut_points(sample, n_shards)
+    # proven bound: a number, an id and TIE_CHARS characters per shard of SHARD_BYTES
+    cuts = spark.sparkContext.broadcast((np.array([0, *(c[0] for c in found)], dtype=np.int32),
+                                         np.array([c[1] for c in found], dtype=np.int64),
+                                         np.array([c[2].encode() for c in found], dtype=f"S{TIE_CHARS}")))
 
     @F.pandas_udf("int")
     def shard_of(ids: pd.Series, ties: pd.Series) -> pd.Series:
-        return pd.Series([bisect.bisect_right(cuts.value, key) for key in zip(ids.tolist(), ties.tolist())],
-                         dtype="int32")
+        shards, cut_ids, cut_ties = cuts.value
+        keys = ids.to_numpy()
+        first, at = np.searchsorted(cut_ids, keys, side="left"), np.searchsorted(cut_ids, keys, side="right")
+        for i in np.nonzero(first < at)[0].tolist():  # an id with cuts inside of its rows
+            at[i] = first[i] + np.searchsorted(cut_ties[first[i]:at[i]], ties.iat[i].encode(), side="right")
+        return pd.Series(shards[at])
 
     def placed(df: DataFrame, url: Column, html: Column, first: Column) -> DataFrame:
         return df.select("page_id", "digest", "tie", first.cast("long").alias("first"),
                          url.cast("string").alias("url"), html.cast("string").alias("html"),
-                         shard_of(F.coalesce("page_id", least), F.col("tie")).alias("shard"))
+                         shard_of(F.coalesce("page_id", least), prefix).alias("shard"))
 
     full = pages.select(page_id.alias("page_id"), digest.alias("digest"), tie.alias("tie"),
                         F.col(url_col).alias("u"), F.col(html_col).alias("h"))

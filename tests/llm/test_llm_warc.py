@@ -82,3 +82,25 @@ def test_rows_without_an_id_do_not_depend_on_the_layout(spark, scratch):
         made.append(sorted(map(tuple, manifest.collect())))
         assert sorted(map(tuple, warc.read(manifest, folder).drop("file").collect()), key=str) == expected(rows)
     assert made[0] == made[1]
+
+
+def test_cut_points_are_even_shares(spark):
+    """Against a plain running sum over the sorted keys; an id may be cut
+    inside of its rows, a heavy key skips shards."""
+    rows = [(i // 100, f"{i * 37 % 101:03d}{i}", 300 if i == 50 else i % 13) for i in range(300)]
+    got = [warc.cut_points(spark.createDataFrame(rows, "id long, tie string, size long").repartition(n), 20) for n in (1, 4)]
+    total, seen, want = sum(r[2] + 1 for r in rows), 0, {}
+    for key_id, tie, size in sorted(rows):
+        want.setdefault(seen * 20 // total, (key_id, tie))
+        seen += size + 1
+    assert got[0] == got[1] == [(s, *k) for s, k in sorted(want.items()) if s]
+    assert len({k for _, k, _ in got[0]}) < len(got[0]) < 19
+
+
+def test_shards_follow_the_keys(spark, scratch):
+    """Ids in many rows with payloads of their own are cut between them."""
+    rows = [(i % 3, f"http://h/{i}", hashlib.sha256(str(i).encode()).hexdigest() * 4) for i in range(600)]
+    manifest = warc.write(pages(spark, rows), scratch, min_shards=12)
+    assert sorted(map(tuple, warc.read(manifest, scratch).drop("file").collect()), key=str) == expected(rows)
+    sizes = [r["records"] for r in manifest.collect()]
+    assert len(sizes) == 12 and sum(sizes) == 600 and max(sizes) <= 60
