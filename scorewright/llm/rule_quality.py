@@ -37,6 +37,10 @@ def statistics(text: Column) -> dict[str, Column]:
     for ch in SYMBOLS[1:]:
         symbols = symbols + count(ch)
     upper = F.length(t) - F.length(F.regexp_replace(t, f"[{UPPER}]+", ""))
+    lines = F.array_remove(F.split(t, "\n"), "")
+    pairs = F.zip_with(words, F.slice(words, 2, n_words), lambda a, b: F.xxhash64(a, b))
+    grams = F.zip_with(pairs, F.slice(words, 3, n_words), lambda ab, c: F.xxhash64(ab, c))
+    grams = F.slice(grams, F.lit(1), F.greatest(n_words - 2, F.lit(0)))  # without the two that run out of words
     stats = {
         "log_chars": F.log1p(F.length(t)),
         "chars_per_word": F.length(t) / n_words,
@@ -47,10 +51,37 @@ def statistics(text: Column) -> dict[str, Column]:
         "shouts_per_word": count("!") / n_words,
         "stops_per_word": count(".") / n_words,
         "lines_per_word": count("\n") / n_words,
+        "word_entropy": _entropy(words),
+        "repeated_lines": _repeated(lines),
+        "repeated_trigrams": _repeated(grams),
     }
     return {k: v.cast("double") for k, v in stats.items()}
 
 
+def _repeated(items: Column) -> Column:
+    """The share of an array's entries that stand in it before; 0 for none."""
+    return 1.0 - F.size(F.array_distinct(items)) / F.greatest(F.size(items), F.lit(1)) - F.when(
+        F.size(items) == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+
+
+def _entropy(words: Column) -> Column:
+    """Entropy of the words' frequencies in nats: log n less the mean of the
+    logarithm of each word's count, by runs of the sorted hashes."""
+    hashes = F.array_sort(F.transform(words, lambda w: F.xxhash64(w)))
+    none = F.struct(F.lit(None).cast("long").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+
+    def weight(run: Column) -> Column:
+        return F.when(run > 0, run * F.log(run)).otherwise(F.lit(0.0))
+
+    def step(acc: Column, h: Column) -> Column:
+        # the sum over runs of c log c grows by the difference that one more makes
+        run = F.when(acc["last"] == h, acc["run"] + 1.0).otherwise(F.lit(1.0))
+        return F.struct(h.alias("last"), run.alias("run"), (acc["sum"] + weight(run) - weight(run - 1.0)).alias("sum"))
+
+    n = F.greatest(F.size(words), F.lit(1)).cast("double")
+    return F.aggregate(hashes, none, step, lambda acc: F.log(n) - acc["sum"] / n)
+
+
 @dataclass
 class RuleModel:
     """``rules``: (weight, ((statistic, is_greater, threshold), ...)).

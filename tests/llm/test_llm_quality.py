@@ -120,3 +120,25 @@ def test_scores_do_not_depend_on_the_layout(spark):
     for n in (1, 13):
         scores.append({r.doc_id: r.score for r in rule_quality.classify(docs.repartition(n), labels.repartition(n)).collect()})
     assert all(abs(scores[0][d] - scores[1][d]) < 1e-6 for d in scores[0])
+
+
+def test_repetition_and_entropy_against_plain_counts(spark, hostile):
+    import collections
+    import math
+    import re
+
+    texts = [r.text for r in hostile.collect()] + ["a b a b a b", "x", "one\ntwo\none\n\n\nthree one", "a a a a", "q w e r t y"]
+    stats = rule_quality.statistics(F.col("text"))
+    names = ["word_entropy", "repeated_lines", "repeated_trigrams"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", *(stats[n].alias(n) for n in names)).collect()
+
+    def repeated(items):
+        return 1 - len(set(items)) / len(items) if items else 0.0
+
+    for r in rows:
+        t = texts[r.i] or ""
+        words = re.split("[ \t\r\n]+", t)
+        counts = collections.Counter(words)
+        want = [-sum(c / len(words) * math.log(c / len(words)) for c in counts.values()),
+                repeated([x for x in t.split("\n") if x]), repeated(list(zip(words, words[1:], words[2:])))]
+        assert all(abs(r[n] - w) < 1e-9 for n, w in zip(names, want)), (t[:40], r, want)
