@@ -22,12 +22,18 @@ FIT_PARTS = 8
 SYMBOLS = "#$%&*"
 
 
-def statistics(text: Column) -> dict[str, Column]:
+def word_hashes(text: Column) -> Column:
+    """A hash of every word of a text (null: empty), in order."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "[ \\t\\r\\n]+"), lambda w: F.xxhash64(w))
+
+
+def statistics(text: Column, hashes: Column | None = None) -> dict[str, Column]:
     """The statistics of a whole text that rules may test; all are numbers
-    and defined for null and empty texts (read as '')."""
+    and defined for null and empty texts (read as '').  ``hashes``: a column
+    that already has the text's ``word_hashes``."""
     t = F.coalesce(text, F.lit(""))
     chars = F.greatest(F.length(t), F.lit(1))
-    words = F.split(t, "[ \\t\\r\\n]+")
+    words = word_hashes(text) if hashes is None else hashes
     n_words = F.greatest(F.size(words), F.lit(1))
 
     def count(ch: str) -> Column:
@@ -66,8 +72,7 @@ def _repeated(items: Column) -> Column:
 
 def _entropy(words: Column) -> Column:
     """Entropy of the words' frequencies in nats: log n less the mean of the
-    logarithm of each word's count, by runs of the sorted hashes."""
-    hashes = F.array_sort(F.transform(words, lambda w: F.xxhash64(w)))
+    logarithm of each word's count, by runs of their sorted hashes."""
     none = F.struct(F.lit(None).cast("long").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
 
     def weight(run: Column) -> Column:
@@ -79,7 +84,15 @@ def _entropy(words: Column) -> Column:
         return F.struct(h.alias("last"), run.alias("run"), (acc["sum"] + weight(run) - weight(run - 1.0)).alias("sum"))
 
     n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    return F.aggregate(hashes, none, step, lambda acc: F.log(n) - acc["sum"] / n)
+    return F.aggregate(F.sort_array(words), none, step, lambda acc: F.log(n) - acc["sum"] / n)
+
+
+def with_statistics(docs: DataFrame, text_col: str, names: dict[str, str]) -> DataFrame:
+    """``docs`` and its texts' statistics under the given names.  Words are
+    cut and hashed once, in a projection below the statistics."""
+    hashes = temp_name("hashes")
+    wide = docs.withColumn(hashes, word_hashes(F.col(text_col)))
+    return wide.withColumns({names[k]: c for k, c in statistics(F.col(text_col), F.col(hashes)).items()}).drop(hashes)
 
 
 @dataclass
@@ -149,10 +162,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     # proven bound: about sample_rows ids (the share of hash slots kept)
     chosen = F.broadcast(one.where(F.pmod(F.xxhash64("_label_id"), F.lit(slots)) < keep)
                          .select("_label_id", (F.col("_share") > 0.5).cast("double").alias("label")))
-    stats = statistics(F.col(text_col))
-    joined = docs.select(F.col(id_col).alias("_doc"), F.col(text_col)).join(
+    names = list(statistics(F.lit("")))
+    joined = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(
         chosen, F.col("_doc") == F.col("_label_id"))
-    return written(joined.select(*(c.alias(k) for k, c in stats.items()), "label"), "quality-sample")
+    return written(with_statistics(joined.select("_text", "label"), "_text", {k: k for k in names})
+                   .select(*names, "label"), "quality-sample")
 
 
 def fit(rows: DataFrame, trees: int = 12, depth: int = 3, penalty: float = 0.002, seed: int = 17) -> RuleModel:
@@ -201,9 +215,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def with_score(docs: DataFrame, model: RuleModel, text_col: str, score_col: str) -> DataFrame:
     """Every row and column of ``docs`` plus the score.  The statistics are
     computed once, in a projection below the rules."""
-    stats = statistics(F.col(text_col))
-    named = {k: f"__{score_col}_{k}" for k in stats}
-    wide = docs.withColumns({named[k]: c for k, c in stats.items()})
+    named = {k: f"__{score_col}_{k}" for k in statistics(F.lit(""))}
+    wide = with_statistics(docs, text_col, named)
     return wide.withColumn(score_col, model.score({k: F.col(v) for k, v in named.items()})).drop(*named.values())
 
 
@@ -212,13 +225,12 @@ def accepted(docs: DataFrame, model: RuleModel, text_col: str, threshold: float)
     the model is a constant, which tells no document from another."""
     if model.constant:
         return docs
-    stats = statistics(F.col(text_col))
-    named = {k: temp_name(k) for k in stats}
+    named = {k: temp_name(k) for k in statistics(F.lit(""))}
     row = temp_name("row")
     # A filter moves below a projection of plain expressions and then computes
     # every statistic again for each rule that tests it; the row id, which it
     # mentions too, keeps it above.
-    wide = docs.withColumns({**{named[k]: c for k, c in stats.items()}, row: row_id()})
+    wide = with_statistics(docs, text_col, named).withColumn(row, row_id())
     score = model.score({k: F.col(v) for k, v in named.items()})
     return wide.where((score >= threshold) & (F.col(row) >= 0)).drop(row, *named.values())
 
