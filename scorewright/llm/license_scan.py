@@ -213,7 +213,7 @@ def _verified(words: Column, starts: Column, template: Template) -> Column:
 
 def _share(words: Column, starts: Column, template: Template) -> Column:
     """For each start, the share of the template's words at their place."""
-    text = F.array(*(F.lit(w) for w in template.words))
+    text = F.split(F.lit(" ".join(template.words)), " ")
 
     def share(start: Column) -> Column:
         same = F.filter(text, lambda word, at: F.coalesce(_word_at(words, start + at) == word, F.lit(False)))
