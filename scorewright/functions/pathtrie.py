@@ -143,7 +143,8 @@ class PathTrie:
 
     def read(self, record: Column, path: list[tuple[str, Step]]) -> Column | None:
         """The value in a record cast to ``placed``; None for a path that
-        ends where others go on."""
+        ends where others go on.  For a path with a wildcard, the array of
+        all that it matches (see :func:`matched_text`)."""
         node, value = self.root, record
         for n, (kind, step) in enumerate(path):
             if node.kind() == "variant":
@@ -160,13 +161,18 @@ def _variant_path(path: list[tuple[str, Step]]) -> str:
 
 
 def _from_variant(value: Column, path: list[tuple[str, Step]]) -> Column:
-    """The text of a path inside a variant."""
+    """The text of a path inside a variant; with a wildcard, its matches."""
     stars = [n for n, (kind, _) in enumerate(path) if kind == "star"]
     if not stars:
         return F.try_variant_get(value, _variant_path(path), "string") if path else value.try_cast("string")
     first = stars[0]
     base = F.try_variant_get(value, _variant_path(path[:first]), "variant") if first else value
-    matched = _matches(base.try_cast("array<variant>"), path[first + 1:])
+    return _matches(base.try_cast("array<variant>"), path[first + 1:])
+
+
+def matched_text(matched: Column) -> Column:
+    """The text of a wildcard's matches.  ``matched`` appears four times, so
+    pass a column reference: its lambdas are no common subexpressions."""
     # as Hive does: one match stands alone
     return F.when(F.size(matched) > 1, F.to_json(matched)).when(F.size(matched) == 1, F.to_json(F.get(matched, F.lit(0))))
 
@@ -176,6 +182,10 @@ def _matches(elements: Column, rest: list[tuple[str, Step]]) -> Column:
     return F.filter(found, lambda v: v.isNotNull())
 
 
+def has_star(path: list[tuple[str, Step]]) -> bool:
+    return any(kind == "star" for kind, _ in path)
+
+
 def single_star(path: list[tuple[str, Step]]) -> bool:
     """Whether the trie covers the path's wildcards (one at most)."""
     return sum(kind == "star" for kind, _ in path) <= 1

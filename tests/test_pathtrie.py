@@ -80,3 +80,14 @@ def test_steps():
     trie = PathTrie()
     trie.add(steps("$.a.b"), None)
     assert trie.nested() and not trie.decimal(steps("$.a.b"))
+
+
+def test_matches_of_a_wildcard_are_evaluated_once(spark):
+    rows = [('{"a":[{"k":1},{"k":"x"},{"j":2}],"b":[{"k":"NaN"}]}',), ('{"a":[{"k":2.50}],"b":[]}',), ("no json",), (None,)]
+    df = spark.createDataFrame(rows, "value string")
+    cfg = {"a": {"path": "a[*].k", "type": "string"}, "b": {"path": "b[*].k", "type": "string"}}
+    out = parse_messages(df, cfg, error_col="errors")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as array<variant>)") == 2  # one per path
+    assert [tuple(r) for r in out.collect()] == [
+        ('[1,"x"]', None, []), ("2.5", None, []), (None, None, ["_message"]), (None, None, [])]
