@@ -94,8 +94,9 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], *, train_percent: int = 8
 
 
 # Rows are ordered by (hash of key, key, hash of the row); a level cuts a
-# 32-bit or 63-bit hash into 2**20 bins.
-_BIN_SHIFT = 12
+# 32-bit hash into 2**14 bins (few enough that a task's partial counts are far
+# fewer than its rows) or a 63-bit one into 2**20.
+_BIN_SHIFT = 18
 _ROW_SHIFT = 43
 
 
@@ -141,7 +142,7 @@ def select_first(
     table ``_class, _take``, or a column over the class's row count ``_rows``.
 
     A radix selection on a written table of classes, keys and hashes, whose
-    size does not depend on the width of ``df``: a histogram of 2**20 hash
+    size does not depend on the width of ``df``: a histogram of 2**14 hash
     bins per class locates the bin where a quota ends, and inside it one key,
     the class's cut, with which every row is compared.  Only where the cut's
     key is repeated and partly taken are its rows' own hashes written and cut
@@ -223,7 +224,9 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` = ``train``/``test`` with an exact per-class quota:
     ``floor(n_c * train_percent / 100)`` train rows per class, the first
-    ones in hash order (see :func:`select_first`)."""
+    ones in hash order (see :func:`select_first`).  Every read of the result
+    hashes the rows again; :func:`~scorewright.session.written_table` fixes it
+    for a reader that takes several passes."""
     if not 0 <= train_percent <= 100:
         raise ValueError("train_percent must be within 0..100")
     quota = F.expr(f"(_rows * {int(train_percent)}) div 100")

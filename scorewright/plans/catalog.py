@@ -44,7 +44,7 @@ from ..operators.timeline import (
 )
 from ..operators.train import load_model, save_model, train_random_forest
 from ..operators.trees import forest_from_saved, score_forest
-from ..session import shared_dir, spread_scan, write_file
+from ..session import shared_dir, spread_scan, write_file, written_table
 from ..sources.files import write_message_files
 from ..streaming.progress import ProgressLog, operation_means_from_progress, progress_frame, summarize
 from ..streaming.sinks import foreach_batch_writer, run_until_done, to_kafka_records, write_stream
@@ -830,6 +830,8 @@ def q_mllib(spark, sf_dir):
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"),
     )
     split = stratified_split(li, "returned", ["l_orderkey", "l_linenumber"], seed=SPLIT_SEED)
+    # training takes several passes over its rows: they read what was split once
+    split = written_table(split.select(*ML_FEATURES, "returned", "split"), "train-split")
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     model = train_random_forest(train, ML_FEATURES, "returned", num_trees=20, max_depth=5, seed=42)

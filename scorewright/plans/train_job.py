@@ -23,6 +23,7 @@ from ..operators.classes import stratified_split
 from ..operators.report import classification_report
 from ..operators.score import score_mllib
 from ..operators.train import invalid_rows, save_model, train_random_forest
+from ..session import written_table
 from ..sources.files import read_csv_table
 
 log = logging.getLogger(__name__)
@@ -40,6 +41,8 @@ def run(spark: SparkSession, table: DataFrame, label: str, model_out: str, *,
     if handle_invalid == "skip":
         log.warning("%d rows with a null or NaN feature are left out", invalid_rows(table, feats))
     split = stratified_split(table, label, keys, train_percent=train_percent, seed=seed)
+    # training takes several passes over its rows: they read what was split once
+    split = written_table(split.select(*dict.fromkeys([*feats, label]), "split"), "train-split")
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
     model = train_random_forest(train, feats, label, num_trees=num_trees, max_depth=max_depth, seed=seed,

@@ -106,3 +106,32 @@ def test_filter_and_projection_reach_the_scan(spark):
     plan = _plan(spark, C.filter_class(li, "l_returnflag", "R"))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
+
+
+@pytest.mark.parametrize("where", ["query", "job"])
+def test_training_reads_rows_that_were_split_once(spark, where, tmp_path, monkeypatch):
+    """The forest's passes over its rows neither hash nor join them again."""
+    from scorewright.plans import catalog, train_job
+
+    rows = [(i, i % 7, float(i % 50), 100.0 + i, 0.01 * (i % 10), 0.0, "R" if i % 50 > 30 else "N") for i in range(400)]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                     "l_discount double, l_tax double, l_returnflag string")
+    seen = []
+
+    def spy(train, *args, **kwargs):
+        seen.append(train)
+        return fit(train, *args, **kwargs)
+
+    module = catalog if where == "query" else train_job
+    fit = module.train_random_forest
+    monkeypatch.setattr(module, "train_random_forest", spy)
+    if where == "query":
+        li.write.parquet(f"{tmp_path}/lineitem.parquet")
+        report = catalog.q_mllib(spark, str(tmp_path))
+    else:
+        report = train_job.run(spark, li.drop("l_returnflag").withColumn("label", (li.l_quantity > 30).cast("int")), "label",
+                               f"{tmp_path}/model", key_cols=["l_orderkey"])
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "Join" not in plan
+    support = {r.label: r.support for r in report.collect()}
+    assert (support["0"], support["1"], support["accuracy"]) == (50, 31, 81) and seen[0].count() == 319
