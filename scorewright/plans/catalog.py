@@ -721,6 +721,20 @@ def _message_files_config(spark, sf_dir, out) -> dict:
     return cfg
 
 
+# A message file of q_telemetry_rows holds about so many events.
+TELEMETRY_ROWS = 1_000_000
+
+
+def _telemetry_files(rows: int) -> int:
+    """Message files for so many events: several, more for a large table."""
+    return 8 + rows // TELEMETRY_ROWS
+
+
+def _batch_of_event(files: int):
+    """The message file of an event: its id modulo their number (null: 0)."""
+    return F.coalesce(F.pmod("event_id", F.lit(files)), F.lit(0)).cast("int")
+
+
 def _logged_stream(spark, cfg) -> DataFrame:
     """Run a stream to its end; the table of all its progress reports."""
     with ProgressLog(spark) as log:
@@ -803,16 +817,23 @@ def q_telemetry(spark, sf_dir):
 
 @register("q_telemetry_rows")
 def q_telemetry_rows(spark, sf_dir):
-    """A9 + A10: what the telemetry of a stream of several batches adds up
-    to, over the run and a restart that finds nothing new."""
+    """A9 + A10: batches, rows and median rows of a batch in the telemetry of
+    a stream of several batches, over the run and a restart that finds
+    nothing new.  Each message file is a batch, and its rows follow from the
+    table alone (:func:`_batch_of_event`)."""
     out = shared_dir(spark, "q_telemetry_rows")
-    cfg = _message_files_config(spark, sf_dir, out)
+    events = table(spark, sf_dir, "events")
+    files = _telemetry_files(events.count())  # from the file footers
+    write_message_files(events.repartitionById(files, _batch_of_event(files)), EVENT_COLUMNS, f"{out}/topic")
+    cfg = stream_job_config(sf_dir, out)
+    cfg["source"] = {"format": "text", "path": f"{out}/topic", "max_files_per_trigger": 1}
     with ProgressLog(spark, reports_per_file=2) as log:
         for _ in range(2):
             query = _run_stream(spark, cfg, None)
             log.wait_for_end(query)
         telemetry = progress_frame(spark, log.table(query)).filter(F.col("Input_Rows") > 0)
-    return summarize(telemetry, ["Input_Rows"], percentiles=[]).select("metric", "total", (F.col("n") > 1).alias("several"))
+    return summarize(telemetry, ["Input_Rows"], percentiles=[0.5]).select(
+        "metric", "n", "total", "p50", (F.col("n") > 1).alias("several"))
 
 
 # --------------------------------------------------------------------------

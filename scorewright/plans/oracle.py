@@ -328,7 +328,10 @@ SQL.update({
     "q_stream_csv": SQL["q_score_rows"],
     "q_stream_replace": SQL["q_score_rows"],
     "q_telemetry_rows": """
-        SELECT 'Input_Rows' AS metric, CAST(count(*) AS DOUBLE) AS total, true AS several FROM events""",
+        WITH f AS (SELECT 8 + count(*) // 1000000 AS files FROM events),
+        b AS (SELECT count(*) AS n FROM events, f GROUP BY coalesce(((event_id % files) + files) % files, 0))
+        SELECT 'Input_Rows' AS metric, count(*) AS n, CAST(sum(n) AS DOUBLE) AS total,
+               CAST(quantile_disc(n, 0.5) AS DOUBLE) AS p50, count(*) > 1 AS several FROM b""",
     "q_score_file": "SELECT event_id, value, CAST(value > 75 AS INT) AS prediction FROM events",
     "q_forest_rules": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS disagree FROM lineitem",
     "q_score_booster": """

@@ -1,5 +1,7 @@
 """Batch = stream, restart on one checkpoint, progress rows."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +300,17 @@ def test_micro_batches_by_size(spark, scratch):
     if sizes:
         most = max(sizes)
         assert max(r.num_input_rows for r in reports) <= 1000 * (25_000 + most) / sum(sizes) * 1.3
+
+
+def test_telemetry_rows_counts_batches_and_their_median(spark, tmp_path):
+    """Ids of any sign, repeated and null: every file is a batch, whose rows
+    follow from the ids alone."""
+    ids = [None] * 4 + list(range(-3, 21)) + [7] * 6
+    events = spark.createDataFrame([(i, 1, "click", 2.0, '{"k": 1}') for i in ids],
+                                   "event_id long, user_id long, event_type string, value double, props string")
+    events.selectExpr("event_id", "timestamp'2024-01-01 00:00:00' AS ts", "user_id", "event_type", "value", "props") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    sizes = sorted(Counter(0 if i is None else i % 8 for i in ids).values())
+    got = catalog.QUERIES["q_telemetry_rows"](spark, str(tmp_path)).collect()
+    assert [r.asDict() for r in got] == [
+        {"metric": "Input_Rows", "n": 8, "total": float(len(ids)), "p50": float(sizes[3]), "several": True}]
