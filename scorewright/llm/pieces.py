@@ -120,33 +120,34 @@ class Pieces:
         bytes_known = [byte_ids[b] for b in range(256)] if len(byte_ids) == 256 else None
         return cls(pieces, bytes_known, model.unk_id())
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, cut: int | None = None) -> list[str] | None:
         """The pieces that merging yields: always the neighbours whose joint
-        piece scores highest, the leftmost of equals."""
+        piece scores highest, the leftmost of equals.  None as soon as one of
+        them lies across the place ``cut``, since pieces only grow."""
         parts: list[str | None] = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
-        queue: list[tuple[float, int, str, str]] = []
-
-        def offer(i: int, j: int) -> None:
-            if i >= 0 and j < len(parts):
-                found = self.pieces.get(parts[i] + parts[j])
-                if found is not None:
-                    heapq.heappush(queue, (-found[1], i, parts[i], parts[j]))
-
-        for i in range(len(parts) - 1):
-            offer(i, i + 1)
+        known, size = self.pieces.get, len(parts)
+        queue = [(-found[1], i, left, right) for i, (left, right) in enumerate(zip(text, text[1:]))
+                 if (found := known(left + right)) is not None]
+        heapq.heapify(queue)
         while queue:
             _, i, left, right = heapq.heappop(queue)
             j = after[i]
-            if parts[i] != left or j >= len(parts) or parts[j] != right:
+            if parts[i] != left or j >= size or parts[j] != right:
                 continue
-            parts[i], parts[j] = left + right, None
-            after[i] = after[j]
-            if after[i] < len(parts):
-                before[after[i]] = i
-            offer(before[i], i)
-            offer(i, after[i])
+            end = after[j]
+            if cut is not None and i < cut < end:
+                return None
+            joint = parts[i] = left + right
+            parts[j], after[i] = None, end
+            if end < size:
+                before[end] = i
+                if (found := known(joint + parts[end])) is not None:
+                    heapq.heappush(queue, (-found[1], i, joint, parts[end]))
+            start = before[i]
+            if start >= 0 and (found := known(parts[start] + joint)) is not None:
+                heapq.heappush(queue, (-found[1], start, parts[start], joint))
         return [p for p in parts if p is not None]
 
     def compatible(self, left: str, right: str) -> bool:
@@ -157,7 +158,7 @@ class Pieces:
             if self._kept * 100 >= PAIR_BYTES:
                 self._forget_pairs()
             after = self._pairs.setdefault(sys.intern(left), {})
-            known = after[sys.intern(right)] = self.merge(left + right) == [left, right]
+            known = after[sys.intern(right)] = self.merge(left + right, len(left)) == [left, right]
             self._kept += 1
         return known
 

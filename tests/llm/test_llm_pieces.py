@@ -91,3 +91,13 @@ def test_forgotten_words_and_pairs_are_learnt_again(monkeypatch):
         assert coder.encode([text])[0].tolist() == model.encode(text)
         assert coder.size <= 4000 and coder.pieces._kept <= 41
         assert coder.pieces._kept == sum(map(len, coder.pieces._pairs.values())) and coder.once.keys() <= coder.known.keys()
+
+
+def test_merging_stops_across_the_cut():
+    model = pieces.Pieces({p: (i, -float(i)) for i, p in enumerate(["ab", "bc", "abc", "cab"])}, None, 99)
+    assert model.merge("abc") == ["abc"] and model.merge("abc", 2) is None and model.merge("abab", 2) == ["ab", "ab"]
+    for text in map("".join, itertools.product("abc", repeat=5)):
+        for cut in range(1, 5):
+            left, right = text[:cut], text[cut:]
+            if model.merge(left) == [left] and model.merge(right) == [right]:
+                assert model.compatible(left, right) == (model.merge(text) == [left, right])
